@@ -1,0 +1,20 @@
+"""Size checks that guard broadcasts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate of ``df`` is within the broadcast limit.
+
+    The estimate is taken after pruning and pushdown and without running a job.
+    Unknown sizes are estimated as huge, so the answer is then no.
+    """
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(stats.sizeInBytes().toString()) <= broadcast_limit(df)
