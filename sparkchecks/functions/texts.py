@@ -48,10 +48,6 @@ RULE_BROKEN = "Rule execution failed: {error}"
 
 def fill(template: str, **values: Column) -> Column:
     """A string column with every ``{name}`` of the template replaced by a column."""
-    parts = []
-    for piece in re.split(r"(\{\w+\})", template):
-        if re.fullmatch(r"\{\w+\}", piece):
-            parts.append(values[piece[1:-1]].cast("string"))
-        elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
+    names = re.findall(r"\{(\w+)\}", template)
+    pattern = re.sub(r"\{\w+\}", "%s", template.replace("%", "%%"))
+    return F.format_string(pattern, *[values[name] for name in names])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.status import CRITICAL, FAILED, SUCCESS
-from ..schemas import CHECK_ITEM, conform
+from ..schemas import CHECK_ITEM, conform, layout
 from ..sources.tables import Tables, local_rows
 from .columns import DEFAULT_LENGTH, column_check
 
+MEASURED = layout("item int, total_rows bigint, invalid_count bigint, found_lengths array<int>")
+
+_DESCRIBED = layout(
+    "item int, rule_name string, ordinal int, check_type string, table_name string, "
+    "column_name string, expected_length int, error_text string, failed_text string, "
+    "passed_text string"
+)
+
 
 @dataclass(frozen=True)
 class ColumnItem:
@@ -51,106 +59,117 @@ def _expected_length(item: ColumnItem) -> int | None:
     return item.params.get("expected_length", DEFAULT_LENGTH)
 
 
-def error_rows(tables: Tables, failures: Sequence[tuple[ColumnItem, str]]) -> DataFrame:
-    """Rows of items that could not be checked: failed, no rows, invalid count -1."""
-    return local_rows(
-        tables.spark,
-        [
+def _describe(tables: Tables, items: Sequence[ColumnItem], errors: Mapping[int, str]) -> DataFrame:
+    """One local row per item: what it checks, and how its outcome reads."""
+    rows = []
+    for i, item in enumerate(items):
+        known = {
+            "table": item.table,
+            "column": item.column,
+            "expected": _expected_length(item),
+            "invalid": "{invalid}",
+            "rows": "{rows}",
+            "lengths": "{lengths}",
+        }
+        row = {
+            "item": i,
+            "rule_name": item.rule_name,
+            "ordinal": item.ordinal,
+            "check_type": item.check_type,
+            "table_name": item.table,
+            "column_name": item.column,
+            "expected_length": _expected_length(item),
+        }
+        if i in errors:
+            row["error_text"] = texts.EXECUTION_FAILED.format(error=errors[i])
+        else:
+            check = column_check(item.check_type)
+            row["failed_text"] = check.failed_text.format(**known)
+            row["passed_text"] = check.passed_text.format(**known)
+        rows.append(row)
+    return local_rows(tables.spark, rows, _DESCRIBED)
+
+
+def _graded(described: DataFrame, measured: DataFrame) -> DataFrame:
+    """``check_item`` rows from the items and what was measured; errors count -1."""
+    failed = F.col("error_text").isNotNull() | (F.col("invalid_count") > 0)
+    text = F.coalesce("error_text", F.when(failed, F.col("failed_text")).otherwise(F.col("passed_text")))
+    for name, value in {
+        "{invalid}": F.col("invalid_count").cast("string"),
+        "{rows}": F.col("total_rows").cast("string"),
+        "{lengths}": F.array_join("found_lengths", ", "),
+    }.items():
+        text = F.replace(text, F.lit(name), F.coalesce(value, F.lit("")))
+    missing = F.col("error_text").isNotNull()
+    return conform(
+        described.join(measured, "item", "left").withColumns(
             {
-                "rule_name": item.rule_name,
-                "ordinal": item.ordinal,
-                "check_type": item.check_type,
-                "table_name": item.table,
-                "column_name": item.column,
-                "status": FAILED,
-                "total_rows": 0,
-                "invalid_count": -1,
-                "expected_length": _expected_length(item),
-                "details": texts.EXECUTION_FAILED.format(error=error),
+                "status": F.when(failed, FAILED).otherwise(SUCCESS),
+                "total_rows": F.when(missing, 0).otherwise(F.col("total_rows")),
+                "invalid_count": F.when(missing, -1).otherwise(F.col("invalid_count")),
+                "invalid_rate": F.try_divide("invalid_count", "total_rows") * 100,
+                "details": text,
             }
-            for item, error in failures
-        ],
+        ),
         CHECK_ITEM,
     )
 
 
-def _item_struct(item: ColumnItem, metrics: Mapping[str, str]) -> Column:
-    """One result row from the columns of the aggregated table row."""
-    check = column_check(item.check_type)
-    total, invalid = F.col("total_rows"), F.col(metrics["invalid_count"])
-    lengths = (
-        F.col(metrics["found_lengths"])
-        if "found_lengths" in metrics
-        else F.lit(None).cast("array<int>")
+Failures = dict[int, str]
+
+
+def _aggregates(df: DataFrame, item: ColumnItem, i: int) -> list[Column]:
+    """The aggregates of one item, named by its number."""
+    if item.column not in df.columns:
+        raise LookupError(f"Column does not exist: {item.table}.{item.column}")
+    metrics = column_check(item.check_type).metrics(
+        F.col(f"`{item.column}`"), df.schema[item.column].dataType, item.params
     )
-    expected = F.lit(_expected_length(item)).cast("int")
-
-    def text(template: str) -> Column:
-        return texts.fill(
-            template,
-            invalid=invalid,
-            table=F.lit(item.table),
-            column=F.lit(item.column),
-            rows=total,
-            expected=F.coalesce(expected.cast("string"), F.lit("")),
-            lengths=F.coalesce(F.array_join(lengths, ", "), F.lit("")),
-        )
+    return [metric.alias(f"{name}_{i}") for name, metric in metrics.items()]
 
-    values = {
-        "rule_name": F.lit(item.rule_name),
-        "ordinal": F.lit(item.ordinal),
-        "check_type": F.lit(item.check_type),
-        "table_name": F.lit(item.table),
-        "column_name": F.lit(item.column),
-        "status": F.when(invalid > 0, FAILED).otherwise(SUCCESS),
-        "total_rows": total,
-        "invalid_count": invalid,
-        "invalid_rate": F.try_divide(invalid, total) * 100,
-        "expected_length": expected,
-        "found_lengths": lengths,
-        "details": F.when(invalid > 0, text(check.failed_text)).otherwise(text(check.passed_text)),
-    }
-    return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in CHECK_ITEM.fields])
-
-
-def _plan_table(df: DataFrame, items: Sequence[ColumnItem]) -> tuple[DataFrame | None, list]:
+
+def _plan_table(
+    df: DataFrame, items: Mapping[int, ColumnItem]
+) -> tuple[DataFrame | None, Failures]:
     """The one-pass plan for a table, and the items its schema rules out."""
-    fields = {f.name: f for f in df.schema.fields}
-    aggregates, structs, failures = [], [], []
-    for i, item in enumerate(items):
+    planned, failures = {}, {}
+    for i, item in items.items():
         try:
-            if item.column not in fields:
-                raise LookupError(f"Column does not exist: {item.table}.{item.column}")
-            check = column_check(item.check_type)
-            column = F.col(f"`{item.column}`")
-            metrics = check.metrics(column, fields[item.column].dataType, item.params)
-            # Analyze each item alone: one that does not type-check must not take the rest along.
-            df.agg(*metrics.values())
+            planned[i] = _aggregates(df, item, i)
         except Exception as error:
-            failures.append((item, str(error)))
-            continue
-        names = {name: f"m{i}_{name}" for name in metrics}
-        aggregates += [metrics[name].alias(alias) for name, alias in names.items()]
-        structs.append(_item_struct(item, names))
-    if not structs:
+            failures[i] = str(error)
+    total = F.count(F.lit(1)).alias("total_rows")
+    try:
+        row = df.agg(total, *[a for aggregates in planned.values() for a in aggregates])
+    except Exception:
+        # An item does not type-check: find it, and leave it out.
+        for i, aggregates in list(planned.items()):
+            try:
+                df.agg(*aggregates)
+            except Exception as error:
+                failures[i] = _first_line(error)
+                del planned[i]
+        row = df.agg(total, *[a for aggregates in planned.values() for a in aggregates])
+    if not planned:
         return None, failures
-    row = df.agg(F.count(F.lit(1)).alias("total_rows"), *aggregates)
-    return row.select(F.inline(F.array(*structs))), failures
+    measured = ", ".join(
+        f"struct({i} AS item, total_rows, cast(invalid_count_{i} AS bigint) AS invalid_count, "
+        + (f"found_lengths_{i}" if f"found_lengths_{i}" in row.columns else "cast(NULL AS array<int>)")
+        + " AS found_lengths)"
+        for i in planned
+    )
+    return row.selectExpr(f"inline(array({measured}))"), failures
 
 
-def _by_table(items: Iterable[ColumnItem]) -> dict[str, list[ColumnItem]]:
-    grouped: dict[str, list[ColumnItem]] = {}
-    for item in items:
-        grouped.setdefault(item.table, []).append(item)
-    return grouped
+def _first_line(error: Exception) -> str:
+    return (str(error) or type(error).__name__).splitlines()[0]
 
 
-def _plan(tables: Tables, table: str, items: Sequence[ColumnItem]):
-    try:
-        df = tables.table(table)
-    except Exception as error:
-        return None, [(item, str(error)) for item in items]
-    return _plan_table(df, items)
+def _by_table(items: Sequence[ColumnItem]) -> dict[str, dict[int, ColumnItem]]:
+    grouped: dict[str, dict[int, ColumnItem]] = {}
+    for i, item in enumerate(items):
+        grouped.setdefault(item.table, {})[i] = item
+    return grouped
 
 
 def column_check_items(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame:
@@ -161,18 +180,20 @@ def column_check_items(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame
     them side by side; an error while reading a table fails that action. Use
     ``run_column_checks`` to isolate such errors.
     """
-    plans, failures = [], []
+    plans, errors = [], {}
     for table, group in _by_table(items).items():
-        plan, failed = _plan(tables, table, group)
-        failures += failed
+        try:
+            plan, failures = _plan_table(tables.table(table), group)
+        except Exception as error:
+            plan, failures = None, dict.fromkeys(group, _first_line(error))
+        errors.update(failures)
         if plan is not None:
             plans.append(plan)
-    if failures or not plans:
-        plans.append(error_rows(tables, failures))
-    return conform(reduce(DataFrame.unionByName, plans), CHECK_ITEM)
+    plans = plans or [local_rows(tables.spark, [], MEASURED)]
+    return _graded(_describe(tables, items, errors), reduce(DataFrame.unionByName, plans))
 
 
-def _measure(df: DataFrame, items: Sequence[ColumnItem]) -> tuple[list[Row], list]:
+def _measure(df: DataFrame, items: Mapping[int, ColumnItem]) -> tuple[list[Row], Failures]:
     """Run a table's checks in one pass; on an error narrow it down by halves.
 
     A few bad items among n cost about log n further passes each, not n.
@@ -183,18 +204,14 @@ def _measure(df: DataFrame, items: Sequence[ColumnItem]) -> tuple[list[Row], lis
     try:
         return plan.collect(), failures
     except Exception as error:
-        if len(items) == 1:
-            return [], [(items[0], str(error).splitlines()[0])]
-    ruled_out = {id(item) for item, _ in failures}
-    rest = [item for item in items if id(item) not in ruled_out]
-    if len(rest) == 1:
-        rows, more = _measure(df, rest)
-        return rows, failures + more
+        rest = [i for i in items if i not in failures]
+        if len(rest) == 1:
+            return [], {**failures, rest[0]: _first_line(error)}
     rows = []
     for half in (rest[: len(rest) // 2], rest[len(rest) // 2 :]):
-        found, more = _measure(df, half)
+        found, more = _measure(df, {i: items[i] for i in half})
         rows += found
-        failures = failures + more
+        failures = {**failures, **more}
     return rows, failures
 
 
@@ -207,27 +224,24 @@ def run_column_checks(
     driver is one row per check. A table that fails while it is read is retried
     by halves of its items; other tables are not run again.
     """
-    spark = tables.spark
 
-    def run(table: str, group: list[ColumnItem]):
+    def measure(table: str, group: Mapping[int, ColumnItem]):
         try:
-            df = tables.table(table)
+            return _measure(tables.table(table), group)
         except Exception as error:
-            return [], [(item, str(error)) for item in group]
-        return _measure(df, group)
+            return [], dict.fromkeys(group, _first_line(error))
 
-    rows, failures = [], []
+    rows, errors = [], {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         jobs = [
-            pool.submit(inheritable_thread_target(spark)(run), table, group)
+            pool.submit(inheritable_thread_target(tables.spark)(measure), table, group)
             for table, group in _by_table(items).items()
         ]
         for job in jobs:
-            found, failed = job.result()
-            rows += found
-            failures += failed
-    done = local_rows(spark, [r.asDict() for r in rows], CHECK_ITEM)
-    return done.unionByName(error_rows(tables, failures)) if failures else done
+            found, failures = job.result()
+            rows += [row.asDict() for row in found]
+            errors.update(failures)
+    return _graded(_describe(tables, items, errors), local_rows(tables.spark, rows, MEASURED))
 
 
 def batch_rollup(items: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -70,14 +69,8 @@ THRESHOLD = layout(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select exactly the columns of ``schema``, in order and cast to its types.
+    """Exactly the columns of ``schema``, in order and cast to its types.
 
     Columns the frame lacks are added as typed NULLs.
     """
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return df.to(schema)
