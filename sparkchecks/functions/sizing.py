@@ -17,4 +17,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     Unknown sizes are estimated as huge, so the answer is then no.
     """
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString()) <= broadcast_limit(df)
+    return int(str(stats.sizeInBytes())) <= broadcast_limit(df)

@@ -81,12 +81,14 @@ class FileTables(Tables):
 
     ``root/schema.table.<format>`` is read as ``schema.table`` as well. The
     directory is listed through Hadoop, so any file system Spark reads will do.
+    Listing and schemas are read once per instance.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         super().__init__(spark)
         self.root, self.fmt = root.rstrip("/"), fmt
         self._paths: dict[str, str] | None = None
+        self._frames: dict[str, DataFrame] = {}
 
     def _list(self) -> dict[str, str]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path
@@ -118,7 +120,9 @@ class FileTables(Tables):
     def table(self, name: str) -> DataFrame:
         if name not in self.names():
             raise LookupError(f"Table does not exist: {name}")
-        return self.spark.read.format(self.fmt).load(self._paths[name])
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.format(self.fmt).load(self._paths[name])
+        return self._frames[name]
 
 
 class CatalogTables(Tables):
