@@ -272,7 +272,7 @@ def closeness_grid(tables: SampleTables) -> DataFrame:
     shifted = tables.table("orders").select(
         "o_orderpriority", "o_totalprice", F.expr(f"o_totalprice * (1 + {_SHIFT})").alias("shifted")
     )
-    actual, desired = F.col("shifted"), F.col("o_totalprice")
+    actual, desired = "shifted", "o_totalprice"
     return shifted.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(strictly_close(actual, desired, RTOL)).alias("strict_matches"),
@@ -291,7 +291,7 @@ def closeness_grid(tables: SampleTables) -> DataFrame:
 )
 def rounded_sums(tables: SampleTables) -> DataFrame:
     sums = tables.table("orders").groupBy("o_orderpriority").agg(
-        exact_sum(F.col("o_totalprice"), T.DoubleType()).alias("total")
+        exact_sum("o_totalprice", T.DoubleType()).alias("total")
     )
     whole = F.col("total").cast("decimal(28,10)")
     return sums.select(

@@ -12,11 +12,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+_OPENED: dict[tuple[str, str], SampleTables] = {}
+
+
+def sample_tables(spark: SparkSession, sf_dir: str) -> SampleTables:
+    """The sample tables of a folder, opened once per Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPENED:
+        _OPENED[key] = SampleTables(spark, sf_dir)
+    return _OPENED[key]
+
+
 def sample(name: str, sql: str | None = None):
     """Register ``build(tables) -> DataFrame`` under a name."""
 
     def register(build: Callable[[SampleTables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: build(SampleTables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(sample_tables(spark, sf_dir))
         if sql is not None:
             ORACLE_SQL[name] = sql
         return build

@@ -212,7 +212,7 @@ def deviation_branches(tables: SampleTables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", 0.0).otherwise(F.col("o_totalprice")).alias("i"),
         F.coalesce("lines", F.lit(0.0)).alias("o"),
     )
-    verdict = classify_deviation(F.col("component"), F.col("i"), F.col("o"), 25.0)
+    verdict = classify_deviation("component", "i", "o", 25.0)
     finite = F.abs("deviation_percent") != float("inf")
     return (
         totals.select("o_orderpriority", *[c.alias(n) for n, c in verdict.items()])
@@ -228,8 +228,8 @@ def deviation_branches(tables: SampleTables) -> DataFrame:
 
 def tallied(items: DataFrame) -> DataFrame:
     return items.agg(
-        *[c.alias(n) for n, c in status_tallies(F.col("status")).items()],
-        worst_status(F.col("status")).alias("status"),
+        *[c.alias(n) for n, c in status_tallies("status").items()],
+        worst_status("status").alias("status"),
     )
 
 
@@ -336,7 +336,7 @@ def bound_query(tables: SampleTables) -> DataFrame:
     )
     return sums.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.round(exact_sum(F.col("o_totalprice"), sums.schema["o_totalprice"].dataType), 2).alias(
+        F.round(exact_sum("o_totalprice", sums.schema["o_totalprice"].dataType), 2).alias(
             "total"
         ),
     )

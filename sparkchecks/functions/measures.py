@@ -16,7 +16,7 @@ _FLOATS = (T.FloatType, T.DoubleType)
 _FIXED_POINT_LIMIT = 1e15
 
 
-def exact_sum(value: Column, dtype: T.DataType) -> Column:
+def exact_sum(column: str, dtype: T.DataType) -> Column:
     """Aggregate: a sum that does not depend on the order of the rows, as double.
 
     Doubles are split into whole units, millionths and millionths of millionths,
@@ -25,28 +25,25 @@ def exact_sum(value: Column, dtype: T.DataType) -> Column:
     hold NaN, infinities or values from 1e15 on, or whose integer sums overflow,
     get the plain double sum instead.
     """
-    plain = F.try_sum(value.cast("double"))
-    if not isinstance(dtype, _FLOATS):
-        if isinstance(dtype, T.NumericType):
-            return F.coalesce(F.try_sum(value).cast("double"), plain)
-        value = value.cast("double")
-        plain = F.try_sum(value)
-    x = value.cast("double")
-    whole = F.floor(x)
-    micro = (x - whole) * 1e6
-    pico = (micro - F.floor(micro)) * 1e6
-    in_range = F.abs(x) < _FIXED_POINT_LIMIT  # false for NaN
-
-    def part(p: Column) -> Column:
-        return F.try_sum(F.when(in_range, p.cast("bigint"))).cast("decimal(19,0)")
-
-    fixed = (
-        part(whole)
-        + part(F.floor(micro)) * F.lit("0.000001").cast("decimal(7,6)")
-        + part(F.rint(pico)) * F.lit("0.000000000001").cast("decimal(13,12)")
-    )
-    return F.when(F.count_if(~in_range) > 0, plain).otherwise(
-        F.coalesce(fixed.cast("double"), plain)
+    if isinstance(dtype, T.NumericType) and not isinstance(dtype, _FLOATS):
+        return F.expr(
+            f"coalesce(cast(try_sum({column}) AS double), try_sum(cast({column} AS double)))"
+        )
+    x = f"cast({column} AS double)"
+    whole = f"floor({x})"
+    micro = f"({x} - {whole}) * 1e6D"
+    pico = f"({micro} - floor({micro})) * 1e6D"
+    in_range = f"abs({x}) < {_FIXED_POINT_LIMIT!r}D"  # false for NaN
+
+    def part(p: str) -> str:
+        return f"cast(try_sum(CASE WHEN {in_range} THEN cast({p} AS bigint) END) AS decimal(19,0))"
+
+    return F.expr(
+        f"""CASE WHEN count_if(NOT ({in_range})) > 0 THEN try_sum({x})
+            ELSE coalesce(cast({part(whole)} + {part(f"floor({micro})")} * 0.000001BD
+                               + {part(f"rint({pico})")} * 0.000000000001BD AS double),
+                          try_sum({x}))
+            END"""
     )
 
 

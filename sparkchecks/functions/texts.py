@@ -1,12 +1,9 @@
-"""Wording of result messages, and a way to fill it in with columns."""
+"""Wording of result messages, and a way to fill it in."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Message formats of the result tables.
 NULLS_FOUND = "Found {invalid} NULL values in {table}.{column} ({rows} rows checked)"
 NO_NULLS_FOUND = "No NULL values found in {table}.{column} ({rows} rows checked)"
@@ -46,8 +43,13 @@ NO_RULE_DATA = "No {subject} data found"
 RULE_BROKEN = "Rule execution failed: {error}"
 
 
-def fill(template: str, **values: Column) -> Column:
-    """A string column with every ``{name}`` of the template replaced by a column."""
+def quoted(text: str) -> str:
+    """A text as SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def filled(template: str, **values: str) -> str:
+    """SQL of the text with every ``{name}`` of the template replaced by an SQL expression."""
     names = re.findall(r"\{(\w+)\}", template)
     pattern = re.sub(r"\{\w+\}", "%s", template.replace("%", "%%"))
-    return F.format_string(pattern, *[values[name] for name in names])
+    return f"format_string({', '.join([quoted(pattern), *[values[name] for name in names]])})"

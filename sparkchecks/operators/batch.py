@@ -92,24 +92,22 @@ def _describe(tables: Tables, items: Sequence[ColumnItem], errors: Mapping[int,
 
 def _graded(described: DataFrame, measured: DataFrame) -> DataFrame:
     """``check_item`` rows from the items and what was measured; errors count -1."""
-    failed = F.col("error_text").isNotNull() | (F.col("invalid_count") > 0)
-    text = F.coalesce("error_text", F.when(failed, F.col("failed_text")).otherwise(F.col("passed_text")))
+    failed = "(error_text IS NOT NULL OR invalid_count > 0)"
+    text = f"coalesce(error_text, CASE WHEN {failed} THEN failed_text ELSE passed_text END)"
     for name, value in {
-        "{invalid}": F.col("invalid_count").cast("string"),
-        "{rows}": F.col("total_rows").cast("string"),
-        "{lengths}": F.array_join("found_lengths", ", "),
+        "{invalid}": "cast(invalid_count AS string)",
+        "{rows}": "cast(total_rows AS string)",
+        "{lengths}": "array_join(found_lengths, ', ')",
     }.items():
-        text = F.replace(text, F.lit(name), F.coalesce(value, F.lit("")))
-    missing = F.col("error_text").isNotNull()
+        text = f"replace({text}, '{name}', coalesce({value}, ''))"
     return conform(
-        described.join(measured, "item", "left").withColumns(
-            {
-                "status": F.when(failed, FAILED).otherwise(SUCCESS),
-                "total_rows": F.when(missing, 0).otherwise(F.col("total_rows")),
-                "invalid_count": F.when(missing, -1).otherwise(F.col("invalid_count")),
-                "invalid_rate": F.try_divide("invalid_count", "total_rows") * 100,
-                "details": text,
-            }
+        described.join(measured, "item", "left").selectExpr(
+            "* EXCEPT (total_rows, invalid_count)",
+            f"CASE WHEN {failed} THEN '{FAILED}' ELSE '{SUCCESS}' END AS status",
+            "CASE WHEN error_text IS NOT NULL THEN 0 ELSE total_rows END AS total_rows",
+            "CASE WHEN error_text IS NOT NULL THEN -1 ELSE invalid_count END AS invalid_count",
+            "try_divide(invalid_count, total_rows) * 100 AS invalid_rate",
+            f"{text} AS details",
         ),
         CHECK_ITEM,
     )
@@ -246,41 +244,29 @@ def run_column_checks(
 
 def batch_rollup(items: DataFrame) -> DataFrame:
     """One row per rule: totals, status, and the failed items as ``table.column``."""
-    name = F.concat_ws(".", "table_name", "column_name")
-    failed = F.col("status") == FAILED
-    failed_names = F.array_join(
-        F.transform(
-            F.array_sort(F.collect_list(F.when(failed, F.struct("ordinal", name.alias("name"))))),
-            lambda s: s["name"],
-        ),
-        ", ",
-    )
+    failed = f"status = '{FAILED}'"
     tallied = items.groupBy("rule_name").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(~failed).alias("passed"),
-        F.lit(0).cast("bigint").alias("warnings"),
-        F.count_if(failed).alias("failed"),
-        failed_names.alias("failed_names"),
+        F.expr("count(1) AS total"),
+        F.expr(f"count_if(NOT {failed}) AS passed"),
+        F.expr("0L AS warnings"),
+        F.expr(f"count_if({failed}) AS failed"),
+        F.expr(
+            f"""array_join(transform(array_sort(collect_list(CASE WHEN {failed} THEN struct(
+                    ordinal, concat_ws('.', table_name, column_name) AS name) END)),
+                s -> s.name), ', ') AS failed_names"""
+        ),
     )
-    bad = F.col("failed") > 0
-    return tallied.select(
+    failure = texts.filled(texts.BATCH_FAILED, failed="failed", total="total", names="failed_names")
+    return tallied.selectExpr(
         "rule_name",
-        F.when(bad, CRITICAL).otherwise(SUCCESS).alias("status"),
+        f"CASE WHEN failed > 0 THEN '{CRITICAL}' ELSE '{SUCCESS}' END AS status",
         "total",
         "passed",
         "warnings",
         "failed",
         "failed_names",
-        F.when(~bad, texts.fill(texts.BATCH_PASSED, total=F.col("total"))).alias("message"),
-        F.when(
-            bad,
-            texts.fill(
-                texts.BATCH_FAILED,
-                failed=F.col("failed"),
-                total=F.col("total"),
-                names=F.col("failed_names"),
-            ),
-        ).alias("error_details"),
+        f"CASE WHEN failed = 0 THEN {texts.filled(texts.BATCH_PASSED, total='total')} END AS message",
+        f"CASE WHEN failed > 0 THEN {failure} END AS error_details",
     )
 
 

@@ -31,20 +31,19 @@ def grade_members(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``group_item`` rows from (group, member, actual, expected, n_rows)."""
-    actual, expected = F.col("actual"), F.col("expected")
-    return sums.select(
-        F.lit(rule_name).alias("rule_name"),
-        F.col(group).cast("string").alias("group_key"),
-        F.col(member).alias("member_key"),
-        actual.cast("double").alias("actual"),
-        expected.cast("double").alias("expected"),
+    return sums.selectExpr(
+        f"{texts.quoted(rule_name)} AS rule_name",
+        f"cast(`{group}` AS string) AS group_key",
+        f"`{member}` AS member_key",
+        "cast(actual AS double) AS actual",
+        "cast(expected AS double) AS expected",
         "n_rows",
         *keep,
     ).select(
         "*",
-        relative_error(actual, expected).alias("relative_error"),
-        strictly_close(actual, expected, tolerance).alias("is_strictly_close"),
-        loosely_close(actual, expected, tolerance).alias("is_close"),
+        relative_error("actual", "expected").alias("relative_error"),
+        strictly_close("actual", "expected", tolerance).alias("is_strictly_close"),
+        loosely_close("actual", "expected", tolerance).alias("is_close"),
     )
 
 
@@ -155,7 +154,7 @@ def refinement_items(
         refined.filter(F.col(region).isNotNull() & F.col(code).isNotNull())
         .groupBy(region, code, cell, original)
         .agg(
-            exact_sum(F.col(detail), detail_type).alias("_detail")
+            exact_sum(f"`{detail}`", detail_type).alias("_detail")
             if detail_type.typeName() in ("double", "float")
             else F.try_sum(detail).alias("_detail"),
             F.count(F.lit(1)).alias("_rows"),
@@ -173,7 +172,7 @@ def refinement_items(
 def _whole_sum(column: str, dtype) -> Column:
     """Aggregate: an exact sum as a rounded whole number."""
     if dtype.typeName() in ("double", "float"):
-        return rounded_bigint(exact_sum(F.col(column), dtype), dtype)
+        return rounded_bigint(exact_sum(f"`{column}`", dtype), dtype)
     return rounded_bigint(F.try_sum(column), dtype)
 
 
@@ -192,16 +191,15 @@ def group_rollup(
     groups without members are critical with 0 of 0; without a request every
     group found is graded.
     """
-    flags = [
-        F.col("group_key"),
-        F.lit(1).alias("member"),
-        (F.col("actual").isNull() | F.col("expected").isNull()).alias("is_null"),
+    rows = items.selectExpr(
+        "group_key",
+        "1 AS member",
+        "actual IS NULL OR expected IS NULL AS is_null",
         "is_strictly_close",
         "is_close",
         "actual",
         "expected",
-    ]
-    rows = items.select(*flags)
+    )
     if requested is not None:
         wanted = list(dict.fromkeys(requested))
         rows = rows.filter(F.col("group_key").isin(wanted)).unionByName(
@@ -211,32 +209,35 @@ def group_rollup(
             allowMissingColumns=True,
         )
     grouped = rows.groupBy("group_key").agg(
-        F.count("member").alias("members"),
-        F.count_if("is_null").alias("nulls"),
-        F.count_if(~F.col("is_strictly_close")).alias("strict_failures"),
-        F.count_if(~F.col("is_close")).alias("loose_failures"),
-        F.sum("actual").alias("total_actual"),
-        F.sum("expected").alias("total_expected"),
+        F.expr("count(member) AS members"),
+        F.expr("count_if(is_null) AS nulls"),
+        F.expr("count_if(NOT is_strictly_close) AS strict_failures"),
+        F.expr("count_if(NOT is_close) AS loose_failures"),
+        F.expr("sum(actual) AS total_actual"),
+        F.expr("sum(expected) AS total_expected"),
     )
-    absent, broken = F.col("members") == 0, F.col("nulls") > 0
-    differs = F.col("strict_failures") > 0
-    known_total = F.lit(None).cast("bigint") if requested is not None else F.col("members")
-    grouped = grouped.select(
-        F.lit(rule_name).alias("rule_name"),
-        "group_key",
-        F.when(absent | broken | differs, CRITICAL).otherwise(SUCCESS).alias("status"),
-        F.when(broken, None).when(differs, F.col("loose_failures")).otherwise(0).alias("mismatches"),
-        F.when(broken, known_total).otherwise(F.col("members")).alias("total_members"),
-        F.when(~broken, F.col("total_actual")).alias("total_actual"),
-        F.when(~broken, F.col("total_expected")).alias("total_expected"),
-        F.lit(float(tolerance)).alias("tolerance"),
-        F.when(absent, texts.fill(texts.NO_GROUP_DATA, group=F.col("group_key")))
-        .when(broken, texts.fill(texts.GROUP_NOT_VALIDATED, group=F.col("group_key")))
-        .when(differs, texts.fill(failed_text, group=F.col("group_key")))
-        .otherwise(texts.fill(passed_text, group=F.col("group_key")))
-        .alias("message"),
+    broken = "nulls > 0"
+    unknown_total = "NULL" if requested is not None else "members"
+    key = "group_key"
+    return conform(
+        grouped.selectExpr(
+            f"{texts.quoted(rule_name)} AS rule_name",
+            "group_key",
+            f"""CASE WHEN members = 0 OR {broken} OR strict_failures > 0 THEN '{CRITICAL}'
+                ELSE '{SUCCESS}' END AS status""",
+            f"""CASE WHEN {broken} THEN NULL WHEN strict_failures > 0 THEN loose_failures
+                ELSE 0 END AS mismatches""",
+            f"CASE WHEN {broken} THEN {unknown_total} ELSE members END AS total_members",
+            f"CASE WHEN NOT ({broken}) THEN total_actual END AS total_actual",
+            f"CASE WHEN NOT ({broken}) THEN total_expected END AS total_expected",
+            f"{float(tolerance)!r}D AS tolerance",
+            f"""CASE WHEN members = 0 THEN {texts.filled(texts.NO_GROUP_DATA, group=key)}
+                WHEN {broken} THEN {texts.filled(texts.GROUP_NOT_VALIDATED, group=key)}
+                WHEN strict_failures > 0 THEN {texts.filled(failed_text, group=key)}
+                ELSE {texts.filled(passed_text, group=key)} END AS message""",
+        ),
+        GROUP_ROLLUP,
     )
-    return conform(grouped, GROUP_ROLLUP)
 
 
 def share_items(
@@ -281,48 +282,39 @@ def share_rollup(
         allowMissingColumns=True,
     )
     per_group = rows.groupBy("group_key").agg(
-        F.count("member").alias("members"),
-        F.count_if(~F.col("is_close")).alias("failures"),
-        F.sum("actual").alias("total_actual"),
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("bad_rows").alias("bad_rows"),
+        F.expr("count(member) AS members"),
+        F.expr("count_if(NOT is_close) AS failures"),
+        F.expr("sum(actual) AS total_actual"),
+        F.expr("sum(n_rows) AS n_rows"),
+        F.expr("sum(bad_rows) AS bad_rows"),
     )
     # One row for each requested group and one for the rest: small enough to
     # put side by side with what holds for the whole table.
     whole = per_group.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("source_rows"),
-        (F.coalesce(F.sum("bad_rows"), F.lit(0)) > 0).alias("broken"),
-        F.collect_list(
-            F.when(
-                F.col("group_key").isNotNull(),
-                F.struct("group_key", "members", "failures", "total_actual"),
-            )
-        ).alias("groups"),
-    ).select("source_rows", "broken", F.inline("groups"))
-    broken, absent = F.col("broken"), F.col("members") == 0
-    differs = F.col("failures") > 0
-    key = F.col("group_key")
-    graded = whole.select(
-        F.lit(rule_name).alias("rule_name"),
+        F.expr("coalesce(sum(n_rows), 0) AS source_rows"),
+        F.expr("coalesce(sum(bad_rows), 0) > 0 AS broken"),
+        F.expr(
+            """collect_list(CASE WHEN group_key IS NOT NULL
+                 THEN struct(group_key, members, failures, total_actual) END) AS groups"""
+        ),
+    ).selectExpr("source_rows", "broken", "inline(groups)")
+    key = "group_key"
+    return whole.selectExpr(
+        f"{texts.quoted(rule_name)} AS rule_name",
         "group_key",
-        F.when(broken, CRITICAL)
-        .when(absent, WARNING)
-        .when(differs, CRITICAL)
-        .otherwise(SUCCESS)
-        .alias("status"),
-        F.when(~broken, F.col("failures")).alias("mismatches"),
-        F.when(broken, 0).otherwise(F.col("members")).alias("total_members"),
-        F.when(~broken, F.col("total_actual")).alias("total_actual"),
-        F.when(~broken & ~absent, F.col("members").cast("double")).alias("total_expected"),
-        F.lit(float(tolerance)).alias("tolerance"),
-        F.when(broken, texts.fill(texts.GROUP_NOT_VALIDATED, group=key))
-        .when(absent, texts.fill(texts.NO_GROUP_DATA, group=key))
-        .when(differs, texts.fill(failed_text, group=key))
-        .otherwise(texts.fill(passed_text, group=key))
-        .alias("message"),
+        f"""CASE WHEN broken THEN '{CRITICAL}' WHEN members = 0 THEN '{WARNING}'
+            WHEN failures > 0 THEN '{CRITICAL}' ELSE '{SUCCESS}' END AS status""",
+        "CASE WHEN NOT broken THEN failures END AS mismatches",
+        "CASE WHEN broken THEN 0 ELSE members END AS total_members",
+        "CASE WHEN NOT broken THEN total_actual END AS total_actual",
+        "CASE WHEN NOT broken AND members > 0 THEN cast(members AS double) END AS total_expected",
+        f"{float(tolerance)!r}D AS tolerance",
+        f"""CASE WHEN broken THEN {texts.filled(texts.GROUP_NOT_VALIDATED, group=key)}
+            WHEN members = 0 THEN {texts.filled(texts.NO_GROUP_DATA, group=key)}
+            WHEN failures > 0 THEN {texts.filled(failed_text, group=key)}
+            ELSE {texts.filled(passed_text, group=key)} END AS message""",
         "source_rows",
     )
-    return graded
 
 
 def first_mismatches(items: DataFrame, limit: int, rollup: DataFrame | None = None) -> DataFrame:

@@ -61,37 +61,30 @@ def grade_components(
         .agg(
             F.max("ordinal").alias("ordinal"),
             F.max("broken").alias("broken"),
-            F.coalesce(exact_sum(F.col("i"), T.DoubleType()), F.lit(0.0)).alias("input_total"),
-            F.coalesce(exact_sum(F.col("o"), T.DoubleType()), F.lit(0.0)).alias("output_total"),
+            F.coalesce(exact_sum("i", T.DoubleType()), F.lit(0.0)).alias("input_total"),
+            F.coalesce(exact_sum("o", T.DoubleType()), F.lit(0.0)).alias("output_total"),
         )
         .filter(F.col("ordinal").isNotNull())
     )
-    verdict = classify_deviation(
-        F.col("component"), F.col("input_total"), F.col("output_total"), tolerance
+    verdict = classify_deviation("component", "input_total", "output_total", tolerance)
+    failure = texts.filled(
+        texts.COMPONENT_NOT_VALIDATED + ": {error}", component="component", error="broken"
     )
-    broken = F.col("broken").isNotNull()
     graded = graded.select(
-        "component",
-        "ordinal",
-        "input_total",
-        "output_total",
-        F.when(~broken, verdict["deviation_percent"]).alias("deviation_percent"),
-        F.when(broken, CRITICAL).otherwise(verdict["status"]).alias("status"),
-        F.when(
-            broken,
-            F.concat(
-                texts.fill(texts.COMPONENT_NOT_VALIDATED, component=F.col("component")),
-                F.lit(": "),
-                F.col("broken"),
-            ),
-        )
-        .otherwise(verdict["message"])
-        .alias("message"),
+        "component", "ordinal", "broken", "input_total", "output_total",
+        *[column.alias(name) for name, column in verdict.items()],
     )
     # A component without a deviation was not validated and shows no totals.
-    known = F.col("deviation_percent").isNotNull()
-    return graded.withColumns(
-        {side: F.when(known, F.col(side)) for side in ("input_total", "output_total")}
+    known = "broken IS NULL AND deviation_percent IS NOT NULL"
+    return graded.selectExpr(
+        "component",
+        "ordinal",
+        *[
+            f"CASE WHEN {known} THEN {name} END AS {name}"
+            for name in ("input_total", "output_total", "deviation_percent")
+        ],
+        f"CASE WHEN broken IS NOT NULL THEN '{CRITICAL}' ELSE status END AS status",
+        f"CASE WHEN broken IS NOT NULL THEN {failure} ELSE message END AS message",
     )
 
 

@@ -100,11 +100,11 @@ def sum_within(
         kept = facts.join(F.broadcast(partners), F.col(fact_column) == F.col("_partner"), "left_semi")
     else:
         summed = facts.groupBy(fact_column, *keys).agg(
-            exact_sum(F.col(value), facts.schema[value].dataType).alias(value)
+            exact_sum(value, facts.schema[value].dataType).alias(value)
         )
         kept = summed.join(partners.distinct(), F.col(fact_column) == F.col("_partner"), "left_semi")
     return kept.groupBy(*keys).agg(
-        exact_sum(F.col(value), kept.schema[value].dataType).alias(value)
+        exact_sum(value, kept.schema[value].dataType).alias(value)
     )
 
 
@@ -149,7 +149,7 @@ def component_totals(tables: Tables, total: Total, params: Mapping) -> DataFrame
     facts = facts.select(*columns)
     if total.dimension is None:
         summed = facts.groupBy("member").agg(
-            exact_sum(F.col("total"), facts.schema["total"].dataType).alias("total")
+            exact_sum("total", facts.schema["total"].dataType).alias("total")
         )
     else:
         dimension = tables.table(total.dimension.table).filter(

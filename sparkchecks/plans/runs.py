@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
@@ -24,11 +24,16 @@ from ..operators.batch import (
 )
 from ..operators.columns import is_column_check
 from ..operators.tablechecks import TableCheck, table_check
-from ..schemas import RULE_RESULT, conform
+from ..schemas import RULE_RESULT, conform, layout
 from ..sources.sinks import write_table
 from ..sources.tables import Tables, local_rows
 from .specs import Rule
 
+_KNOWN = layout(
+    "run_id string, ordinal int, rule_name string, validation_type string, table_name string, "
+    "ts timestamp"
+)
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -143,69 +148,53 @@ def _plan_column_rules(
     return _ColumnPlan(planned, items, decided)
 
 
-def _by_rule(column: Column, values: dict[str, object], dtype: str) -> Column:
-    """A constant per rule name."""
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), column).cast(dtype)
-
-
 def _column_results(plan: _ColumnPlan, items: DataFrame, stamp: _Stamp) -> DataFrame:
-    rolled = batch_rollup(items)
-    rule = F.col("rule_name")
-    return conform(
-        rolled.withColumns(
+    known = local_rows(
+        items.sparkSession,
+        [
             {
-                "run_id": F.lit(stamp.run_id),
-                "ordinal": _by_rule(rule, {n: o for n, (o, _) in plan.rules.items()}, "int"),
-                "validation_type": _by_rule(
-                    rule, {n: r.check for n, (_, r) in plan.rules.items()}, "string"
-                ),
-                "table_name": F.lit("multiple_tables"),
-                "ts": F.lit(stamp.ts),
+                "run_id": stamp.run_id,
+                "ordinal": ordinal,
+                "rule_name": name,
+                "validation_type": rule.check,
+                "table_name": "multiple_tables",
+                "ts": stamp.ts,
             }
-        ),
-        RULE_RESULT,
+            for name, (ordinal, rule) in plan.rules.items()
+        ],
+        _KNOWN,
     )
+    return conform(batch_rollup(items).join(known, "rule_name"), RULE_RESULT)
 
 
 def _table_result(
     check: TableCheck, rule: Rule, rows: DataFrame, ordinal: int, stamp: _Stamp
 ) -> DataFrame:
     """The ``rule_result`` row of a table check, from its graded rows."""
-    status = F.col("status")
-    empty = check.is_empty() if check.is_empty else F.lit(False)
     tallied = rows.agg(
-        worst_status(status).alias("worst"),
-        *[c.alias(n) for n, c in status_tallies(status).items()],
-        empty.alias("empty"),
+        worst_status("status").alias("worst"),
+        *[column.alias(name) for name, column in status_tallies("status").items()],
+        F.expr(f"{check.is_empty} AS empty"),
     )
-    name = F.lit(rule.name)
-    failed, warnings, empty = F.col("failed") > 0, F.col("warnings") > 0, F.col("empty")
-    subject = rule.config.get("subject", rule.name)
+    names = {"rule": texts.quoted(rule.name), "members": texts.quoted(check.members)}
+    no_data = texts.NO_RULE_DATA.format(subject=rule.config.get("subject", rule.name))
+    counts = {name: name for name in ("total", "passed", "warnings", "failed")}
     return conform(
-        tallied.select(
-            F.lit(stamp.run_id).alias("run_id"),
-            F.lit(ordinal).alias("ordinal"),
-            name.alias("rule_name"),
-            F.lit(rule.check).alias("validation_type"),
-            F.when(empty, CRITICAL).otherwise(F.col("worst")).alias("status"),
-            F.lit(rule.config.get("table", "unknown")).alias("table_name"),
-            *[F.when(~empty, F.col(n)).alias(n) for n in ("total", "passed", "warnings", "failed")],
-            F.when(
-                ~empty,
-                texts.fill(
-                    texts.RULE_COUNTS,
-                    passed=F.col("passed"),
-                    total=F.col("total"),
-                    members=F.lit(check.members),
-                ),
-            ).alias("message"),
-            F.when(empty, texts.NO_RULE_DATA.format(subject=subject))
-            .when(failed, texts.fill(texts.CRITICAL_FOUND, failed=F.col("failed"), rule=name))
-            .when(warnings, texts.fill(texts.WARNINGS_FOUND, warnings=F.col("warnings"), rule=name))
-            .alias("error_details"),
-            F.lit(stamp.ts).alias("ts"),
-        ),
+        tallied.selectExpr(
+            f"{texts.quoted(stamp.run_id)} AS run_id",
+            f"{ordinal} AS ordinal",
+            f"{names['rule']} AS rule_name",
+            f"{texts.quoted(rule.check)} AS validation_type",
+            f"CASE WHEN empty THEN '{CRITICAL}' ELSE worst END AS status",
+            f"{texts.quoted(rule.config.get('table', 'unknown'))} AS table_name",
+            *[f"CASE WHEN NOT empty THEN {name} END AS {name}" for name in counts],
+            f"CASE WHEN NOT empty THEN {texts.filled(texts.RULE_COUNTS, **counts, **names)} "
+            "END AS message",
+            f"""CASE WHEN empty THEN {texts.quoted(no_data)}
+                WHEN failed > 0 THEN {texts.filled(texts.CRITICAL_FOUND, **counts, **names)}
+                WHEN warnings > 0 THEN {texts.filled(texts.WARNINGS_FOUND, **counts, **names)}
+                END AS error_details""",
+        ).withColumn("ts", F.lit(stamp.ts)),
         RULE_RESULT,
     )
 

@@ -2,7 +2,6 @@ import itertools
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sparkchecks.functions.compare import (
     classify_deviation,
@@ -22,8 +21,8 @@ def test_closeness_agrees_with_numpy(spark):
     pairs = list(itertools.product(EDGES, EDGES))
     df = spark.createDataFrame(pairs, "a double, d double")
     rows = df.select(
-        strictly_close(F.col("a"), F.col("d"), 1e-5).alias("strict"),
-        loosely_close(F.col("a"), F.col("d"), 1e-5).alias("loose"),
+        strictly_close("a", "d", 1e-5).alias("strict"),
+        loosely_close("a", "d", 1e-5).alias("loose"),
     ).collect()
     for (a, d), row in zip(pairs, rows):
         try:
@@ -37,14 +36,14 @@ def test_closeness_agrees_with_numpy(spark):
 
 def test_null_is_not_comparable(spark):
     row = spark.sql("SELECT CAST(NULL AS double) a, 1.0D d").select(
-        strictly_close(F.col("a"), F.col("d"), 1e-5), loosely_close(F.col("d"), F.col("a"), 1e-5)
+        strictly_close("a", "d", 1e-5), loosely_close("d", "a", 1e-5)
     ).first()
     assert tuple(row) == (None, None)
 
 
 def test_relative_error(spark):
     rows = spark.createDataFrame([(90.0, 100.0), (100.0, 0.0), (1.0, -2.0)], "a double, e double")
-    found = [r[0] for r in rows.select(relative_error(F.col("a"), F.col("e"))).collect()]
+    found = [r[0] for r in rows.select(relative_error("a", "e")).collect()]
     assert found == [0.1, float("inf"), -1.5]
 
 
@@ -73,7 +72,7 @@ NAN, INF = float("nan"), float("inf")
 )
 def test_deviation(spark, given, out, tolerance, status, deviation, words):
     df = spark.createDataFrame([("solar", given, out)], "c string, i double, o double")
-    verdict = classify_deviation(F.col("c"), F.col("i"), F.col("o"), tolerance)
+    verdict = classify_deviation("c", "i", "o", tolerance)
     row = df.select(*[c.alias(n) for n, c in verdict.items()]).first()
     assert row.status == status
     assert words in row.message
@@ -88,11 +87,11 @@ def test_deviation(spark, given, out, tolerance, status, deviation, words):
 def test_status_ladder(spark):
     def worst(*statuses):
         df = spark.createDataFrame([(s,) for s in statuses], "s string")
-        return df.agg(worst_status(F.col("s"))).first()[0]
+        return df.agg(worst_status("s")).first()[0]
 
     assert worst() == "SUCCESS"
     assert worst("SUCCESS", "SUCCESS") == "SUCCESS"
     assert worst("SUCCESS", "WARNING") == "WARNING"
     assert worst("WARNING", "CRITICAL_FAILURE", "SUCCESS") == "CRITICAL_FAILURE"
     assert worst("SUCCESS", None) == "CRITICAL_FAILURE"
-    assert spark.sql("SELECT 'FAILED' s").select(severity(F.col("s"))).first()[0] == 2
+    assert spark.sql("SELECT 'FAILED' s").select(severity("s")).first()[0] == 2

@@ -17,7 +17,7 @@ NAN, INF = float("nan"), float("inf")
 
 def total(spark, values, dtype="double"):
     df = spark.createDataFrame([(v,) for v in values], f"x {dtype}")
-    return df.agg(exact_sum(F.col("x"), df.schema["x"].dataType)).first()[0]
+    return df.agg(exact_sum("x", df.schema["x"].dataType)).first()[0]
 
 
 @pytest.mark.parametrize(
@@ -41,7 +41,7 @@ def test_exact_sum_equals_decimal_sum(spark, values):
 def test_exact_sum_does_not_depend_on_partitioning(spark):
     df = spark.range(20_000).select((F.rand(7) * 1000 - 500).alias("x")).persist()
     sums = {
-        df.repartition(n, F.rand(n)).agg(exact_sum(F.col("x"), T.DoubleType())).first()[0]
+        df.repartition(n, F.rand(n)).agg(exact_sum("x", T.DoubleType())).first()[0]
         for n in (1, 3, 8)
     }
     df.unpersist()
