@@ -217,14 +217,21 @@ def share_sum_scenarios(tables: SampleTables) -> DataFrame:
     SELECT flag AS group_key,
            CASE WHEN (SELECT count(*) FROM gapped_shares WHERE profile_share IS NULL) > 0
                 THEN 'CRITICAL_FAILURE' ELSE 'SUCCESS' END AS status,
-           CAST(NULL AS bigint) AS mismatches, CAST(0 AS bigint) AS total_members,
+           (SELECT count(*) FROM gapped_shares WHERE profile_share IS NULL) > 0 AS is_uncounted,
+           CAST(0 AS bigint) AS total_members,
            (SELECT count(*) FROM gapped_shares) AS source_rows
     FROM (VALUES ('A'), ('N')) requested(flag)""",
 )
 def share_sum_invalid(tables: SampleTables) -> DataFrame:
     """Some shares are NULL, so no group can be graded."""
     rollup = share_rollup(shares(tables, "gapped_shares"), "shares", RTOL, ["A", "N"])
-    return rollup.select("group_key", "status", "mismatches", "total_members", "source_rows")
+    return rollup.select(
+        "group_key",
+        "status",
+        F.col("mismatches").isNull().alias("is_uncounted"),
+        "total_members",
+        "source_rows",
+    )
 
 
 @sample(

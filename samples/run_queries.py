@@ -46,9 +46,9 @@ RULES = [
 
 
 def shown(results: DataFrame) -> DataFrame:
-    return results.select(
-        "ordinal", "rule_name", "validation_type", "status", "total", "passed", "warnings", "failed"
-    )
+    """Comparable columns; a rule that could not run shows -1 for its counts."""
+    counts = [f"coalesce({n}, -1) AS {n}" for n in ("total", "passed", "warnings", "failed")]
+    return results.selectExpr("ordinal", "rule_name", "validation_type", "status", *counts)
 
 
 def _number(rows: str, rules: list[Rule]) -> str:
@@ -82,7 +82,7 @@ RESULTS_SQL = union(
         ),
         RULES,
     ),
-    "SELECT 5, 'absent', 'unknown', 'CRITICAL_FAILURE', NULL, NULL, NULL, NULL",
+    "SELECT 5, 'absent', 'unknown', 'CRITICAL_FAILURE', -1, -1, -1, -1",
 )
 RUN_DERIVED = with_derived(
     "dirty_lineitem", "dirty_events", "dirty_embeddings", "home_orders", "home_capacities"
@@ -243,7 +243,7 @@ def inventory_summary(tables: SampleTables) -> DataFrame:
     f"""
     SELECT c.table_name, c.column_name,
            string_agg(DISTINCT c.check_type, ', ' ORDER BY c.check_type) AS check_types,
-           'sample' AS rule_sets, max(i.row_count) AS row_count
+           'sample' AS rule_sets, coalesce(max(i.row_count), -1) AS row_count
     FROM {CATALOG_SQL} LEFT JOIN {INVENTORY_SQL} i ON c.table_name = i.table_name
     GROUP BY c.table_name, c.column_name""".replace("catalog(", "c("),
 )
@@ -256,7 +256,7 @@ def catalog_of_checks(tables: SampleTables) -> DataFrame:
         "column_name",
         F.array_join("check_types", ", ").alias("check_types"),
         F.array_join("rule_sets", ", ").alias("rule_sets"),
-        "row_count",
+        F.coalesce("row_count", F.lit(-1)).alias("row_count"),
     )
 
 
@@ -287,7 +287,9 @@ def tables_of_rules(tables: SampleTables) -> DataFrame:
 _TABLE_COVERAGE_SQL = f"""
     SELECT coalesce(i.table_name, d.table_name) AS table_name,
            i.table_name IS NOT NULL AS table_exists, d.table_name IS NOT NULL AS is_covered,
-           i.column_count, coalesce(d.covered_columns, 0) AS covered_columns, i.row_count
+           coalesce(i.column_count, 0) AS column_count,
+           coalesce(d.covered_columns, 0) AS covered_columns,
+           coalesce(i.row_count, 0) AS row_count
     FROM {INVENTORY_SQL} i
          FULL JOIN (SELECT table_name, count(DISTINCT column_name) AS covered_columns
                     FROM {CATALOG_SQL} GROUP BY table_name) d ON i.table_name = d.table_name"""
@@ -295,7 +297,7 @@ _TABLE_COVERAGE_SQL = f"""
 
 @sample("column_coverage", _TABLE_COVERAGE_SQL)
 def column_coverage(tables: SampleTables) -> DataFrame:
-    return coverage.table_coverage(*found_and_declared(tables)).drop("schema_name")
+    return coverage.table_coverage(*found_and_declared(tables)).drop("schema_name").fillna(0)
 
 
 @sample(
@@ -372,8 +374,8 @@ def report_folder(spark: SparkSession) -> str:
     f"""
     SELECT 'inventory' AS frame, count(*) AS n_rows, CAST(sum(row_count) AS bigint) AS measure
     FROM {INVENTORY_SQL} i
-    UNION ALL SELECT 'columns', CAST(sum(column_count) AS bigint), NULL FROM {INVENTORY_SQL} i
-    UNION ALL SELECT 'catalog', count(*), NULL FROM {CATALOG_SQL}
+    UNION ALL SELECT 'columns', CAST(sum(column_count) AS bigint), 0 FROM {INVENTORY_SQL} i
+    UNION ALL SELECT 'catalog', count(*), 0 FROM {CATALOG_SQL}
     UNION ALL SELECT 'table_coverage', count(*), CAST(sum(row_count) AS bigint)
               FROM ({_TABLE_COVERAGE_SQL}) c
     UNION ALL SELECT 'coverage_matrix', count(*), CAST(sum(row_count) AS bigint)
@@ -394,7 +396,7 @@ def report_roundtrip(tables: SampleTables) -> DataFrame:
     counts = [
         frames[name].agg(
             F.count(F.lit(1)).alias("n_rows"),
-            (F.sum(column) if column else F.lit(None).cast("bigint")).alias("measure"),
+            (F.sum(column) if column else F.lit(0).cast("bigint")).alias("measure"),
         ).select(F.lit(name).alias("frame"), "n_rows", "measure")
         for name, column in measures.items()
     ]

@@ -8,16 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import texts
 from ..functions.measures import exact_sum
 from ..functions.sizing import fits_broadcast
-from ..sources.tables import Tables, local_rows
-from ..schemas import layout
-
-_MEMBER = layout("member string, component string")
+from ..sources.tables import Tables
 
 
 @dataclass(frozen=True)
@@ -70,15 +69,15 @@ class SeriesTotal:
 
 def matches(filters: Mapping, params: Mapping) -> Column:
     """The conjunction of a filter mapping, with ``":name"`` values bound to ``params``."""
-    condition = F.lit(True)
+    conditions = []
     for column, wanted in filters.items():
         if isinstance(wanted, str) and wanted.startswith(":"):
             wanted = params[wanted[1:]]
         if isinstance(wanted, (list, tuple)):
-            condition = condition & F.col(column).isin(list(wanted))
+            conditions.append(F.col(column).isin(list(wanted)))
         else:
-            condition = condition & (F.col(column) == wanted)
-    return condition
+            conditions.append(F.col(column) == wanted)
+    return reduce(Column.__and__, conditions) if conditions else F.lit(True)
 
 
 def _all_members(members: Mapping[str, Sequence[str]]) -> list[str]:
@@ -124,14 +123,20 @@ def sum_times_partners(
     return joined.groupBy(*keys).agg(F.sum(F.col(value) * F.col("_partners")).alias(value))
 
 
-def _by_component(tables: Tables, per_member: DataFrame, members: Mapping) -> DataFrame:
-    """Carry totals per member over to the components; a member may count for several."""
-    mapping = local_rows(
-        tables.spark,
-        [{"member": m, "component": c} for c, keys in members.items() for m in keys],
-        _MEMBER,
+def _by_component(per_member: DataFrame, members: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Carry totals per member over to the components; a member may count for several.
+
+    The mapping is a literal, so the few summed rows need no join.
+    """
+    components: dict[str, list[str]] = {}
+    for component, keys in members.items():
+        for key in dict.fromkeys(keys):
+            components.setdefault(key, []).append(component)
+    entries = ", ".join(
+        f"{texts.quoted(str(key))}, array({', '.join(map(texts.quoted, names))})"
+        for key, names in components.items()
     )
-    return per_member.join(mapping, "member").select("component", "total")
+    return per_member.selectExpr(f"explode(map({entries})[member]) AS component", "total")
 
 
 def component_totals(tables: Tables, total: Total, params: Mapping) -> DataFrame:
@@ -161,7 +166,7 @@ def component_totals(tables: Tables, total: Total, params: Mapping) -> DataFrame
     summed = summed.withColumn("total", F.col("total") / total.divisor)
     if total.key is None:
         return summed.withColumnRenamed("member", "component")
-    return _by_component(tables, summed, total.members)
+    return _by_component(summed, total.members)
 
 
 def series_totals(tables: Tables, total: SeriesTotal, params: Mapping) -> DataFrame:
@@ -214,7 +219,7 @@ def series_totals(tables: Tables, total: SeriesTotal, params: Mapping) -> DataFr
     totals = sum_times_partners(
         per_key, ["member"], "total", dimension, ("_fact_key", total.dimension.key_column)
     ).withColumn("total", F.col("total") / total.divisor)
-    return _by_component(tables, totals, total.members)
+    return _by_component(totals, total.members)
 
 
 def planned_totals(tables: Tables, total: Total | SeriesTotal, params: Mapping) -> DataFrame:
