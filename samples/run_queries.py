@@ -233,9 +233,7 @@ def table_inventory(tables: SampleTables) -> DataFrame:
         FROM {INVENTORY_SQL} i""",
 )
 def inventory_summary(tables: SampleTables) -> DataFrame:
-    found = coverage.inventory(tables.files)
-    rows = found.agg(F.sum("row_count").alias("total_rows"))
-    return coverage.inventory_summary(found).join(rows, F.lit(True))
+    return coverage.inventory_summary(coverage.inventory(tables.files))
 
 
 @sample(
@@ -326,9 +324,7 @@ def tables_without_checks(tables: SampleTables) -> DataFrame:
     FROM ({_TABLE_COVERAGE_SQL}) c""",
 )
 def summary_of_coverage(tables: SampleTables) -> DataFrame:
-    found, catalog = found_and_declared(tables)
-    rows = found.agg(F.sum("row_count").alias("total_rows"))
-    return coverage.coverage_summary(found, catalog).join(rows, F.lit(True)).select(
+    return coverage.coverage_summary(*found_and_declared(tables)).select(
         "total_tables",
         "covered_tables",
         "covered_tables_found",

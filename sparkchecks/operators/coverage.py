@@ -65,11 +65,12 @@ def inventory(tables: Tables) -> DataFrame:
 
 
 def inventory_summary(tables_found: DataFrame) -> DataFrame:
-    """One row: totals of schemas, tables and columns."""
+    """One row: totals of schemas, tables, columns and rows."""
     return tables_found.agg(
-        F.count_distinct("schema_name").alias("total_schemas"),
-        F.count(F.lit(1)).alias("total_tables"),
-        F.coalesce(F.sum("column_count"), F.lit(0)).alias("total_columns"),
+        F.expr("count(DISTINCT schema_name) AS total_schemas"),
+        F.expr("count(1) AS total_tables"),
+        F.expr("coalesce(sum(column_count), 0) AS total_columns"),
+        F.expr("coalesce(sum(row_count), 0) AS total_rows"),
     )
 
 
@@ -158,6 +159,7 @@ def coverage_summary(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
         F.count_if(exists & ~covered).alias("uncovered_tables"),
         F.coalesce(F.sum("column_count"), F.lit(0)).alias("total_columns"),
         F.coalesce(F.sum("covered_columns"), F.lit(0)).alias("covered_columns"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_rows"),
         F.sort_array(F.collect_list(F.when(exists & ~covered, F.col("table_name")))).alias(
             "uncovered_table_list"
         ),

@@ -42,7 +42,7 @@ def test_inventory_skips_what_cannot_be_opened(tables, caplog):
         ("default", "bare", 1, ["x"], 0),
     ]
     assert "a.broken" in caplog.text
-    assert tuple(coverage.inventory_summary(coverage.inventory(tables)).first()) == (3, 3, 6)
+    assert tuple(coverage.inventory_summary(coverage.inventory(tables)).first()) == (3, 3, 6, 8)
 
 
 def test_table_columns(tables):
