@@ -18,16 +18,21 @@ from .registry import sample
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "9-NONE"]
 
 
+def rounded(value: str, digits: int) -> str:
+    """SQL of a rounded value without a negative zero."""
+    return f"CASE WHEN round({value}, {digits}) = 0 THEN 0e0 ELSE round({value}, {digits}) END"
+
+
 def shown(items: DataFrame) -> DataFrame:
     """Comparable columns; an infinite deviation shows as NULL with a flag."""
-    infinite = F.abs("deviation_percent") == float("inf")
-    return items.select(
+    infinite = "abs(deviation_percent) = double('Infinity')"
+    return items.selectExpr(
         "ordinal",
         "component",
-        F.round("input_total", 2).alias("input_total"),
-        F.round("output_total", 2).alias("output_total"),
-        F.when(~infinite, F.round("deviation_percent", 6)).alias("deviation_percent"),
-        infinite.alias("is_infinite"),
+        f"{rounded('input_total', 2)} AS input_total",
+        f"{rounded('output_total', 2)} AS output_total",
+        f"CASE WHEN NOT ({infinite}) THEN {rounded('deviation_percent', 6)} END AS deviation_percent",
+        f"{infinite} AS is_infinite",
         "status",
     )
 
@@ -36,10 +41,11 @@ def graded_sql(expected: list[str], inputs: str, outputs: str, tolerance: float)
     """SQL that grades expected components from (component, total) queries."""
     rows = ", ".join(f"({i}, '{c}')" for i, c in enumerate(expected))
     return f"""
-    SELECT CAST(ordinal AS integer) AS ordinal, component, round(i, 2) AS input_total,
-           round(o, 2) AS output_total,
-           CASE WHEN i = 0 AND o = 0 THEN 0.0 WHEN i > 0 AND o = 0 THEN -100.0
-                WHEN i = 0 THEN NULL ELSE round((o - i) / i * 100, 6) END AS deviation_percent,
+    SELECT CAST(ordinal AS integer) AS ordinal, component, {rounded("i", 2)} AS input_total,
+           {rounded("o", 2)} AS output_total,
+           CASE WHEN i = 0 AND o = 0 THEN 0e0 WHEN i > 0 AND o = 0 THEN -100e0
+                WHEN i = 0 THEN NULL
+                ELSE {rounded("(o - i) / i * 100", 6)} END AS deviation_percent,
            i = 0 AND o > 0 AS is_infinite,
            CASE WHEN i = 0 AND o = 0 THEN 'SUCCESS'
                 WHEN i = 0 OR o = 0 THEN 'CRITICAL_FAILURE'
