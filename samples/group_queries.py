@@ -169,6 +169,18 @@ def refinement_rollup(tables: SampleTables) -> DataFrame:
     return shown_rollup(group_rollup(refined(tables), "refinement", RTOL))
 
 
+@sample(
+    "refinement_summary",
+    with_derived("refined")
+    + """SELECT (SELECT count(*) FROM (SELECT DISTINCT nuts3, characteristics_code FROM refined) d)
+                    AS total_items,
+                count(*) AS total_records, count(DISTINCT nuts3) AS unique_members,
+                count(DISTINCT characteristics_code) AS unique_groups FROM refined""",
+)
+def refinement_summary(tables: SampleTables) -> DataFrame:
+    return member_summary(refined(tables))
+
+
 SHARES_SQL = f"""
     SELECT scenario AS group_key, bus_id AS member_key, share_sum,
            n_rows, {close_sql("share_sum", "1.0", atol=1e-8)} AS is_close
@@ -237,7 +249,9 @@ def share_sum_invalid(tables: SampleTables) -> DataFrame:
 @sample(
     "share_summary",
     with_derived("order_shares")
-    + """SELECT count(*) AS total_records, count(DISTINCT bus_id) AS unique_members,
+    + """SELECT (SELECT count(*) FROM (SELECT DISTINCT bus_id, scenario FROM order_shares) d)
+                    AS total_items,
+                count(*) AS total_records, count(DISTINCT bus_id) AS unique_members,
                 count(DISTINCT scenario) AS unique_groups FROM order_shares""",
 )
 def share_summary(tables: SampleTables) -> DataFrame:

@@ -337,13 +337,17 @@ def first_mismatches(items: DataFrame, limit: int, rollup: DataFrame | None = No
 
 
 def member_summary(items: DataFrame) -> DataFrame:
-    """One row over all items: source rows, distinct members and distinct groups, NULL included."""
+    """One row over all items: their number, source rows, distinct members and groups.
+
+    NULL counts as a member or group.
+    """
 
     def distinct(column: str) -> Column:
         null = F.max(F.when(F.col(column).isNull(), 1).otherwise(0))
         return F.count_distinct(column) + F.coalesce(null, F.lit(0))
 
     return items.agg(
+        F.count(F.lit(1)).alias("total_items"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_records"),
         distinct("member_key").alias("unique_members"),
         distinct("group_key").alias("unique_groups"),

@@ -10,10 +10,10 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
 from .groups import (
+    first_mismatches,
     group_rollup,
     group_sum_items,
     mapped_sums,
@@ -22,6 +22,7 @@ from .groups import (
     share_rollup,
 )
 from .reconcile import reconcile
+from .totals import matches
 
 # Parameters of a rule that does not set them.
 DEFAULT_SCENARIO = "eGon2035"
@@ -31,6 +32,9 @@ DEFAULT_RTOL = 1e-5
 DEFAULT_YEAR = "2035"
 
 
+Planner = Callable[[Tables, str, Mapping], DataFrame]
+
+
 @dataclass(frozen=True)
 class TableCheck:
     """``build(tables, rule_name, params)`` plans the graded rows.
@@ -40,11 +44,29 @@ class TableCheck:
     """
 
     check_type: str
-    build: Callable[[Tables, str, Mapping], DataFrame]
+    build: Planner
     members: str = "validations"
     is_empty: str = "false"
 
 
+@dataclass(frozen=True)
+class GroupedCheck:
+    """A table check whose rows roll up graded members, of which it lists mismatches."""
+
+    check_type: str
+    items: Planner
+    rollup: Callable[[DataFrame, str, Mapping], DataFrame]
+    listed: int
+    members: str
+    is_empty: str = "false"
+
+    def build(self, tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+        return self.rollup(self.items(tables, rule_name, params), rule_name, params)
+
+    def mismatches(self, items: DataFrame, rollup: DataFrame) -> DataFrame:
+        return first_mismatches(items, self.listed, rollup)
+
+
 def _reconcile(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     bound = {
         "scenario": params.get("scenario", DEFAULT_SCENARIO),
@@ -60,12 +82,10 @@ def _reconcile(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     )
 
 
-def planned_group_items(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+def group_sum_plan(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     """Graded regions of a group-sum rule."""
     scenarios = params.get("scenarios", DEFAULT_SCENARIOS)
-    detail = tables.table(params["table"])
-    for column, wanted in params.get("filters", {}).items():
-        detail = detail.filter(F.col(column) == wanted)
+    detail = tables.table(params["table"]).filter(matches(params.get("filters", {}), params))
     sums = mapped_sums(
         detail,
         tables.table(params["mapping_table"]),
@@ -88,16 +108,16 @@ def planned_group_items(tables: Tables, rule_name: str, params: Mapping) -> Data
     )
 
 
-def _group_sums(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+def _requested_rollup(items: DataFrame, rule_name: str, params: Mapping) -> DataFrame:
     return group_rollup(
-        planned_group_items(tables, rule_name, params),
+        items,
         rule_name,
         params.get("tolerance", DEFAULT_RTOL),
         params.get("scenarios", DEFAULT_SCENARIOS),
     )
 
 
-def planned_refinement_items(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+def refinement_plan(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     """Graded regions of a refinement rule."""
     return refinement_items(
         tables.table(params["table"]),
@@ -111,15 +131,11 @@ def planned_refinement_items(tables: Tables, rule_name: str, params: Mapping) ->
     )
 
 
-def _refinement(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
-    return group_rollup(
-        planned_refinement_items(tables, rule_name, params),
-        rule_name,
-        params.get("tolerance", DEFAULT_RTOL),
-    )
+def _found_rollup(items: DataFrame, rule_name: str, params: Mapping) -> DataFrame:
+    return group_rollup(items, rule_name, params.get("tolerance", DEFAULT_RTOL))
 
 
-def planned_share_items(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+def share_plan(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     """Graded members of a share rule."""
     return share_items(
         tables.table(params["table"]),
@@ -131,38 +147,29 @@ def planned_share_items(tables: Tables, rule_name: str, params: Mapping) -> Data
     )
 
 
-def _shares(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
+def _share_rollup(items: DataFrame, rule_name: str, params: Mapping) -> DataFrame:
     return share_rollup(
-        planned_share_items(tables, rule_name, params),
+        items,
         rule_name,
         params.get("tolerance", DEFAULT_RTOL),
         params.get("scenarios", DEFAULT_SCENARIOS),
     )
 
 
-_CHECKS: dict[str, TableCheck] = {
+# How many mismatches are listed per group.
+_CHECKS: dict[str, TableCheck | GroupedCheck] = {
     "reconcile": TableCheck("reconcile", _reconcile),
-    "group_sums": TableCheck("group_sums", _group_sums, "scenarios"),
-    "refinement": TableCheck(
-        "refinement", _refinement, "characteristics", "count(status) = 0"
+    "group_sums": GroupedCheck("group_sums", group_sum_plan, _requested_rollup, 10, "scenarios"),
+    "refinement": GroupedCheck(
+        "refinement", refinement_plan, _found_rollup, 5, "characteristics", "count(status) = 0"
     ),
-    "share_sums": TableCheck(
-        "share_sums", _shares, "scenarios", "max(source_rows) = 0"
+    "share_sums": GroupedCheck(
+        "share_sums", share_plan, _share_rollup, 10, "scenarios", "max(source_rows) = 0"
     ),
 }
 
-# Items behind the roll-up of a grouped check, for listing mismatches.
-ITEM_PLANS: dict[str, Callable[[Tables, str, Mapping], DataFrame]] = {
-    "group_sums": planned_group_items,
-    "refinement": planned_refinement_items,
-    "share_sums": planned_share_items,
-}
-
-# How many mismatches a report lists per group.
-LISTED_MISMATCHES = {"group_sums": 10, "refinement": 5, "share_sums": 10}
-
 
-def table_check(check_type: str) -> TableCheck:
+def table_check(check_type: str) -> TableCheck | GroupedCheck:
     if check_type not in _CHECKS:
         raise LookupError(f"Unknown table check: {check_type}")
     return _CHECKS[check_type]

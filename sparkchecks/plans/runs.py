@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -23,7 +23,7 @@ from ..operators.batch import (
     run_column_checks,
 )
 from ..operators.columns import is_column_check
-from ..operators.tablechecks import TableCheck, table_check
+from ..operators.tablechecks import GroupedCheck, TableCheck, table_check
 from ..schemas import RULE_RESULT, conform, layout
 from ..sources.sinks import write_table
 from ..sources.tables import Tables, local_rows
@@ -39,9 +39,10 @@ _KNOWN = layout(
 class RunResult:
     """What a run leaves behind.
 
-    ``rules`` are the stored ``rule_result`` rows and ``report`` their roll-up.
+    ``rules`` are the ``rule_result`` rows and ``report`` their roll-up.
     ``check_items`` are the rows of all column checks, ``details`` the graded
-    rows behind every table check.
+    rows behind every table check, and ``mismatches`` the first mismatches of
+    every group of a grouped check.
     """
 
     run_id: str
@@ -49,6 +50,16 @@ class RunResult:
     report: DataFrame
     check_items: DataFrame
     details: dict[str, DataFrame]
+    mismatches: dict[str, DataFrame]
+
+
+@dataclass(frozen=True)
+class _Graded:
+    """Outcome of one table rule: its result row, and the frames behind it."""
+
+    result: list
+    details: DataFrame | None = None
+    mismatches: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -168,7 +179,7 @@ def _column_results(plan: _ColumnPlan, items: DataFrame, stamp: _Stamp) -> DataF
 
 
 def _table_result(
-    check: TableCheck, rule: Rule, rows: DataFrame, ordinal: int, stamp: _Stamp
+    check: TableCheck | GroupedCheck, rule: Rule, rows: DataFrame, ordinal: int, stamp: _Stamp
 ) -> DataFrame:
     """The ``rule_result`` row of a table check, from its graded rows."""
     tallied = rows.agg(
@@ -262,8 +273,9 @@ def run(
 
     Column checks of all rules share one scan per table. Up to ``parallel`` jobs
     run side by side. With ``output`` the graded rows of every rule are written
-    there under the run id and rolled up from what was written, so that nothing
-    is computed twice; the results are written as well.
+    there under the run id, and what builds on them starts from what was
+    written, so that nothing is computed twice; the results are written as well.
+    Without it ``details`` and ``mismatches`` are plans that run when used.
     """
     spark = tables.spark
     stamp = _Stamp.new(run_id)
@@ -274,29 +286,29 @@ def run(
             return df
         return write_table(df, "/".join([output.rstrip("/"), stamp.run_id, *names]), fmt)
 
-    def graded(rule: Rule, check: TableCheck, finish: Callable[[DataFrame], list]):
-        rows = stored(check.build(tables, rule.name, rule.config), "details", rule.name)
-        return rows, finish(rows)
-
-    def run_table_rule(ordinal: int, rule: Rule):
+    def graded(rule: Rule, check: TableCheck | GroupedCheck, ordinal: int) -> _Graded:
+        listed = None
+        if isinstance(check, GroupedCheck):
+            items = stored(check.items(tables, rule.name, rule.config), "items", rule.name)
+            rows = stored(check.rollup(items, rule.name, rule.config), "details", rule.name)
+            listed = stored(check.mismatches(items, rows), "mismatches", rule.name)
+        else:
+            rows = stored(check.build(tables, rule.name, rule.config), "details", rule.name)
+        return _Graded(_table_result(check, rule, rows, ordinal, stamp).collect(), rows, listed)
+
+    def run_table_rule(ordinal: int, rule: Rule) -> _Graded:
         try:
             check = table_check(rule.check)
-
-            def finish(rows: DataFrame) -> list:
-                return _table_result(check, rule, rows, ordinal, stamp).collect()
-
             try:
-                return graded(rule, check, finish)
+                return graded(rule, check, ordinal)
             except Exception:
                 if rule.check != "reconcile":
                     raise
-                broken = _broken_parts(tables, rule)
-                return graded(
-                    Rule(rule.name, rule.check, {**rule.config, "broken": broken}), check, finish
-                )
+                config = {**rule.config, "broken": _broken_parts(tables, rule)}
+                return graded(Rule(rule.name, rule.check, config), check, ordinal)
         except Exception as error:
             row = _broken_row(tables, stamp, ordinal, rule, "unknown", _first_line(error))
-            return None, row.collect()
+            return _Graded(row.collect())
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         jobs = {
@@ -308,17 +320,19 @@ def run(
         results = [row for df in plan.decided for row in df.collect()]
         if plan.items:
             results += _column_results(plan, items, stamp).collect()
-        details = {}
-        for name, job in jobs.items():
-            rows, result = job.result()
-            results += result
-            if rows is not None:
-                details[name] = rows
+        done = {name: job.result() for name, job in jobs.items()}
+    for outcome in done.values():
+        results += outcome.result
     # One row per rule: as many as were asked for, whatever the size of the data.
     results.sort(key=lambda row: row["ordinal"])
     rules_df = stored(local_rows(spark, [r.asDict() for r in results], RULE_RESULT), "rule_results")
     return RunResult(
-        stamp.run_id, rules_df, stored(run_rollup(rules_df), "report"), items, details
+        stamp.run_id,
+        rules_df,
+        stored(run_rollup(rules_df), "report"),
+        items,
+        {name: o.details for name, o in done.items() if o.details is not None},
+        {name: o.mismatches for name, o in done.items() if o.mismatches is not None},
     )
 
 

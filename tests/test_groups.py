@@ -228,4 +228,4 @@ def test_listing_is_pruned_before_the_shuffle(spark):
 
 def test_member_summary(spark):
     items, _ = share_results(spark, [(1, "y35", 0.3), (1, "y35", 0.7), (2, "y100", 1.0), (None, "y100", 1.0)])
-    assert tuple(member_summary(items).first()) == (4, 3, 2)
+    assert tuple(member_summary(items).first()) == (3, 4, 3, 2)

@@ -84,6 +84,24 @@ def test_stored_run_reads_back(spark, tables, tmp_path):
     assert set(result.details) == {"sums"}
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_mismatches_of_grouped_rules(spark, tmp_path, stored):
+    shares = [(b, "y35", 0.45) for b in range(15) for _ in range(2)] + [(1, "y100", 1.0)]
+    frames = {"s": spark.createDataFrame(shares, "bus bigint, scn string, share double")}
+    rule = Rule("shares", "share_sums", {"table": "s", "column": "share", "member": "bus", "group": "scn",
+                                         "scenarios": ["y35", "y100", "y50"]})
+    output = str(tmp_path) if stored else None
+    result = run(FrameTables(spark, frames), [rule], run_id="r", output=output)
+    row = result.rules.first()
+    assert (row.status, row.total, row.passed, row.warnings, row.failed) == ("CRITICAL_FAILURE", 3, 1, 1, 1)
+    rollup = {r.group_key: r for r in result.details["shares"].collect()}
+    assert (rollup["y35"].mismatches, rollup["y35"].total_members) == (15, 15)
+    listed = sorted(r.member_key for r in result.mismatches["shares"].collect())
+    assert listed == list(range(10))
+    if stored:
+        assert spark.read.parquet(f"{tmp_path}/r/items/shares").count() == 16
+
+
 def test_a_part_that_fails_while_read_is_isolated(tables):
     good, bad = Total("t", "a", {"good": []}), Total("bad", "v", {"bad": []})
     parts = [Part(["good"], [good], [good]), Part(["bad"], [bad], [bad])]
