@@ -21,7 +21,7 @@ from .column_queries import (
     item,
     union,
 )
-from .derived import DERIVED, SAMPLE_TABLES, SampleTables, with_derived
+from .derived import SAMPLE_TABLES, SampleTables, with_derived
 from .group_queries import REFINED_SQL, close_sql, rollup_sql
 from .registry import sample
 from .total_queries import (

@@ -12,8 +12,9 @@ NUMERIC_TEXT = r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?\z"
 
 _INF = float("inf")
 _FLOATS = (T.FloatType, T.DoubleType)
-# Beyond this a double has no room left for the fraction digits we keep.
-_FIXED_POINT_LIMIT = 1e15
+# Twelve fraction digits are kept: from 1e15 on a double has no room for them, and
+# below 1e-4 they would be too few.
+_FIXED_POINT_RANGE = (1e-4, 1e15)
 
 
 def exact_sum(column: str, dtype: T.DataType) -> Column:
@@ -22,8 +23,8 @@ def exact_sum(column: str, dtype: T.DataType) -> Column:
     Doubles are split into whole units, millionths and millionths of millionths,
     each summed as a bigint; a decimal sum gives the same digits but costs about
     ten times as much per row, since its buffer is not a primitive. Groups that
-    hold NaN, infinities or values from 1e15 on, or whose integer sums overflow,
-    get the plain double sum instead.
+    hold NaN, infinities, values from 1e15 on or values other than zero below
+    1e-4, or whose integer sums overflow, get the plain double sum instead.
     """
     if isinstance(dtype, T.NumericType) and not isinstance(dtype, _FLOATS):
         return F.expr(
@@ -33,13 +34,14 @@ def exact_sum(column: str, dtype: T.DataType) -> Column:
     whole = f"floor({x})"
     micro = f"({x} - {whole}) * 1e6D"
     pico = f"({micro} - floor({micro})) * 1e6D"
-    in_range = f"abs({x}) < {_FIXED_POINT_LIMIT!r}D"  # false for NaN
+    low, high = _FIXED_POINT_RANGE
+    in_range = f"({x} = 0 OR (abs({x}) >= {low!r}D AND abs({x}) < {high!r}D))"  # false for NaN
 
     def part(p: str) -> str:
         return f"cast(try_sum(CASE WHEN {in_range} THEN cast({p} AS bigint) END) AS decimal(19,0))"
 
     return F.expr(
-        f"""CASE WHEN count_if(NOT ({in_range})) > 0 THEN try_sum({x})
+        f"""CASE WHEN count_if(NOT {in_range}) > 0 THEN try_sum({x})
             ELSE coalesce(cast({part(whole)} + {part(f"floor({micro})")} * 0.000001BD
                                + {part(f"rint({pico})")} * 0.000000000001BD AS double),
                           try_sum({x}))

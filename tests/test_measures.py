@@ -1,5 +1,8 @@
+import math
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +29,7 @@ def total(spark, values, dtype="double"):
         [0.1] * 10,
         [0.1, 0.2, -0.3],
         [1e14, 0.25, -1e14],
-        [-1.75, -0.000001, 3e-12],
+        [-1.75, -0.0001, 0.000123456789],
         [123456.789, None, 0.001],
         [None, None],
         [],
@@ -48,8 +51,19 @@ def test_exact_sum_does_not_depend_on_partitioning(spark):
     assert len(sums) == 1
 
 
+def test_exact_sum_of_many_magnitudes(spark):
+    random = np.random.default_rng(1)
+    values = random.standard_normal(20_000) * 10.0 ** random.integers(-9, 12, 20_000)
+    tables = [values, values[np.abs(values) > 1], values[np.abs(values) < 1e-5], values * 1e-9]
+    for group in tables:
+        df = spark.createDataFrame(pd.DataFrame({"x": group}))
+        found = df.agg(exact_sum("x", T.DoubleType())).first()[0]
+        assert found == pytest.approx(math.fsum(group), rel=1e-9)
+
+
 def test_exact_sum_outside_the_fixed_point_range(spark):
     assert total(spark, [1e300, 1.0]) == 1e300
+    assert total(spark, [1e-15] * 3) == pytest.approx(3e-15)
     assert total(spark, [INF, 1.0]) == INF
     assert total(spark, [NAN, 1.0]) != total(spark, [NAN, 1.0])
     assert total(spark, [2**62, 2**62], "bigint") == float(2**63)
