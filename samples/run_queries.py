@@ -226,6 +226,19 @@ def table_inventory(tables: SampleTables) -> DataFrame:
     return coverage.inventory(tables.files).select("table_name", "column_count", "row_count")
 
 
+@sample(
+    "table_columns",
+    f"""
+    SELECT c.table_name, CAST(c.ordinal_position - 1 AS integer) AS ordinal, c.column_name, i.row_count
+    FROM information_schema.columns c JOIN {INVENTORY_SQL} i ON c.table_name = i.table_name""",
+)
+def columns_of_tables(tables: SampleTables) -> DataFrame:
+    """Columns in their order, beside the number of rows they hold."""
+    sizes = coverage.inventory(tables.files).select("table_name", "row_count")
+    columns = coverage.table_columns(tables.files).join(sizes, "table_name")
+    return columns.select("table_name", "ordinal", "column_name", "row_count")
+
+
 @sample(
     "inventory_summary",
     f"""SELECT CAST(1 AS bigint) AS total_schemas, count(*) AS total_tables,

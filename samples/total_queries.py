@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkchecks import Dimension, Part, SeriesTotal, Total, reconcile
 from sparkchecks.functions.compare import classify_deviation
-from sparkchecks.functions.measures import exact_sum
+from sparkchecks.functions.measures import array_total, exact_sum
 from sparkchecks.functions.status import status_tallies, worst_status
 from sparkchecks.plans.specs import BIOMASS_CARRIERS, ELECTRICITY_PARTS, GENERATOR_CARRIERS
 from sparkchecks.plans.specs import HEAT_PARTS
@@ -190,6 +190,28 @@ def array_total_reconcile(tables: SampleTables) -> DataFrame:
     return reconciled(tables, SERIES_PARTS)
 
 
+@sample(
+    "array_totals",
+    with_derived("dirty_embeddings")
+    + """
+    SELECT label, count(*) AS n_arrays, count(total) AS n_totals, round(sum(total), 4) AS total
+    FROM (SELECT label, list_sum(CAST(embedding AS double[])) AS total FROM dirty_embeddings) t
+    GROUP BY label""",
+)
+def array_totals(tables: SampleTables) -> DataFrame:
+    """Every array reduced to its sum; empty and NULL arrays have none."""
+    return (
+        tables.table("dirty_embeddings")
+        .select("label", array_total(F.col("embedding")).alias("total"))
+        .groupBy("label")
+        .agg(
+            F.count(F.lit(1)).alias("n_arrays"),
+            F.count("total").alias("n_totals"),
+            F.round(F.sum("total"), 4).alias("total"),
+        )
+    )
+
+
 @sample(
     "deviation_branches",
     """

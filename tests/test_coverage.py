@@ -7,8 +7,8 @@ from sparkchecks import CatalogTables, FileTables, FrameTables, JdbcTables, Rule
 from sparkchecks.operators import coverage
 from sparkchecks.operators.batch import column_check_items, column_items
 from sparkchecks.plans.specs import RULE_SETS
-from sparkchecks.sources.tables import local_rows, split_name
-from sparkchecks.schemas import INVENTORY
+from sparkchecks.sources import local_rows, split_name, write_table
+from sparkchecks.schemas import INVENTORY, RECONCILE_ITEM
 
 
 @pytest.fixture
@@ -169,3 +169,16 @@ def test_jdbc_options(spark):
 def test_names_split():
     assert split_name("grid.bus") == ("grid", "bus")
     assert split_name("bus") == ("default", "bus")
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet", "orc"])
+def test_tables_survive_storage(spark, tmp_path, fmt):
+    rows = [{"rule_name": "r", "ordinal": 1, "deviation_percent": d} for d in (float("inf"), float("nan"), -1.5, None)]
+    stored = write_table(local_rows(spark, rows, RECONCILE_ITEM), str(tmp_path / "t"), fmt)
+    assert stored.schema == RECONCILE_ITEM
+    found = [r.deviation_percent for r in stored.collect()]
+    assert sorted(map(str, found)) == ["-1.5", "None", "inf", "nan"]
+    empty = write_table(local_rows(spark, [], RECONCILE_ITEM), str(tmp_path / "e"), fmt)
+    assert empty.count() == 0
+    parts = write_table(local_rows(spark, rows, RECONCILE_ITEM), str(tmp_path / "p"), fmt, ["rule_name"])
+    assert parts.filter("rule_name = 'r'").count() == 4
