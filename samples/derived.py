@@ -128,7 +128,9 @@ DERIVED: dict[str, str] = {
                     WHEN 'fr' THEN 'central_heat' ELSE 'other' END AS carrier
         FROM {documents}""",
     "load_series": """
-        SELECT vec_id AS load_id, 'eGon2035' AS scn_name, embedding AS p_set FROM {embeddings}""",
+        SELECT doc_id AS load_id, 'eGon2035' AS scn_name,
+               {array}(CAST(n_chars AS double) * 200, NULL, CAST(n_chars AS double) * 300) AS p_set
+        FROM {documents}""",
     "capacities": """
         SELECT carrier, scn_name AS scenario_name,
                p_nom * CASE carrier WHEN 'oil' THEN 1.04 WHEN 'solar' THEN 1.3 ELSE 1.0 END AS capacity
