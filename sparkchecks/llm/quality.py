@@ -144,11 +144,10 @@ def judged(m: DataFrame) -> DataFrame:
     names = [f"{side}_{k}" for k in SLACK for side in ("hi", "lo")]
     by_source = table.filter(f"level = 0 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l0"), F.col("source").alias("s0"), F.struct(*names).alias("own"))
     by_lang = table.filter(f"level = 1 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l1"), F.struct(*names).alias("mid"))
-    whole = table.filter("level = 2").select(F.struct(*names).alias("top"))
+    whole = table.filter("level = 2").select(F.struct(*names)).scalar()
     out = m.join(small(by_source), F.col("lang").eqNullSafe(F.col("l0")) & F.col("source").eqNullSafe(F.col("s0")), "left")
     out = out.join(small(by_lang), F.col("lang").eqNullSafe(F.col("l1")), "left")
-    out = out.join(F.broadcast(whole), F.lit(True), "left")  # one row
-    limit = F.coalesce("own", "mid", "top")
+    limit = F.coalesce("own", "mid", whole)
     fine = ~base_failed()
     for k, v in measures().items():
         fine = fine & F.coalesce(v <= limit[f"hi_{k}"], F.lit(True))

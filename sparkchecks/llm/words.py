@@ -110,16 +110,15 @@ def shingles(w: Words, k: int, short_as_one: bool = True) -> tuple[np.ndarray, n
     if short_as_one and len(w.doc):
         counts = np.bincount(w.doc, minlength=w.n_docs)
         first = np.searchsorted(w.doc, np.arange(w.n_docs))
-        more = []
+        more, short = [], []
         for d in np.flatnonzero((counts > 0) & (counts < k)):
             own = w.hash[first[d] : first[d] + counts[d]]
-            v = U(counts[d])
-            for i, h in enumerate(own):
-                v = np.multiply(v, U(BASE), dtype=U) + h * odd[i] if i else h * odd[0] + v
-            more.append((d, v))
+            # Another rule than for runs of k words, by the number of words.
+            more.append((own * np.array(odd[: len(own)], U)).sum(dtype=U) ^ U(BASE >> len(own)))
+            short.append(d)
         if more:
-            value = np.concatenate([value, mix(np.array([v for _, v in more], U))])
-            doc = np.concatenate([doc, np.array([d for d, _ in more])])
+            value = np.concatenate([value, mix(np.array(more, U))])
+            doc = np.concatenate([doc, np.array(short)])
             order = np.argsort(doc, kind="stable")
             value, doc = value[order], doc[order]
     return value, doc
