@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from . import quality
 from .html_extract import extract_pages
+from .langid import identify
+from .mixing import mix_plan
+from .neardup import near_duplicates
+from .packing import pack_documents, word_count
 from .tokens import count_tokens
 from .url_filter import SiteRule, judge_urls, path_of
 
@@ -151,6 +155,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), word_count(F.col("text")))
+
+
 @query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
