@@ -3,12 +3,14 @@
 1. Each text becomes its set of word shingles (64-bit hashes) and, from that, a 128-bit
    fingerprint of the set and ``BANDS * ROWS`` minima under universal (multiply-shift) hashes.
 2. Documents with equal sets become one class, named by its smallest doc_id; only classes go on.
-3. Classes that share a band fall into a bucket. With 32 bands of 4 rows a pair at a similarity
-   of 0.85 shares none with a probability of 6e-11 (at 0.8: 5e-8).
+3. Classes that share a band fall into a bucket. With 32 bands of 5 rows a pair at a similarity
+   of 0.85 shares none with a probability of 7e-9 (at 0.8: 3e-6). A bucket is divided by the size
+   of the sets, each class standing in its own range and the next, as linked sets differ by less.
 4. A bucket is settled by leaders, without pairing all its members: a leader is compared with
    every member outside its component, then retired, since all its links in the bucket are known.
-   The number of leaders of a bucket doubles each round, until its members are one component or
-   have all been leaders. So no link is lost, and a bucket of copies takes one round.
+   The number of leaders of a bucket is fourfold each round, until its members are one component or
+   have all been leaders. So no link is lost, and a bucket of copies takes one round. No pair is
+   compared twice.
 5. A comparison first looks at the share of equal minima (``MARGIN`` below the threshold has a
    chance under 1e-6 for a true link), then counts the intersection of the full sets.
 
@@ -31,10 +33,10 @@ from .components import components
 from .storage import small, stored
 from .words import U, chunks, distinct_in_docs, mix, shingles, words
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 32, 5
 SEED = 20_240_229
 #: How far the share of equal minima may lie below the threshold.
-MARGIN = 0.2
+MARGIN = 0.15
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,15 +166,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) that join the classes into their components."""
     spark = base.sparkSession
-    entries = classes.select("c", F.explode("bands").alias("key"))
+    entries = classes.select("c", "n_shingles", F.explode("bands").alias("key"))
     shared = stored(entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key"))
-    entries = stored(entries.join(small(shared), "key"))
+    step = np.log(100 / percent) * (1 + 1e-9)
+    size = F.floor(F.log("n_shingles") / step)
+    entries = entries.join(small(shared), "key").select("c", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("key"))
+    entries = stored(entries)
     # The leader of round 0 is the smallest member, later ones follow in a pseudo-random order.
     ids = entries.select("c").distinct()
     minima = stored(classes.join(small(ids), "c", "left_semi").select("c", "minima"))
     links = spark.createDataFrame([], "a bigint, b bigint")
     done = None  # (key, c): retired leaders
-    active, n_leaders, sets = entries, 1, None
+    active, n_leaders, sets, seen = entries, 1, None, None
     parts = stored(ids.withColumn("component", F.col("c")))
     while True:
         tagged = stored(active.join(small(parts), "c"))
@@ -186,10 +191,11 @@ def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         if leaders.isEmpty():
             return links
         pairs = tagged.join(small(leaders), "key").filter("component <> cb")
-        if done is not None:  # a pair of which one was a leader before is known
-            gone = done.select("key", F.col("c"), F.lit(True).alias("old"))
-            pairs = pairs.join(gone, ["key", "c"], "left").filter("old IS NULL")
-        pairs = stored(pairs.select(F.col("c").alias("a"), "b").distinct())
+        pairs = pairs.select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = stored(pairs)
+        seen = pairs if seen is None else seen.unionByName(pairs)
         checked = pairs.join(minima.select(F.col("c").alias("a"), F.col("minima").alias("ma")), "a")
         checked = checked.join(minima.select(F.col("c").alias("b"), F.col("minima").alias("mb")), "b").select("a", "b", "ma", "mb")
         alike = stored(_alike(checked, percent / 100 - MARGIN))
@@ -203,7 +209,7 @@ def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         retired = leaders.select("key", F.col("b").alias("c"))
         done = retired if done is None else done.unionByName(retired)
         active = tagged.select("key", "c")
-        n_leaders *= 2
+        n_leaders *= 4
         if alike.isEmpty():
             continue
         full = alike.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from . import quality
 from .html_extract import extract_pages
 from .langid import identify
+from .licenses import scan_licenses
 from .mixing import mix_plan
 from .neardup import near_duplicates
 from .packing import pack_documents, word_count
 from .tokens import count_tokens
+from .topk import top_k
 from .url_filter import SiteRule, judge_urls, path_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +177,26 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query(
+    """
+WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.id AS query_id, c.id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id % 100 = 0 AND q.id <> c.id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+)
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 @query()
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query()
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
