@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 PER_LANGUAGE = 400
 MAX_SAMPLE = 4000
@@ -154,7 +155,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str
     """The columns ``keep`` with lang_pred and score."""
     base = docs.select(F.col(text_col).alias("__text"), *keep)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
+    schema = StructType([*base.schema.fields[1:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = held.value, _classes()

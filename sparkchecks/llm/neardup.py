@@ -4,15 +4,17 @@
    fingerprint of the set and ``BANDS * ROWS`` minima under universal (multiply-shift) hashes.
 2. Documents with equal sets become one class, named by its smallest doc_id; only classes go on.
 3. Classes that share a band fall into a bucket. With 32 bands of 5 rows a pair at a similarity
-   of 0.85 shares none with a probability of 7e-9 (at 0.8: 3e-6). A bucket is divided by the size
-   of the sets, each class standing in its own range and the next, as linked sets differ by less.
-4. A bucket is settled by leaders, without pairing all its members: a leader is compared with
-   every member outside its component, then retired, since all its links in the bucket are known.
-   The number of leaders of a bucket is fourfold each round, until its members are one component or
-   have all been leaders. So no link is lost, and a bucket of copies takes one round. No pair is
-   compared twice.
-5. A comparison first looks at the share of equal minima (``MARGIN`` below the threshold has a
-   chance under 1e-6 for a true link), then counts the intersection of the full sets.
+   of 0.85 shares none with a probability of 7e-9 (at 0.8: 3e-6).
+4. Stars: in each bucket one leader is compared with the members of other components, twice, with
+   the smallest and then a pseudo-random leader. That settles buckets of copies in linear work.
+5. Blocks: buckets that still hold several components (near copies of each other that mostly lie
+   just below the threshold) are divided into chunks of ``CHUNK`` members; each pair of chunks is
+   compared in one place on sketches of ``FINE`` more minima, and only pairs of different
+   components that pass leave it. So every pair in a common bucket is either joined already or
+   compared; none is dropped, and no group is held whole by a task.
+6. A pair is compared on equal minima first (``MARGIN`` and ``FINE_MARGIN`` below the threshold lie
+   five standard deviations off), then by the intersection of the full sets. Only pairs that pass
+   become links; components are found by alternating large-star and small-star.
 
 Defined cases: texts without words (or NULL) have an empty set and are linked with nothing; a
 text of fewer words than a shingle is one shingle; rows without doc_id are linked with nothing,
@@ -25,8 +27,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -37,6 +40,9 @@ BANDS, ROWS = 32, 5
 SEED = 20_240_229
 #: How far the share of equal minima may lie below the threshold.
 MARGIN = 0.15
+#: Minima (8 bits each) of the sketches for blocks, and members of a chunk.
+FINE, FINE_MARGIN = 1024, 0.06
+CHUNK, CHUNK_SHINGLES = 256, 2_000_000
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,18 +103,26 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: c (its doc_id) and the sorted shingle hashes as bytes."""
+    """Per row: c (its doc_id), the sorted shingle hashes as bytes, and the fine sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = (x[-FINE:] for x in _multipliers(BANDS * ROWS + FINE))
         held: dict = {}
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(1)):
                 value, doc = distinct_in_docs(*shingles(words(data, offs, held), k))
                 at = np.searchsorted(doc, np.arange(j - i + 1))
                 sets = [value[at[x] : at[x + 1]].tobytes() for x in range(j - i)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.binary())], names=["c", "s"])
+                fine: list = [b""] * (j - i)
+                if len(value):
+                    has = np.flatnonzero(np.diff(at))
+                    low = (_minima(value, at[has], a, b) >> U(56)).astype(np.uint8)
+                    for x, d in enumerate(has):
+                        fine[d] = low[x].tobytes()
+                columns = [batch.column(0).slice(i, j - i), pa.array(sets, pa.binary()), pa.array(fine, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["c", "s", "fine"])
 
-    return docs.mapInArrow(run, "c bigint, s binary")
+    return docs.mapInArrow(run, "c bigint, s binary, fine binary")
 
 
 def _alike(pairs: DataFrame, least: float) -> DataFrame:
@@ -125,6 +139,13 @@ def _alike(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sets sa, sb have 100 * intersection >= percent * union."""
 
@@ -132,10 +153,7 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             good = []
             for p, q in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), U) for v in (p, q))
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
+                good.append(linked(np.frombuffer(p.as_buffer(), U), np.frombuffer(q.as_buffer(), U), percent))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
@@ -163,57 +181,160 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     )
 
 
+def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (block, docs, p, q): members of a block and the pairs (places in docs) to be confirmed.
+
+    Takes rows (key, i, j, side, c, component, n, fine, bands) sorted by (key, i, j). Sides 0 and 1
+    are two chunks of a bucket, side 2 is one chunk compared with itself.
+    """
+
+    def compare(x: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        side, c, component, n = (x.column(i).to_numpy() for i in (3, 4, 5, 6))
+        key = x.column(0)[0].as_py()
+        fine = np.frombuffer(b"".join(x.column(7).to_pylist()), np.uint8).reshape(len(c), FINE)
+        bands = x.column(8).flatten().to_numpy().reshape(len(c), BANDS)
+        earlier = int(np.flatnonzero(bands[0] == key)[0])
+        p, q = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        able = component[p][:, None] != component[q][None, :]
+        able &= 100 * np.minimum(n[p][:, None], n[q][None, :]) >= percent * np.maximum(n[p][:, None], n[q][None, :])
+        able &= (c[p][:, None] < c[q][None, :]) if side[0] == 2 else True
+        r, s = np.nonzero(able)
+        r, s = p[r], q[s]
+
+        def only(test) -> None:
+            nonlocal r, s
+            kept = [test(r[i : i + 8192], s[i : i + 8192]) for i in range(0, len(r), 8192)]
+            keep = np.concatenate(kept) if kept else np.zeros(0, bool)
+            r, s = r[keep], s[keep]
+
+        only(lambda x, y: (fine[x, :128] == fine[y, :128]).mean(axis=1) >= percent / 100 - 2.5 * FINE_MARGIN)
+        only(lambda x, y: ~(bands[x, :earlier] == bands[y, :earlier]).any(axis=1))
+        only(lambda x, y: (fine[x] == fine[y]).mean(axis=1) >= percent / 100 - FINE_MARGIN)
+        return r, s
+
+    def finish(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        x = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        r, s = compare(x)
+        if not len(r):
+            return []
+        used, places = np.unique(np.concatenate([r, s]), return_inverse=True)
+        docs = x.column(4).to_numpy()[used].tolist()
+        block = hash(tuple(x.column(i)[0].as_py() for i in range(3)))
+        columns = [pa.array([v]) for v in (block, docs, places[: len(r)].tolist(), places[len(r) :].tolist())]
+        return [pa.RecordBatch.from_arrays(columns, names=["block", "docs", "p", "q"])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            key = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 1, 2)], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo < hi:
+                    if held and now != tuple(key[lo]):
+                        yield from finish(held)
+                        held = []
+                    now = tuple(key[lo])
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from finish(held)
+
+    return rows.mapInArrow(run, "block bigint, docs array<bigint>, p array<bigint>, q array<bigint>")
+
+
+def _confirmed_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of blocks, a forest of each; sets are rows (c, s)."""
+
+    def confirm(block, members: pd.DataFrame) -> pd.DataFrame:
+        at = {c: np.frombuffer(s, U) for c, s in zip(members["c"], members["s"], strict=True)}
+        root: dict = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for docs, p, q in zip(block["docs"], block["p"], block["q"], strict=True):
+            for a, b in zip(docs[p], docs[q], strict=True):
+                ra, rb = find(a), find(b)
+                if ra != rb and linked(at[a], at[b], percent):
+                    root[ra] = rb
+                    out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    members = blocks.select("block", F.explode("docs").alias("c")).distinct().join(sets.select("c", "s"), "c")
+    return blocks.groupBy("block").cogroup(members.groupBy("block")).applyInPandas(confirm, "a bigint, b bigint")
+
+
+def _chunked(tagged: DataFrame, fine: DataFrame) -> DataFrame:
+    """Members (key, c, component) dealt to every pair of chunks of their bucket, with their sketch."""
+    sized = tagged.join(fine.select("c", "n"), "c")
+    chunks_of = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int")
+    counts = stored(sized.groupBy("key").agg(chunks_of.alias("of")))
+    rows = tagged.join(small(counts), "key").withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "c", "component")
+    rows = rows.join(fine, "c").select("key", "i", "j", "side", "c", "component", "n", "fine", "bands")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "c")
+
+
 def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) that join the classes into their components."""
     spark = base.sparkSession
-    entries = classes.select("c", "n_shingles", F.explode("bands").alias("key"))
-    shared = stored(entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key"))
-    step = np.log(100 / percent) * (1 + 1e-9)
-    size = F.floor(F.log("n_shingles") / step)
-    entries = entries.join(small(shared), "key").select("c", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("key"))
-    entries = stored(entries)
-    # The leader of round 0 is the smallest member, later ones follow in a pseudo-random order.
-    ids = entries.select("c").distinct()
-    minima = stored(classes.join(small(ids), "c", "left_semi").select("c", "minima"))
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    done = None  # (key, c): retired leaders
-    active, n_leaders, sets, seen = entries, 1, None, None
-    parts = stored(ids.withColumn("component", F.col("c")))
-    while True:
-        tagged = stored(active.join(small(parts), "c"))
+    entries = classes.select("c", F.explode("bands").alias("key"))
+    shared = entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    active = stored(entries.join(small(stored(shared)), "key"))
+    ids = stored(active.select("c").distinct())
+    minima = stored(classes.join(small(ids), "c", "left_semi").select("c", "n_shingles", "minima", "bands"))
+    state = {"parts": ids.withColumn("component", F.col("c")), "links": spark.createDataFrame([], "a bigint, b bigint"), "sets": None}
+
+    def read_sets(wanted: DataFrame) -> None:
+        """Texts of wanted ids that were not read before are read again for their sets."""
+        known = state["sets"]
+        wanted = wanted if known is None else wanted.join(known.select(F.col("c").alias("doc_id")), "doc_id", "left_anti")
+        wanted = stored(wanted)
+        if known is None or not wanted.isEmpty():
+            new = stored(shingle_sets(base.join(small(wanted), "doc_id", "left_semi"), k))
+            state["sets"] = new if known is None else known.unionByName(new)
+
+    def unsettled(active: DataFrame) -> DataFrame:
+        """Rows (c, key, component) of buckets that hold several components."""
+        tagged = stored(active.join(small(state["parts"]), "c"))
         mixed = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-        mixed = stored(mixed)
-        tagged = tagged.join(small(mixed), "key")
-        waiting = tagged if done is None else tagged.join(done, ["key", "c"], "left_anti")
-        order = Window.partitionBy("key").orderBy(F.xxhash64("c", F.lit(n_leaders)) if n_leaders > 1 else F.col("c"))
-        leaders = waiting.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= n_leaders)
-        leaders = stored(leaders.select("key", F.col("c").alias("b"), F.col("component").alias("cb")))
-        if leaders.isEmpty():
-            return links
-        pairs = tagged.join(small(leaders), "key").filter("component <> cb")
-        pairs = pairs.select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        seen = pairs if seen is None else seen.unionByName(pairs)
+        return stored(tagged.join(small(stored(mixed)), "key"))
+
+    def confirm(pairs: DataFrame) -> None:
+        """Compare the sets of pairs; links that are found join components."""
+        if pairs.isEmpty():
+            return
+        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        sets = state["sets"]
+        full = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
+        full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
+        add(stored(_linked(full, percent)))
+
+    def add(found: DataFrame) -> None:
+        if found.isEmpty():
+            return
+        state["links"] = state["links"].unionByName(found)
+        joined = components(state["links"]).withColumnRenamed("node", "c")
+        state["parts"] = stored(ids.join(joined, "c", "left").select("c", F.coalesce("component", "c").alias("component")))
+
+    for leader in (F.min("c"), F.min_by("c", F.xxhash64("c"))):
+        tagged = unsettled(active)
+        leaders = stored(tagged.groupBy("key").agg(leader.alias("b")).join(tagged.select("key", F.col("c").alias("b"), F.col("component").alias("cb")), ["key", "b"]))
+        pairs = tagged.join(small(leaders), "key").filter("component <> cb").select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
         checked = pairs.join(minima.select(F.col("c").alias("a"), F.col("minima").alias("ma")), "a")
         checked = checked.join(minima.select(F.col("c").alias("b"), F.col("minima").alias("mb")), "b").select("a", "b", "ma", "mb")
-        alike = stored(_alike(checked, percent / 100 - MARGIN))
-        wanted = alike.select(F.col("a").alias("doc_id")).unionByName(alike.select(F.col("b").alias("doc_id"))).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select(F.col("c").alias("doc_id")), "doc_id", "left_anti")
-        wanted = stored(wanted)
-        if not wanted.isEmpty():
-            new = stored(shingle_sets(base.join(small(wanted), "doc_id", "left_semi"), k))
-            sets = new if sets is None else sets.unionByName(new)
-        retired = leaders.select("key", F.col("b").alias("c"))
-        done = retired if done is None else done.unionByName(retired)
+        confirm(stored(_alike(checked, percent / 100 - MARGIN)))
         active = tagged.select("key", "c")
-        n_leaders *= 4
-        if alike.isEmpty():
-            continue
-        full = alike.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-        full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
-        links = links.unionByName(stored(_linked(full, percent)))
-        joined = components(links)
-        parts = stored(ids.join(joined.withColumnRenamed("node", "c"), "c", "left").select("c", F.coalesce("component", "c").alias("component")))
+    tagged = unsettled(active)
+    left = stored(tagged.select(F.col("c").alias("doc_id")).distinct())
+    if not left.isEmpty():
+        read_sets(left)
+        fine = minima.select("c", F.col("n_shingles").alias("n"), "bands").join(state["sets"].select("c", "fine"), "c")
+        blocks = stored(_in_blocks(_chunked(tagged, fine), percent))
+        add(stored(_confirmed_blocks(blocks, state["sets"], percent)))
+    return state["links"]

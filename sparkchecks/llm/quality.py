@@ -13,6 +13,7 @@ groups of their own; repeated rows count as often as they occur; an empty table
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,12 +35,17 @@ SLACK = {"symbols": 50, "dup_lines": 300, "repeats": 350, "word_length": 1500}
 LOW_TOO = ("word_length",)
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """Per document: id, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source"), carry: Sequence[Column] = ()) -> DataFrame:
+    """Per document: id, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+
+    ``carry`` are further columns to keep.
+    """
+    carried = docs.select(*carry).columns if carry else []
     lang, source = group_cols
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = F.btrim(text, F.lit(BLANKS))
     base = docs.select(
+        *carry,
         F.col(id_col).alias("doc_id"),
         F.col(lang).alias("lang"),
         F.col(source).alias("source"),
@@ -52,6 +58,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
         lambda x, i: F.xxhash64(x, F.get(F.col("w"), i + 1), F.get(F.col("w"), i + 2)),
     )
     base = base.select(
+        *carried,
         "doc_id",
         "lang",
         "source",
@@ -70,7 +77,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     covered = F.zip_with("p", F.slice("p", 2, F.size("p")), lambda a, b: F.coalesce(F.least(F.lit(3), b - a), F.lit(3)))
     total = F.coalesce(F.aggregate(covered, F.lit(0), lambda s, x: s + x), F.lit(0))
     return twice.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", total.cast("bigint").alias("n_repeat_words")
+        *carried, "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", total.cast("bigint").alias("n_repeat_words")
     )
 
 
@@ -138,7 +145,14 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return judged(stored(measured(docs, id_col, text_col, group_cols)))
 
 
-def judged(m: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source")) -> DataFrame:
+    """The rows of kept documents, all columns. Rows are written once with their measures, not joined by id."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    m = stored(measured(docs, id_col, text_col, group_cols, [row]))
+    return judged(m, ["row"]).filter("kept").select("row.*")
+
+
+def judged(m: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Verdicts for measured documents."""
     table = stored(limits(sketches(m)))
     names = [f"{side}_{k}" for k in SLACK for side in ("hi", "lo")]
@@ -154,4 +168,4 @@ def judged(m: DataFrame) -> DataFrame:
         if k in LOW_TOO:
             fine = fine & F.coalesce(v >= limit[f"lo_{k}"], F.lit(True))
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return out.select(*cols, base_failed().alias("base_failed"), fine.alias("kept"), "n_lines", "lang", "source")
+    return out.select(*carried, *cols, base_failed().alias("base_failed"), fine.alias("kept"), "n_lines", "lang", "source")
