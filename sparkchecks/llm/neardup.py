@@ -263,8 +263,8 @@ def _confirmed_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataF
                     out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    members = blocks.select("block", F.explode("docs").alias("c")).distinct().join(sets.select("c", "s"), "c")
-    return blocks.groupBy("block").cogroup(members.groupBy("block")).applyInPandas(confirm, "a bigint, b bigint")
+    members = blocks.select(F.col("block").alias("of"), F.explode("docs").alias("c")).distinct().join(sets.select("c", "s"), "c")
+    return blocks.groupBy("block").cogroup(members.groupBy("of")).applyInPandas(confirm, "a bigint, b bigint")
 
 
 def _chunked(tagged: DataFrame, fine: DataFrame) -> DataFrame:
