@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkchecks import Rule, batch_rollup, batch_summary, column_check_items, column_items
 from sparkchecks import register_column_check, run_column_checks
+from sparkchecks.operators.batch import found_lengths as length_rows_of
 from sparkchecks.operators.coverage import check_catalog, evaluate_thresholds, thresholds
 
 from .derived import SampleTables, with_derived
@@ -294,3 +295,37 @@ def threshold_eval(tables: SampleTables) -> DataFrame:
     return evaluate_thresholds(
         column_check_items(tables, column_items("nulls", "null", NULL_ITEMS)), limits
     )
+
+
+@sample(
+    "custom_metrics",
+    """SELECT 'lineitem' AS table_name, count(CASE WHEN l_quantity < 5 THEN 1 END) AS invalid_count,
+              CAST(max(l_quantity) AS double) AS largest, CAST(count(DISTINCT l_quantity) AS double) AS distinct_values
+       FROM lineitem""",
+)
+def custom_metrics(tables: SampleTables) -> DataFrame:
+    """A check of one's own that measures more than its invalid values."""
+    register_column_check(
+        "profiled",
+        lambda c, params: {
+            "invalid_count": F.count_if(c < params["low"]),
+            "largest": F.max(c),
+            "distinct_values": F.count_distinct(c),
+        },
+    )
+    rows = column_check_items(tables, column_items("custom", "profiled", [item("lineitem", "l_quantity", low=5)]))
+    return rows.select("table_name", "invalid_count", F.col("metrics.largest").alias("largest"), F.col("metrics.distinct_values").alias("distinct_values"))
+
+
+@sample(
+    "length_rows",
+    with_derived("dirty_embeddings")
+    + """SELECT 'dirty_embeddings' AS table_name, CAST(len(embedding) AS integer) AS length, count(*) AS arrays
+         FROM dirty_embeddings WHERE embedding IS NOT NULL GROUP BY ALL
+         UNION ALL SELECT 'embeddings', CAST(len(embedding) AS integer), count(*) FROM embeddings
+         WHERE embedding IS NOT NULL GROUP BY ALL""",
+)
+def length_rows(tables: SampleTables) -> DataFrame:
+    """Array lengths as rows, however many there are."""
+    rows = length_rows_of(tables, column_items("lengths", "time_series", LENGTH_ITEMS))
+    return rows.select("table_name", "length", "arrays")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkchecks.functions.compare import loosely_close, relative_error, strictly_close
-from sparkchecks.functions.measures import exact_sum, rounded_bigint
+from sparkchecks.functions.measures import measured_sum, rounded_bigint
 from sparkchecks.operators.groups import (
     first_mismatches,
     group_rollup,
@@ -312,7 +312,7 @@ def closeness_grid(tables: SampleTables) -> DataFrame:
 )
 def rounded_sums(tables: SampleTables) -> DataFrame:
     sums = tables.table("orders").groupBy("o_orderpriority").agg(
-        exact_sum("o_totalprice", T.DoubleType()).alias("total")
+        measured_sum("o_totalprice", T.DoubleType()).alias("total")
     )
     whole = F.col("total").cast("decimal(28,10)")
     return sums.select(
@@ -320,3 +320,30 @@ def rounded_sums(tables: SampleTables) -> DataFrame:
         F.round("total", 2).alias("total"),
         rounded_bigint(whole, T.DecimalType(28, 10)).alias("rounded_total"),
     )
+
+
+@sample(
+    "tiny_sums",
+    """SELECT o_orderpriority, CAST(round(sum(o_totalprice / 7e11) * 1e9, 3) AS double) AS billionths
+       FROM orders GROUP BY o_orderpriority""",
+)
+def tiny_sums(tables: SampleTables) -> DataFrame:
+    """Values far below 1e-4 with long fractions keep their digits in a sum."""
+    rows = tables.table("orders").select("o_orderpriority", (F.col("o_totalprice") / 7e11).alias("x"))
+    summed = rows.groupBy("o_orderpriority").agg(measured_sum("x", T.DoubleType()).alias("x"))
+    return summed.select("o_orderpriority", F.round(F.col("x") * 1e9, 3).alias("billionths"))
+
+
+@sample(
+    "decimal_group_sums",
+    """SELECT CAST(o_orderstatus AS varchar) AS group_key, c_nationkey AS region,
+              round(CAST(sum(CAST(o_totalprice AS decimal(18, 2)) * 0.00000001) AS double), 7) AS total, count(*) AS n_rows
+       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL""",
+)
+def decimal_group_sums(tables: SampleTables) -> DataFrame:
+    """Sums of decimals with ten fraction digits, mapped to regions; no digit is given up."""
+    price = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.00000001).cast("decimal(9,8)")).cast("decimal(28,10)")
+    detail = tables.table("orders").select("o_orderstatus", F.col("o_custkey").alias("cust"), price.alias("x"))
+    mapping = tables.table("customer").select(F.col("c_custkey").alias("cust"), "c_nationkey")
+    sums = mapped_sums(detail, mapping, "cust", "o_orderstatus", "c_nationkey", "x", ["F", "O"])
+    return sums.select("group_key", "region", F.round("total", 7).alias("total"), "n_rows")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -403,6 +402,23 @@ def summary_of_coverage(tables: SampleTables) -> DataFrame:
     )
 
 
+@sample(
+    "coverage_found",
+    f"""
+    SELECT CAST(sum(covered_columns) AS bigint) + 1 AS covered_columns,
+           CAST(sum(CASE WHEN table_exists THEN covered_columns ELSE 0 END) AS bigint) AS covered_columns_found,
+           round(sum(CASE WHEN table_exists THEN covered_columns ELSE 0 END) * 100.0 / sum(column_count), 6)
+               AS found_percentage
+    FROM ({_TABLE_COVERAGE_SQL}) c""",
+)
+def coverage_found(tables: SampleTables) -> DataFrame:
+    """One more column is declared that its table does not have; it is not found."""
+    found, catalog = found_and_declared(tables)
+    more = catalog.limit(1).withColumn("table_name", F.lit("orders")).withColumn("column_name", F.lit("o_nothing"))
+    summary = coverage.coverage_summary(found, catalog.unionByName(more))
+    return summary.select("covered_columns", "covered_columns_found", F.round("found_percentage", 6).alias("found_percentage"))
+
+
 @sample(
     "coverage_matrix",
     "SELECT i.table_name, column_count, row_count, "
@@ -426,9 +442,9 @@ def matrix(tables: SampleTables) -> DataFrame:
 
 
 def report_folder(spark: SparkSession) -> str:
-    """A new folder in the shared one the cluster names; a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/report-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp()
+    """A new folder in the shared one the cluster names, or in its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/report-{uuid.uuid4().hex}"
 
 
 @sample(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkchecks import Dimension, Part, SeriesTotal, Total, reconcile
 from sparkchecks.functions.compare import classify_deviation
-from sparkchecks.functions.measures import array_total, exact_sum
+from sparkchecks.functions.measures import array_totals as array_sums, measured_sum
 from sparkchecks.functions.status import status_tallies, worst_status
 from sparkchecks.plans.specs import BIOMASS_CARRIERS, ELECTRICITY_PARTS, GENERATOR_CARRIERS
 from sparkchecks.plans.specs import HEAT_PARTS
@@ -200,9 +200,10 @@ def array_total_reconcile(tables: SampleTables) -> DataFrame:
 )
 def array_totals(tables: SampleTables) -> DataFrame:
     """Every array reduced to its sum; empty and NULL arrays have none."""
+    arrays = tables.table("dirty_embeddings").select("vec_id", "label", "embedding")
     return (
-        tables.table("dirty_embeddings")
-        .select("label", array_total(F.col("embedding")).alias("total"))
+        arrays.select("vec_id", "label")
+        .join(array_sums(arrays, ["vec_id"], "embedding"), "vec_id", "left")
         .groupBy("label")
         .agg(
             F.count(F.lit(1)).alias("n_arrays"),
@@ -364,7 +365,7 @@ def bound_query(tables: SampleTables) -> DataFrame:
     )
     return sums.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.round(exact_sum("o_totalprice", sums.schema["o_totalprice"].dataType), 2).alias(
+        F.round(measured_sum("o_totalprice", sums.schema["o_totalprice"].dataType), 2).alias(
             "total"
         ),
     )

@@ -58,15 +58,18 @@ def percent_deviation(input_total: str, output_total: str) -> str:
 
 
 def classify_deviation(
-    component: str, input_total: str, output_total: str, tolerance: float
+    component: str, input_total: str, output_total: str, tolerance: float | str
 ) -> dict[str, Column]:
     """Grade an output total against its input total.
 
     Returns the columns ``deviation_percent``, ``status`` and ``message``. Cases
     are tried in order: nothing on both sides, nothing came out, something came
     out of nothing, then the percent deviation. A zero input that none of these
-    covers cannot be graded and is critical without a deviation.
+    covers cannot be graded and is critical without a deviation. ``tolerance`` is
+    a number, or the name of a double column.
     """
+    column = isinstance(tolerance, str)
+    limit = tolerance if column else f"{float(tolerance)!r}D"
     i, o = input_total, output_total
     nothing = f"{i} = 0 AND {o} = 0"
     lost = f"{i} > 0 AND NOT isnan({i}) AND {o} = 0"
@@ -74,7 +77,7 @@ def classify_deviation(
     ungradable = f"{i} = 0"
     deviation = percent_deviation(i, o)
     # abs(NaN) <= tolerance is false in Spark too: NaN is the largest value.
-    within = f"abs({deviation}) <= {float(tolerance)!r}D"
+    within = f"abs({deviation}) <= {limit}"
 
     def cases(*results: str) -> Column:
         branches = zip((nothing, lost, invented, ungradable, within), results)
@@ -86,7 +89,7 @@ def classify_deviation(
             template,
             component=component,
             deviation=f"format_string('%.2f', {deviation})",
-            tolerance=f"'{float(tolerance)}'",
+            tolerance=f"cast({tolerance} AS string)" if column else f"'{float(tolerance)}'",
         )
 
     return {

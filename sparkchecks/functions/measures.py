@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,41 +14,21 @@ NUMERIC_TEXT = r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?\z"
 
 _INF = float("inf")
 _FLOATS = (T.FloatType, T.DoubleType)
-# Twelve fraction digits are kept: from 1e15 on a double has no room for them, and
-# below 1e-4 they would be too few.
-_FIXED_POINT_RANGE = (1e-4, 1e15)
 
 
-def exact_sum(column: str, dtype: T.DataType) -> Column:
-    """Aggregate: a sum that does not depend on the order of the rows, as double.
+def measured_sum(column: str, dtype: T.DataType) -> Column:
+    """Aggregate: a sum in a type that loses nothing of its values.
 
-    Doubles are split into whole units, millionths and millionths of millionths,
-    each summed as a bigint; a decimal sum gives the same digits but costs about
-    ten times as much per row, since its buffer is not a primitive. Groups that
-    hold NaN, infinities, values from 1e15 on or values other than zero below
-    1e-4, or whose integer sums overflow, get the plain double sum instead.
+    Whole numbers and decimals are summed as decimals, exactly; a sum beyond 38 digits is an
+    error. Floats are summed as doubles, so their last digits depend on the order of the rows.
+    Sums of sums use the same function, so that it does not matter where rows are reduced.
     """
-    if isinstance(dtype, T.NumericType) and not isinstance(dtype, _FLOATS):
-        return F.expr(
-            f"coalesce(cast(try_sum({column}) AS double), try_sum(cast({column} AS double)))"
-        )
-    x = f"cast({column} AS double)"
-    whole = f"floor({x})"
-    micro = f"({x} - {whole}) * 1e6D"
-    pico = f"({micro} - floor({micro})) * 1e6D"
-    low, high = _FIXED_POINT_RANGE
-    in_range = f"({x} = 0 OR (abs({x}) >= {low!r}D AND abs({x}) < {high!r}D))"  # false for NaN
-
-    def part(p: str) -> str:
-        return f"cast(try_sum(CASE WHEN {in_range} THEN cast({p} AS bigint) END) AS decimal(19,0))"
-
-    return F.expr(
-        f"""CASE WHEN count_if(NOT {in_range}) > 0 THEN try_sum({x})
-            ELSE coalesce(cast({part(whole)} + {part(f"floor({micro})")} * 0.000001BD
-                               + {part(f"rint({pico})")} * 0.000000000001BD AS double),
-                          try_sum({x}))
-            END"""
-    )
+    if isinstance(dtype, T.DecimalType):
+        return F.expr(f"sum({column})")
+    if isinstance(dtype, T.IntegralType):
+        return F.expr(f"sum(cast({column} AS decimal(20,0)))")
+    cast = "cast" if isinstance(dtype, _FLOATS) else "try_cast"
+    return F.expr(f"sum({cast}({column} AS double))")
 
 
 def rounded_bigint(value: Column, dtype: T.DataType) -> Column:
@@ -66,10 +48,14 @@ def array_length(arr: Column, dtype: T.DataType) -> Column:
     return F.array_size(arr)
 
 
-def array_total(arr: Column) -> Column:
-    """Sum of one array. NULL elements are ignored; NULL if there is nothing to add."""
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + F.coalesce(v.cast("double"), F.lit(0.0)))
-    return F.when(F.array_max(arr).isNotNull(), total)
+def array_totals(df: DataFrame, keys: Sequence[str], elements: str, total: str = "total") -> DataFrame:
+    """Sum of all array elements per ``keys``; arrays are exploded, which compiles to a loop.
+
+    NULL elements are ignored. Keys whose arrays are NULL or empty have no row. The arrays of a
+    task are reduced to one row per key before anything is shuffled.
+    """
+    parts = df.select(*keys, F.explode(elements).alias("_element"))
+    return parts.groupBy(*keys).agg(measured_sum("_element", parts.schema["_element"].dataType).alias(total))
 
 
 def not_a_number(value: Column, dtype: T.DataType, lexical: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.status import CRITICAL, FAILED, SUCCESS
-from ..schemas import CHECK_ITEM, conform, layout
+from ..functions.measures import array_length
+from ..schemas import CHECK_ITEM, FOUND_LENGTH, conform, layout
 from ..sources.tables import Tables, local_rows
 from .columns import DEFAULT_LENGTH, column_check
 
-MEASURED = layout("item int, total_rows bigint, invalid_count bigint, found_lengths array<int>")
+MEASURED = layout("item int, total_rows bigint, invalid_count bigint, metrics map<string;double>")
+_LENGTHS = layout("item int, length int, arrays bigint")
 
 _DESCRIBED = layout(
     "item int, rule_name string, ordinal int, check_type string, table_name string, "
@@ -90,8 +92,18 @@ def _describe(tables: Tables, items: Sequence[ColumnItem], errors: Mapping[int,
     return local_rows(tables.spark, rows, _DESCRIBED)
 
 
-def _graded(described: DataFrame, measured: DataFrame) -> DataFrame:
-    """``check_item`` rows from the items and what was measured; errors count -1."""
+def _graded(described: DataFrame, measured: DataFrame, lengths: DataFrame | None) -> DataFrame:
+    """``check_item`` rows from the items and what was measured; errors count -1.
+
+    ``lengths`` are rows of the distinct array lengths of an item, if there are any to report.
+    """
+    measured = described.join(measured, "item", "left")
+    if lengths is None:
+        measured = measured.withColumn("found_lengths", F.lit(None).cast("array<int>"))
+    else:
+        found = lengths.groupBy("item").agg(F.sort_array(F.collect_list("length")).alias("found_lengths"))
+        known = F.coalesce("found_lengths", F.when(F.col("check_type") == "time_series", F.array().cast("array<int>")))
+        measured = measured.join(found, "item", "left").withColumn("found_lengths", known)
     failed = "(error_text IS NOT NULL OR invalid_count > 0)"
     text = f"coalesce(error_text, CASE WHEN {failed} THEN failed_text ELSE passed_text END)"
     for name, value in {
@@ -101,7 +113,7 @@ def _graded(described: DataFrame, measured: DataFrame) -> DataFrame:
     }.items():
         text = f"replace({text}, '{name}', coalesce({value}, ''))"
     return conform(
-        described.join(measured, "item", "left").selectExpr(
+        measured.selectExpr(
             "* EXCEPT (total_rows, invalid_count)",
             f"CASE WHEN {failed} THEN '{FAILED}' ELSE '{SUCCESS}' END AS status",
             "CASE WHEN error_text IS NOT NULL THEN 0 ELSE total_rows END AS total_rows",
@@ -152,13 +164,62 @@ def _plan_table(
         return None, failures
     measured = ", ".join(
         f"struct({i} AS item, total_rows, cast(invalid_count_{i} AS bigint) AS invalid_count, "
-        + (f"found_lengths_{i}" if f"found_lengths_{i}" in row.columns else "cast(NULL AS array<int>)")
-        + " AS found_lengths)"
+        f"{_further_metrics(i, row.columns)} AS metrics)"
         for i in planned
     )
     return row.selectExpr(f"inline(array({measured}))"), failures
 
 
+def _further_metrics(i: int, columns: Sequence[str]) -> str:
+    """SQL of a map of what an item measures besides its invalid values; NULL if nothing."""
+    names = [c.removesuffix(f"_{i}") for c in columns if c.endswith(f"_{i}") and c != f"invalid_count_{i}"]
+    entries = ", ".join(f"{texts.quoted(n)}, cast(`{n}_{i}` AS double)" for n in names)
+    return f"map({entries})" if names else "cast(NULL AS map<string, double>)"
+
+
+def _table_lengths(df: DataFrame, items: Mapping[int, ColumnItem], failures: Failures) -> DataFrame | None:
+    """(item, length, arrays) rows of a table's array-length checks, one row per distinct length.
+
+    A grouping of its own: in the shared pass the lengths would be one buffer, and would cost
+    all other checks of the table their compiled aggregation.
+    """
+    asked = {i: item for i, item in items.items() if item.check_type == "time_series" and i not in failures}
+    if not asked:
+        return None
+    pairs = F.array(
+        *[
+            F.struct(F.lit(i).alias("item"), array_length(F.col(f"`{x.column}`"), df.schema[x.column].dataType).alias("length"))
+            for i, x in asked.items()
+        ]
+    )
+    rows = df.select(F.inline(pairs)).filter("length IS NOT NULL")
+    return rows.groupBy("item", "length").agg(F.count(F.lit(1)).alias("arrays"))
+
+
+def found_lengths(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame:
+    """``found_length`` rows: how many arrays of each length the array-length checks met.
+
+    Items that can't be planned have none.
+    """
+    described = _describe(tables, items, {}).select("item", "rule_name", "table_name", "column_name")
+    lengths = _all_lengths(tables, items)
+    return conform(lengths.join(described, "item"), FOUND_LENGTH)
+
+
+def _all_lengths(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame:
+    frames = []
+    for table, group in _by_table(items).items():
+        try:
+            df = tables.table(table)
+            _, failures = _plan_table(df, group)
+            found = _table_lengths(df, group, failures)
+        except Exception:  # reported by the check itself
+            continue
+        if found is not None:
+            frames.append(found)
+    return reduce(DataFrame.unionByName, frames or [local_rows(tables.spark, [], _LENGTHS)])
+
+
 def _first_line(error: Exception) -> str:
     return (str(error) or type(error).__name__).splitlines()[0]
 
@@ -178,68 +239,90 @@ def column_check_items(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame
     them side by side; an error while reading a table fails that action. Use
     ``run_column_checks`` to isolate such errors.
     """
-    plans, errors = [], {}
+    plans, lengths, errors = [], [], {}
     for table, group in _by_table(items).items():
         try:
-            plan, failures = _plan_table(tables.table(table), group)
+            df = tables.table(table)
+            plan, failures = _plan_table(df, group)
+            found = _table_lengths(df, group, failures)
         except Exception as error:
-            plan, failures = None, dict.fromkeys(group, _first_line(error))
+            plan, found, failures = None, None, dict.fromkeys(group, _first_line(error))
         errors.update(failures)
         if plan is not None:
             plans.append(plan)
+        if found is not None:
+            lengths.append(found)
     plans = plans or [local_rows(tables.spark, [], MEASURED)]
-    return _graded(_describe(tables, items, errors), reduce(DataFrame.unionByName, plans))
+    return _graded(
+        _describe(tables, items, errors),
+        reduce(DataFrame.unionByName, plans),
+        reduce(DataFrame.unionByName, lengths) if lengths else None,
+    )
 
 
-def _measure(df: DataFrame, items: Mapping[int, ColumnItem]) -> tuple[list[Row], Failures]:
+def _measure(
+    df: DataFrame, items: Mapping[int, ColumnItem], keep: Callable[[DataFrame], DataFrame]
+) -> tuple[list[Row], list[DataFrame], Failures]:
     """Run a table's checks in one pass; on an error narrow it down by halves.
 
-    A few bad items among n cost about log n further passes each, not n.
+    A few bad items among n cost about log n further passes each, not n. ``keep``
+    is what is done with the rows of array lengths, which never come to the driver.
     """
     plan, failures = _plan_table(df, items)
     if plan is None:
-        return [], failures
+        return [], [], failures
     try:
-        return plan.collect(), failures
+        lengths = _table_lengths(df, items, failures)
+        return plan.collect(), [] if lengths is None else [keep(lengths)], failures
     except Exception as error:
         rest = [i for i in items if i not in failures]
         if len(rest) == 1:
-            return [], {**failures, rest[0]: _first_line(error)}
-    rows = []
+            return [], [], {**failures, rest[0]: _first_line(error)}
+    rows, lengths = [], []
     for half in (rest[: len(rest) // 2], rest[len(rest) // 2 :]):
-        found, more = _measure(df, {i: items[i] for i in half})
+        found, kept, more = _measure(df, {i: items[i] for i in half}, keep)
         rows += found
+        lengths += kept
         failures = {**failures, **more}
-    return rows, failures
+    return rows, lengths, failures
 
 
 def run_column_checks(
-    tables: Tables, items: Sequence[ColumnItem], parallel: int = 4
+    tables: Tables,
+    items: Sequence[ColumnItem],
+    parallel: int = 4,
+    keep: Callable[[DataFrame], DataFrame] = lambda lengths: lengths,
 ) -> DataFrame:
     """``check_item`` rows with every error kept to its own item.
 
     Runs one job per table, ``parallel`` of them at a time. What comes to the
     driver is one row per check. A table that fails while it is read is retried
-    by halves of its items; other tables are not run again.
+    by halves of its items; other tables are not run again. Array lengths stay a
+    frame, which ``keep`` may write and read again.
     """
 
     def measure(table: str, group: Mapping[int, ColumnItem]):
         try:
-            return _measure(tables.table(table), group)
+            return _measure(tables.table(table), group, keep)
         except Exception as error:
-            return [], dict.fromkeys(group, _first_line(error))
+            return [], [], dict.fromkeys(group, _first_line(error))
 
-    rows, errors = [], {}
+    rows, lengths, errors = [], [], {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         jobs = [
             pool.submit(inheritable_thread_target(tables.spark)(measure), table, group)
             for table, group in _by_table(items).items()
         ]
         for job in jobs:
-            found, failures = job.result()
+            found, kept, failures = job.result()
             rows += [row.asDict() for row in found]
+            lengths += kept
             errors.update(failures)
-    return _graded(_describe(tables, items, errors), local_rows(tables.spark, rows, MEASURED))
+    return _graded(
+        _describe(tables, items, errors),
+        local_rows(tables.spark, rows, MEASURED),
+        reduce(DataFrame.unionByName, lengths) if lengths else None,
+    )
 
 
 def batch_rollup(items: DataFrame) -> DataFrame:

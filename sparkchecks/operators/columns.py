@@ -41,13 +41,12 @@ def nan_metrics(column: Column, dtype: T.DataType, params: Mapping) -> Metrics:
 
 
 def length_metrics(column: Column, dtype: T.DataType, params: Mapping) -> Metrics:
-    """NULL arrays are neither right nor wrong; the distinct lengths found are reported."""
+    """NULL arrays are neither right nor wrong."""
     if not isinstance(dtype, T.ArrayType):
         raise TypeError(f"array column expected, found {dtype.simpleString()}")
     length = array_length(column, dtype)
-    return {
+    return {  # the lengths themselves are rows of a pass of their own
         "invalid_count": F.count_if(length != params.get("expected_length", DEFAULT_LENGTH)),
-        "found_lengths": F.sort_array(F.collect_set(length)),
     }
 
 
@@ -76,12 +75,13 @@ def register_column_check(
     """Add a check of your own.
 
     ``metrics(column, params)`` returns aggregate expressions; ``invalid_count``
-    is required and decides the status.
+    is required and decides the status. Others are reported as doubles in the
+    ``metrics`` of the check's row.
     """
 
     def checked(column: Column, dtype: T.DataType, params: Mapping) -> Metrics:
         found = dict(metrics(column, params))
-        if set(found) != {"invalid_count"}:
+        if "invalid_count" not in found:
             raise ValueError(f"{check_type}: expected the metric invalid_count, got {sorted(found)}")
         return found
 

@@ -6,14 +6,16 @@ import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CATALOG, INVENTORY, TABLE_COLUMN, THRESHOLD, conform
+from ..schemas import CATALOG, INVENTORY, TABLE_COLUMN, THRESHOLD, conform, layout
 from ..sources.tables import Tables, local_rows, split_name
 
 _log = logging.getLogger(__name__)
 
+COUNTED_TOGETHER = 100
+
 
 def _readable(tables: Tables) -> list[tuple[str, DataFrame]]:
     """Tables that can be opened; others are skipped with a warning."""
@@ -46,22 +48,36 @@ def inventory(tables: Tables) -> DataFrame:
     """One row per table with its columns and exact row count.
 
     The count reads no column, so for parquet it comes from the file footers.
+    Up to ``COUNTED_TOGETHER`` tables are one lazy plan; of more, the counts are
+    taken batch by batch, one number per table, so that no plan outgrows the planner.
     """
-    rows = []
-    for name, df in _readable(tables):
-        schema, _ = split_name(name)
-        rows.append(
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(schema).alias("schema_name"),
-                F.lit(name).alias("table_name"),
-                F.lit(len(df.columns)).alias("column_count"),
-                F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-                "row_count",
-            )
-        )
-    if not rows:
+    found = _readable(tables)
+    batches = [found[i : i + COUNTED_TOGETHER] for i in range(0, len(found), COUNTED_TOGETHER)]
+    if not batches:
         return local_rows(tables.spark, [], INVENTORY)
-    return conform(reduce(DataFrame.unionByName, rows), INVENTORY)
+    counts = [
+        reduce(
+            DataFrame.unionByName,
+            [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name)) for name, df in batch],
+        )
+        for batch in batches
+    ]
+    if len(batches) > 1:
+        rows = [row.asDict() for batch in counts for row in batch.collect()]
+        counts = [local_rows(tables.spark, rows, layout("table_name string, row_count bigint"))]
+    described = [
+        {
+            "schema_name": split_name(name)[0],
+            "table_name": name,
+            "column_count": len(df.columns),
+            "columns": list(df.columns),
+        }
+        for name, df in found
+    ]
+    known = local_rows(
+        tables.spark, described, layout("schema_name string, table_name string, column_count int, columns array<string>")
+    )
+    return conform(known.join(counts[0], "table_name"), INVENTORY)
 
 
 def inventory_summary(tables_found: DataFrame) -> DataFrame:
@@ -118,12 +134,13 @@ def table_coverage(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row per table that exists or is named by a check.
 
     ``table_exists`` tells the two apart: a check may name a table that is not there.
+    ``covered_columns`` are those declared, ``covered_columns_found`` those of them
+    that the table has.
     """
-    declared = catalog.groupBy("table_name").agg(
-        F.count_distinct("column_name").alias("covered_columns")
-    )
+    named = catalog.groupBy("table_name").agg(F.collect_set("column_name").alias("named"))
+    declared = named.select("table_name", "named", F.size("named").cast("bigint").alias("covered_columns"))
     found = tables_found.select(
-        "table_name", "schema_name", "column_count", "row_count", F.lit(True).alias("found")
+        "table_name", "schema_name", "column_count", "row_count", "columns", F.lit(True).alias("found")
     )
     return found.join(declared, "table_name", "full").select(
         "schema_name",
@@ -132,6 +149,7 @@ def table_coverage(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
         F.col("covered_columns").isNotNull().alias("is_covered"),
         "column_count",
         F.coalesce("covered_columns", F.lit(0).cast("bigint")).alias("covered_columns"),
+        F.coalesce(F.size(F.array_intersect("named", "columns")), F.lit(0)).cast("bigint").alias("covered_columns_found"),
         "row_count",
     )
 
@@ -146,8 +164,9 @@ def uncovered_tables(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
 def coverage_summary(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row of counts, with the covered columns in percent of all columns.
 
-    Covered tables and columns are those declared, whether they exist or not;
-    ``covered_tables_found`` counts only tables that do.
+    Covered tables and columns are those declared, whether they exist or not, so
+    ``coverage_percentage`` may exceed 100. ``covered_tables_found``,
+    ``covered_columns_found`` and ``found_percentage`` count only those that exist.
     """
     per_table = table_coverage(tables_found, catalog)
     exists, covered = F.col("table_exists"), F.col("is_covered")
@@ -159,13 +178,20 @@ def coverage_summary(tables_found: DataFrame, catalog: DataFrame) -> DataFrame:
         F.count_if(exists & ~covered).alias("uncovered_tables"),
         F.coalesce(F.sum("column_count"), F.lit(0)).alias("total_columns"),
         F.coalesce(F.sum("covered_columns"), F.lit(0)).alias("covered_columns"),
+        F.coalesce(F.sum("covered_columns_found"), F.lit(0)).alias("covered_columns_found"),
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_rows"),
         F.sort_array(F.collect_list(F.when(exists & ~covered, F.col("table_name")))).alias(
             "uncovered_table_list"
         ),
     )
-    percent = F.coalesce(F.try_divide("covered_columns", "total_columns") * 100, F.lit(0.0))
-    return counted.withColumn("coverage_percentage", percent)
+
+
+    def percent(part: str) -> Column:
+        return F.coalesce(F.try_divide(part, "total_columns") * 100, F.lit(0.0))
+
+    return counted.withColumns(
+        {"coverage_percentage": percent("covered_columns"), "found_percentage": percent("covered_columns_found")}
+    )
 
 
 def coverage_matrix(

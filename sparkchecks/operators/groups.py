@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.compare import loosely_close, relative_error, strictly_close
-from ..functions.measures import exact_sum, rounded_bigint
-from ..functions.sizing import fits_broadcast
+from ..functions.measures import measured_sum, rounded_bigint
 from ..functions.status import CRITICAL, SUCCESS, WARNING
 from ..schemas import GROUP_ROLLUP, conform, layout
 from ..sources.tables import local_rows
@@ -58,48 +57,25 @@ def mapped_sums(
 ) -> DataFrame:
     """Sum ``value`` per requested group and region of an inner join with a mapping.
 
-    Returns (group_key, region, total, n_rows). A mapping within the broadcast
-    limit is looked up where the detail rows are read. A larger one is joined
-    after both sides are reduced per key: the detail rows to one row with a sum
-    for each requested group, which needs the same shuffle as the join itself,
-    the mapping to its distinct pairs with their number.
+    Returns (group_key, region, total, n_rows). Both sides are reduced per key before the join:
+    the detail rows to one row with a sum for each requested group, the mapping to its distinct
+    pairs with their number. Sums of decimals are exact per key.
     """
     wanted = list(dict.fromkeys(groups))
     detail = detail.filter(F.col(group).isin(wanted))
-    mapping = mapping.select(on, F.col(region).alias("region"))
-    if fits_broadcast(mapping):
-        return (
-            detail.select(on, group, value)
-            .join(F.broadcast(mapping), on)
-            .groupBy(F.col(group).cast("string").alias("group_key"), "region")
-            .agg(F.sum(value).cast("double").alias("total"), F.count(F.lit(1)).alias("n_rows"))
-        )
-    per_key = detail.groupBy(on).agg(
-        *[F.sum(F.when(F.col(group) == g, F.col(value))).alias(f"s{i}") for i, g in enumerate(wanted)],
-        *[F.count_if(F.col(group) == g).alias(f"n{i}") for i, g in enumerate(wanted)],
+    per_key = detail.groupBy(on, F.col(group).cast("string").alias("group_key")).agg(
+        measured_sum(f"`{value}`", detail.schema[value].dataType).cast("double").alias("_sum"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    pairs = mapping.groupBy(on, "region").agg(F.count(F.lit(1)).alias("pairs"))
-    per_region = (
+    pairs = mapping.groupBy(on, F.col(region).alias("region")).agg(F.count(F.lit(1)).alias("_pairs"))
+    return (
         per_key.join(pairs, on)
-        .groupBy("region")
+        .groupBy("group_key", "region")
         .agg(
-            *[F.sum(F.col(f"s{i}") * F.col("pairs")).alias(f"s{i}") for i in range(len(wanted))],
-            *[F.sum(F.col(f"n{i}") * F.col("pairs")).alias(f"n{i}") for i in range(len(wanted))],
-        )
-    )
-    unpivoted = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(g).alias("group_key"),
-                    F.col(f"s{i}").cast("double").alias("total"),
-                    F.col(f"n{i}").alias("n_rows"),
-                )
-                for i, g in enumerate(wanted)
-            ]
+            F.sum(F.col("_sum") * F.col("_pairs")).alias("total"),
+            F.sum(F.col("_rows") * F.col("_pairs")).alias("n_rows"),
         )
     )
-    return per_region.select("region", unpivoted).filter(F.col("n_rows") > 0)
 
 
 def group_sum_items(
@@ -127,7 +103,7 @@ def group_sum_items(
             F.col(group).cast("string").alias("group_key"),
             F.col(region).alias("region"),
         )
-        .agg(F.sum(value).cast("double").alias("expected"))
+        .agg(measured_sum(f"`{value}`", reference.schema[value].dataType).cast("double").alias("expected"))
     )
     joined = sums.withColumnRenamed("total", "actual").join(expected, ["group_key", "region"])
     return grade_members(joined, rule_name, "group_key", "region", tolerance)
@@ -154,9 +130,7 @@ def refinement_items(
         refined.filter(F.col(region).isNotNull() & F.col(code).isNotNull())
         .groupBy(region, code, cell, original)
         .agg(
-            exact_sum(f"`{detail}`", detail_type).alias("_detail")
-            if detail_type.typeName() in ("double", "float")
-            else F.try_sum(detail).alias("_detail"),
+            measured_sum(f"`{detail}`", detail_type).alias("_detail"),
             F.count(F.lit(1)).alias("_rows"),
         )
     )
@@ -170,10 +144,8 @@ def refinement_items(
 
 
 def _whole_sum(column: str, dtype) -> Column:
-    """Aggregate: an exact sum as a rounded whole number."""
-    if dtype.typeName() in ("double", "float"):
-        return rounded_bigint(exact_sum(f"`{column}`", dtype), dtype)
-    return rounded_bigint(F.try_sum(column), dtype)
+    """Aggregate: a sum as a rounded whole number."""
+    return rounded_bigint(measured_sum(f"`{column}`", dtype), dtype)
 
 
 def group_rollup(
@@ -321,19 +293,20 @@ def first_mismatches(items: DataFrame, limit: int, rollup: DataFrame | None = No
     """The first ``limit`` mismatches of every group, by member.
 
     With a roll-up, only of groups that failed with counted mismatches. The
-    planner keeps ``limit`` rows per group and task before it shuffles.
+    planner keeps ``limit`` rows per group and task before it shuffles; groups
+    that did not fail are dropped from the few rows that are left.
     """
-    listed = items.filter(~F.col("is_close"))
-    if rollup is not None:
-        listed = listed.join(
-            rollup.filter((F.col("mismatches") > 0) & (F.col("status") == CRITICAL)).select("group_key"),
-            "group_key",
-            "left_semi",
-        )
     order = Window.partitionBy("group_key").orderBy("member_key")
-    return listed.withColumn("position", F.row_number().over(order)).filter(
-        F.col("position") <= limit
+    listed = (
+        items.filter(~F.col("is_close"))
+        .withColumn("position", F.row_number().over(order))
+        .filter(F.col("position") <= limit)
     )
+    if rollup is None:
+        return listed
+    failed = rollup.filter((F.col("mismatches") > 0) & (F.col("status") == CRITICAL))
+    # An inner join with the distinct keys: a semi join would be moved below the limit.
+    return listed.join(failed.select("group_key").distinct(), "group_key").select(listed.columns)
 
 
 def member_summary(items: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ column. The frame may come from any composition of DataFrame operations.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,15 +21,12 @@ from .groups import (
     share_items,
     share_rollup,
 )
-from .reconcile import reconcile
+from .reconcile import Reconciliation, reconcile_all
 from .totals import matches
 
-# Parameters of a rule that does not set them.
-DEFAULT_SCENARIO = "eGon2035"
-DEFAULT_SCENARIOS = ("eGon2035", "eGon100RE")
+# Parameters of a rule that does not set them. Names of scenarios and years belong to a rule set.
 DEFAULT_PERCENT = 5.0
 DEFAULT_RTOL = 1e-5
-DEFAULT_YEAR = "2035"
 
 
 Planner = Callable[[Tables, str, Mapping], DataFrame]
@@ -68,12 +65,13 @@ class GroupedCheck:
 
 
 def _reconcile(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
-    bound = {
-        "scenario": params.get("scenario", DEFAULT_SCENARIO),
-        "year": params.get("year", DEFAULT_YEAR),
-    }
-    return reconcile(
-        tables,
+    return reconcile_all(tables, [reconciliation(rule_name, params)])
+
+
+def reconciliation(rule_name: str, params: Mapping) -> Reconciliation:
+    """What a reconciliation rule asks for."""
+    bound = {**specs_defaults(), **{k: params[k] for k in ("scenario", "year") if k in params}}
+    return Reconciliation(
         rule_name,
         params["parts"],
         params.get("tolerance", DEFAULT_PERCENT),
@@ -82,9 +80,22 @@ def _reconcile(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     )
 
 
+def specs_defaults() -> dict:
+    """Scenario and year of the shipped rule sets, for rules that set none."""
+    from ..plans import specs
+
+    return {"scenario": specs.DEFAULT_SCENARIO, "year": specs.DEFAULT_YEAR}
+
+
+def _scenarios(params: Mapping) -> Sequence[str]:
+    from ..plans import specs
+
+    return params.get("scenarios", specs.SCENARIOS)
+
+
 def group_sum_plan(tables: Tables, rule_name: str, params: Mapping) -> DataFrame:
     """Graded regions of a group-sum rule."""
-    scenarios = params.get("scenarios", DEFAULT_SCENARIOS)
+    scenarios = _scenarios(params)
     detail = tables.table(params["table"]).filter(matches(params.get("filters", {}), params))
     sums = mapped_sums(
         detail,
@@ -113,7 +124,7 @@ def _requested_rollup(items: DataFrame, rule_name: str, params: Mapping) -> Data
         items,
         rule_name,
         params.get("tolerance", DEFAULT_RTOL),
-        params.get("scenarios", DEFAULT_SCENARIOS),
+        _scenarios(params),
     )
 
 
@@ -152,7 +163,7 @@ def _share_rollup(items: DataFrame, rule_name: str, params: Mapping) -> DataFram
         items,
         rule_name,
         params.get("tolerance", DEFAULT_RTOL),
-        params.get("scenarios", DEFAULT_SCENARIOS),
+        _scenarios(params),
     )
 
 

@@ -1,7 +1,8 @@
 """Totals of a measure per component, described as data.
 
 A ``Total`` sums a column of one table; a ``SeriesTotal`` sums the elements of
-an array column kept in a table of its own. Both hand out (component, total).
+an array column kept in a table of its own. ``planned_totals`` plans any number
+of them, for whatever rules, with one pass per table and set of filters.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.measures import exact_sum
-from ..functions.sizing import fits_broadcast
+from ..functions.measures import array_totals, measured_sum
 from ..sources.tables import Tables
 
 
@@ -31,7 +31,7 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Total:
-    """Exact sum of ``value`` over the rows whose ``key`` is a member of a component.
+    """Sum of ``value`` over the rows whose ``key`` is a member of a component.
 
     ``members`` maps components to key values. Without a ``key`` every row that
     passes the filters counts for the one component listed. A filter value is a
@@ -67,12 +67,22 @@ class SeriesTotal:
     divisor: float = 1.0
 
 
+#: A total to plan: its number, what it sums, and the parameters of its run.
+Wanted = tuple[int, Total | SeriesTotal, Mapping]
+
+
+def _bound(filters: Mapping, params: Mapping) -> dict:
+    """A filter mapping with ``":name"`` values bound to ``params``."""
+    return {
+        column: params[wanted[1:]] if isinstance(wanted, str) and wanted.startswith(":") else wanted
+        for column, wanted in filters.items()
+    }
+
+
 def matches(filters: Mapping, params: Mapping) -> Column:
     """The conjunction of a filter mapping, with ``":name"`` values bound to ``params``."""
     conditions = []
-    for column, wanted in filters.items():
-        if isinstance(wanted, str) and wanted.startswith(":"):
-            wanted = params[wanted[1:]]
+    for column, wanted in _bound(filters, params).items():
         if isinstance(wanted, (list, tuple)):
             conditions.append(F.col(column).isin(list(wanted)))
         else:
@@ -80,149 +90,170 @@ def matches(filters: Mapping, params: Mapping) -> Column:
     return reduce(Column.__and__, conditions) if conditions else F.lit(True)
 
 
-def _all_members(members: Mapping[str, Sequence[str]]) -> list[str]:
-    return sorted({key for keys in members.values() for key in keys})
+def _pass_key(total: Total | SeriesTotal, params: Mapping) -> tuple:
+    """Totals with equal keys share one pass over their tables."""
+    key = [type(total).__name__, total.table, total.key, repr(_bound(total.filters, params))]
+    if isinstance(total, SeriesTotal):
+        key += [total.series_table, total.series_key, total.series_value]
+        key += [repr(_bound(total.series_filters, params)), repr(_dimension_key(total, params))]
+    return tuple(key)
 
 
-def sum_within(
-    facts: DataFrame, keys: Sequence[str], value: str, dimension: DataFrame, on: tuple[str, str]
-) -> DataFrame:
-    """Sum ``value`` per ``keys`` over the facts with a partner in ``dimension``.
+def _dimension_key(total: Total | SeriesTotal, params: Mapping) -> tuple | None:
+    d = total.dimension
+    return d and (d.table, d.fact_column, d.key_column, repr(_bound(d.filters, params)))
 
-    A dimension within the broadcast limit filters the facts where they are
-    read. Beyond it the facts are summed per join key first, so that a frequent
-    key is one row per task before anything is shuffled for the join.
-    """
-    fact_column, key_column = on
-    partners = dimension.select(F.col(key_column).alias("_partner"))
-    if fits_broadcast(partners):
-        kept = facts.join(F.broadcast(partners), F.col(fact_column) == F.col("_partner"), "left_semi")
-    else:
-        summed = facts.groupBy(fact_column, *keys).agg(
-            exact_sum(value, facts.schema[value].dataType).alias(value)
-        )
-        kept = summed.join(partners.distinct(), F.col(fact_column) == F.col("_partner"), "left_semi")
-    return kept.groupBy(*keys).agg(
-        exact_sum(value, kept.schema[value].dataType).alias(value)
-    )
 
+def _partners(tables: Tables, total: Total | SeriesTotal, params: Mapping) -> DataFrame:
+    """Keys of the dimension that pass its filters, each once, with their number."""
+    d = total.dimension
+    rows = tables.table(d.table).filter(matches(d.filters, params))
+    return rows.groupBy(F.col(d.key_column).alias("_partner")).agg(F.count(F.lit(1)).alias("_partners"))
 
-def sum_times_partners(
-    facts: DataFrame, keys: Sequence[str], value: str, dimension: DataFrame, on: tuple[str, str]
-) -> DataFrame:
-    """Sum ``value`` per ``keys`` over the inner join with ``dimension``.
 
-    The facts must already be summed per join key and ``keys``. Partners are
-    counted before the join, which makes their side unique as well.
-    """
-    fact_column, key_column = on
-    counted = dimension.groupBy(F.col(key_column).alias("_partner")).agg(
-        F.count(F.lit(1)).alias("_partners")
-    )
-    joined = facts.join(counted, F.col(fact_column) == F.col("_partner"))
-    return joined.groupBy(*keys).agg(F.sum(F.col(value) * F.col("_partners")).alias(value))
+def _members(total: Total | SeriesTotal) -> dict[str, list[str]]:
+    """Components of each key value; without a key all rows are the member ``""``."""
+    if total.key is None:
+        return {"": list(total.members)}
+    components: dict[str, list[str]] = {}
+    for component, keys in total.members.items():
+        for key in dict.fromkeys(keys):
+            components.setdefault(str(key), []).append(component)
+    return components
 
 
-def _by_component(per_member: DataFrame, members: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Carry totals per member over to the components; a member may count for several.
+def _by_component(per_member: DataFrame, wanted: Sequence[Wanted], columns: Sequence[str]) -> DataFrame:
+    """(total_id, component, total) rows; ``columns`` hold the sums of the wanted totals.
 
-    The mapping is a literal, so the few summed rows need no join.
+    A member may count for several components. The mapping is a literal, so the
+    few summed rows need no join.
     """
-    components: dict[str, list[str]] = {}
-    for component, keys in members.items():
-        for key in dict.fromkeys(keys):
-            components.setdefault(key, []).append(component)
-    entries = ", ".join(
-        f"{texts.quoted(str(key))}, array({', '.join(map(texts.quoted, names))})"
-        for key, names in components.items()
+    entries: dict[str, list[str]] = {}
+    for (number, total, _), column in zip(wanted, columns, strict=True):
+        for member, components in _members(total).items():
+            entries.setdefault(member, []).extend(
+                f"struct({number} AS total_id, {texts.quoted(c)} AS component, "
+                f"{list(dict.fromkeys(columns)).index(column)} AS place, {float(total.divisor)!r}D AS divisor)"
+                for c in components
+            )
+    if not entries:
+        return per_member.selectExpr("0 AS total_id", "'' AS component", "0D AS total").limit(0)
+    literal = ", ".join(f"{texts.quoted(m)}, array({', '.join(e)})" for m, e in entries.items())
+    sums = ", ".join(f"`{c}`" for c in dict.fromkeys(columns))
+    return per_member.selectExpr(f"inline(map({literal})[member])", f"array({sums}) AS sums").selectExpr(
+        "total_id", "component", "sums[place] / divisor AS total"
     )
-    return per_member.selectExpr(f"explode(map({entries})[member]) AS component", "total")
 
 
-def component_totals(tables: Tables, total: Total, params: Mapping) -> DataFrame:
-    """(component, total) rows of a ``Total``: one pass for all its components."""
-    facts = tables.table(total.table).filter(matches(total.filters, params))
-    if total.key is None:
-        (component,) = total.members
-        member = F.lit(component)
-    else:
-        facts = facts.filter(F.col(total.key).isin(_all_members(total.members)))
-        member = F.col(total.key).cast("string")
-    columns = [member.alias("member"), F.col(total.value).alias("total")]
-    if total.dimension is not None:
-        columns.append(F.col(total.dimension.fact_column).alias("_fact_key"))
-    facts = facts.select(*columns)
-    if total.dimension is None:
-        summed = facts.groupBy("member").agg(
-            exact_sum("total", facts.schema["total"].dataType).alias("total")
-        )
-    else:
-        dimension = tables.table(total.dimension.table).filter(
-            matches(total.dimension.filters, params)
-        )
-        summed = sum_within(
-            facts, ["member"], "total", dimension, ("_fact_key", total.dimension.key_column)
-        )
-    summed = summed.withColumn("total", F.col("total") / total.divisor)
-    if total.key is None:
-        return summed.withColumnRenamed("member", "component")
-    return _by_component(summed, total.members)
+def _facts(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
+    """Rows of a pass: what passes the filters and belongs to any member, with ``member``."""
+    _, first, params = wanted[0]
+    facts = tables.table(first.table).filter(matches(first.filters, params))
+    if first.key is None:
+        return facts.withColumn("member", F.lit(""))
+    keys = sorted({key for _, total, _ in wanted for members in total.members.values() for key in members})
+    return facts.filter(F.col(first.key).isin(keys)).withColumn("member", F.col(first.key).cast("string"))
 
 
-def series_totals(tables: Tables, total: SeriesTotal, params: Mapping) -> DataFrame:
-    """(component, total) rows of a ``SeriesTotal``; arrays never enter a shuffle.
+def _component_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
+    """Totals of one pass. Facts are summed per member and dimension key before any join.
 
-    Facts are counted per series, dimension key and member. If they are small
-    they go to the series, whose elements are then summed in place; else each
-    series is reduced to its sum before both sides are shuffled by series key.
+    Sums of decimals stay decimals until they are added up per member, and the
+    join only marks which keys have partners, so neither its strategy nor the
+    other totals of the pass change a sum.
     """
-    dimension = tables.table(total.dimension.table).filter(
-        matches(total.dimension.filters, params)
+    facts = _facts(tables, wanted)
+    values = list(dict.fromkeys(total.value for _, total, _ in wanted))
+    sides: dict[tuple, str] = {}
+    for _, total, params in wanted:
+        if total.dimension is not None:
+            sides.setdefault(_dimension_key(total, params), f"_d{len(sides)}")
+    fact_columns = {key: f"_f_{key[1]}" for key in sides}
+    distinct = dict.fromkeys((key[1], name) for key, name in fact_columns.items())
+    summed = facts.groupBy("member", *[F.col(c).alias(name) for c, name in distinct]).agg(
+        *[measured_sum(f"`{v}`", facts.schema[v].dataType).alias(f"_v{i}") for i, v in enumerate(values)]
     )
+    for _, total, params in wanted:
+        key = _dimension_key(total, params)
+        if key is not None and sides[key] not in summed.columns:
+            partners = _partners(tables, total, params).select(
+                F.col("_partner").alias(f"{sides[key]}_key"), F.lit(True).alias(sides[key])
+            )
+            how = "inner" if all(_dimension_key(t, p) == key for _, t, p in wanted) else "left"
+            summed = summed.join(partners, F.col(fact_columns[key]) == F.col(f"{sides[key]}_key"), how)
+    columns, sums = [], {}
+    for _, total, params in wanted:
+        key = _dimension_key(total, params)
+        value, side = f"_v{values.index(total.value)}", "" if key is None else sides[key]
+        columns.append(name := f"_sum{value}{side}")
+        counted = f"CASE WHEN {side} THEN {value} END" if side else value
+        sums[name] = measured_sum(counted, summed.schema[value].dataType).cast("double").alias(name)
+    if not sides:
+        per_member = summed.select("member", *[F.col(c.removeprefix("_sum")).cast("double").alias(c) for c in sums])
+    else:
+        per_member = summed.groupBy("member").agg(*sums.values())
+    return _by_component(per_member, wanted, columns)
+
+
+def _series_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
+    """Totals of one pass over facts and series; arrays never enter a shuffle.
+
+    Each series is reduced to its sum and facts are counted per series, dimension
+    key and member, before both sides meet. Numbers of rows multiply as doubles.
+    """
+    _, first, params = wanted[0]
     facts = (
-        tables.table(total.table)
-        .filter(matches(total.filters, params))
-        .filter(F.col(total.key).isin(_all_members(total.members)))
+        _facts(tables, wanted)
         .groupBy(
-            F.col(total.series_key).alias("_series"),
-            F.col(total.dimension.fact_column).alias("_fact_key"),
-            F.col(total.key).cast("string").alias("member"),
+            F.col(first.series_key).alias("_series"),
+            F.col(first.dimension.fact_column).alias("_fact_key"),
+            "member",
         )
         .agg(F.count(F.lit(1)).alias("_facts"))
     )
-    series = (
-        tables.table(total.series_table)
-        .filter(matches(total.series_filters, params))
-        .select(
-            F.col(total.series_key).alias("_key"),
-            F.col(total.series_value).alias("_elements"),
-        )
+    series = tables.table(first.series_table).filter(matches(first.series_filters, params))
+    series = series.select(
+        F.col(first.series_key).alias("_key"), F.col(first.series_value).alias("_elements")
     )
-    on_key = F.col("_key") == F.col("_series")
-    if fits_broadcast(facts):
-        summed = (
-            series.join(F.broadcast(facts), on_key)
-            .select("_fact_key", "member", "_facts", F.explode("_elements").alias("_element"))
-            .groupBy("_fact_key", "member", "_facts")
-            .agg(F.sum("_element").alias("_sum"))
-        )
-    else:
-        reduced = (
-            series.select("_key", F.explode("_elements").alias("_element"))
-            .groupBy("_key")
-            .agg(F.sum("_element").alias("_sum"))
-        )
-        summed = reduced.join(facts, on_key)
-    per_key = summed.groupBy("_fact_key", "member").agg(
-        F.sum(F.col("_sum") * F.col("_facts")).alias("total")
+    reduced = array_totals(series, ["_key"], "_elements", "_sum")
+    joined = reduced.join(facts, F.col("_key") == F.col("_series"))
+    per_key = joined.groupBy("_fact_key", "member").agg(
+        F.sum(F.col("_sum").cast("double") * F.col("_facts")).alias("_sum")
     )
-    totals = sum_times_partners(
-        per_key, ["member"], "total", dimension, ("_fact_key", total.dimension.key_column)
-    ).withColumn("total", F.col("total") / total.divisor)
-    return _by_component(totals, total.members)
+    matched = per_key.join(_partners(tables, first, params), F.col("_fact_key") == F.col("_partner"))
+    per_member = matched.groupBy("member").agg(F.sum(F.col("_sum") * F.col("_partners")).alias("_sum"))
+    return _by_component(per_member, wanted, ["_sum"] * len(wanted))
 
 
-def planned_totals(tables: Tables, total: Total | SeriesTotal, params: Mapping) -> DataFrame:
-    if isinstance(total, SeriesTotal):
-        return series_totals(tables, total, params)
-    return component_totals(tables, total, params)
+def planned_totals(
+    tables: Tables, wanted: Sequence[Wanted]
+) -> tuple[list[DataFrame], dict[int, str]]:
+    """(total_id, component, total) frames of all wanted totals, and errors by number.
+
+    Totals of the same table and filters share one pass. If one of them can't be
+    planned, they are planned alone, so that the others are not affected.
+    """
+    passes: dict[tuple, list[Wanted]] = {}
+    errors: dict[int, str] = {}
+    for number, total, params in wanted:
+        try:
+            passes.setdefault(_pass_key(total, params), []).append((number, total, params))
+        except Exception as problem:
+            errors[number] = _first_line(problem)
+    frames = []
+    todo = list(passes.values())
+    while todo:
+        group = todo.pop(0)
+        plan = _series_totals if isinstance(group[0][1], SeriesTotal) else _component_totals
+        try:
+            frames.append(plan(tables, group))
+        except Exception as problem:
+            if len(group) == 1:
+                errors[group[0][0]] = _first_line(problem)
+            else:
+                todo += [[one] for one in group]
+    return frames, errors
+
+
+def _first_line(error: Exception) -> str:
+    return (str(error) or type(error).__name__).splitlines()[0]

@@ -23,7 +23,8 @@ from ..operators.batch import (
     run_column_checks,
 )
 from ..operators.columns import is_column_check
-from ..operators.tablechecks import GroupedCheck, TableCheck, table_check
+from ..operators.reconcile import reconcile_all
+from ..operators.tablechecks import GroupedCheck, TableCheck, reconciliation, table_check
 from ..schemas import RULE_RESULT, conform, layout
 from ..sources.sinks import write_table
 from ..sources.tables import Tables, local_rows
@@ -210,6 +211,48 @@ def _table_result(
     )
 
 
+def _reconcile_results(
+    rows: DataFrame, rules: Sequence[tuple[int, Rule]], stamp: _Stamp
+) -> DataFrame:
+    """The ``rule_result`` rows of reconciliations that were planned together."""
+    tallied = rows.groupBy("rule_name").agg(
+        worst_status("status").alias("worst"),
+        *[column.alias(name) for name, column in status_tallies("status").items()],
+    )
+    known = local_rows(
+        rows.sparkSession,
+        [
+            {
+                "run_id": stamp.run_id,
+                "ordinal": ordinal,
+                "rule_name": rule.name,
+                "validation_type": rule.check,
+                "table_name": rule.config.get("table", "unknown"),
+                "ts": stamp.ts,
+            }
+            for ordinal, rule in rules
+        ],
+        _KNOWN,
+    )
+    counts = {name: name for name in ("total", "passed", "warnings", "failed")}
+    names = {"rule": "rule_name", "members": texts.quoted(table_check("reconcile").members)}
+    joined = known.join(tallied, "rule_name", "left").selectExpr(
+        "* EXCEPT (total, passed, warnings, failed, worst)",
+        f"coalesce(worst, '{SUCCESS}') AS status",
+        *[f"coalesce({name}, 0L) AS {name}" for name in counts],
+    )
+    return conform(
+        joined.selectExpr(
+            "*",
+            f"{texts.filled(texts.RULE_COUNTS, **counts, **names)} AS message",
+            f"""CASE WHEN failed > 0 THEN {texts.filled(texts.CRITICAL_FOUND, **counts, **names)}
+                WHEN warnings > 0 THEN {texts.filled(texts.WARNINGS_FOUND, **counts, **names)}
+                END AS error_details""",
+        ),
+        RULE_RESULT,
+    )
+
+
 def _split(rules: Sequence[Rule]):
     numbered = list(enumerate(rules))
     column = [(i, r) for i, r in numbered if is_column_check(r.check)]
@@ -234,15 +277,22 @@ def plan_run(
     results = list(plan.decided)
     if plan.items:
         results.append(_column_results(plan, column_check_items(tables, plan.items), stamp))
+    together = []
     for ordinal, rule in table_rules:
         try:
             check = table_check(rule.check)
+            if rule.check == "reconcile":  # all of them share their passes over tables
+                together.append((ordinal, rule, reconciliation(rule.name, rule.config)))
+                continue
             rows = check.build(tables, rule.name, rule.config)
             results.append(_table_result(check, rule, rows, ordinal, stamp))
         except Exception as error:
             results.append(
                 _broken_row(tables, stamp, ordinal, rule, "unknown", _first_line(error))
             )
+    if together:
+        rows = reconcile_all(tables, [r for _, _, r in together])
+        results.append(_reconcile_results(rows, [(o, r) for o, r, _ in together], stamp))
     if not results:
         return local_rows(tables.spark, [], RULE_RESULT)
     return reduce(DataFrame.unionByName, results)
@@ -316,7 +366,11 @@ def run(
             for ordinal, rule in table_rules
         }
         plan = _plan_column_rules(tables, column_rules, stamp)
-        items = stored(run_column_checks(tables, plan.items, parallel), "check_items")
+
+        def keep(lengths: DataFrame) -> DataFrame:
+            return stored(lengths, "found_lengths", uuid.uuid4().hex)
+
+        items = stored(run_column_checks(tables, plan.items, parallel, keep), "check_items")
         results = [row for df in plan.decided for row in df.collect()]
         if plan.items:
             results += _column_results(plan, items, stamp).collect()

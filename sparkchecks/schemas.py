@@ -15,11 +15,13 @@ _TYPES: dict[str, T.DataType] = {
     "timestamp": T.TimestampType(),
     "array<int>": T.ArrayType(T.IntegerType()),
     "array<string>": T.ArrayType(T.StringType()),
+    "map<string;double>": T.MapType(T.StringType(), T.DoubleType()),
 }
 
 
 def layout(columns: str) -> T.StructType:
     """A schema from ``"name type, …"``; unlike ``fromDDL`` it needs no session."""
+    # A semicolon stands for the comma of a map type.
     pairs = (column.split() for column in columns.split(","))
     return T.StructType([T.StructField(name, _TYPES[type_]) for name, type_ in pairs])
 
@@ -27,9 +29,12 @@ def layout(columns: str) -> T.StructType:
 CHECK_ITEM = layout(
     "rule_name string, ordinal int, check_type string, table_name string, column_name string, "
     "status string, total_rows bigint, invalid_count bigint, invalid_rate double, "
-    "expected_length int, found_lengths array<int>, details string"
+    "expected_length int, found_lengths array<int>, details string, "
+    "metrics map<string;double>"
 )
 
+FOUND_LENGTH = layout("rule_name string, table_name string, column_name string, length int, arrays bigint")
+
 RECONCILE_ITEM = layout(
     "rule_name string, scenario string, ordinal int, component string, input_total double, "
     "output_total double, deviation_percent double, status string, message string"

@@ -187,6 +187,9 @@ class JdbcTables(Tables):
         column, _ = self.partitioning[name]
         return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {name}"
 
+    def any_row_sql(self, name: str) -> str:
+        return f"SELECT 1 AS found FROM {name} LIMIT 1"
+
     def read_options(self, name: str, lower=None, upper=None) -> dict[str, str]:
         """Reader options for one table; split by bounds where there are any."""
         if name not in self.partitioning:
@@ -212,4 +215,7 @@ class JdbcTables(Tables):
         lower = upper = None
         if name in self.partitioning:
             lower, upper = self._read(query=self.bounds_sql(name)).first()
+            if lower is None and name not in self.small and self._read(query=self.any_row_sql(name)).first():
+                column, _ = self.partitioning[name]
+                raise ValueError(f"{name}: all values of {column} are NULL, so it can't split the read")
         return self._read(**self.read_options(name, lower, upper))

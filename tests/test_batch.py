@@ -215,3 +215,19 @@ def test_custom_check_needs_an_invalid_count(tables):
     register_column_check("odd", lambda column, params: {"other": F.count(column)})
     (row,) = both(tables, items(("odd", "a.measures", "clean")))
     assert row.status == "FAILED" and "invalid_count" in row.details
+
+
+def test_many_lengths_stay_rows(spark):
+    """100,000 distinct lengths: rows of their own, and the shared pass stays compiled."""
+    from sparkchecks import FrameTables, column_items
+    from sparkchecks.operators.batch import _plan_table, found_lengths
+
+    frame = spark.range(100_000).selectExpr("CASE WHEN id > 0 THEN array_repeat(1Y, cast(id % 300 AS int)) END AS a", "id")
+    tables = FrameTables(spark, {"t": frame})
+    items = column_items("r", "time_series", [{"table": "t", "column": "a", "expected_length": 5}]) + column_items("n", "null", [{"table": "t", "column": "id"}])
+    plan, _ = _plan_table(frame, dict(enumerate(items)))
+    assert "ObjectHashAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+    rows = found_lengths(tables, items).collect()
+    assert len(rows) == 300 and sum(r.arrays for r in rows) == 99_999
+    wide = spark.range(100_000).selectExpr("sequence(1L, 1L) AS a", "id")
+    assert found_lengths(FrameTables(spark, {"t": wide}), items).count() == 1

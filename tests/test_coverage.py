@@ -182,3 +182,31 @@ def test_tables_survive_storage(spark, tmp_path, fmt):
     assert empty.count() == 0
     parts = write_table(local_rows(spark, rows, RECONCILE_ITEM), str(tmp_path / "p"), fmt, ["rule_name"])
     assert parts.filter("rule_name = 'r'").count() == 4
+
+
+def test_jdbc_bounds_of_only_null_keys(spark, monkeypatch):
+    tables = JdbcTables(spark, "jdbc:postgresql://host/db", partitioning={"big": ("id", 8)})
+    rows = {"min": [(None, None)], "SELECT 1": [(1,)]}
+
+    class Answer:
+        def __init__(self, query):
+            self.query = query
+
+        def first(self):
+            return next((v[0] for k, v in rows.items() if k in self.query and v), None)
+
+    monkeypatch.setattr(tables, "_read", lambda **o: Answer(o["query"]) if "query" in o else o)
+    with pytest.raises(ValueError, match="NULL"):
+        tables.table("big")
+    rows["SELECT 1"] = []
+    assert tables.table("big") == {"dbtable": "big"}
+
+
+def test_inventory_in_batches(spark, monkeypatch):
+    from sparkchecks.operators import coverage
+
+    frames = {f"s.t{i}": spark.range(i) for i in range(7)}
+    whole = sorted(map(tuple, coverage.inventory(FrameTables(spark, frames)).drop("columns").collect()))
+    monkeypatch.setattr(coverage, "COUNTED_TOGETHER", 3)
+    assert sorted(map(tuple, coverage.inventory(FrameTables(spark, frames)).drop("columns").collect())) == whole
+    assert [r[3] for r in whole] == list(range(7))

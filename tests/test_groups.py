@@ -226,6 +226,36 @@ def test_listing_is_pruned_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_listing_with_a_rollup_is_pruned_first(spark, no_broadcast):
+    items = graded(spark, [("s", "a", 1.0, 2.0), ("s", "b", 1.0, 2.0), ("t", "a", 1.0, 1.0)])
+    rollup = group_rollup(items, "rule", RTOL)
+    listed = first_mismatches(items, 1, rollup)
+    assert [(r.group_key, r.member_key) for r in listed.collect()] == [("s", "a")]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("WindowGroupLimit")  # the join is above the limit
+
+
+def test_decimals_give_the_same_verdict_at_any_size(spark, any_size):
+    value = "cast(0.0000494999 AS decimal(28,10))"
+    detail = spark.range(1000).selectExpr("id AS cell", "'s' AS scenario", f"{value} AS x")
+    mapping = spark.range(1000).selectExpr("id AS cell", "'r' AS region")
+    sums = mapped_sums(detail, mapping, "cell", "scenario", "region", "x", ["s"])
+    reference = spark.sql("SELECT 's' AS scenario, 'r' AS region, cast(0.0494999 AS decimal(28,10)) AS x")
+    items = group_sum_items(sums, reference, "rule", RTOL, "scenario", "region", "x", ["s"])
+    assert [r.status for r in group_rollup(items, "rule", RTOL, ["s"]).collect()] == ["SUCCESS"]
+
+
+def test_plan_does_not_grow_with_the_groups(spark):
+    detail = spark.sql("SELECT 1 AS cell, 'g1' AS scenario, 1.0D AS x")
+    mapping = spark.sql("SELECT 1 AS cell, 'r' AS region")
+    sizes = {
+        str(mapped_sums(detail, mapping, "cell", "scenario", "region", "x", [f"g{i}" for i in range(n)])
+            ._jdf.queryExecution().optimizedPlan().toString()).count("\n")
+        for n in (2, 60)
+    }
+    assert len(sizes) == 1
+
+
 def test_member_summary(spark):
     items, _ = share_results(spark, [(1, "y35", 0.3), (1, "y35", 0.7), (2, "y100", 1.0), (None, "y100", 1.0)])
     assert tuple(member_summary(items).first()) == (3, 4, 3, 2)

@@ -161,3 +161,24 @@ def test_hot_keys_and_duplicates(spark, any_size):
             for s, a in series if s == d
         )
         assert (rows[key].input_total, rows[key].output_total) == (wanted, joined)
+
+
+def test_decimal_series_keep_their_digits(spark, any_size):
+    """Elements far below a millionth; three series count."""
+    frames = {
+        "facts": spark.sql("SELECT id AS s, 1 AS d, 'k' AS k FROM range(3)"),
+        "dims": spark.sql("SELECT 1 AS id, 'DE' AS country"),
+        "series": spark.sql("SELECT id AS s, array(cast(4e-7 AS decimal(28,10)), cast(4e-8 AS decimal(28,10))) AS a FROM range(3)"),
+        "inputs": spark.sql("SELECT 'k' AS k, 1.32e-6D AS v"),
+    }
+    dimension = Dimension("dims", "d", "id", {"country": "DE"})
+    part = Part(["k"], [Total("inputs", "v", {"k": ["k"]}, "k")], [SeriesTotal("facts", "k", {"k": ["k"]}, "series", "s", "a", dimension)])
+    row = rows_of(FrameTables(spark, frames), [part])["k"]
+    assert row.output_total == pytest.approx(1.32e-6, rel=1e-12) and row.status == "SUCCESS"
+
+
+def test_one_broken_total_leaves_the_others(spark):
+    facts = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "k string, v double")
+    good, bad = Total("facts", "v", {"x": ["x"]}, "k"), Total("facts", "w", {"y": ["y"]}, "k")
+    rows = rows_of(FrameTables(spark, {"facts": facts}), [Part(["x"], [good], [good]), Part(["y"], [bad], [good])])
+    assert rows["x"].status == "SUCCESS" and rows["y"].status == "CRITICAL_FAILURE"

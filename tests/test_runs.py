@@ -175,3 +175,41 @@ def test_shipped_rules_end_to_end(spark):
     assert (rows["etrago_heat_sanity"].status, rows["etrago_heat_sanity"].passed) == ("SUCCESS", 6)
     electricity = rows["etrago_electricity_sanity"]
     assert (electricity.status, electricity.total, electricity.passed) == ("WARNING", 11, 10)
+
+
+def test_reconciliations_of_a_run_share_their_passes(spark):
+    """One read each of the tables that several parts and both sector rules need."""
+    from sparkchecks.plans import specs
+    from sparkchecks.plans.runs import plan_run
+
+    frames = {}
+
+    def table(name, columns):
+        frames[name] = spark.createDataFrame([], columns)
+        frames[name].createOrReplaceTempView(name.replace(".", "_"))
+
+    energy = "scn_name string, bus bigint, carrier string, p_nom double"
+    for name in (specs.GENERATOR, specs.STORAGE, specs.LINK):
+        table(name, energy)
+    table(specs.BUS, "scn_name string, bus_id bigint, country string")
+    table(specs.LOAD, "scn_name string, load_id bigint, bus bigint, carrier string")
+    table(specs.LOAD_SERIES, "scn_name string, load_id bigint, p_set array<double>")
+    table(specs.CAPACITIES, "scenario_name string, carrier string, capacity double")
+    for name in (specs.HOUSEHOLD_DEMAND, specs.INDUSTRY_DEMAND, specs.HEAT_DEMAND):
+        table(name, "scenario string, year string, demand double")
+    from sparkchecks import FrameTables, rule_set
+
+    rules = [r for r in rule_set("sanity_checks") if r.check == "reconcile"]
+    assert len(rules) == 2
+    spark.conf.set("spark.sql.optimizer.excludedRules", "org.apache.spark.sql.catalyst.optimizer.ConvertToLocalRelation,org.apache.spark.sql.catalyst.optimizer.PropagateEmptyRelation")
+    try:
+        plan = plan_run(FrameTables(spark, frames), rules)
+        text = plan._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.excludedRules")
+    for column in ("scenario_name", "p_set"):
+        assert text.count(f"[{column}") + text.count(f", {column}#") >= 1
+    capacities = [line for line in text.split("\n") if "LogicalRDD" in line and "capacity#" in line]
+    series = [line for line in text.split("\n") if "LogicalRDD" in line and "p_set#" in line]
+    energy_reads = [line for line in text.split("\n") if "LogicalRDD" in line and "p_nom#" in line]
+    assert (len(capacities), len(series), len(energy_reads)) == (1, 1, 3)
