@@ -29,6 +29,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 PER_LANGUAGE = 400
 MAX_SAMPLE = 4000
+SLICES = 16
 LANDMARKS = 256
 RIDGE = 1e-2
 #: Characters of a text that are turned into n-grams at a time.
@@ -125,8 +126,10 @@ def training_rows(docs: DataFrame, id_col: str, lang_col: str, allowed: Column)
     h = F.xxhash64(F.col(id_col), F.lit(1))
     rows = docs.filter(allowed & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), h.alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    rows = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PER_LANGUAGE)
+    # A language may hold most rows: it is thinned out in slices first, then as a whole.
+    for key in (["lang", F.pmod("h", F.lit(SLICES))], ["lang"]):
+        order = Window.partitionBy(*key).orderBy("h", "doc_id")
+        rows = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PER_LANGUAGE)
     return rows.orderBy("r", "h", "doc_id", "lang").limit(MAX_SAMPLE).select("doc_id", "lang")
 
 

@@ -42,7 +42,7 @@ SEED = 20_240_229
 MARGIN = 0.15
 #: Minima (8 bits each) of the sketches for blocks, and members of a chunk.
 FINE, FINE_MARGIN = 1024, 0.06
-CHUNK, CHUNK_SHINGLES = 256, 2_000_000
+CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,14 +50,14 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 64, n, U) | U(1), rng.integers(0, 1 << 64, n, U)
 
 
-def _minima(value: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The minimum of each document (they begin at ``first``) under each universal hash."""
-    out = np.empty((len(first), len(a)), U)
+def _minima(value: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int = 64) -> np.ndarray:
+    """The minimum of each document (they begin at ``first``) under each universal hash; its highest bits."""
+    out = np.empty((len(first), len(a)), f"u{bits // 8}")
     hashed = np.empty_like(value)
     for j in range(len(a)):
         np.multiply(value, a[j], out=hashed)
         np.add(hashed, b[j], out=hashed)
-        out[:, j] = np.minimum.reduceat(hashed, first)
+        out[:, j] = np.minimum.reduceat(hashed, first) >> U(64 - bits)
     return out
 
 
@@ -116,7 +116,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
                 fine: list = [b""] * (j - i)
                 if len(value):
                     has = np.flatnonzero(np.diff(at))
-                    low = (_minima(value, at[has], a, b) >> U(56)).astype(np.uint8)
+                    low = _minima(value, at[has], a, b, 8)
                     for x, d in enumerate(has):
                         fine[d] = low[x].tobytes()
                 columns = [batch.column(0).slice(i, j - i), pa.array(sets, pa.binary()), pa.array(fine, pa.binary())]

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at a time; a longer document makes a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 U = np.uint64
 

@@ -1,0 +1,67 @@
+"""Site rules, canonical URLs, the Bloom filter and the list."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkchecks.llm import url_filter
+from sparkchecks.llm.queries import SITE_RULES
+from sparkchecks.llm.url_filter import SiteRule, bloom_blocks, canonical_url, host_of, judge_urls, path_of, probe
+
+
+def test_host_and_path(spark):
+    urls = ["http://A.B/c?d", "x://É.Y#z", "://", None, "nothing", "s://h/p://q?r", "a\nb://h\n/x y#f", "http://h?x/y", "HTTP://u@H:80/P/"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").select("i", host_of(F.col("u")), path_of(F.col("u")))
+    assert [tuple(r)[1:] for r in df.orderBy("i").collect()] == [
+        ("a.b", "/c"), ("É.y", ""), ("", ""), ("", ""), ("", ""), ("h", "/p://q"), ("h\n", "/x y"), ("h", ""), ("u@h:80", "/P/"),
+    ]
+
+
+def test_spellings_of_one_page(spark):
+    same = ["http://www.a.com/x/", "https://m.a.com/x.html#f", "https://A.com:443/x?utm_source=f", "http://u@a.com/x?ref=1", "http://a.com/x/index.html"]
+    df = spark.createDataFrame([(u,) for u in same], "u string")
+    assert {r[0] for r in df.select(canonical_url(F.col("u"))).collect()} == {"a.com/x"}
+    other = spark.createDataFrame([("http://a.com/x?b=2&a=1&gclid=3",), (None,), ("x",)], "u string")
+    assert [r[0] for r in other.select(canonical_url(F.col("u"))).collect()] == ["a.com/x?a=1&b=2", None, None]
+
+
+def test_rules_and_list(spark):
+    rows = [
+        (1, "https://www.Tion.example.net/en/1"), (2, "https://tion.example.net/de/1"), (3, "http://m.x.example.com/de/5.html"),
+        (4, "http://a.org/fr/1?x"), (5, "http://a.org/de/9?page=2"), (6, "http://net"), (7, None), (8, "http://notexample.com/de/"), (8, "http://notexample.com/de/"), (None, "http://borg/fr/"),
+    ]
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, host string, listed string")
+    listed = spark.createDataFrame([("https://www.a.org/de/9?page=2&utm_x=1",), (None,), ("",)], "url string")
+    got = sorted((str(r.page_id), r.rule, r.verdict) for r in judge_urls(pages, listed, SITE_RULES).collect())
+    assert got == sorted([
+        ("1", "example.net/en/", "allow"), ("2", "net/", "block"), ("3", "example.com/de/", "block"), ("4", "org/fr/", "allow"), ("5", None, "block"),
+        ("6", None, "allow"), ("7", None, "allow"), ("8", None, "allow"), ("8", None, "allow"), ("None", None, "allow"),
+    ], key=str)
+    assert judge_urls(pages.limit(0), listed, SITE_RULES).count() == 0
+    assert {r.verdict for r in judge_urls(pages, listed.limit(0)).collect()} == {"allow"}
+
+
+def test_longest_rule_wins(spark):
+    pages = spark.createDataFrame([(1, "http://a.b.c/x/y")], "page_id long, url string")
+    rules = [SiteRule("block", "b.c", "/x/"), SiteRule("allow", "c", "/x/y"), SiteRule("block", "a.b.c", "/")]
+    row = judge_urls(pages, pages.select("url").limit(0), rules).first()
+    assert (row.rule, row.verdict) == ("a.b.c/", "block")
+    with pytest.raises(ValueError):
+        judge_urls(pages, pages.select("url"), rules * 200)
+
+
+@pytest.mark.parametrize("most", [1 << 19, 2])
+def test_bloom_filter_misses_nothing(spark, monkeypatch, most):
+    monkeypatch.setattr(url_filter, "MAX_BLOCKS", most)
+    keys = spark.range(2000).selectExpr("concat('k', id) AS k")
+    blocks, n = bloom_blocks(keys, "k", 2000)
+    asked = spark.range(6000).selectExpr("concat('k', id) AS k", "id")
+    hits = probe(asked, "k", blocks, n, "hit").filter("hit")
+    assert hits.filter("id < 2000").count() == 2000
+    if most > 2:
+        assert hits.filter("id >= 2000").count() < 100
+
+
+def test_main_path_is_native(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/x")], "page_id long, url string")
+    plan = judge_urls(pages, pages.select("url"), SITE_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
