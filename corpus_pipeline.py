@@ -29,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = learn(docs, F.coalesce(remainder("doc_id") != 1, F.lit(True)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    judged = predict(docs.select("text", row), model, ["row"])
+    judged = predict(docs.select(row), model, ["row"], within="row")
     kept = judged.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     lang = F.coalesce("row.lang", "lang_pred").alias("lang")
     return kept.select(*[lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])

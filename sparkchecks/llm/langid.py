@@ -154,20 +154,24 @@ def learn(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: st
     return fit([r.lang for r in rows], [np.frombuffer(r.g, np.int32) for r in rows])
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` with lang_pred and score."""
-    base = docs.select(F.col(text_col).alias("__text"), *keep)
+def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text", within: str | None = None) -> DataFrame:
+    """The columns ``keep`` with lang_pred and score.
+
+    ``within`` names the struct among them that holds the text, which is then sent to Python once.
+    """
+    base = docs.select(*keep) if within else docs.select(F.col(text_col).alias("__text"), *keep)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*base.schema.fields[1:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*(base.schema.fields if within else base.schema.fields[1:]), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = held.value, _classes()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                names, scores = score([t if _with_letter(t) else None for t in part.column(0).to_pylist()], model, table)
+                column = part.column(keep.index(within)).field(text_col) if within else part.column(0)
+                names, scores = score([t if _with_letter(t) else None for t in column.to_pylist()], model, table)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"]
+                    [*(part.columns if within else part.columns[1:]), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"]
                 )
 
     return base.mapInArrow(run, schema)

@@ -40,8 +40,7 @@ class Tree:
         x = vectors.astype(np.float64)
         self.order = np.arange(len(x))
         self.first, self.end, self.children, self.centre, self.radius = [], [], [], [], []
-        self._node(x, 0, len(x), x.mean(axis=0) if len(x) else None)
-        todo = [0] if len(x) else []
+        todo = [self._node(x, 0, len(x), x.mean(axis=0))] if len(x) else []
         while todo:
             i = todo.pop()
             lo, hi = self.first[i], self.end[i]
@@ -58,13 +57,13 @@ class Tree:
             todo += self.children[i]
         self.norm = np.array([np.linalg.norm(c) for c in self.centre])
 
-    def _node(self, x: np.ndarray, lo: int, hi: int, centre: np.ndarray | None) -> int:
+    def _node(self, x: np.ndarray, lo: int, hi: int, centre: np.ndarray) -> int:
         self.first.append(int(lo))
         self.end.append(int(hi))
         self.children.append([])
         self.centre.append(centre)
         rows = x[self.order[lo:hi]]
-        self.radius.append(float(np.sqrt(((rows - centre) ** 2).sum(axis=1).max())) if hi > lo else 0.0)
+        self.radius.append(float(np.sqrt(((rows - centre) ** 2).sum(axis=1).max())))
         return len(self.first) - 1
 
     @staticmethod
