@@ -58,9 +58,8 @@ NAMES = re.compile(
     re.I,
 )
 COMMENT = re.compile(r"(?:^|[\s_-])comment|disqus|repl(?:y|ies)(?:$|[\s_-])", re.I)
-#: Names that say little when the same element is also called content or the like.
-WEAK = re.compile(r"(?:^|[\s_-])(?:side|sidebar\w*|header|tags?|legal|notice\w*|alert\w*|search\w*|widgets?|login|foot|nav|skip|modal\w*|overlay\w*)(?=$|[\s_-])", re.I)
-TEXTUAL = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|text|body)(?:$|[\s_-])", re.I)
+#: Names that only sound like the above: "has-sidebar" or the heading of an article.
+HARMLESS = re.compile(r"^(?:has|with|no|without|is|js)[-_]|^(?:article|post|entry|story)[-_]?(?:header|title)$", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SCORED = frozenset("p pre td blockquote li dd div section article main body figcaption h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("div section article main body td blockquote html li ul ol table tbody tr dl center".split())
@@ -169,9 +168,7 @@ class Page:
             return False
         if name in ("article", "header"):
             return bool(COMMENT.search(names))
-        if names and TEXTUAL.search(names):
-            names = WEAK.sub(" ", names)
-        return bool(names and NAMES.search(names))
+        return any(NAMES.search(x) and not HARMLESS.search(x) for x in names.split())
 
     def main_text(self) -> str:
         """The article's text, blocks joined by one space."""
