@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkchecks import RULE_SETS, Rule, plan_run, run_rollup, write_report
+from sparkchecks import RULE_SETS, CatalogTables, FrameTables, Rule, plan_run, register_table_check
+from sparkchecks import run, run_rollup, write_report
 from sparkchecks.operators import coverage
 
 from .column_queries import (
@@ -231,6 +232,64 @@ def formal_run(tables: SampleTables) -> DataFrame:
     return shown(plan_run(tables, RULE_SETS["comprehensive"], only=list(_FORMAL_COUNTS)))
 
 
+def _series_item(i: int) -> tuple[str, str]:
+    """Stand-in of the i-th series table: one array per nation, some an hour short."""
+    short = f"CASE WHEN {i} % 4 = 1 AND n_nationkey % 5 = 2 THEN 1 ELSE 0 END"
+    return f"SELECT array_repeat(0D, 8760 - {short}) AS series FROM nation_rows", f"SELECT sum({short}) FROM nation"
+
+
+_SERIES_CONFIG = RULE_SETS["comprehensive"][2].config
+
+
+@sample(
+    "formal_series_run",
+    f"""
+    SELECT CAST(0 AS integer) AS ordinal, 'time_series_completeness' AS rule_name, 'time_series' AS validation_type,
+           CASE WHEN count(CASE WHEN wrong > 0 THEN 1 END) > 0 THEN 'CRITICAL_FAILURE' ELSE 'SUCCESS' END AS status,
+           count(*) AS total, count(CASE WHEN wrong = 0 THEN 1 END) AS passed, CAST(0 AS bigint) AS warnings,
+           count(CASE WHEN wrong > 0 THEN 1 END) AS failed
+    FROM ({union(*[f"SELECT ({_series_item(i)[1]}) AS wrong" for i in range(len(_SERIES_CONFIG))])}) w""",
+)
+def formal_series_run(tables: SampleTables) -> DataFrame:
+    """The shipped array-length rule with data in every one of its tables, some of wrong length."""
+    tables.files.table("nation").createOrReplaceTempView("nation_rows")
+    frames = {
+        config["table"]: tables.spark.sql(_series_item(i)[0]).withColumnRenamed("series", config["column"])
+        for i, config in enumerate(_SERIES_CONFIG)
+    }
+    return shown(plan_run(FrameTables(tables.spark, frames), RULE_SETS["comprehensive"][2:3]))
+
+
+@sample("stored_run", RUN_DERIVED + RESULTS_SQL)
+def stored_run(tables: SampleTables) -> DataFrame:
+    """A run that writes its graded rows and results, read back from what it wrote."""
+    folder = report_folder(tables.spark)
+    result = run(tables, RULES, output=folder)
+    return shown(tables.spark.read.parquet(f"{folder}/{result.run_id}/rule_results"))
+
+
+@sample(
+    "custom_table_check",
+    """SELECT CAST(0 AS integer) AS ordinal, 'orders_have_lines' AS rule_name, 'orphans' AS validation_type,
+              CASE WHEN max(n) > 0 THEN 'CRITICAL_FAILURE' ELSE 'SUCCESS' END AS status, count(*) AS total,
+              count(CASE WHEN n = 0 THEN 1 END) AS passed, CAST(0 AS bigint) AS warnings, count(CASE WHEN n > 0 THEN 1 END) AS failed
+       FROM (SELECT o_orderpriority, count(CASE WHEN l_orderkey IS NULL THEN 1 END) AS n
+             FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey
+             GROUP BY o_orderpriority) g""",
+)
+def custom_table_check(tables: SampleTables) -> DataFrame:
+    """A cross-table check of one's own: orders without lines, by priority."""
+
+    def orphans(tables, params):
+        lines = tables.table("lineitem").select("l_orderkey").distinct()
+        orders = tables.table("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        found = orders.groupBy(params["by"]).agg(F.count_if(F.col("l_orderkey").isNull()).alias("n"))
+        return found.select(F.when(F.col("n") > 0, "CRITICAL_FAILURE").otherwise("SUCCESS").alias("status"))
+
+    register_table_check("orphans", orphans)
+    return shown(plan_run(tables, [Rule("orders_have_lines", "orphans", {"table": "orders", "by": "o_orderpriority"})]))
+
+
 # --- inventory and coverage, over the sample tables and the rules above
 
 COVERAGE_RULES = [
@@ -278,6 +337,19 @@ def table_inventory(tables: SampleTables) -> DataFrame:
     return coverage.inventory(tables.files).select("table_name", "column_count", "row_count")
 
 
+@sample("catalog_inventory", f"SELECT table_name, column_count, row_count FROM {INVENTORY_SQL} i")
+def catalog_inventory(tables: SampleTables) -> DataFrame:
+    """The same tables as a database of the session catalog; system schemas are not listed."""
+    spark, root = tables.spark, tables.files.root.rstrip("/")
+    database = f"samples_{uuid.uuid5(uuid.NAMESPACE_URL, root).hex[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in SAMPLE_TABLES:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{root}/{name}.parquet'")
+    found = coverage.inventory(CatalogTables(spark)).filter(F.col("schema_name") == database)
+    short = F.substring_index("table_name", ".", -1).alias("table_name")
+    return found.select(short, "column_count", "row_count")
+
+
 @sample(
     "table_columns",
     f"""
