@@ -12,18 +12,18 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, nodes: int) -> DataFrame:
     """Each node links its larger neighbours to the smallest of itself and its neighbours."""
     near = _both(edges)
-    least = stored(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-    moved = near.filter("v > u").join(small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.filter("u <> v").distinct()
+    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    moved = near.filter("v > u").join(small(least, nodes), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.filter("u <> v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, nodes: int) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them; edges have v < u."""
-    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")))
-    moved = edges.join(small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(small(least, nodes), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.filter("u <> v").unionByName(least.withColumnRenamed("m", "v")).distinct()
 
 
@@ -42,6 +42,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        edges = stored(_small_star(_large_star(edges)))
+        nodes = 2 * state[0]  # at most
+        edges = stored(_small_star(stored(_large_star(edges, nodes)), nodes))
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

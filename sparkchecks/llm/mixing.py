@@ -94,7 +94,8 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed
     sources = stored(sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")))
 
     placed = placed_rows(narrow, sources)
-    sums = placed.groupBy("sid", "block").agg(F.sum("size").alias("words")).join(F.broadcast(sources.select("sid", "passes", "rest")) if sources.count() <= MAX_SOURCES else sources.select("sid", "passes", "rest"), "sid")
+    sums = placed.groupBy("sid", "block").agg(F.sum("size").alias("words"))
+    sums = sums.join(small(sources.select("sid", "passes", "rest")), "sid")
     order = F.xxhash64("sid", "block", "passes", F.lit(seed))
     run = Window.partitionBy("sid").orderBy(order, "block")
     sums = sums.withColumn("end", F.sum("words").over(run)).withColumn("begin", F.col("end") - F.col("words"))

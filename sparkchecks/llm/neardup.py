@@ -172,8 +172,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     others = stored(rows.filter(~empty & (F.col("doc_id") != F.col("class_id"))).select("doc_id").distinct())
     classes = named.join(small(others), "doc_id", "left_anti").dropDuplicates(["doc_id", "f1", "f2"]).withColumnRenamed("doc_id", "c")
 
-    links = _links(base, classes, k, percent)
-    found = stored(components(links)).select(F.col("node").alias("class_id"), "component")
+    found = _linked_classes(base, classes, k, percent).withColumnRenamed("c", "class_id")
     out = rows.join(small(found), "class_id", "left")
     component = F.coalesce("component", "class_id")
     return out.select(
@@ -280,8 +279,8 @@ def _chunked(tagged: DataFrame, fine: DataFrame) -> DataFrame:
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "c")
 
 
-def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that join the classes into their components."""
+def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Components (c, component) of the classes that have links; every link is confirmed."""
     spark = base.sparkSession
     entries = classes.select("c", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
@@ -289,6 +288,7 @@ def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     ids = stored(active.select("c").distinct())
     minima = stored(classes.join(small(ids), "c", "left_semi").select("c", "n_shingles", "minima", "bands"))
     state = {"parts": ids.withColumn("component", F.col("c")), "links": spark.createDataFrame([], "a bigint, b bigint"), "sets": None}
+    state["components"] = spark.createDataFrame([], "c bigint, component bigint")
 
     def read_sets(wanted: DataFrame) -> None:
         """Texts of wanted ids that were not read before are read again for their sets."""
@@ -319,8 +319,10 @@ def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         if found.isEmpty():
             return
         state["links"] = state["links"].unionByName(found)
-        joined = components(state["links"]).withColumnRenamed("node", "c")
-        state["parts"] = stored(ids.join(joined, "c", "left").select("c", F.coalesce("component", "c").alias("component")))
+        joined = stored(components(state["links"])).withColumnRenamed("node", "c")
+        state["components"] = joined
+        parts = ids.join(small(joined), "c", "left")
+        state["parts"] = stored(parts.select("c", F.coalesce("component", "c").alias("component")))
 
     for leader in (F.min("c"), F.min_by("c", F.xxhash64("c"))):
         tagged = unsettled(active)
@@ -337,4 +339,4 @@ def _links(base: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         fine = minima.select("c", F.col("n_shingles").alias("n"), "bands").join(state["sets"].select("c", "fine"), "c")
         blocks = stored(_in_blocks(_chunked(tagged, fine), percent))
         add(stored(_confirmed_blocks(blocks, state["sets"], percent)))
-    return state["links"]
+    return state["components"]

@@ -192,7 +192,24 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
-@query()
+@query(
+    r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b, c = x.n AND c = y.n AS same FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a),
+g AS (SELECT x, min(y) AS component FROM r GROUP BY x),
+e AS (SELECT a, least(a, min(b)) AS class FROM l WHERE same GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+  coalesce(component, d.doc_id) = d.doc_id AS kept, coalesce(class, d.doc_id) AS class_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN g ON d.doc_id = g.x LEFT JOIN e ON d.doc_id = e.a"""
+)
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
