@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="llm-")
     spark.conf.set("spark.checkpoint.dir", folder)
