@@ -432,7 +432,7 @@ _TABLE_COVERAGE_SQL = f"""
 
 @sample("column_coverage", _TABLE_COVERAGE_SQL)
 def column_coverage(tables: SampleTables) -> DataFrame:
-    return coverage.table_coverage(*found_and_declared(tables)).drop("schema_name").fillna(0)
+    return coverage.table_coverage(*found_and_declared(tables)).drop("schema_name", "covered_columns_found").fillna(0)
 
 
 @sample(
