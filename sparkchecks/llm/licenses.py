@@ -3,9 +3,10 @@
 Words (runs of letters and digits, A-Z lower-cased) of each template are hashed in runs of
 ``RUN``; of each ``WINDOW`` neighbouring hashes the smallest is kept (winnowing), and an inverted
 index maps it to its templates and places. A text's runs are looked up in the index; hits of one
-template whose implied beginnings lie close together are one candidate. It is aligned with the
-template inside a band around that beginning (match 2, mismatch or gap -1), which gives matched
-coverage and span. Of overlapping matches the one with more matched words is kept.
+template whose implied beginnings lie within ``BAND`` words are one candidate. It is aligned with
+the template inside a band around that beginning (match 2, mismatch or gap -1), which gives matched
+coverage and span. Of overlapping matches the one with more matched words is kept, and the words
+before and behind it are aligned again, so repeats at any distance are found.
 
 A statement is reported if at least ``MIN_COVERAGE`` of its words match. With a band of
 ``BAND`` words, up to that many words may be inserted or missing.
@@ -17,7 +18,9 @@ scanned. The templates are a parameter (name to text) and small enough to go wit
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -104,20 +107,21 @@ class Index:
         found = sorted({(int(self.template[x]), int(i - self.place[x])) for i in np.flatnonzero(right > left) for x in range(left[i], right[i])})
         out: list[tuple[int, int]] = []
         for t, begin in found:
-            if not out or out[-1][0] != t or begin - last > BAND:
+            # A group spans at most BAND words, so the band around its beginning reaches as far around each hit.
+            if not out or out[-1][0] != t or begin - out[-1][1] > BAND:
                 out.append((t, begin))
-            last = begin
         return out
 
 
-def align(template: np.ndarray, text: np.ndarray, begin: int, band: int = BAND) -> tuple[int, int, int]:
-    """Matched words, first and end word of the best local alignment within the band."""
+def align(template: np.ndarray, text: np.ndarray, begin: int, band: int = BAND, low: int = 0, high: int | None = None) -> tuple[int, int, int]:
+    """Matched words, first and end word of the best local alignment within the band and the words from low to high."""
+    high = len(text) if high is None else high
     zero = (0, 0, 0, 0)  # score, matched, first, end
     above: dict[int, tuple[int, int, int, int]] = {}
     best = zero
     for i, word in enumerate(template):
         row: dict[int, tuple[int, int, int, int]] = {}
-        for j in range(max(0, begin + i - band), min(len(text), begin + i + 2 * band + 1)):
+        for j in range(max(low, begin + i - band), min(high, begin + i + 2 * band + 1)):
             score, matched, first, end = above.get(j - 1, zero)
             if text[j] == word:
                 cell = (score + 2, matched + 1, first if matched else j, j + 1)
@@ -136,20 +140,34 @@ def align(template: np.ndarray, text: np.ndarray, begin: int, band: int = BAND)
 
 def matches(index: Index, hashes: np.ndarray, value: np.ndarray, least: float) -> list[tuple[int, int, int, int]]:
     """Template, matched words, first and end word of what is reported for one text."""
-    found = []
+    heap: list[tuple] = []
+    firsts: list[int] = []  # sorted first words of the reported spans
+    kept: dict[int, tuple[int, int, int, int]] = {}
+
+    def seek(t: int, begin: int, low: int, high: int) -> None:
+        size = len(index.words[t])
+        if high - low >= least * size:
+            matched, first, end = align(index.words[t], hashes, begin, low=low, high=high)
+            if matched and matched >= least * size:
+                heappush(heap, (-matched, -matched / size, first, t, end, begin, low, high))
+
     for t, begin in index.candidates(value):
-        matched, first, end = align(index.words[t], hashes, begin)
-        if matched >= least * len(index.words[t]):
-            found.append((t, matched, first, end))
-    found.sort(key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[2], m[0]))
-    kept: list[tuple[int, int, int, int]] = []
-    taken: set[int] = set()
-    for m in found:
-        span = range(m[2], m[3])
-        if taken.isdisjoint(span):
-            kept.append(m)
-            taken.update(span)
-    return sorted(kept, key=lambda m: m[2])
+        seek(t, begin, max(0, begin - BAND), min(len(hashes), begin + len(index.words[t]) + 2 * BAND))
+    while heap:
+        less, _, first, t, end, begin, low, high = heappop(heap)
+        at = bisect_left(firsts, end) - 1
+        if at < 0 or kept[firsts[at]][3] <= first:
+            insort(firsts, first)
+            kept[first] = (t, -less, first, end)
+        # What is left of these words, between the reported spans, is searched again.
+        at = max(bisect_left(firsts, low) - 1, 0)
+        while at < len(firsts) and firsts[at] < high:
+            if kept[firsts[at]][3] > low:
+                seek(t, begin, low, firsts[at])
+                low = kept[firsts[at]][3]
+            at += 1
+        seek(t, begin, low, high)
+    return [kept[x] for x in firsts]
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, least: float = MIN_COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

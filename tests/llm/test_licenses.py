@@ -71,3 +71,17 @@ def test_defined_cases(spark, documents):
     assert text[by[3][0].start_char : by[3][0].end_char] == line.upper()
     assert by[6][0].coverage < 1
     assert scan_licenses(documents(rows[:1]).limit(0)).count() == 0
+
+
+def test_repeats_at_short_distance(spark, documents):
+    """A row for each place, however close together, at the places themselves."""
+    lines = {"all-rights-reserved": ["All rights reserved. "], "mit": ["Released under the MIT License "], "cc-by-sa-4.0": ["Licensed under CC BY-SA 4.0; "]}
+    lines["all-rights-reserved"].append("(c) 2021 Foo All rights reserved\n")
+    texts = [(name, line, n) for name, some in lines.items() for line in some for n in (2, 3, 1000)]
+    got = {}
+    for r in scan_licenses(documents([(i, line * n, None, None) for i, (_, line, n) in enumerate(texts)])).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for i, (name, line, n) in enumerate(texts):
+        begin = line.index(TEMPLATES[name])
+        spans = [(k * len(line) + begin, k * len(line) + begin + len(TEMPLATES[name])) for k in range(n)]
+        assert [(r.license, r.coverage, r.start_char, r.end_char) for r in got[i]] == [(name, 1.0, *s) for s in spans]
