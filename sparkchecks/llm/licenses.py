@@ -1,8 +1,10 @@
 """License statements in texts: winnowed fingerprints, an inverted index, banded alignment.
 
-Words (runs of letters and digits, A-Z lower-cased) of each template are hashed in runs of
-``RUN``; of each ``WINDOW`` neighbouring hashes the smallest is kept (winnowing), and an inverted
-index maps it to its templates and places. A text's runs are looked up in the index; hits of one
+Words (runs of letters and digits, A-Z lower-cased) of each template are hashed in runs of up to
+``RUN``; of up to ``WINDOW`` neighbouring hashes the smallest is kept (winnowing), and an inverted
+index maps it to its templates and places. Both are chosen per template such that every statement
+that is to be reported keeps a fingerprint; short templates are indexed by single words. A text's
+runs are looked up in the index; hits with enough words of their template around them count. Hits of one
 template whose implied beginnings lie within ``BAND`` words are one candidate. It is aligned with
 the template inside a band around that beginning (match 2, mismatch or gap -1), which gives matched
 coverage and span. Of overlapping matches the one with more matched words is kept, and the words
@@ -18,6 +20,7 @@ scanned. The templates are a parameter (name to text) and small enough to go wit
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
 from heapq import heappop, heappush
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import NOT_ALNUM, U, chunks, shingles, words
+from .words import NOT_ALNUM, U, Words, chunks, shingles, words
 
 RUN, WINDOW = 3, 2
 BAND = 6
@@ -80,36 +83,86 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> list[int]:
     return kept
 
 
+def run_and_window(size: int, least: float) -> tuple[int, int]:
+    """Longest run and window of which a reported alignment keeps a fingerprint.
+
+    Words that don't match and up to ``BAND`` inserted ones cut what matches into pieces; the
+    longest of them holds a window of runs.
+    """
+    matched = needed(size, least)
+    whole = -(-matched // (size - matched + BAND + 1))
+    run = min(RUN, max(1, whole - WINDOW + 1))
+    return run, min(WINDOW, whole - run + 1)
+
+
+def needed(size: int, least: float) -> int:
+    """Matched words that a template of that size needs to be reported."""
+    return max(1, math.ceil(least * size))
+
+
 class Index:
-    """Words of each template and the inverted index of their fingerprints."""
+    """Words of each template and the inverted indexes of their fingerprints, one for each length of runs."""
 
-    def __init__(self, templates: Mapping[str, str]) -> None:
+    def __init__(self, templates: Mapping[str, str], least: float = MIN_COVERAGE) -> None:
         self.names = list(templates)
+        self.least = least
         held: dict = {}
         self.words = []
-        places: list[tuple[int, int, int]] = []
+        places: dict[int, list[tuple[int, int, int]]] = {}
         for t, name in enumerate(self.names):
             data = np.frombuffer(templates[name].encode(), np.uint8)
             w = words(data, np.array([0, len(data)]), held, NOT_ALNUM)
+            if not len(w.hash):
+                raise ValueError(f"template {name} has no words")
             self.words.append(w.hash)
-            value, _ = shingles(w, RUN, short_as_one=False)
-            if not len(value):
-                raise ValueError(f"template {name} has fewer than {RUN} words")
-            places += [(int(value[i]), t, i) for i in winnow(value)]
-        places.sort()
-        self.hash = np.array([p[0] for p in places], U)
-        self.template = np.array([p[1] for p in places])
-        self.place = np.array([p[2] for p in places])
-
-    def candidates(self, value: np.ndarray) -> list[tuple[int, int]]:
-        """Template and implied beginning (a word number) of each group of hits in one text."""
-        left, right = np.searchsorted(self.hash, value, "left"), np.searchsorted(self.hash, value, "right")
-        found = sorted({(int(self.template[x]), int(i - self.place[x])) for i in np.flatnonzero(right > left) for x in range(left[i], right[i])})
-        out: list[tuple[int, int]] = []
-        for t, begin in found:
-            # A group spans at most BAND words, so the band around its beginning reaches as far around each hit.
-            if not out or out[-1][0] != t or begin - out[-1][1] > BAND:
-                out.append((t, begin))
+            run, window = run_and_window(len(w.hash), least)
+            value, _ = shingles(w, run, short_as_one=False)
+            places.setdefault(run, []).extend((int(value[i]), t, i) for i in winnow(value, window))
+        #: Hashes (sorted), templates and places by length of runs.
+        self.runs = {}
+        for run, found in places.items():
+            found.sort()
+            self.runs[run] = (np.array([p[0] for p in found], U), np.array([p[1] for p in found]), np.array([p[2] for p in found]))
+        self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, U)
+        self.counts = [np.bincount(np.searchsorted(self.vocabulary, x), minlength=len(self.vocabulary) + 1) for x in self.words]
+
+    def candidates(self, w: Words) -> dict[int, list[tuple[int, int]]]:
+        """By document of a chunk: template and implied beginning (a word number) of each group of hits.
+
+        Hits whose band holds too few words of the template to be reported are left out.
+        """
+        bounds = np.searchsorted(w.doc, np.arange(w.n_docs + 1))
+        own = np.full(len(w.hash), len(self.vocabulary))
+        if len(self.vocabulary):
+            at = np.minimum(np.searchsorted(self.vocabulary, w.hash), len(self.vocabulary) - 1)
+            own = np.where(self.vocabulary[at] == w.hash, at, own)
+        out: dict[int, list[tuple[int, int]]] = {}
+        for run, (hashes, template, place) in self.runs.items():
+            value, doc = shingles(w, run, short_as_one=False)
+            left, right = np.searchsorted(hashes, value, "left"), np.searchsorted(hashes, value, "right")
+            hit = np.flatnonzero(right > left)
+            n = (right - left)[hit]
+            entry = np.repeat(left[hit] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            hit = np.repeat(hit, n)
+            # Word number of each hit in the chunk, from its number among the runs of its document.
+            begin = hit - np.searchsorted(doc, doc[hit]) + bounds[doc[hit]] - place[entry]
+            for t in np.unique(template[entry]):
+                of = template[entry] == t
+                begins, docs = begin[of], doc[hit[of]]
+                size, least = len(self.words[t]), needed(len(self.words[t]), self.least)
+                low, high = np.maximum(begins - BAND, bounds[docs]), np.minimum(begins + size + BAND, bounds[docs + 1])
+                sums = np.concatenate([[0], np.cumsum(self.counts[t][own] > 0)])
+                enough = sums[high] - sums[low] >= least
+                found = np.unique(np.stack([docs[enough], begins[enough]], axis=1), axis=0)
+                last, first = -1, 0
+                for d, x in found.tolist():
+                    # A group spans at most BAND words, so the band around its beginning reaches as far around each hit.
+                    if d == last and x - first <= BAND:
+                        continue
+                    last, first = d, x
+                    near = own[max(x - BAND, bounds[d]) : min(x + size + 2 * BAND, bounds[d + 1])]
+                    if np.minimum(np.bincount(near, minlength=len(self.vocabulary) + 1), self.counts[t]).sum() >= least:
+                        out.setdefault(d, []).append((int(t), int(x - bounds[d])))
         return out
 
 
@@ -138,7 +191,7 @@ def align(template: np.ndarray, text: np.ndarray, begin: int, band: int = BAND,
     return best[1:]
 
 
-def matches(index: Index, hashes: np.ndarray, value: np.ndarray, least: float) -> list[tuple[int, int, int, int]]:
+def matches(index: Index, hashes: np.ndarray, candidates: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
     """Template, matched words, first and end word of what is reported for one text."""
     heap: list[tuple] = []
     firsts: list[int] = []  # sorted first words of the reported spans
@@ -146,12 +199,12 @@ def matches(index: Index, hashes: np.ndarray, value: np.ndarray, least: float) -
 
     def seek(t: int, begin: int, low: int, high: int) -> None:
         size = len(index.words[t])
-        if high - low >= least * size:
+        if high - low >= needed(size, index.least):
             matched, first, end = align(index.words[t], hashes, begin, low=low, high=high)
-            if matched and matched >= least * size:
+            if matched >= needed(size, index.least):
                 heappush(heap, (-matched, -matched / size, first, t, end, begin, low, high))
 
-    for t, begin in index.candidates(value):
+    for t, begin in candidates:
         seek(t, begin, max(0, begin - BAND), min(len(hashes), begin + len(index.words[t]) + 2 * BAND))
     while heap:
         less, _, first, t, end, begin, low, high = heappop(heap)
@@ -178,17 +231,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, l
     schema = f"doc_id {kind}, license string, coverage double, matched bigint, start_char bigint, end_char bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, held = Index(templates), {}
+        index, held = Index(templates, least), {}
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(1)):
                 w = words(data, offs, held, NOT_ALNUM)
-                value, doc = shingles(w, RUN, short_as_one=False)
-                at = np.searchsorted(doc, np.arange(j - i + 1))
                 word_at = np.searchsorted(w.doc, np.arange(j - i + 1))
                 rows, out = [], []
-                for d in np.unique(doc[np.isin(value, index.hash)]):
+                for d, candidates in sorted(index.candidates(w).items()):
                     own = slice(word_at[d], word_at[d + 1])
-                    for t, matched, first, end in matches(index, w.hash[own], value[at[d] : at[d + 1]], least):
+                    for t, matched, first, end in matches(index, w.hash[own], candidates):
                         span = [offs[d], w.start[own][first], w.end[own][end - 1]]
                         chars = [int(((data[x:y] & 0xC0) != 0x80).sum()) for x, y in zip(span, span[1:], strict=False)]
                         rows.append(i + int(d))

@@ -85,3 +85,37 @@ def test_repeats_at_short_distance(spark, documents):
         begin = line.index(TEMPLATES[name])
         spans = [(k * len(line) + begin, k * len(line) + begin + len(TEMPLATES[name])) for k in range(n)]
         assert [(r.license, r.coverage, r.start_char, r.end_char) for r in got[i]] == [(name, 1.0, *s) for s in spans]
+
+
+def test_every_word_of_a_short_template_may_be_missing(spark, documents):
+    """Each word left out or replaced, and a word put in: found whenever alignment over the whole text finds it."""
+    index = Index(TEMPLATES)
+    texts, want = [], []
+    for name, text in TEMPLATES.items():
+        have = text.split()
+        if len(tokens(text)) > 16:
+            continue
+        for i in range(len(have)):
+            for change in ([], ["xyzzy"], [have[i], "xyzzy"]):
+                texts.append(" ".join(["some", "words", *have[:i], *change, *have[i + 1 :], "and", "more"]))
+                held = {w: h for n, ws in zip(index.names, index.words, strict=True) for w, h in zip(tokens(TEMPLATES[n]), ws, strict=True)}
+                t = index.words[index.names.index(name)]
+                matched = align(t, np.array([held.get(w, 0) for w in tokens(texts[-1])], np.uint64), 0, band=100)[0]
+                want.append((name, matched) if matched >= licenses.MIN_COVERAGE * len(t) else None)
+    got = {}
+    for r in scan_licenses(documents([(i, x, None, None) for i, x in enumerate(texts)])).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.matched))
+    assert sum(x is not None for x in want) > 100
+    for i, x in enumerate(want):
+        assert x is None or x in got.get(i, []) or max(m for _, m in got[i]) >= x[1], texts[i]
+
+
+def test_long_templates_keep_a_fingerprint():
+    """Evenly spread changes are the hardest for runs."""
+    for text in TEMPLATES.values():
+        for size in {len(tokens(text)), 20, 33, 70}:
+            run, window = licenses.run_and_window(size, licenses.MIN_COVERAGE)
+            matched = licenses.needed(size, licenses.MIN_COVERAGE)
+            pieces = size - matched + licenses.BAND + 1
+            assert 1 <= run <= licenses.RUN and 1 <= window <= licenses.WINDOW
+            assert -(-matched // pieces) >= run + window - 1
