@@ -5,7 +5,8 @@ divided by the root of the product of their own numbers. It is approximated from
 (Nystroem: ``K(x, L) (K(L, L) + ridge)^(-1/2)``), and kernel ridge regression is solved on these
 features, one language against the rest. Since the kernel is a product of presence vectors, the
 landmarks, the Nystroem matrix and the regression fold into one matrix (n-grams x languages) per
-model; a batch of documents is scored by one product of its presence matrix with it.
+model; a document is scored by the sum of the rows of its n-grams. N-grams consist of code points
+in lower case (letters and marks of all scripts), so none are taken for each other.
 
 Fitting uses at most ``PER_LANGUAGE`` texts per language and ``MAX_SAMPLE`` in all, chosen by a
 hash of the id from the rows it is given; scoring reads every whole text. Only the n-grams and
@@ -19,7 +20,9 @@ alike; languages are whatever non-NULL labels the sample has.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -34,48 +37,45 @@ LANDMARKS = 256
 RIDGE = 1e-2
 #: Characters of a text that are turned into n-grams at a time.
 CHUNK = 1 << 18
-#: Letters have classes 1 to 61 (a-z, then others by their code); 0 is everything else.
-CLASSES = 62
+#: The class of a letter or mark is the code point of its lower case; 0 is everything else.
+CLASSES = 0x110000
 UNDETERMINED = "und"
 SIZES = (CLASSES, CLASSES**2, CLASSES**3)
-TOTAL = sum(SIZES)
+#: N-grams of the landmarks that are multiplied at a time.
+BLOCK = 1 << 14
 
 
+@cache
 def _classes() -> np.ndarray:
-    table = np.zeros(0x10000, np.int32)
-    for code in range(0x10000):
+    table = np.zeros(CLASSES, np.int32)
+    for code in range(CLASSES):
         char = chr(code)
-        if char.isalpha():
-            low = char.lower()
-            c = ord(low[0])
-            table[code] = c - 96 if 97 <= c <= 122 else 27 + (c * 7 + (c >> 8)) % 35
+        if char.isalpha() or category(char)[0] == "M":
+            table[code] = ord(char.lower()[0])
     return table
 
 
 def present(text: str, table: np.ndarray) -> np.ndarray:
     """Codes of the n-grams present in a text, sorted. A run of other characters counts as one."""
-    flags = np.zeros(TOTAL, bool)
-    tail = np.zeros(1, np.int32)
+    found = []
+    tail = np.zeros(1, np.int64)
     for at in range(0, len(text), CHUNK):
         codes = np.frombuffer(text[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = table[np.minimum(codes, 0xFFFF)]
-        c = np.concatenate([tail, c])
+        c = np.concatenate([tail, table[codes]])
         keep = np.empty(len(c), bool)
         keep[0] = True
         keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
         c = c[keep]
-        flags[c] = True
         two = c[:-1] * CLASSES + c[1:]
-        flags[SIZES[0] + two] = True
-        flags[SIZES[0] + SIZES[1] + two[:-1] * CLASSES + c[2:]] = True
+        found.append(np.unique(np.concatenate([c, SIZES[0] + two, SIZES[0] + SIZES[1] + two[:-1] * CLASSES + c[2:]])))
         tail = c[-2:]
     if tail[-1]:
-        flags[SIZES[0] + tail[-1] * CLASSES] = True
-    return np.flatnonzero(flags).astype(np.int32)
+        found.append(SIZES[0] + tail[-1:] * CLASSES)
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 class Model(NamedTuple):
-    """``weights[columns[code]]`` is the row of an n-gram; unseen ones have the last, of zeros."""
+    """``weights`` has a row for each n-gram of ``columns`` (sorted codes) and a last one, of zeros, for others."""
 
     languages: list[str]
     columns: np.ndarray
@@ -94,27 +94,44 @@ def fit(labels: list[str], grams: list[np.ndarray]) -> Model | None:
         own = [i for i, x in enumerate(labels) if x == lang]
         marks += list(rng.permutation(own)[:each])
     used = np.unique(np.concatenate([grams[i] for i in marks]))
-    columns = np.full(TOTAL, len(used), np.int32)
-    columns[used] = np.arange(len(used))
-
-    def presence(g: np.ndarray) -> np.ndarray:
-        row = np.zeros(len(used) + 1, np.float32)
-        row[columns[g]] = 1
-        return row[:-1] / np.sqrt(max(len(g), 1))
-
-    land = np.stack([presence(grams[i]) for i in marks])
-    inner = (land @ land.T).astype(np.float64)
+    places = [_places(g, used) for g in grams]
+    places = [x[x < len(used)] for x in places]
+
+    def presence(rows: list[int], start: int) -> np.ndarray:
+        out = np.zeros((len(rows), min(BLOCK, len(used) - start)), np.float32)
+        for k, i in enumerate(rows):
+            own = places[i][slice(*np.searchsorted(places[i], [start, start + BLOCK]))]
+            out[k, own - start] = 1 / np.sqrt(max(len(grams[i]), 1))
+        return out
+
+    # By blocks of n-grams: some scripts have very many.
+    kernel = np.zeros((len(grams), len(marks)))
+    for start in range(0, len(used), BLOCK):
+        land = presence(marks, start)
+        for i in range(0, len(grams), 200):
+            rows = list(range(i, min(i + 200, len(grams))))
+            kernel[rows] += presence(rows, start) @ land.T
+    inner = kernel[marks]
     values, vectors = np.linalg.eigh(inner + 1e-6 * np.eye(len(marks)))
     root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
-    features = np.concatenate([np.stack([presence(g) for g in grams[i : i + 200]]) @ land.T for i in range(0, len(grams), 200)]) @ root
+    features = kernel @ root
     target = np.array([[float(x == lang) for lang in languages] for x in labels])
     # Every language weighs the same, however many texts it has.
     weight = 1 / np.maximum(target.sum(axis=0), 1)
     w = (target * weight).sum(axis=1)[:, None]
     solved = np.linalg.solve(features.T @ (w * features) + RIDGE / len(labels) * np.eye(features.shape[1]), features.T @ (w * target))
     weights = np.zeros((len(used) + 1, len(languages)), np.float32)
-    weights[:-1] = land.T @ (root @ solved)
-    return Model(languages, columns, weights)
+    for start in range(0, len(used), BLOCK):
+        weights[start : min(start + BLOCK, len(used))] = presence(marks, start).T @ (root @ solved)
+    return Model(languages, used, weights)
+
+
+def _places(g: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Places of n-grams in sorted codes; their number for those that are not among them."""
+    if not len(columns):
+        return np.zeros(len(g), np.int64)
+    at = np.minimum(np.searchsorted(columns, g), len(columns) - 1)
+    return np.where(columns[at] == g, at, len(columns))
 
 
 def _with_letter(text: str | None) -> bool:
@@ -151,7 +168,7 @@ def learn(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: st
     rows = base.mapInArrow(run, f"doc_id {kind}, lang string, g binary").filter("g IS NOT NULL")
     # One row for each id and language: repeated rows can't swell the sample.
     rows = sorted(rows.groupBy("doc_id", "lang").agg(F.min("g").alias("g")).collect(), key=lambda r: (r.doc_id, r.lang))
-    return fit([r.lang for r in rows], [np.frombuffer(r.g, np.int32) for r in rows])
+    return fit([r.lang for r in rows], [np.frombuffer(r.g, np.int64) for r in rows])
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text", within: str | None = None) -> DataFrame:
@@ -181,14 +198,11 @@ def score(texts: list[str | None], model: Model | None, table: np.ndarray) -> tu
     """Best language and its regression value, between 0 and 1, of each text."""
     if model is None:
         return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    rows = np.zeros((len(texts), len(model.weights)), np.float32)
-    size = np.ones(len(texts))
+    values = np.zeros((len(texts), len(model.languages)))
     for i, text in enumerate(texts):
         if text is not None:
             g = present(text, table)
-            rows[i, model.columns[g]] = 1
-            size[i] = max(len(g), 1)
-    values = (rows @ model.weights) / np.sqrt(size)[:, None]
+            values[i] = model.weights[_places(g, model.columns)].sum(axis=0, dtype=np.float64) / np.sqrt(max(len(g), 1))
     best = values.argmax(axis=1)
     top = np.clip(values[np.arange(len(texts)), best], 0, 1).astype(float)
     names = [UNDETERMINED if t is None else model.languages[b] for t, b in zip(texts, best, strict=True)]

@@ -90,3 +90,35 @@ def test_sample_is_bounded(spark, monkeypatch, allowed):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     counts = langid.training_rows(docs, "doc_id", "lang", F.lit(allowed)).groupBy("lang").count().collect()
     assert all(r["count"] == 5 for r in counts) and bool(counts) == allowed
+
+
+LETTERS = {"Cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "Adlam": "".join(map(chr, range(0x1E922, 0x1E944)))}
+
+
+@pytest.mark.parametrize("script", LETTERS)
+def test_languages_of_one_script_on_long_texts(script):
+    """Two languages that share a script but not their words, on texts of thousands of words."""
+    rng = np.random.default_rng(5)
+    table = langid._classes()
+    lexicon = {lang: ["".join(rng.choice(list(LETTERS[script]), rng.integers(3, 8))) for _ in range(1500)] for lang in ("aa", "bb")}
+    labels = [lang for _ in range(20) for lang in lexicon]
+    texts = [" ".join(rng.choice(lexicon[lang], 3000)) for lang in labels]
+    model = langid.fit(labels[:20], [langid.present(t, table) for t in texts[:20]])
+    names, scores = langid.score(texts[20:], model, table)
+    assert names == labels[20:] and min(scores) > 0.5
+
+
+def test_letters_have_classes_of_their_own():
+    table = langid._classes()
+    for letters in LETTERS.values():
+        assert len({int(table[ord(c)]) for c in letters}) == len(letters)
+    assert table[ord("Ж")] == table[ord("ж")] > 0 and table[ord("ि")] > 0 and table[ord("7")] == 0
+
+
+def test_blocks_of_ngrams_change_nothing(monkeypatch):
+    table = langid._classes()
+    texts, labels = ["der Hund und die Katze", "the cat and the dog", "das Haus ist alt", "this house is old"], ["de", "en", "de", "en"]
+    grams = [langid.present(t, table) for t in texts]
+    whole = langid.fit(labels, grams)
+    monkeypatch.setattr(langid, "BLOCK", 7)
+    assert np.allclose(whole.weights, langid.fit(labels, grams).weights, atol=1e-4)
