@@ -2,7 +2,8 @@
 
 A page is read into arrays: parent, tag and flags of each element, and its texts in page order.
 Elements that never hold an article (menus, forms, adverts and so on) are marked with all they
-contain. Each paragraph earns points for its length and commas and passes them up: all to its
+contain; those known by class or id alone are spared, with fewer points, if they contain the
+article or most points of the page. Each paragraph earns points for its length and commas and passes them up: all to its
 parent, a half to the next, less to those above. An element's score is discounted by the share of
 its text inside links. The best element is kept, with siblings that score well or read like
 paragraphs; an ``article`` around the best one is taken whole.
@@ -29,7 +30,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden|aria-modal)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?|\"[^\"]*\"|'[^']*'")
 
 # Element names of HTML by their role in parsing and layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,27 +59,34 @@ NAMES = re.compile(
     re.I,
 )
 COMMENT = re.compile(r"(?:^|[\s_-])comment|disqus|repl(?:y|ies)(?:$|[\s_-])", re.I)
+#: Names of parts that may well have more text than the article: most of the points don't make them one.
+WORDY = re.compile(COMMENT.pattern + r"|respond|cookie|consent|gdpr|advert|sponsor|promo|popup|modal|overlay|newsletter|subscri|disclaimer|legal|related|recommend|outbrain|taboola", re.I)
 #: Names that only sound like the above: "has-sidebar" or the heading of an article.
 HARMLESS = re.compile(r"^(?:has|with|no|without|is|js)[-_]|^(?:article|post|entry|story)[-_]?(?:header|title)$", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SCORED = frozenset("p pre td blockquote li dd div section article main body figcaption h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("div section article main body td blockquote html li ul ol table tbody tr dl center".split())
+#: Share of its points that an element keeps if its name is that of a part without article.
+SPARED = 0.25
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FAVOURED = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 3.0, "ul": -3.0, "ol": -3.0, "li": -3.0, "table": -3.0}
 
 
 def _flags(attributes: str) -> tuple[str, str, bool]:
-    names, role, hidden = [], "", False
+    names, role, hidden, seen = [], "", False, set()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
+        if name in seen:
+            continue  # the first of equal names counts
+        seen.add(name)
         if name in ("class", "id"):
             names.append(value)
         elif name == "role":
             role = value.lower()
         elif name == "style":
             hidden = hidden or bool(HIDDEN.search(value))
-        else:
-            hidden = hidden or (name == "hidden" or value.lower() == "true")
+        elif name == "hidden" or name in ("aria-hidden", "aria-modal") and value.lower() == "true":
+            hidden = True
     return " ".join(names), role, hidden
 
 
@@ -87,6 +95,7 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.tag, self.parent, self.dropped = ["#"], [-1], [False]
+        self.named, self.wordy = [False], [False]  # not wanted by its class or id alone; one of WORDY
         self.texts: list[tuple[int, str]] = []  # element and text; a block's edge is an empty text
         self._read(source)
 
@@ -148,7 +157,10 @@ class Page:
             node, up = len(self.tag), stack[-1]
             self.tag.append(name)
             self.parent.append(up)
-            self.dropped.append(self.dropped[up] or self._never(name, attributes, opened))
+            never, named = self._never(name, attributes, opened)
+            self.dropped.append(self.dropped[up] or never)
+            self.named.append(named)
+            self.wordy.append(named and bool(WORDY.search(_flags(attributes)[0])))
             if not (attributes.endswith("/") and name not in BLOCK):
                 stack.append(node)
                 opened[name] = opened.get(name, 0) + 1
@@ -156,30 +168,64 @@ class Page:
             if at < len(source):
                 self.texts.append((stack[-1], source[at:]))
 
-    def _never(self, name: str, attributes: str, opened: dict[str, int]) -> bool:
+    def _never(self, name: str, attributes: str, opened: dict[str, int]) -> tuple[bool, bool]:
+        """Whether an element never holds an article, and whether its class or id says so."""
         if name in NEVER or name == "header" and not (opened.get("article") or opened.get("main")):
-            return True
+            return True, False
         if not attributes:
-            return False
+            return False, False
         names, role, hidden = _flags(attributes)
         if hidden or role in ROLES:
-            return True
+            return True, False
         if name in ("body", "html", "main"):
-            return False
+            return False, False
         if name in ("article", "header"):
-            return bool(COMMENT.search(names))
-        return any(NAMES.search(x) and not HARMLESS.search(x) for x in names.split())
+            return bool(COMMENT.search(names)), False
+        return False, any(NAMES.search(x) and not HARMLESS.search(x) for x in names.split())
+
+    def _spare(self, points: list[float]) -> list[bool]:
+        """Drop elements by name, but those around the article or most points; tells which were spared."""
+        n = len(self.tag)
+        total = points[:]
+        for i in range(n - 1, 0, -1):
+            total[self.parent[i]] += total[i]
+        inside = [False] * n
+        for i in range(1, n):
+            inside[i] = self.named[i] or inside[self.parent[i]]
+        spared = [self.named[i] and total[i] > (0.999 if self.wordy[i] else 0.5) * total[0] for i in range(n)]
+        for tag in ("article", "main"):
+            if found := [i for i in range(1, n) if self.tag[i] == tag and not self.dropped[i] and total[i]]:
+                if all(inside[i] for i in found):
+                    up = max(found, key=lambda i: (total[i], -i))
+                    while up > 0:
+                        spared[up] = self.named[up]
+                        up = self.parent[up]
+                break
+        for i in range(1, n):
+            self.dropped[i] = self.dropped[i] or self.dropped[self.parent[i]] or self.named[i] and not spared[i]
+        return spared
 
     def main_text(self) -> str:
         """The article's text, blocks joined by one space."""
         n = len(self.tag)
-        own, commas, linked, in_link = [0] * n, [0] * n, [0] * n, [False] * n
+        own, linked, in_link = [0] * n, [0] * n, [False] * n
         for i in range(1, n):
             in_link[i] = self.tag[i] == "a" or in_link[self.parent[i]]
-        direct = [0] * n  # text outside of inner blocks
+        commas, direct = [0] * n, [0] * n  # of the text outside of inner blocks
         holder = list(range(n))
         for i in range(1, n):
             holder[i] = i if self.tag[i] in BLOCK else holder[self.parent[i]]
+        for node, text in self.texts:
+            if text and not self.dropped[node]:
+                commas[holder[node]] += text.count(",") + text.count("、") + text.count("，")
+                direct[holder[node]] += len(text.strip())
+        points = [0.0] * n
+        for i in range(1, n):
+            if direct[i] and self.tag[i] in SCORED and not in_link[i] and not self.dropped[i]:
+                points[i] = (1.0 if direct[i] >= 25 else 0.2) + commas[i] + min(direct[i] / 100, 3.0)
+        spared = self._spare(points) if any(self.named) else [False] * n
+        # Again without the text of elements that were dropped by name.
+        commas, direct = [0] * n, [0] * n
         for node, text in self.texts:
             if text and not self.dropped[node]:
                 size = len(text.strip())
@@ -209,12 +255,14 @@ class Page:
                 up, level = (i, 0) if tag in CONTAINER and tag not in ("li", "td") else (self.parent[i], 0)
                 while up > 0:
                     score[up] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
+                    points *= SPARED if spared[up] else 1
                     up, level = self.parent[up], level + 1
-        best = 0
+        best, factor = 0, [1.0] * n
         for i in range(1, n):
+            factor[i] = factor[self.parent[i]] * (SPARED if spared[i] else 1)
             if score[i] and not self.dropped[i] and self.tag[i] in CONTAINER:
                 score[i] = (score[i] + FAVOURED.get(self.tag[i], 0.0)) * (1 - linked[i] / max(own[i], 1))
-                if not best or score[i] > score[best]:
+                if not best or score[i] * factor[i] > score[best] * factor[best]:
                     best = i
         chosen = {best}
         up = best
@@ -225,16 +273,20 @@ class Page:
         if best and best in chosen and self.tag[best] not in ("article", "body", "html"):
             enough = max(10.0, 0.2 * score[best])
             for i in range(1, n):
-                if self.parent[i] == self.parent[best] and i != best and not self.dropped[i]:
+                if self.parent[i] == self.parent[best] and i != best and not self.dropped[i] and not spared[i]:
                     share = linked[i] / max(own[i], 1)
                     reads = self.tag[i] in ("p", "pre", "blockquote", "ul", "ol") and own[i] and share < 0.25
                     if score[i] >= enough or reads or self.tag[i] in HEADINGS:
                         chosen.add(i)
+        around, up = set(), best  # the best element and those that contain it
+        while up > 0:
+            around.add(up)
+            up = self.parent[up]
         kept = [False] * n
         kept[0] = 0 in chosen
         for i in range(1, n):
             menu = links[i] >= 3 and linked[i] >= 0.8 * own[i] and i not in chosen
-            kept[i] = not self.dropped[i] and not menu and (i in chosen or kept[self.parent[i]])
+            kept[i] = not self.dropped[i] and not menu and (i in chosen or kept[self.parent[i]] and (not spared[i] or i in around or not best))
         words = "".join(html.unescape(t) if t else " " for node, t in self.texts if not t or kept[node]).split()
         return " ".join(words)
 

@@ -57,3 +57,22 @@ def test_given_pages(spark):
         plain = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", inner))
         assert r.text == " ".join(html.unescape(plain).split())
         assert r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        (f'<article><p>{LONG} <a href="/hidden-gems">gems</a></p></article>', LONG + " gems"),
+        (f'<article><p title="The hidden valley">{LONG}</p></article>', LONG),
+        (f'<article><p data-hidden="false" data-role=navigation>{LONG}</p></article>', LONG),
+        (f'<div><p><a href="/p?id=nav">see</a> {LONG}</p></div>', "see " + LONG),
+        (f'<div><p hidden="">no</p><p HIDDEN=hidden>no</p><p aria-hidden = "true">no</p><p>{LONG}</p></div>', LONG),
+        (f'<div class="layout-with-sidebar"><article><p>{LONG}</p></article><div class=sidebar><p>no</p></div></div>', LONG),
+        (f'<div class="row sidebar-right"><div><p>{LONG}</p><p>{LONG}</p></div><div class="sidebar"><p>no</p></div></div>', LONG + " " + LONG),
+        (f'<body><div class="related"><article><p>{LONG}</p></article></div><article><p>{LONG} It.</p></article></body>', LONG + " It."),
+        (f'<body><p>{LONG}</p><div id=comments><p>{LONG * 3}</p></div></body>', LONG),
+        (f'<body><div><p>{LONG}</p></div><div id=comments>{"<p>" + LONG}{"<p>" + LONG * 30}</div></body>', LONG),
+    ],
+)
+def test_attributes_and_names_around_the_article(source, text):
+    assert main_text(source) == text
