@@ -20,7 +20,18 @@ OWN = bpe.build(RANKS, PATTERN)
 TABLE = bpe.token_bytes(OWN)
 
 
+MATCHES = bpe.Matches(OWN.to_str(), bpe.spelled_out(PATTERN))
+
+
 def ids(text):
+    """By pieces, and by matches, which must be the same."""
+    found = MATCHES.encode([text, "", text])[0].tolist()
+    out = _ids(text)
+    assert found == out + out
+    return out
+
+
+def _ids(text):
     return [i for part in bpe.pieces(text) for i in OWN.encode(part, add_special_tokens=False).ids]
 
 
@@ -98,3 +109,25 @@ def test_defined_cases(spark, documents):
         (str(i), len(x := LIBRARY.encode_ordinary(t or "")), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest()) for i, t, *_ in rows
     )
     assert bpe.round_trip(documents(rows[:1]).limit(0), PATH, PATTERN).count() == 0
+
+
+def test_every_character_is_split_alike():
+    split = OWN.pre_tokenizer.pre_tokenize_str
+    for probe in ("a", "1", "!", "\n", " "):
+        for part in (range(0x3100), range(0x3100, 0x110000, 61)):
+            text = "".join(probe + chr(c) + "\0" for c in part if not 0xD800 <= c < 0xE000)
+            assert MATCHES.split(text) == [text[a:b] for _, (a, b) in split(text)]
+
+
+def test_patterns_that_cannot_be_spelled_out(spark, documents):
+    for pattern in (r"\p{Lu}+|.", r"\w+|\W", r"[\S]+|\s", r"[a-z&&[^b]]|."):
+        assert bpe.spelled_out(pattern) is None
+    got = bpe.encode(documents([(1, "Ab cd 日", None, None), (2, None, None, None)]), PATH, r"\p{Lu}|[^\p{Lu}]+").collect()
+    library = tiktoken.Encoding("x", pat_str=r"\p{Lu}|[^\p{Lu}]+", mergeable_ranks=RANKS, special_tokens={})
+    assert {r.doc_id: r.ids for r in got} == {1: library.encode_ordinary("Ab cd 日"), 2: []}
+
+
+def test_unknown_ids_are_an_error(spark):
+    frame = spark.createDataFrame([(1, [5, 60_000])], "doc_id long, ids array<int>")
+    with pytest.raises(Exception, match="60000|out of bounds"):
+        bpe.decode(frame, PATH, PATTERN).collect()
