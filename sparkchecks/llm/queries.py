@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import quality
 from .bpe import round_trip
+from .collocations import collocations, phrase_counts
 from .html_extract import extract_pages
 from .langid import identify
 from .licenses import scan_licenses
@@ -19,6 +20,7 @@ from .packing import pack_documents, word_count
 from .tokens import count_tokens
 from .topk import top_k
 from .url_filter import SiteRule, judge_urls, path_of
+from .variants import letter_runs, variant_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,3 +225,54 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query(
+    """
+WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS i,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS w FROM documents),
+told AS (SELECT w, hex(encode(i || ':' || w)) AS x FROM runs WHERE length(w) >= 5),
+crc AS (SELECT w, xor(4294967295, list_reduce(list_transform(range(1, length(x), 2), lambda k: CAST('0x' || substr(x, k, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT))) AS h FROM told, tab),
+spelt AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM crc),
+v AS (SELECT word, count(*) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+gap AS (SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS cut, substr(word, 1, i) || '_' || substr(word, i + 2) AS pattern
+  FROM v, LATERAL (SELECT unnest(range(length(word))) AS i)),
+fewer AS (SELECT DISTINCT gap.word AS a, v.word AS b FROM gap JOIN v ON gap.cut = v.word),
+near AS (SELECT x.word AS a, y.word AS b FROM gap x JOIN gap y ON x.pattern = y.pattern AND x.word <> y.word
+  UNION ALL SELECT a, b FROM fewer UNION ALL SELECT b, a FROM fewer),
+ranked AS (SELECT a, b, n AS form_n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS r
+  FROM near JOIN v ON near.b = v.word),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN b END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM v LEFT JOIN ranked ON a = word AND r = 1),
+up AS (SELECT word, word AS root, form FROM formed UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON up.form = f.word)
+SELECT f.word, n, n_near, f.form, form_n, root FROM formed f JOIN up ON f.word = up.word WHERE up.form IS NULL"""
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(letter_runs(table(spark, sf_dir, "documents")).filter("n >= 3"))
+
+
+@query(
+    r"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (SELECT c.lang, c.phrase, c.k, a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+  FROM c, LATERAL (SELECT unnest(range(1, k)) AS j)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:j], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1:], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cuts),
+inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS around
+  FROM c, LATERAL (SELECT unnest(range(2, k)) AS m), LATERAL (SELECT unnest(range(1, k - m + 2)) AS i) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase WHERE o = 1 AND (around IS NULL OR 100 * around < 80 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked r JOIN total t ON r.lang = t.lang WHERE rank <= 2000"""
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(phrase_counts(table(spark, sf_dir, "documents")))

@@ -2,34 +2,69 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import os
 import re
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of at most this many narrow rows (two or three longs) may be broadcast: some 50 MB.
-BROADCAST_ROWS = 500_000
+#: A side of at most this many narrow rows (two or three longs) may be broadcast: some 20 MB.
+BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where Spark runs locally."""
+    """The folder of ``spark.checkpoint.dir``; where Spark runs locally without one, a folder of the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "intermediate")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage, survives lost executors."""
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a task, which gives memory back to the system at its end: workers are used again."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Within it, jobs hand Python workers at most so many rows at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, batch: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    ``batch`` bounds the rows that a Python worker gets at a time, where rows are wide.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with batches_of(spark, batch):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
