@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from bench import session
 from samples.derived import SampleTables
 from sparkchecks import column_check_items, column_items
-from sparkchecks.functions.measures import measured_sum, not_a_number
+from sparkchecks.functions.exact import exact_sums
+from sparkchecks.functions.measures import not_a_number
 from sparkchecks.operators.groups import refinement_items
 
 
@@ -55,13 +56,13 @@ def main() -> None:
         generator.filter(F.col("carrier") == c).agg(F.sum(F.col("p_nom").cast("decimal(28,10)")))
         for c in carriers
     ]
-    grouped = generator.groupBy("carrier").agg(measured_sum("p_nom", T.DoubleType()))
+    grouped = exact_sums(generator, ["carrier"], {"total": F.col("p_nom")})
 
     # The same rows several times over, for costs per row rather than per job.
     many = lines.select("l_returnflag", "l_extendedprice", copies(40))
     keys = many.groupBy("l_returnflag")
     decimal = keys.agg(F.sum(F.col("l_extendedprice").cast("decimal(28,10)")))
-    fixed = keys.agg(measured_sum("l_extendedprice", T.DoubleType()))
+    fixed = exact_sums(many, ["l_returnflag"], {"total": F.col("l_extendedprice")})
     plain = keys.agg(F.sum("l_extendedprice"))
 
     vectors = tables.table("embeddings").select("embedding", copies(400))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkchecks.functions.compare import loosely_close, relative_error, strictly_close
-from sparkchecks.functions.measures import measured_sum, rounded_bigint
+from sparkchecks.functions.exact import exact_sums
+from sparkchecks.functions.measures import rounded_bigint
 from sparkchecks.operators.groups import (
     first_mismatches,
     group_rollup,
@@ -311,9 +312,7 @@ def closeness_grid(tables: SampleTables) -> DataFrame:
           FROM orders GROUP BY o_orderpriority) s""",
 )
 def rounded_sums(tables: SampleTables) -> DataFrame:
-    sums = tables.table("orders").groupBy("o_orderpriority").agg(
-        measured_sum("o_totalprice", T.DoubleType()).alias("total")
-    )
+    sums = exact_sums(tables.table("orders"), ["o_orderpriority"], {"total": F.col("o_totalprice")})
     whole = F.col("total").cast("decimal(28,10)")
     return sums.select(
         "o_orderpriority",
@@ -324,14 +323,13 @@ def rounded_sums(tables: SampleTables) -> DataFrame:
 
 @sample(
     "tiny_sums",
-    """SELECT o_orderpriority, CAST(round(sum(o_totalprice / 7e11) * 1e9, 3) AS double) AS billionths
+    # Every value is a whole number of 2^-90, so the sum is exact and rounded once.
+    """SELECT o_orderpriority, CAST(sum(CAST(o_totalprice / 7e11 * pow(2.0, 90) AS hugeint)) AS double) / pow(2.0, 90) AS total
        FROM orders GROUP BY o_orderpriority""",
 )
 def tiny_sums(tables: SampleTables) -> DataFrame:
-    """Values far below 1e-4 with long fractions keep their digits in a sum."""
-    rows = tables.table("orders").select("o_orderpriority", (F.col("o_totalprice") / 7e11).alias("x"))
-    summed = rows.groupBy("o_orderpriority").agg(measured_sum("x", T.DoubleType()).alias("x"))
-    return summed.select("o_orderpriority", F.round(F.col("x") * 1e9, 3).alias("billionths"))
+    """Values far below 1e-4 with long fractions: sums that are exact to the last bit."""
+    return exact_sums(tables.table("orders"), ["o_orderpriority"], {"total": F.col("o_totalprice") / 7e11})
 
 
 @sample(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkchecks import RULE_SETS, CatalogTables, FrameTables, Rule, plan_run, register_table_check
-from sparkchecks import run, run_rollup, write_report
+from sparkchecks import changed_rules, history, run, run_rollup, write_report
 from sparkchecks.operators import coverage
 
 from .column_queries import (
@@ -233,12 +233,14 @@ def formal_run(tables: SampleTables) -> DataFrame:
 
 
 def _series_item(i: int) -> tuple[str, str]:
-    """Stand-in of the i-th series table: one array per nation, some an hour short."""
-    short = f"CASE WHEN {i} % 4 = 1 AND n_nationkey % 5 = 2 THEN 1 ELSE 0 END"
-    return f"SELECT array_repeat(0D, 8760 - {short}) AS series FROM nation_rows", f"SELECT sum({short}) FROM nation"
+    """Stand-in of the i-th series table: the readings of each order, customer or supplier, and how many lengths differ from the i-th."""
+    table, key, value = (("lineitem", "l_orderkey", "l_quantity"), ("orders", "o_custkey", "o_totalprice"), ("events", "user_id", "value"), ("lineitem", "l_suppkey", "l_tax"))[i % 4]
+    length = i // 4 + 1
+    wrong = f"SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count({value}) <> {length})"
+    return f"SELECT array_agg({value}) AS series FROM {{{table}}} GROUP BY {key}", wrong
 
 
-_SERIES_CONFIG = RULE_SETS["comprehensive"][2].config
+_SERIES_CONFIG = [{**config, "expected_length": i // 4 + 1} for i, config in enumerate(RULE_SETS["comprehensive"][2].config)]
 
 
 @sample(
@@ -251,13 +253,14 @@ _SERIES_CONFIG = RULE_SETS["comprehensive"][2].config
     FROM ({union(*[f"SELECT ({_series_item(i)[1]}) AS wrong" for i in range(len(_SERIES_CONFIG))])}) w""",
 )
 def formal_series_run(tables: SampleTables) -> DataFrame:
-    """The shipped array-length rule with data in every one of its tables, some of wrong length."""
-    tables.files.table("nation").createOrReplaceTempView("nation_rows")
+    """The shipped array-length rule with data in every one of its tables, most of other lengths."""
+    files = {name: tables.files.table(name) for name in ("lineitem", "orders", "events")}
     frames = {
-        config["table"]: tables.spark.sql(_series_item(i)[0]).withColumnRenamed("series", config["column"])
+        config["table"]: tables.spark.sql(_series_item(i)[0], **files).withColumnRenamed("series", config["column"])
         for i, config in enumerate(_SERIES_CONFIG)
     }
-    return shown(plan_run(FrameTables(tables.spark, frames), RULE_SETS["comprehensive"][2:3]))
+    rule = Rule("time_series_completeness", "time_series", _SERIES_CONFIG)
+    return shown(plan_run(FrameTables(tables.spark, frames), [rule]))
 
 
 @sample("stored_run", RUN_DERIVED + RESULTS_SQL)
@@ -265,7 +268,28 @@ def stored_run(tables: SampleTables) -> DataFrame:
     """A run that writes its graded rows and results, read back from what it wrote."""
     folder = report_folder(tables.spark)
     result = run(tables, RULES, output=folder)
-    return shown(tables.spark.read.parquet(f"{folder}/{result.run_id}/rule_results"))
+    return shown(history(tables.spark, folder).filter(F.col("run_id") == result.run_id))
+
+
+@sample(
+    "result_history",
+    RUN_DERIVED
+    + f"""
+    SELECT 'tuesday' AS run_id, rule_name, status, failed, CAST(NULL AS varchar) AS status_before, false AS changed FROM ({RESULTS_SQL}) t
+    UNION ALL
+    SELECT 'monday', rule_name, status, failed, status, false FROM ({RESULTS_SQL}) m WHERE rule_name IN ('nulls', 'lengths')""",
+)
+def result_history(tables: SampleTables) -> DataFrame:
+    """The results of two runs in one table; one run is repeated with other rules and replaces its own rows."""
+    folder = report_folder(tables.spark)
+    run(tables, RULES, only=["nulls", "clean"], run_id="monday", output=folder)
+    run(tables, RULES, run_id="tuesday", output=folder)
+    run(tables, RULES, only=["nulls", "lengths"], run_id="monday", output=folder)
+    results = history(tables.spark, folder)
+    changes = changed_rules(results).select("run_id", "rule_name", "status_before", "changed")
+    return results.join(changes, ["run_id", "rule_name"]).select(
+        "run_id", "rule_name", "status", F.coalesce("failed", F.lit(-1)).alias("failed"), "status_before", "changed"
+    )
 
 
 @sample(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sparkchecks import Dimension, Part, SeriesTotal, Total, reconcile
 from sparkchecks.functions.compare import classify_deviation
-from sparkchecks.functions.measures import array_totals as array_sums, measured_sum
+from sparkchecks.functions.exact import exact_sums
+from sparkchecks.functions.measures import array_totals as array_sums
 from sparkchecks.functions.status import status_tallies, worst_status
 from sparkchecks.plans.specs import BIOMASS_CARRIERS, ELECTRICITY_PARTS, GENERATOR_CARRIERS
 from sparkchecks.plans.specs import HEAT_PARTS
@@ -363,9 +364,5 @@ def bound_query(tables: SampleTables) -> DataFrame:
         orders="orders",
         customer="customer",
     )
-    return sums.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.round(measured_sum("o_totalprice", sums.schema["o_totalprice"].dataType), 2).alias(
-            "total"
-        ),
-    )
+    totals = exact_sums(sums, ["o_orderpriority"], {"total": F.col("o_totalprice")}, {"n_orders": F.count(F.lit(1))})
+    return totals.select("o_orderpriority", "n_orders", F.round("total", 2).alias("total"))

@@ -7,7 +7,7 @@ from .operators.reconcile import Part, reconcile
 from .operators.tablechecks import register_table_check
 from .operators.totals import Dimension, SeriesTotal, Total
 from .plans.report import run_with_report, write_report
-from .plans.runs import plan_run, run, run_rollup
+from .plans.runs import changed_rules, history, plan_run, run, run_rollup
 from .plans.specs import RULE_SETS, Rule, rule_set
 from .sources import CatalogTables, FileTables, FrameTables, JdbcTables, write_table
 
@@ -24,8 +24,10 @@ __all__ = [
     "Total",
     "batch_rollup",
     "batch_summary",
+    "changed_rules",
     "column_check_items",
     "column_items",
+    "history",
     "plan_run",
     "reconcile",
     "register_column_check",

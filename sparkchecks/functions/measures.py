@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .exact import exact_sums
+
 # Fixed value: what counts as a plain number. \z instead of $, because Java's $
 # also matches before a trailing newline.
 NUMERIC_TEXT = r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?\z"
@@ -16,21 +18,6 @@ _INF = float("inf")
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
-def measured_sum(column: str, dtype: T.DataType) -> Column:
-    """Aggregate: a sum in a type that loses nothing of its values.
-
-    Whole numbers and decimals are summed as decimals, exactly; a sum beyond 38 digits is an
-    error. Floats are summed as doubles, so their last digits depend on the order of the rows.
-    Sums of sums use the same function, so that it does not matter where rows are reduced.
-    """
-    if isinstance(dtype, T.DecimalType):
-        return F.expr(f"sum({column})")
-    if isinstance(dtype, T.IntegralType):
-        return F.expr(f"sum(cast({column} AS decimal(20,0)))")
-    cast = "cast" if isinstance(dtype, _FLOATS) else "try_cast"
-    return F.expr(f"sum({cast}({column} AS double))")
-
-
 def rounded_bigint(value: Column, dtype: T.DataType) -> Column:
     """Rounding cast to a whole number: half-even for floats, half away from zero otherwise.
 
@@ -49,13 +36,13 @@ def array_length(arr: Column, dtype: T.DataType) -> Column:
 
 
 def array_totals(df: DataFrame, keys: Sequence[str], elements: str, total: str = "total") -> DataFrame:
-    """Sum of all array elements per ``keys``; arrays are exploded, which compiles to a loop.
+    """Exact sum of all array elements per ``keys``; arrays are exploded, which compiles to a loop.
 
     NULL elements are ignored. Keys whose arrays are NULL or empty have no row. The arrays of a
-    task are reduced to one row per key before anything is shuffled.
+    task are reduced to a few rows per key before anything is shuffled.
     """
     parts = df.select(*keys, F.explode(elements).alias("_element"))
-    return parts.groupBy(*keys).agg(measured_sum("_element", parts.schema["_element"].dataType).alias(total))
+    return exact_sums(parts, keys, {total: F.col("_element")})
 
 
 def not_a_number(value: Column, dtype: T.DataType, lexical: bool = False) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions import texts
@@ -18,9 +18,15 @@ from ..schemas import CHECK_ITEM, FOUND_LENGTH, conform, layout
 from ..sources.tables import Tables, local_rows
 from .columns import DEFAULT_LENGTH, column_check
 
-MEASURED = layout("item int, total_rows bigint, invalid_count bigint, metrics map<string;double>")
+MEASURED = layout(
+    "item int, total_rows bigint, invalid_count bigint, metrics map<string;double>, "
+    "found_lengths array<int>, length_count bigint, min_length int, max_length int"
+)
 _LENGTHS = layout("item int, length int, arrays bigint")
 
+#: The most frequent lengths that a check's row lists; all of them are ``found_length`` rows.
+MOST_LENGTHS = 100
+
 _DESCRIBED = layout(
     "item int, rule_name string, ordinal int, check_type string, table_name string, "
     "column_name string, expected_length int, error_text string, failed_text string, "
@@ -92,28 +98,26 @@ def _describe(tables: Tables, items: Sequence[ColumnItem], errors: Mapping[int,
     return local_rows(tables.spark, rows, _DESCRIBED)
 
 
-def _graded(described: DataFrame, measured: DataFrame, lengths: DataFrame | None) -> DataFrame:
-    """``check_item`` rows from the items and what was measured; errors count -1.
-
-    ``lengths`` are rows of the distinct array lengths of an item, if there are any to report.
-    """
-    measured = described.join(measured, "item", "left")
-    if lengths is None:
-        measured = measured.withColumn("found_lengths", F.lit(None).cast("array<int>"))
-    else:
-        found = lengths.groupBy("item").agg(F.sort_array(F.collect_list("length")).alias("found_lengths"))
-        known = F.coalesce("found_lengths", F.when(F.col("check_type") == "time_series", F.array().cast("array<int>")))
-        measured = measured.join(found, "item", "left").withColumn("found_lengths", known)
+def _graded(described: DataFrame, measured: DataFrame) -> DataFrame:
+    """``check_item`` rows from the items and what was measured; errors count -1."""
+    joined = described.join(measured, "item", "left")
+    # A table without rows has no array lengths.
+    by_length = (F.col("check_type") == "time_series") & F.col("error_text").isNull() & F.col("total_rows").isNull()
+    none = {"total_rows": 0, "invalid_count": 0, "length_count": 0}
+    joined = joined.withColumns({c: F.when(by_length, v).otherwise(F.col(c)).cast("bigint") for c, v in none.items()})
+    empty = F.when(F.col("check_type") == "time_series", F.array().cast("array<int>"))
+    joined = joined.withColumn("found_lengths", F.coalesce("found_lengths", empty))
     failed = "(error_text IS NOT NULL OR invalid_count > 0)"
     text = f"coalesce(error_text, CASE WHEN {failed} THEN failed_text ELSE passed_text END)"
+    further = "length_count - size(found_lengths)"
     for name, value in {
         "{invalid}": "cast(invalid_count AS string)",
         "{rows}": "cast(total_rows AS string)",
-        "{lengths}": "array_join(found_lengths, ', ')",
+        "{lengths}": f"concat(array_join(found_lengths, ', '), CASE WHEN {further} > 0 THEN concat(' and ', {further}, ' more') ELSE '' END)",
     }.items():
         text = f"replace({text}, '{name}', coalesce({value}, ''))"
     return conform(
-        measured.selectExpr(
+        joined.selectExpr(
             "* EXCEPT (total_rows, invalid_count)",
             f"CASE WHEN {failed} THEN '{FAILED}' ELSE '{SUCCESS}' END AS status",
             "CASE WHEN error_text IS NOT NULL THEN 0 ELSE total_rows END AS total_rows",
@@ -140,14 +144,23 @@ def _aggregates(df: DataFrame, item: ColumnItem, i: int) -> list[Column]:
 
 def _plan_table(
     df: DataFrame, items: Mapping[int, ColumnItem]
-) -> tuple[DataFrame | None, Failures]:
-    """The one-pass plan for a table, and the items its schema rules out."""
-    planned, failures = {}, {}
+) -> tuple[DataFrame | None, DataFrame | None, Failures]:
+    """The plans for a table, and the items its schema rules out.
+
+    One pass measures all checks but those of array lengths, which have rows of
+    their own: (item, length, arrays).
+    """
+    planned, counted, failures = {}, {}, {}
     for i, item in items.items():
         try:
-            planned[i] = _aggregates(df, item, i)
+            aggregates = _aggregates(df, item, i)
+            if column_check(item.check_type).by_length:
+                counted[i] = item
+            else:
+                planned[i] = aggregates
         except Exception as error:
             failures[i] = str(error)
+    lengths = _table_lengths(df, counted) if counted else None
     total = F.count(F.lit(1)).alias("total_rows")
     try:
         row = df.agg(total, *[a for aggregates in planned.values() for a in aggregates])
@@ -161,13 +174,13 @@ def _plan_table(
                 del planned[i]
         row = df.agg(total, *[a for aggregates in planned.values() for a in aggregates])
     if not planned:
-        return None, failures
+        return None, lengths, failures
     measured = ", ".join(
         f"struct({i} AS item, total_rows, cast(invalid_count_{i} AS bigint) AS invalid_count, "
         f"{_further_metrics(i, row.columns)} AS metrics)"
         for i in planned
     )
-    return row.selectExpr(f"inline(array({measured}))"), failures
+    return row.selectExpr(f"inline(array({measured}))"), lengths, failures
 
 
 def _further_metrics(i: int, columns: Sequence[str]) -> str:
@@ -177,47 +190,58 @@ def _further_metrics(i: int, columns: Sequence[str]) -> str:
     return f"map({entries})" if names else "cast(NULL AS map<string, double>)"
 
 
-def _table_lengths(df: DataFrame, items: Mapping[int, ColumnItem], failures: Failures) -> DataFrame | None:
+def _table_lengths(df: DataFrame, items: Mapping[int, ColumnItem]) -> DataFrame:
     """(item, length, arrays) rows of a table's array-length checks, one row per distinct length.
 
     A grouping of its own: in the shared pass the lengths would be one buffer, and would cost
-    all other checks of the table their compiled aggregation.
+    all other checks of the table their compiled aggregation. NULL arrays are the length NULL.
     """
-    asked = {i: item for i, item in items.items() if item.check_type == "time_series" and i not in failures}
-    if not asked:
-        return None
     pairs = F.array(
         *[
             F.struct(F.lit(i).alias("item"), array_length(F.col(f"`{x.column}`"), df.schema[x.column].dataType).alias("length"))
-            for i, x in asked.items()
+            for i, x in items.items()
         ]
     )
-    rows = df.select(F.inline(pairs)).filter("length IS NOT NULL")
+    rows = df.select(F.inline(pairs))
     return rows.groupBy("item", "length").agg(F.count(F.lit(1)).alias("arrays"))
 
 
+def _by_length(tables: Tables, lengths: DataFrame, items: Mapping[int, ColumnItem] | Sequence[ColumnItem]) -> DataFrame:
+    """What array-length checks measured, from rows of lengths: bounded rows, whatever the number of lengths."""
+    numbered = items.items() if isinstance(items, Mapping) else enumerate(items)
+    wanted = [{"item": i, "expected": _expected_length(x)} for i, x in numbered if x.check_type == "time_series"]
+    known = local_rows(tables.spark, wanted, layout("item int, expected int"))
+    measured = lengths.join(known, "item").groupBy("item").agg(
+        F.sum("arrays").alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("length") != F.col("expected"), F.col("arrays"))), F.lit(0)).alias("invalid_count"),
+        F.count("length").alias("length_count"),
+        F.min("length").alias("min_length"),
+        F.max("length").alias("max_length"),
+    )
+    # Ranks are limited in each task before rows of an item meet. The length NULL comes last and isn't
+    # listed; a filter would change what is grouped, and the table would be read a second time.
+    often = Window.partitionBy("item").orderBy(F.col("length").isNull(), F.desc("arrays"), "length")
+    most = lengths.withColumn("rank", F.row_number().over(often)).filter(F.col("rank") <= MOST_LENGTHS)
+    most = most.groupBy("item").agg(F.sort_array(F.collect_list("length")).alias("found_lengths"))
+    return conform(measured.join(most, "item", "left"), MEASURED)
+
+
 def found_lengths(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame:
     """``found_length`` rows: how many arrays of each length the array-length checks met.
 
     Items that can't be planned have none.
     """
     described = _describe(tables, items, {}).select("item", "rule_name", "table_name", "column_name")
-    lengths = _all_lengths(tables, items)
-    return conform(lengths.join(described, "item"), FOUND_LENGTH)
-
-
-def _all_lengths(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame:
     frames = []
     for table, group in _by_table(items).items():
         try:
-            df = tables.table(table)
-            _, failures = _plan_table(df, group)
-            found = _table_lengths(df, group, failures)
+            _, lengths, _ = _plan_table(tables.table(table), group)
         except Exception:  # reported by the check itself
             continue
-        if found is not None:
-            frames.append(found)
-    return reduce(DataFrame.unionByName, frames or [local_rows(tables.spark, [], _LENGTHS)])
+        if lengths is not None:
+            frames.append(lengths)
+    lengths = reduce(DataFrame.unionByName, frames or [local_rows(tables.spark, [], _LENGTHS)])
+    return conform(lengths.filter("length IS NOT NULL").join(described, "item"), FOUND_LENGTH)
 
 
 def _first_line(error: Exception) -> str:
@@ -242,9 +266,7 @@ def column_check_items(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame
     plans, lengths, errors = [], [], {}
     for table, group in _by_table(items).items():
         try:
-            df = tables.table(table)
-            plan, failures = _plan_table(df, group)
-            found = _table_lengths(df, group, failures)
+            plan, found, failures = _plan_table(tables.table(table), group)
         except Exception as error:
             plan, found, failures = None, None, dict.fromkeys(group, _first_line(error))
         errors.update(failures)
@@ -252,39 +274,39 @@ def column_check_items(tables: Tables, items: Sequence[ColumnItem]) -> DataFrame
             plans.append(plan)
         if found is not None:
             lengths.append(found)
-    plans = plans or [local_rows(tables.spark, [], MEASURED)]
-    return _graded(
-        _describe(tables, items, errors),
-        reduce(DataFrame.unionByName, plans),
-        reduce(DataFrame.unionByName, lengths) if lengths else None,
-    )
+    measured = [conform(plan, MEASURED) for plan in plans]
+    if lengths:
+        measured.append(_by_length(tables, reduce(DataFrame.unionByName, lengths), items))
+    measured = measured or [local_rows(tables.spark, [], MEASURED)]
+    return _graded(_describe(tables, items, errors), reduce(DataFrame.unionByName, measured))
 
 
 def _measure(
-    df: DataFrame, items: Mapping[int, ColumnItem], keep: Callable[[DataFrame], DataFrame]
-) -> tuple[list[Row], list[DataFrame], Failures]:
-    """Run a table's checks in one pass; on an error narrow it down by halves.
+    tables: Tables, df: DataFrame, items: Mapping[int, ColumnItem], keep: Callable[[DataFrame], DataFrame]
+) -> tuple[list[Row], Failures]:
+    """Run a table's checks; on an error narrow it down by halves.
 
     A few bad items among n cost about log n further passes each, not n. ``keep``
     is what is done with the rows of array lengths, which never come to the driver.
     """
-    plan, failures = _plan_table(df, items)
-    if plan is None:
-        return [], [], failures
+    plan, lengths, failures = _plan_table(df, items)
+    if plan is None and lengths is None:
+        return [], failures
     try:
-        lengths = _table_lengths(df, items, failures)
-        return plan.collect(), [] if lengths is None else [keep(lengths)], failures
+        rows = [] if plan is None else conform(plan, MEASURED).collect()
+        if lengths is not None:
+            rows += _by_length(tables, keep(lengths), items).collect()
+        return rows, failures
     except Exception as error:
         rest = [i for i in items if i not in failures]
         if len(rest) == 1:
-            return [], [], {**failures, rest[0]: _first_line(error)}
-    rows, lengths = [], []
+            return [], {**failures, rest[0]: _first_line(error)}
+    rows = []
     for half in (rest[: len(rest) // 2], rest[len(rest) // 2 :]):
-        found, kept, more = _measure(df, {i: items[i] for i in half}, keep)
+        found, more = _measure(tables, df, {i: items[i] for i in half}, keep)
         rows += found
-        lengths += kept
         failures = {**failures, **more}
-    return rows, lengths, failures
+    return rows, failures
 
 
 def run_column_checks(
@@ -297,32 +319,27 @@ def run_column_checks(
 
     Runs one job per table, ``parallel`` of them at a time. What comes to the
     driver is one row per check. A table that fails while it is read is retried
-    by halves of its items; other tables are not run again. Array lengths stay a
-    frame, which ``keep`` may write and read again.
+    by halves of its items; other tables are not run again. Rows of array lengths
+    are reduced where they are; ``keep`` may write them and read them again.
     """
 
     def measure(table: str, group: Mapping[int, ColumnItem]):
         try:
-            return _measure(tables.table(table), group, keep)
+            return _measure(tables, tables.table(table), group, keep)
         except Exception as error:
-            return [], [], dict.fromkeys(group, _first_line(error))
+            return [], dict.fromkeys(group, _first_line(error))
 
-    rows, lengths, errors = [], [], {}
+    rows, errors = [], {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         jobs = [
             pool.submit(inheritable_thread_target(tables.spark)(measure), table, group)
             for table, group in _by_table(items).items()
         ]
         for job in jobs:
-            found, kept, failures = job.result()
+            found, failures = job.result()
             rows += [row.asDict() for row in found]
-            lengths += kept
             errors.update(failures)
-    return _graded(
-        _describe(tables, items, errors),
-        local_rows(tables.spark, rows, MEASURED),
-        reduce(DataFrame.unionByName, lengths) if lengths else None,
-    )
+    return _graded(_describe(tables, items, errors), local_rows(tables.spark, rows, MEASURED))
 
 
 def batch_rollup(items: DataFrame) -> DataFrame:

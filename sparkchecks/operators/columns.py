@@ -24,12 +24,16 @@ Metrics = dict[str, Column]
 
 @dataclass(frozen=True)
 class ColumnCheck:
-    """``metrics(column, dtype, params)`` gives aggregates, among them ``invalid_count``."""
+    """``metrics(column, dtype, params)`` gives aggregates, among them ``invalid_count``.
+
+    ``by_length`` checks are counted from the rows of distinct array lengths instead.
+    """
 
     check_type: str
     metrics: Callable[[Column, T.DataType, Mapping], Metrics]
     failed_text: str
     passed_text: str
+    by_length: bool = False
 
 
 def null_metrics(column: Column, dtype: T.DataType, params: Mapping) -> Metrics:
@@ -54,7 +58,7 @@ _CHECKS: dict[str, ColumnCheck] = {
     "null": ColumnCheck("null", null_metrics, texts.NULLS_FOUND, texts.NO_NULLS_FOUND),
     "nan": ColumnCheck("nan", nan_metrics, texts.NANS_FOUND, texts.NO_NANS_FOUND),
     "time_series": ColumnCheck(
-        "time_series", length_metrics, texts.LENGTHS_WRONG, texts.LENGTHS_RIGHT
+        "time_series", length_metrics, texts.LENGTHS_WRONG, texts.LENGTHS_RIGHT, by_length=True
     ),
 }
 

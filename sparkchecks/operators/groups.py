@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.compare import loosely_close, relative_error, strictly_close
-from ..functions.measures import measured_sum, rounded_bigint
+from ..functions.exact import exact_sums, is_partial, partial_sums, whole_sums
+from ..functions.measures import rounded_bigint
 from ..functions.status import CRITICAL, SUCCESS, WARNING
 from ..schemas import GROUP_ROLLUP, conform, layout
 from ..sources.tables import local_rows
@@ -59,23 +60,20 @@ def mapped_sums(
 
     Returns (group_key, region, total, n_rows). Both sides are reduced per key before the join:
     the detail rows to one row with a sum for each requested group, the mapping to its distinct
-    pairs with their number. Sums of decimals are exact per key.
+    pairs with their number. Sums are exact, and rounded once.
     """
     wanted = list(dict.fromkeys(groups))
-    detail = detail.filter(F.col(group).isin(wanted))
-    per_key = detail.groupBy(on, F.col(group).cast("string").alias("group_key")).agg(
-        measured_sum(f"`{value}`", detail.schema[value].dataType).cast("double").alias("_sum"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    pairs = mapping.groupBy(on, F.col(region).alias("region")).agg(F.count(F.lit(1)).alias("_pairs"))
-    return (
-        per_key.join(pairs, on)
-        .groupBy("group_key", "region")
-        .agg(
-            F.sum(F.col("_sum") * F.col("_pairs")).alias("total"),
-            F.sum(F.col("_rows") * F.col("_pairs")).alias("n_rows"),
-        )
+    rows = detail.filter(F.col(group).isin(wanted)).select(
+        F.col(on).alias("_on"), F.col(group).cast("string").alias("group_key"), F.col(f"`{value}`").alias("_sum")
     )
+    count = {"_rows": F.count(F.lit(1))}
+    per_key = partial_sums(rows, ["_on", "group_key"], {"total": F.col("_sum")}, None, count)
+    pairs = mapping.groupBy(F.col(on).alias("_key"), F.col(region).alias("region")).agg(F.count(F.lit(1)).alias("_pairs"))
+    joined = per_key.join(pairs, F.col("_on") == F.col("_key"))
+    count = {"n_rows": F.sum(F.col("_rows") * F.col("_pairs"))}
+    keys = ["group_key", "region"]
+    per_region = partial_sums(joined, keys, {"total": F.col("total")}, F.col("_pairs"), count)
+    return whole_sums(per_region, keys, ["total"], ["n_rows"]).select(*keys, F.col("total").cast("double"), "n_rows")
 
 
 def group_sum_items(
@@ -95,16 +93,12 @@ def group_sum_items(
     a region then counts once for every subgroup. Regions that only one side
     knows drop out.
     """
-    extra = [subgroup] if subgroup else []
-    expected = (
-        reference.filter(F.col(group).isin(list(groups)))
-        .groupBy(
-            *extra,
-            F.col(group).cast("string").alias("group_key"),
-            F.col(region).alias("region"),
-        )
-        .agg(measured_sum(f"`{value}`", reference.schema[value].dataType).cast("double").alias("expected"))
+    extra = [F.col(subgroup).alias("_subgroup")] if subgroup else []
+    rows = reference.filter(F.col(group).isin(list(groups))).select(
+        *extra, F.col(group).cast("string").alias("group_key"), F.col(region).alias("region"), F.col(f"`{value}`").alias("_value")
     )
+    keys = [*["_subgroup"] * len(extra), "group_key", "region"]
+    expected = exact_sums(rows, keys, {"expected": F.col("_value")}).withColumn("expected", F.col("expected").cast("double"))
     joined = sums.withColumnRenamed("total", "actual").join(expected, ["group_key", "region"])
     return grade_members(joined, rule_name, "group_key", "region", tolerance)
 
@@ -125,29 +119,32 @@ def refinement_items(
     to its distinct (region, code, cell, original) rows, from which both sums
     follow, so no second scan, join or distinct aggregate is needed.
     """
-    detail_type, original_type = refined.schema[detail].dataType, refined.schema[original].dataType
-    distinct = (
-        refined.filter(F.col(region).isNotNull() & F.col(code).isNotNull())
-        .groupBy(region, code, cell, original)
-        .agg(
-            measured_sum(f"`{detail}`", detail_type).alias("_detail"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
+    rows = refined.filter(F.col(region).isNotNull() & F.col(code).isNotNull()).select(
+        F.col(region).alias("_region"),
+        F.col(code).alias("_code"),
+        F.col(cell).alias("_cell"),
+        F.col(original).alias("_original"),
+        F.col(detail).alias("_detail"),
     )
-    summed_type = distinct.schema["_detail"].dataType
-    sums = distinct.groupBy(region, code).agg(
-        _whole_sum("_detail", summed_type).alias("actual"),
-        _whole_sum(original, original_type).alias("expected"),
-        F.sum("_rows").alias("n_rows"),
+    keys, cells = ["_region", "_code"], ["_region", "_code", "_cell", "_original"]
+    reduced = partial_sums(rows, cells, {"_detail": F.col("_detail")}, None, {"_rows": F.count(F.lit(1))})
+    if is_partial(reduced.schema["_detail"].dataType):
+        # The values of a cell may lie in several bins; its original counts with the first of them.
+        own = reduced.groupBy(*cells).agg(F.collect_list("_detail").alias("_parts"), F.sum("_rows").alias("_rows"))
+        reduced = own.select(*cells, F.posexplode_outer("_parts").alias("_at", "_detail"), "_rows")
+        first = F.coalesce(F.col("_at") == 0, F.lit(True))
+        reduced = reduced.withColumns({"_original": F.when(first, F.col("_original")), "_rows": F.when(first, F.col("_rows"))})
+    values = {"actual": F.col("_detail"), "expected": F.col("_original")}
+    sums = whole_sums(partial_sums(reduced, keys, values, None, {"n_rows": F.sum("_rows")}), keys, list(values), ["n_rows"])
+    sums = sums.select(
+        F.col("_region").alias(region),
+        F.col("_code").alias(code),
+        *[rounded_bigint(F.col(c), sums.schema[c].dataType).alias(c) for c in values],
+        "n_rows",
     )
     return grade_members(sums, rule_name, code, region, tolerance)
 
 
-def _whole_sum(column: str, dtype) -> Column:
-    """Aggregate: a sum as a rounded whole number."""
-    return rounded_bigint(measured_sum(f"`{column}`", dtype), dtype)
-
-
 def group_rollup(
     items: DataFrame,
     rule_name: str,

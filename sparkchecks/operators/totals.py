@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.measures import array_totals, measured_sum
+from ..functions.exact import partial_sums, whole_sums
 from ..sources.tables import Tables
 
 
@@ -158,8 +158,8 @@ def _facts(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
 def _component_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
     """Totals of one pass. Facts are summed per member and dimension key before any join.
 
-    Sums of decimals stay decimals until they are added up per member, and the
-    join only marks which keys have partners, so neither its strategy nor the
+    Sums stay exact until they are added up per member, and the join only marks
+    which keys have partners, so neither its strategy, the order of rows nor the
     other totals of the pass change a sum.
     """
     facts = _facts(tables, wanted)
@@ -170,9 +170,9 @@ def _component_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
             sides.setdefault(_dimension_key(total, params), f"_d{len(sides)}")
     fact_columns = {key: f"_f_{key[1]}" for key in sides}
     distinct = dict.fromkeys((key[1], name) for key, name in fact_columns.items())
-    summed = facts.groupBy("member", *[F.col(c).alias(name) for c, name in distinct]).agg(
-        *[measured_sum(f"`{v}`", facts.schema[v].dataType).alias(f"_v{i}") for i, v in enumerate(values)]
-    )
+    keyed = facts.select("member", *[F.col(c).alias(name) for c, name in distinct], *[F.col(f"`{v}`").alias(f"_v{i}") for i, v in enumerate(values)])
+    sums = {f"_v{i}": F.col(f"_v{i}") for i in range(len(values))}
+    summed = partial_sums(keyed, ["member", *[name for _, name in distinct]], sums)
     for _, total, params in wanted:
         key = _dimension_key(total, params)
         if key is not None and sides[key] not in summed.columns:
@@ -181,17 +181,14 @@ def _component_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
             )
             how = "inner" if all(_dimension_key(t, p) == key for _, t, p in wanted) else "left"
             summed = summed.join(partners, F.col(fact_columns[key]) == F.col(f"{sides[key]}_key"), how)
-    columns, sums = [], {}
+    columns, counted = [], {}
     for _, total, params in wanted:
         key = _dimension_key(total, params)
         value, side = f"_v{values.index(total.value)}", "" if key is None else sides[key]
         columns.append(name := f"_sum{value}{side}")
-        counted = f"CASE WHEN {side} THEN {value} END" if side else value
-        sums[name] = measured_sum(counted, summed.schema[value].dataType).cast("double").alias(name)
-    if not sides:
-        per_member = summed.select("member", *[F.col(c.removeprefix("_sum")).cast("double").alias(c) for c in sums])
-    else:
-        per_member = summed.groupBy("member").agg(*sums.values())
+        counted[name] = F.when(F.col(side), F.col(value)) if side else F.col(value)
+    per_member = whole_sums(partial_sums(summed, ["member"], counted), ["member"], list(counted))
+    per_member = per_member.select("member", *[F.col(c).cast("double").alias(c) for c in counted])
     return _by_component(per_member, wanted, columns)
 
 
@@ -199,7 +196,7 @@ def _series_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
     """Totals of one pass over facts and series; arrays never enter a shuffle.
 
     Each series is reduced to its sum and facts are counted per series, dimension
-    key and member, before both sides meet. Numbers of rows multiply as doubles.
+    key and member, before both sides meet. Sums stay exact up to the end.
     """
     _, first, params = wanted[0]
     facts = (
@@ -215,14 +212,14 @@ def _series_totals(tables: Tables, wanted: Sequence[Wanted]) -> DataFrame:
     series = series.select(
         F.col(first.series_key).alias("_key"), F.col(first.series_value).alias("_elements")
     )
-    reduced = array_totals(series, ["_key"], "_elements", "_sum")
+    elements = series.select("_key", F.explode("_elements").alias("_sum"))
+    reduced = partial_sums(elements, ["_key"], {"_sum": F.col("_sum")})
     joined = reduced.join(facts, F.col("_key") == F.col("_series"))
-    per_key = joined.groupBy("_fact_key", "member").agg(
-        F.sum(F.col("_sum").cast("double") * F.col("_facts")).alias("_sum")
-    )
+    per_key = partial_sums(joined, ["_fact_key", "member"], {"_sum": F.col("_sum")}, F.col("_facts"))
     matched = per_key.join(_partners(tables, first, params), F.col("_fact_key") == F.col("_partner"))
-    per_member = matched.groupBy("member").agg(F.sum(F.col("_sum") * F.col("_partners")).alias("_sum"))
-    return _by_component(per_member, wanted, ["_sum"] * len(wanted))
+    per_member = partial_sums(matched, ["member"], {"_sum": F.col("_sum")}, F.col("_partners"))
+    totals = whole_sums(per_member, ["member"], ["_sum"]).select("member", F.col("_sum").cast("double"))
+    return _by_component(totals, wanted, ["_sum"] * len(wanted))
 
 
 def planned_totals(

@@ -10,8 +10,9 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import texts
 from ..functions.status import CRITICAL, SUCCESS, status_tallies, worst_status
@@ -25,8 +26,8 @@ from ..operators.batch import (
 from ..operators.columns import is_column_check
 from ..operators.reconcile import reconcile_all
 from ..operators.tablechecks import GroupedCheck, TableCheck, reconciliation, table_check
-from ..schemas import RULE_RESULT, conform, layout
-from ..sources.sinks import write_table
+from ..schemas import CHECK_ITEM, RULE_RESULT, RUN_REPORT, conform, layout
+from ..sources.sinks import read_parts, replace_part, write_table
 from ..sources.tables import Tables, local_rows
 from .specs import Rule
 
@@ -324,8 +325,10 @@ def run(
     Column checks of all rules share one scan per table. Up to ``parallel`` jobs
     run side by side. With ``output`` the graded rows of every rule are written
     there under the run id, and what builds on them starts from what was
-    written, so that nothing is computed twice; the results are written as well.
-    Without it ``details`` and ``mismatches`` are plans that run when used.
+    written, so that nothing is computed twice. The results of all runs are tables
+    of ``output`` with a part for each run (see ``history``): a run that is repeated
+    under its id replaces its own part, and no other. Without ``output``
+    ``details`` and ``mismatches`` are plans that run when used.
     """
     spark = tables.spark
     stamp = _Stamp.new(run_id)
@@ -360,36 +363,91 @@ def run(
             row = _broken_row(tables, stamp, ordinal, rule, "unknown", _first_line(error))
             return _Graded(row.collect())
 
+    def run_together(rules: list[tuple[int, Rule]]) -> dict[str, _Graded]:
+        """Reconciliations in one plan, which share their passes over tables; alone if that fails."""
+        if not rules:
+            return {}
+        try:
+            parts = [reconciliation(rule.name, rule.config) for _, rule in rules]
+            rows = stored(reconcile_all(tables, parts), "details", "reconciliations")
+            found = {row["rule_name"]: row for row in _reconcile_results(rows, rules, stamp).collect()}
+            return {r.name: _Graded([found[r.name]], rows.filter(F.col("rule_name") == r.name)) for _, r in rules}
+        except Exception:
+            return {rule.name: run_table_rule(ordinal, rule) for ordinal, rule in rules}
+
+    together = [(i, r) for i, r in table_rules if r.check == "reconcile"]
+    if len(together) < 2:
+        together = []
+    names = {r.name for _, r in together}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        shared = pool.submit(inheritable_thread_target(spark)(run_together), together)
         jobs = {
             rule.name: pool.submit(inheritable_thread_target(spark)(run_table_rule), ordinal, rule)
             for ordinal, rule in table_rules
+            if rule.name not in names
         }
         plan = _plan_column_rules(tables, column_rules, stamp)
 
         def keep(lengths: DataFrame) -> DataFrame:
             return stored(lengths, "found_lengths", uuid.uuid4().hex)
 
-        items = stored(run_column_checks(tables, plan.items, parallel, keep), "check_items")
+        items = run_column_checks(tables, plan.items, parallel, keep)
         results = [row for df in plan.decided for row in df.collect()]
         if plan.items:
             results += _column_results(plan, items, stamp).collect()
-        done = {name: job.result() for name, job in jobs.items()}
+        alone = {name: job.result() for name, job in jobs.items()} | shared.result()
+        done = {rule.name: alone[rule.name] for _, rule in table_rules}
     for outcome in done.values():
         results += outcome.result
     # One row per rule: as many as were asked for, whatever the size of the data.
     results.sort(key=lambda row: row["ordinal"])
-    rules_df = stored(local_rows(spark, [r.asDict() for r in results], RULE_RESULT), "rule_results")
+    rules_df = local_rows(spark, [r.asDict() for r in results], RULE_RESULT)
+    report = run_rollup(rules_df)
+    if output is not None:
+        rules_df = _kept(output, RESULTS, rules_df, stamp, fmt, RULE_RESULT)
+        items = _kept(output, CHECK_ITEMS, items, stamp, fmt, CHECK_ITEM)
+        dated = run_rollup(rules_df).withColumn("ts", F.lit(stamp.ts))
+        report = _kept(output, REPORTS, dated, stamp, fmt, RUN_REPORT).drop("run_id", "ts")
     return RunResult(
         stamp.run_id,
         rules_df,
-        stored(run_rollup(rules_df), "report"),
+        report,
         items,
         {name: o.details for name, o in done.items() if o.details is not None},
         {name: o.mismatches for name, o in done.items() if o.mismatches is not None},
     )
 
 
+#: Tables of all runs below a run's ``output``, and their layouts.
+RESULTS, CHECK_ITEMS, REPORTS = "rule_results", "check_items", "reports"
+_HISTORY = {RESULTS: RULE_RESULT, CHECK_ITEMS: CHECK_ITEM, REPORTS: RUN_REPORT}
+
+
+def _kept(output: str, name: str, rows: DataFrame, stamp: _Stamp, fmt: str, schema: T.StructType) -> DataFrame:
+    """The rows of a run as its part of a table of all runs, read back with the table's columns."""
+    path = f"{output.rstrip('/')}/{name}"
+    part = replace_part(conform(rows, schema).drop("run_id"), path, "run_id", stamp.run_id, fmt)
+    return part.select(*[c for c in schema.names if c in part.columns])
+
+
+def history(spark: SparkSession, output: str, name: str = RESULTS, fmt: str = "parquet") -> DataFrame:
+    """The rows of all runs below ``output``, with their ``run_id``: results, check items or reports.
+
+    A filter on the run reads its part only; all results of a rule over time are one filter.
+    """
+    schema = _HISTORY[name]
+    rows = read_parts(spark, f"{output.rstrip('/')}/{name}", schema, "run_id", fmt)
+    return rows.select("run_id", *[c for c in schema.names if c != "run_id"])
+
+
+def changed_rules(results: DataFrame) -> DataFrame:
+    """Per rule and run of ``history``: its status and that of the rule's run before, NULL for the first."""
+    before = Window.partitionBy("rule_name").orderBy("ts", "run_id")
+    return results.select(
+        "rule_name", "run_id", "ts", "status", F.lag("status").over(before).alias("status_before")
+    ).withColumn("changed", F.coalesce(F.col("status") != F.col("status_before"), F.lit(False)))
+
+
 def run_rollup(rule_results: DataFrame) -> DataFrame:
     """One report row: a run succeeds if every rule did, and an empty run succeeds.
 

@@ -30,11 +30,16 @@ CHECK_ITEM = layout(
     "rule_name string, ordinal int, check_type string, table_name string, column_name string, "
     "status string, total_rows bigint, invalid_count bigint, invalid_rate double, "
     "expected_length int, found_lengths array<int>, details string, "
-    "metrics map<string;double>"
+    "metrics map<string;double>, length_count bigint, min_length int, max_length int"
 )
 
 FOUND_LENGTH = layout("rule_name string, table_name string, column_name string, length int, arrays bigint")
 
+RUN_REPORT = layout(
+    "run_id string, total_rules bigint, passed_rules bigint, failed_rules bigint, passed_rule_names array<string>, "
+    "failed_rule_names array<string>, overall_status string, ts timestamp"
+)
+
 RECONCILE_ITEM = layout(
     "rule_name string, scenario string, ordinal int, component string, input_total double, "
     "output_total double, deviation_percent double, status string, message string"

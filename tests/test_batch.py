@@ -218,16 +218,60 @@ def test_custom_check_needs_an_invalid_count(tables):
 
 
 def test_many_lengths_stay_rows(spark):
-    """100,000 distinct lengths: rows of their own, and the shared pass stays compiled."""
+    """Distinct lengths are rows of their own; an item's row has a bounded number of them."""
     from sparkchecks import FrameTables, column_items
-    from sparkchecks.operators.batch import _plan_table, found_lengths
+    from sparkchecks.operators import batch
 
     frame = spark.range(100_000).selectExpr("CASE WHEN id > 0 THEN array_repeat(1Y, cast(id % 300 AS int)) END AS a", "id")
     tables = FrameTables(spark, {"t": frame})
     items = column_items("r", "time_series", [{"table": "t", "column": "a", "expected_length": 5}]) + column_items("n", "null", [{"table": "t", "column": "id"}])
-    plan, _ = _plan_table(frame, dict(enumerate(items)))
+    plan, lengths, _ = batch._plan_table(frame, dict(enumerate(items)))
     assert "ObjectHashAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
-    rows = found_lengths(tables, items).collect()
+    rows = batch.found_lengths(tables, items).collect()
     assert len(rows) == 300 and sum(r.arrays for r in rows) == 99_999
+    for found in (column_check_items(tables, items), run_column_checks(tables, items)):
+        row = found.filter("check_type = 'time_series'").first()
+        assert (row.total_rows, row.invalid_count, row.length_count, row.min_length, row.max_length) == (100_000, 99_999 - 333 - (5 <= 99_999 % 300), 300, 0, 299)
+        assert len(row.found_lengths) == batch.MOST_LENGTHS and "and 200 more" in row.details
     wide = spark.range(100_000).selectExpr("sequence(1L, 1L) AS a", "id")
-    assert found_lengths(FrameTables(spark, {"t": wide}), items).count() == 1
+    assert batch.found_lengths(FrameTables(spark, {"t": wide}), items).count() == 1
+
+
+def test_a_million_lengths(spark):
+    from pyspark.sql import functions as F
+    from sparkchecks.operators import batch
+
+    lengths = spark.range(1_000_000).selectExpr("cast(id % 1 AS int) AS item", "cast(id AS int) AS length", "CASE WHEN id = 777 THEN 9L ELSE 1L END AS arrays")
+    items = column_items("r", "time_series", [{"table": "t", "column": "a", "expected_length": 5}])
+    from sparkchecks import FrameTables
+
+    found = batch._by_length(FrameTables(spark, {}), lengths, items)
+    row = found.first()
+    assert (row.total_rows, row.invalid_count, row.length_count) == (1_000_008, 1_000_007, 1_000_000)
+    assert row.found_lengths == [*range(batch.MOST_LENGTHS - 1), 777]
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    assert lengths.agg(F.max("length")).first()[0] == 999_999
+
+
+def test_lengths_and_counts_come_from_one_scan(spark, tmp_path):
+    from sparkchecks import FileTables
+
+    spark.range(100).selectExpr("array_repeat(1D, cast(id % 3 AS int)) AS a", "id").write.parquet(f"{tmp_path}/t.parquet")
+    items = column_items("r", "time_series", [{"table": "t", "column": "a", "expected_length": 1}])
+    frame = column_check_items(FileTables(spark, str(tmp_path)), items)
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan parquet") == 1
+    (row,) = run_column_checks(FileTables(spark, str(tmp_path)), items).collect()
+    assert (row.total_rows, row.invalid_count, row.found_lengths) == (100, 67, [0, 1, 2])
+
+
+def test_lengths_of_an_empty_table(spark):
+    from sparkchecks import FrameTables
+
+    empty = spark.createDataFrame([], "a array<int>, b int")
+    items = column_items("r", "time_series", [{"table": "t", "column": "a"}, {"table": "t", "column": "b"}])
+    for found in (column_check_items(FrameTables(spark, {"t": empty}), items), run_column_checks(FrameTables(spark, {"t": empty}), items)):
+        right, wrong = found.orderBy("ordinal").collect()
+        assert (right.status, right.total_rows, right.invalid_count, right.found_lengths, right.length_count) == ("SUCCESS", 0, 0, [], 0)
+        assert (wrong.status, wrong.total_rows, wrong.invalid_count) == ("FAILED", 0, -1)

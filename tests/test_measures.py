@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkchecks.functions.exact import exact_sums
 from sparkchecks.functions.measures import (
     array_length,
     array_totals,
-    measured_sum,
     not_a_number,
     rounded_bigint,
 )
@@ -20,7 +20,7 @@ NAN, INF = float("nan"), float("inf")
 
 def total(spark, values, dtype="double"):
     df = spark.createDataFrame([(v,) for v in values], f"x {dtype}")
-    return df.agg(measured_sum("x", df.schema["x"].dataType).cast("double")).first()[0]
+    return exact_sums(df, [], {"x": F.col("x")}).select(F.col("x").cast("double")).first()[0]
 
 
 @pytest.mark.parametrize(
@@ -43,22 +43,18 @@ def test_sum_equals_decimal_sum(spark, values):
 
 @pytest.mark.parametrize("dtype", ["double", "decimal(28,10)", "bigint"])
 def test_sum_over_any_partitioning(spark, dtype):
-    """Doubles agree but for the last digits, one tiny value among large ones or not; others exactly."""
     df = spark.range(100_000).selectExpr(f"cast(CASE WHEN id = 7 THEN 0.00005 ELSE id * 0.0123 END AS {dtype}) AS x")
     sums = [
-        df.repartition(n, F.rand(n)).agg(measured_sum("x", df.schema["x"].dataType)).first()[0]
+        exact_sums(df.repartition(n, F.rand(n)), [], {"x": F.col("x")}).first()[0]
         for n in (1, 3, 8)
     ]
-    if dtype == "double":
-        assert sums == pytest.approx([sums[0]] * 3, rel=1e-13)
-    else:
-        assert len(set(sums)) == 1
+    assert len(set(sums)) == 1
 
 
 def test_no_digit_is_dropped(spark):
     df = spark.range(100_000).selectExpr("0.000123456789012345D AS x", "cast(0.0000494999 AS decimal(28,10)) AS d")
-    row = df.agg(measured_sum("x", T.DoubleType()), measured_sum("d", df.schema["d"].dataType)).first()
-    assert row[0] == pytest.approx(12.3456789012345, rel=1e-12)
+    row = exact_sums(df, [], {"x": F.col("x"), "d": F.col("d")}).first()
+    assert row[0] == math.fsum([0.000123456789012345] * 100_000)
     assert row[1] == Decimal("4.9499900000")
 
 
@@ -68,8 +64,7 @@ def test_sum_of_many_magnitudes(spark):
     tables = [values, values[np.abs(values) > 1], values[np.abs(values) < 1e-5], values * 1e-9]
     for group in tables:
         df = spark.createDataFrame(pd.DataFrame({"x": group}))
-        found = df.agg(measured_sum("x", T.DoubleType())).first()[0]
-        assert found == pytest.approx(math.fsum(group), rel=1e-9)
+        assert exact_sums(df, [], {"x": F.col("x")}).first()[0] == math.fsum(group)
 
 
 def test_sum_of_extreme_values(spark):

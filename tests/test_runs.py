@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkchecks import FrameTables, Part, Rule, Total, plan_run, register_table_check, run, run_rollup
+from sparkchecks import FrameTables, Part, Rule, Total, changed_rules, history, plan_run, register_table_check, run, run_rollup
 from sparkchecks.plans.specs import RULE_SETS, SANITY_RULES, rule_set
 from test_reconcile import Energy
 
@@ -75,15 +75,68 @@ def test_stored_run_reads_back(spark, tables, tmp_path):
     total = Total("t", "a", {"all": []})
     sums = Rule("sums", "reconcile", {"table": "t", "column": "a", "parts": [Part(["all"], [total], [total])]})
     result = run(tables, [NULLS, sums], run_id="r7", output=str(tmp_path))
-    stored = spark.read.parquet(f"{tmp_path}/r7/rule_results")
-    assert stored.columns == result.rules.columns and stored.count() == 2
-    assert spark.read.parquet(f"{tmp_path}/r7/check_items").count() == 2
+    stored = history(spark, str(tmp_path))
+    assert sorted(stored.columns) == sorted(result.rules.columns) and stored.count() == 2
+    assert history(spark, str(tmp_path), "check_items").filter("run_id = 'r7'").count() == 2
     (item,) = spark.read.parquet(f"{tmp_path}/r7/details/sums").collect()
     assert (item.component, item.input_total, item.status) == ("all", 6.0, "SUCCESS")
-    assert spark.read.parquet(f"{tmp_path}/r7/report").first().failed_rules == 1
+    assert history(spark, str(tmp_path), "reports").first().failed_rules == 1
     assert set(result.details) == {"sums"}
 
 
+def test_runs_are_parts_of_one_table(spark, tables, tmp_path):
+    output = str(tmp_path)
+    run(tables, [NULLS, NANS], run_id="1", output=output)
+    run(tables, [NULLS, NANS, EMPTY], run_id="2", output=output)
+    before = {(r.run_id, r.rule_name): r.ts for r in history(spark, output).collect()}
+    assert set(before) == {("1", "nulls"), ("1", "nans"), ("2", "nulls"), ("2", "nans"), ("2", EMPTY.name)}
+    run(tables, [NANS], run_id="1", output=output)
+    after = {(r.run_id, r.rule_name): r.ts for r in history(spark, output).collect()}
+    assert set(after) == set(before) - {("1", "nulls")}
+    assert after["2", "nulls"] == before["2", "nulls"] and after["1", "nans"] > before["1", "nans"]
+    assert history(spark, output, "check_items").filter("run_id = '1'").count() == 1
+    plan = history(spark, output).filter("run_id = '2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan
+    run(tables, [], run_id="1", output=output)  # a run without rules leaves no rows of an earlier one
+    assert {r.run_id for r in history(spark, output).collect()} == {"2"}
+    assert {r.run_id: r.total_rules for r in history(spark, output, "reports").collect()} == {"1": 0, "2": 3}
+    with pytest.raises(ValueError, match="can name a part"):
+        run(tables, [NANS], run_id="a/b", output=output)
+
+
+def test_a_failed_run_leaves_the_others(spark, tables, tmp_path):
+    from sparkchecks.sources.sinks import read_parts, replace_part
+
+    frame = spark.range(3).withColumn("x", F.lit(1.5))
+    replace_part(frame, f"{tmp_path}/t", "run_id", "a")
+    replace_part(frame, f"{tmp_path}/t", "run_id", "b")
+    with pytest.raises(Exception):
+        replace_part(frame.withColumn("x", F.raise_error(F.lit("lost")).cast("double")), f"{tmp_path}/t", "run_id", "b")
+    assert read_parts(spark, f"{tmp_path}/t", frame.schema, "run_id").groupBy("run_id").count().count() == 2
+    assert replace_part(frame.limit(1), f"{tmp_path}/t", "run_id", "b").count() == 1
+    assert read_parts(spark, f"{tmp_path}/t", frame.schema, "run_id").count() == 4
+
+
+def test_changed_rules(spark):
+    rows = [("1", "r", "SUCCESS", 1), ("2", "r", "CRITICAL_FAILURE", 2), ("3", "r", "CRITICAL_FAILURE", 3), ("2", "s", "SUCCESS", 2)]
+    frame = spark.createDataFrame(rows, "run_id string, rule_name string, status string, ts int")
+    found = {(r.rule_name, r.run_id): (r.status_before, r.changed) for r in changed_rules(frame).collect()}
+    assert found == {("r", "1"): (None, False), ("r", "2"): ("SUCCESS", True), ("r", "3"): ("CRITICAL_FAILURE", False), ("s", "2"): (None, False)}
+
+
+def test_reconciliations_of_a_run_share_their_passes(spark, tables, tmp_path):
+    total = Total("t", "a", {"all": []})
+    rules = [Rule(f"sums{i}", "reconcile", {"table": "t", "parts": [Part(["all"], [total], [total])]}) for i in range(3)]
+    result = run(tables, rules, run_id="r", output=str(tmp_path))
+    assert [r.status for r in result.rules.orderBy("ordinal").collect()] == ["SUCCESS"] * 3
+    assert {n: d.first().input_total for n, d in result.details.items()} == {f"sums{i}": 6.0 for i in range(3)}
+    assert spark.read.parquet(f"{tmp_path}/r/details/reconciliations").count() == 3
+    broken = Total("bad", "v", {"bad": []})
+    rules.append(Rule("broken", "reconcile", {"table": "t", "parts": [Part(["bad"], [broken], [broken])]}))
+    found = by_name(run(tables, rules).rules)
+    assert [found[f"sums{i}"].status for i in range(3)] == ["SUCCESS"] * 3 and found["broken"].status == "CRITICAL_FAILURE"
+
+
 @pytest.mark.parametrize("stored", [False, True])
 def test_mismatches_of_grouped_rules(spark, tmp_path, stored):
     shares = [(b, "y35", 0.45) for b in range(15) for _ in range(2)] + [(1, "y100", 1.0)]
