@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import released, stored
 from .transducer import APART, DEPTH, ENDS, Transducer, union
 
 #: Bytes of text of a shard; windows of a range; windows per sampled window.
-SHARD, RANGE, STEP = 8 << 20, 2_000_000, 100_000
+SHARD, RANGE, STEP = 4 << 20, 1_000_000, 50_000
 #: Windows united before a cut, and between two clean-ups of a union.
-UNITED = 4_000_000
+UNITED = 1_500_000
 #: Ranges and samples that the driver holds at most; beyond them ranges grow.
 MAX_RANGES, MAX_SAMPLES = 65_536, 1_000_000
 #: Rows per language after the first round of the ranking are kept in so many groups.
@@ -102,7 +102,7 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size
         for lang, parts in held.items():
             yield from rows(lang, parts)
 
-    return base.mapInArrow(run, "lang string, n bigint, blob binary, sample array<binary>")
+    return base.mapInArrow(released(run), "lang string, n bigint, blob binary, sample array<binary>")
 
 
 def splits(written: DataFrame, size: int = RANGE, step: int = STEP) -> dict[str, tuple[int, list[tuple[bytes, ...]]]]:
@@ -149,7 +149,7 @@ def cut_at(written: DataFrame, at: dict[str, tuple[int, list[tuple[bytes, ...]]]
         for lang, own in held.items():
             yield from rows(lang, union(own))
 
-    return written.select("lang", "blob").mapInArrow(run, "range bigint, lang string, blob binary")
+    return written.select("lang", "blob").mapInArrow(released(run), "range bigint, lang string, blob binary")
 
 
 def united(cut: DataFrame, ranges: int, least: int) -> DataFrame:
@@ -178,15 +178,15 @@ def united(cut: DataFrame, ranges: int, least: int) -> DataFrame:
         if held:
             yield from rows(now[1], union(held))
 
-    return dealt.mapInArrow(run, "lang string, size int, phrase string, f bigint")
+    return dealt.mapInArrow(released(run), "lang string, size int, phrase string, f bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: str = "lang", size: int = SHARD, window_range: int = RANGE, step: int = STEP) -> DataFrame:
     """Per language: size, phrase and f of all phrases of up to four words that occur ``least`` times, and of size 0 the number of words."""
-    written = stored(shards(docs, text_col, lang_col, size, step), 2_000)
+    written = stored(shards(docs, text_col, lang_col, size, step), 1_000)
     at = splits(written, window_range, step)
     ranges = max(1, sum(len(w) + 1 for _, w in at.values()))
-    parts = stored(united(cut_at(written, at), ranges, least), 16)
+    parts = stored(united(cut_at(written, at), ranges, least), 4)
     sums = parts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
     return stored(sums.filter((F.col("f") >= least) | (F.col("size") == 0)))
 
