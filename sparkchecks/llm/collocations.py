@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import released, stored
+from .storage import released, stored, trim
 from .transducer import APART, DEPTH, ENDS, Transducer, union
 
 #: Bytes of text of a shard; windows of a range; windows per sampled window.
-SHARD, RANGE, STEP = 4 << 20, 1_000_000, 50_000
-#: Windows united before a cut, and between two clean-ups of a union.
-UNITED = 1_500_000
+SHARD, RANGE, STEP = 4 << 20, 500_000, 25_000
+#: Windows united before a cut, and of a range between two unions.
+UNITED, FRESH = 1_200_000, 600_000
 #: Ranges and samples that the driver holds at most; beyond them ranges grow.
 MAX_RANGES, MAX_SAMPLES = 65_536, 1_000_000
 #: Rows per language after the first round of the ranking are kept in so many groups.
@@ -146,6 +146,7 @@ def cut_at(written: DataFrame, at: dict[str, tuple[int, list[tuple[bytes, ...]]]
                 while sum(len(t.paths) for own in held.values() for t in own) > UNITED:
                     most = max(held, key=lambda x: sum(len(t.paths) for t in held[x]))
                     yield from rows(most, union(held.pop(most)))
+                    trim()
         for lang, own in held.items():
             yield from rows(lang, union(own))
 
@@ -170,10 +171,11 @@ def united(cut: DataFrame, ranges: int, least: int) -> DataFrame:
                 if held and now != (place, lang):
                     yield from rows(now[1], union(held))
                     held, fresh = [], 0
+                    trim()
                 now = (place, lang)
                 held.append(Transducer.from_bytes(blob.as_buffer()))
                 fresh += len(held[-1].paths)
-                if fresh > max(UNITED, len(held[0].paths)):
+                if fresh > max(FRESH, len(held[0].paths)):
                     held, fresh = [union(held)], 0
         if held:
             yield from rows(now[1], union(held))

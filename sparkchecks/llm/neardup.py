@@ -1,20 +1,23 @@
 """Near-duplicate documents: MinHash minima, banding, signature check, exact check, components.
 
 1. Each text becomes its set of word shingles (64-bit hashes) and, from that, a 128-bit
-   fingerprint of the set and ``BANDS * ROWS`` minima under universal (multiply-shift) hashes.
-2. Documents with equal sets become one class, named by its smallest doc_id; only classes go on.
-3. Classes that share a band fall into a bucket. With 32 bands of 5 rows a pair at a similarity
-   of 0.85 shares none with a probability of 7e-9 (at 0.8: 3e-6).
-4. Stars: in each bucket one leader is compared with the members of other components, twice, with
-   the smallest and then a pseudo-random leader. That settles buckets of copies in linear work.
-5. Blocks: buckets that still hold several components (near copies of each other that mostly lie
-   just below the threshold) are divided into chunks of ``CHUNK`` members; each pair of chunks is
-   compared in one place on sketches of ``FINE`` more minima, and only pairs of different
-   components that pass leave it. So every pair in a common bucket is either joined already or
-   compared; none is dropped, and no group is held whole by a task.
-6. A pair is compared on equal minima first (``MARGIN`` and ``FINE_MARGIN`` below the threshold lie
-   five standard deviations off), then by the intersection of the full sets. Only pairs that pass
-   become links; components are found by alternating large-star and small-star.
+   fingerprint of the set and some hundred minima under universal (multiply-shift) hashes.
+2. Rows with equal sets become one class; only one row of each class goes on. Classes are told
+   apart by their set, so rows that share an id but not the text are different classes.
+3. Classes that share a band fall into a bucket. Bands are as long as ``MOST_BANDS`` of them allow
+   while a pair at the threshold shares none with a probability below ``MISSED``: 76 bands of 11
+   minima for 85 %, 76 of 8 for 80 %. A pair at 50 % then meets with 4 % (26 %).
+4. Leaders: each bucket compares its members with one leader, and where several components are left
+   with ``LEADERS`` others. That settles groups of copies in linear work, and every bucket of at most
+   ``LEADERS`` + 1 members entirely.
+5. Blocks: larger buckets that still hold several components are divided by the size of the sets, so
+   that only sizes within the threshold meet, and into chunks of ``CHUNK`` members; pairs of chunks
+   are compared on the minima, each in one place. So every pair in a common bucket is either joined
+   already or compared; none is dropped, and no group is held whole by a task.
+6. A pair is compared on the lowest byte of its minima first (five standard deviations below the
+   threshold: 3e-7 of the pairs at the threshold are missed, less above it), then by the intersection
+   of the full sets. Only pairs that pass become links; components are found by alternating
+   large-star and small-star.
 
 Defined cases: texts without words (or NULL) have an empty set and are linked with nothing; a
 text of fewer words than a shingle is one shingle; rows without doc_id are linked with nothing,
@@ -24,50 +27,75 @@ a doc_id but not the text are judged row by row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import small, stored
+from .storage import released, small, stored
 from .words import U, chunks, distinct_in_docs, mix, shingles, words
 
-BANDS, ROWS = 32, 5
 SEED = 20_240_229
-#: How far the share of equal minima may lie below the threshold.
-MARGIN = 0.15
-#: Minima (8 bits each) of the sketches for blocks, and members of a chunk.
-FINE, FINE_MARGIN = 1024, 0.06
+#: Share of the pairs at the threshold that may meet in no band, and the number of bands for it.
+MISSED, MOST_BANDS = 1e-6, 80
+#: Standard deviations that the share of equal minima may lie below the threshold.
+SIGMAS = 5
+#: Leaders of a bucket in the second round, and rounds with that many.
+LEADERS, ROUNDS = 8, 2
+#: Members and shingles of a chunk of a block.
 CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
+#: Rows with shingle sets that a worker holds at a time.
+WIDE = 256
 
 
-def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    return rng.integers(0, 1 << 64, n, U) | U(1), rng.integers(0, 1 << 64, n, U)
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and minima of each: the longest bands that miss less than ``MISSED`` at the threshold."""
+    for rows in range(30, 0, -1):
+        together = (percent / 100) ** rows
+        bands = 1 if together >= 1 else math.ceil(math.log(MISSED) / math.log1p(-together))
+        if bands <= MOST_BANDS:
+            return bands, rows
+    return MOST_BANDS, 1
+
+
+def least_equal(percent: int) -> float:
+    """Share of equal minima below which a pair is no link."""
+    bands, rows = banding(percent)
+    t = percent / 100
+    return t - SIGMAS * math.sqrt(t * (1 - t) / (bands * rows))
 
 
-def _minima(value: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int = 64) -> np.ndarray:
-    """The minimum of each document (they begin at ``first``) under each universal hash; its highest bits."""
-    out = np.empty((len(first), len(a)), f"u{bits // 8}")
-    hashed = np.empty_like(value)
-    for j in range(len(a)):
-        np.multiply(value, a[j], out=hashed)
-        np.add(hashed, b[j], out=hashed)
-        out[:, j] = np.minimum.reduceat(hashed, first) >> U(64 - bits)
+def _minima(value: np.ndarray, first: np.ndarray, n: np.ndarray, count: int) -> np.ndarray:
+    """The minimum of each document (they begin at ``first``) under each of ``count`` hashes x -> a * x + b of 32 bits."""
+    rng = np.random.default_rng(SEED)
+    a = rng.integers(0, 1 << 32, count, np.uint32) | np.uint32(1)
+    b = rng.integers(0, 1 << 32, count, np.uint32)
+    narrow = (value >> U(32)).astype(np.uint32)
+    out = np.full((len(first), count), 0xFFFFFFFF, np.uint32)
+    held = np.empty((256, count), np.uint32)
+    for x, (lo, size) in enumerate(zip(first.tolist(), n.tolist(), strict=True)):
+        for i in range(lo, lo + size, 256):
+            part = held[: min(256, lo + size - i)]
+            np.multiply(narrow[i : i + len(part), None], a, out=part)
+            np.add(part, b, out=part)
+            np.minimum(out[x], part.min(axis=0), out=out[x])
     return out
 
 
-def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, f1, f2 (fingerprint), bands (array), minima (16 bits each)."""
-    schema = "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>, minima binary"
+def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows (doc_id, text, carried) as doc_id, carried, n_shingles, f1, f2 (fingerprint), bands and the minima's lowest bytes."""
+    kind = docs.schema["carried"].dataType.simpleString()
+    n_bands, per_band = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _multipliers(BANDS * ROWS)
-        odd = a[:ROWS]
+        rng = np.random.default_rng(SEED + 1)
+        odd = rng.integers(0, 1 << 64, per_band, U) | U(1)
+        apart = rng.integers(0, 1 << 64, n_bands, U)
         held: dict = {}
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(1)):
@@ -79,50 +107,42 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 minima: list = [None] * (j - i)
                 if len(has):
                     first = np.searchsorted(doc, has)
-                    f1[has] = np.add.reduceat(mix(value ^ a[0]), first)
-                    f2[has] = np.add.reduceat(mix(value ^ b[0]), first)
-                    low = _minima(value, first, a, b)
-                    key = (low.reshape(-1, BANDS, ROWS) * odd).sum(axis=2, dtype=U)
-                    key = mix(key + np.arange(BANDS, dtype=U) * b[1]).view(np.int64)
-                    short = (low >> U(48)).astype(np.uint16)
+                    f1[has] = np.add.reduceat(mix(value ^ odd[0]), first)
+                    f2[has] = np.add.reduceat(mix(value ^ apart[0]), first)
+                    low = _minima(value, first, n[has], n_bands * per_band)
+                    key = mix((low.reshape(-1, n_bands, per_band) * odd).sum(axis=2, dtype=U) + apart).view(np.int64)
+                    short = low.astype(np.uint8)
                     for x, d in enumerate(has):
                         bands[d], minima[d] = key[x], short[x].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
+                        batch.column(2).slice(i, j - i),
                         pa.array(n, pa.int64()),
                         pa.array(f1.view(np.int64)),
                         pa.array(f2.view(np.int64)),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(minima, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "f1", "f2", "bands", "minima"],
+                    names=["doc_id", "carried", "n_shingles", "f1", "f2", "bands", "minima"],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), f"doc_id bigint, carried {kind}, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>, minima binary")
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: c (its doc_id), the sorted shingle hashes as bytes, and the fine sketch."""
+def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
+    """Rows (c, text) as c and the sorted shingle hashes in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = (x[-FINE:] for x in _multipliers(BANDS * ROWS + FINE))
         held: dict = {}
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(1)):
                 value, doc = distinct_in_docs(*shingles(words(data, offs, held), k))
                 at = np.searchsorted(doc, np.arange(j - i + 1))
                 sets = [value[at[x] : at[x + 1]].tobytes() for x in range(j - i)]
-                fine: list = [b""] * (j - i)
-                if len(value):
-                    has = np.flatnonzero(np.diff(at))
-                    low = _minima(value, at[has], a, b, 8)
-                    for x, d in enumerate(has):
-                        fine[d] = low[x].tobytes()
-                columns = [batch.column(0).slice(i, j - i), pa.array(sets, pa.binary()), pa.array(fine, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["c", "s", "fine"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.binary())], names=["c", "s"])
 
-    return docs.mapInArrow(run, "c bigint, s binary, fine binary")
+    return texts.mapInArrow(released(run), "c bigint, s binary")
 
 
 def _alike(pairs: DataFrame, least: float) -> DataFrame:
@@ -132,11 +152,11 @@ def _alike(pairs: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
-                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(part.num_rows, -1) for c in (2, 3))
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in (2, 3))
                 good = (x == y).mean(axis=1) >= least
                 yield part.select([0, 1]).filter(pa.array(good))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(released(run), "a bigint, b bigint")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -156,42 +176,87 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
                 good.append(linked(np.frombuffer(p.as_buffer(), U), np.frombuffer(q.as_buffer(), U), percent))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(released(run), "a bigint, b bigint")
+
+
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """What tells rows apart: the id, and two hashes of the text."""
+    return F.col(id_col).cast("bigint").alias("doc_id"), F.struct(F.xxhash64(F.col(text_col)).alias("x"), F.hash(F.col(text_col)).alias("y")).alias("carried")
+
+
+def judged_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc_id, carried (its text's hashes), n_shingles, class_id, component_id, and c, the number of its component (NULL: none)."""
+    key, hashes = row_key(id_col, text_col)
+    base = docs.select(key, F.col(text_col).cast("string").alias("text"), hashes)
+    sig = stored(signatures(base, k, percent).withColumn("r", F.monotonically_increasing_id()), 2_000)
+    named = sig.filter("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "r", "f1", "f2")
+    copies = named.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "r")).alias("of"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = stored(copies.select("f1", "f2", F.col("of.r").alias("of"), F.col("of.doc_id").alias("of_id")))
+    rows = sig.select("doc_id", "carried", "n_shingles", "r", "f1", "f2").join(small(copies), ["f1", "f2"], "left")
+    able = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    rows = rows.select("doc_id", "carried", "n_shingles", "r", F.when(able, F.coalesce("of", "r")).alias("c"), F.when(able, F.coalesce("of_id", "doc_id")).alias("c_id"))
+    rows = stored(rows)
+    others = stored(rows.filter("c IS NULL OR c <> r").select("r"))
+    classes = sig.join(small(others), "r", "left_anti").select(F.col("r").alias("c"), "doc_id", "carried", "n_shingles", "bands", "minima")
+
+    found = _linked_classes(base, classes, k, percent)
+    names = rows.filter("c = r").select("c", "c_id").join(small(found), "c")
+    least = names.groupBy("component").agg(F.min("c_id").alias("component_id"))
+    named = stored(names.select("c", "component").join(least, "component"))
+    out = rows.join(small(named), "c", "left")
+    return out.select(
+        "doc_id",
+        "carried",
+        "n_shingles",
+        F.coalesce("c_id", "doc_id").alias("class_id"),
+        F.coalesce("component_id", "c_id", "doc_id").alias("component_id"),
+        F.coalesce("component", "c").alias("c"),
+    )
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class_id."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = stored(signatures(base, k))
-    named = sig.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    copies = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("c"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    copies = stored(copies)
-    rows = sig.select("doc_id", "n_shingles", "f1", "f2").join(small(copies), ["f1", "f2"], "left")
-    empty = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    rows = rows.select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.coalesce("c", "doc_id")).alias("class_id"))
-    others = stored(rows.filter(~empty & (F.col("doc_id") != F.col("class_id"))).select("doc_id").distinct())
-    classes = named.join(small(others), "doc_id", "left_anti").dropDuplicates(["doc_id", "f1", "f2"]).withColumnRenamed("doc_id", "c")
-
-    found = _linked_classes(base, classes, k, percent).withColumnRenamed("c", "class_id")
-    out = rows.join(small(found), "class_id", "left")
-    component = F.coalesce("component", "class_id")
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "class_id"
-    )
+    rows = judged_rows(docs, k, percent, id_col, text_col)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return rows.select("doc_id", "n_shingles", "component_id", kept, "class_id")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without all but one of each group of near duplicates: the one with the smallest id, then hash of the text.
+
+    Rows without id and rows without words all stay; of rows that repeat id and text one stays.
+    """
+    rows = stored(judged_rows(docs, k, percent, id_col, text_col).filter("c IS NOT NULL").select("c", F.struct("doc_id", "carried").alias("key")))
+    groups = stored(rows.groupBy("c").agg(F.min("key").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    told = stored(rows.join(small(groups), "c").withColumn("same", F.col("key") == F.col("stays")))
+    gone = stored(told.filter("NOT same").select("key").distinct())
+    again = stored(told.filter("same").groupBy("key").count().filter("count > 1").select("key"))
+    kept = docs.withColumn("__key", F.struct(*row_key(id_col, text_col)))
+    kept = kept.join(small(gone.withColumnRenamed("key", "__key")), "__key", "left_anti")
+    if again.isEmpty():
+        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = again.withColumnRenamed("key", "__key")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = kept.join(small(again), "__key", "left_semi").groupBy("__key").agg(F.first(row).alias("row")).select("row.*")
+    return kept.join(small(again), "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(first)
 
 
 def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """Rows (block, docs, p, q): members of a block and the pairs (places in docs) to be confirmed.
 
-    Takes rows (key, i, j, side, c, component, n, fine, bands) sorted by (key, i, j). Sides 0 and 1
+    Takes rows (key, i, j, side, c, component, n, minima, bands) sorted by (key, i, j). Sides 0 and 1
     are two chunks of a bucket, side 2 is one chunk compared with itself.
     """
+    n_bands, per_band = banding(percent)
+    least = least_equal(percent)
+    some = min(128, n_bands * per_band)
+    least_some = percent / 100 - SIGMAS * math.sqrt(percent / 100 * (1 - percent / 100) / some)
 
     def compare(x: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         side, c, component, n = (x.column(i).to_numpy() for i in (3, 4, 5, 6))
         key = x.column(0)[0].as_py()
-        fine = np.frombuffer(b"".join(x.column(7).to_pylist()), np.uint8).reshape(len(c), FINE)
-        bands = x.column(8).flatten().to_numpy().reshape(len(c), BANDS)
+        fine = np.frombuffer(b"".join(x.column(7).to_pylist()), np.uint8).reshape(len(c), -1)
+        bands = x.column(8).flatten().to_numpy().reshape(len(c), n_bands)
         earlier = int(np.flatnonzero(bands[0] == key)[0])
         p, q = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         able = component[p][:, None] != component[q][None, :]
@@ -206,9 +271,9 @@ def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
             keep = np.concatenate(kept) if kept else np.zeros(0, bool)
             r, s = r[keep], s[keep]
 
-        only(lambda x, y: (fine[x, :128] == fine[y, :128]).mean(axis=1) >= percent / 100 - 2.5 * FINE_MARGIN)
+        only(lambda x, y: (fine[x, :some] == fine[y, :some]).mean(axis=1) >= least_some)
         only(lambda x, y: ~(bands[x, :earlier] == bands[y, :earlier]).any(axis=1))
-        only(lambda x, y: (fine[x] == fine[y]).mean(axis=1) >= percent / 100 - FINE_MARGIN)
+        only(lambda x, y: (fine[x] == fine[y]).mean(axis=1) >= least)
         return r, s
 
     def finish(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
@@ -238,7 +303,7 @@ def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from finish(held)
 
-    return rows.mapInArrow(run, "block bigint, docs array<bigint>, p array<bigint>, q array<bigint>")
+    return rows.mapInArrow(released(run), "block bigint, docs array<bigint>, p array<bigint>, q array<bigint>")
 
 
 def _confirmed_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,16 +331,32 @@ def _confirmed_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataF
     return blocks.groupBy("block").cogroup(members.groupBy("of")).applyInPandas(confirm, "a bigint, b bigint")
 
 
-def _chunked(tagged: DataFrame, fine: DataFrame) -> DataFrame:
-    """Members (key, c, component) dealt to every pair of chunks of their bucket, with their sketch."""
-    sized = tagged.join(fine.select("c", "n"), "c")
+def _chunked(tagged: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """Members (key, c, component) dealt to the pairs of chunks of their bucket whose sizes can be alike.
+
+    Sets are told apart by the logarithm of their size in steps of the threshold: linked ones lie in
+    one step or in two neighbours. Each step of a bucket is divided into chunks by a hash.
+    """
+    step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
+    sized = tagged.join(fine.select("c", "n"), "c").withColumn("cell", F.floor(F.log("n") / step))
     chunks_of = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int")
-    counts = stored(sized.groupBy("key").agg(chunks_of.alias("of")))
-    rows = tagged.join(small(counts), "key").withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "c", "component")
-    rows = rows.join(fine, "c").select("key", "i", "j", "side", "c", "component", "n", "fine", "bands")
+    counts = stored(sized.groupBy("key", "cell").agg(chunks_of.alias("of")))
+    near = counts.select("key", (F.col("cell") - 1).alias("cell"), F.col("of").alias("above"))
+    below = counts.select("key", (F.col("cell") + 1).alias("cell"), F.col("of").alias("below"))
+    around = stored(counts.join(near, ["key", "cell"], "left").join(below, ["key", "cell"], "left").fillna(0, ["above", "below"]))
+    rows = sized.join(small(around), ["key", "cell"]).withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int"))
+
+    def chunks_in(cell: Column, n: Column) -> Column:
+        """Names of all chunks of a step."""
+        of = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
+        return F.transform(of, lambda x: cell * (1 << 32) + x)
+
+    cell = F.col("cell")
+    others = F.concat(chunks_in(cell, F.col("of")), chunks_in(cell + 1, F.col("above")), chunks_in(cell - 1, F.col("below")))
+    rows = rows.withColumn("mine", cell * (1 << 32) + F.col("own")).withColumn("other", F.explode(others))
+    side = F.when(F.col("mine") == F.col("other"), 2).otherwise((F.col("mine") > F.col("other")).cast("int"))
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), side.alias("side"), "c", "component")
+    rows = rows.join(fine, "c").select("key", "i", "j", "side", "c", "component", "n", "minima", "bands")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "c")
 
 
@@ -286,18 +367,19 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
     shared = entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     active = stored(entries.join(small(stored(shared)), "key"))
     ids = stored(active.select("c").distinct())
-    minima = stored(classes.join(small(ids), "c", "left_semi").select("c", "n_shingles", "minima", "bands"))
+    known = stored(classes.join(small(ids), "c", "left_semi"))
+    minima = known.select("c", "minima")
     state = {"parts": ids.withColumn("component", F.col("c")), "links": spark.createDataFrame([], "a bigint, b bigint"), "sets": None}
     state["components"] = spark.createDataFrame([], "c bigint, component bigint")
 
     def read_sets(wanted: DataFrame) -> None:
-        """Texts of wanted ids that were not read before are read again for their sets."""
-        known = state["sets"]
-        wanted = wanted if known is None else wanted.join(known.select(F.col("c").alias("doc_id")), "doc_id", "left_anti")
-        wanted = stored(wanted)
-        if known is None or not wanted.isEmpty():
-            new = stored(shingle_sets(base.join(small(wanted), "doc_id", "left_semi"), k))
-            state["sets"] = new if known is None else known.unionByName(new)
+        """Texts of wanted classes that were not read before are read again for their sets."""
+        before = state["sets"]
+        wanted = wanted if before is None else wanted.join(before.select("c"), "c", "left_anti")
+        wanted = stored(known.join(small(stored(wanted)), "c", "left_semi").select("c", "doc_id", "carried"))
+        if before is None or not wanted.isEmpty():
+            new = _sets_of(base, wanted, k)
+            state["sets"] = new if before is None else before.unionByName(new)
 
     def unsettled(active: DataFrame) -> DataFrame:
         """Rows (c, key, component) of buckets that hold several components."""
@@ -309,11 +391,11 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         """Compare the sets of pairs; links that are found join components."""
         if pairs.isEmpty():
             return
-        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct())
         sets = state["sets"]
         full = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
         full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
-        add(stored(_linked(full, percent)))
+        add(stored(_linked(full, percent), WIDE))
 
     def add(found: DataFrame) -> None:
         if found.isEmpty():
@@ -324,19 +406,33 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         parts = ids.join(small(joined), "c", "left")
         state["parts"] = stored(parts.select("c", F.coalesce("component", "c").alias("component")))
 
-    for leader in (F.min("c"), F.min_by("c", F.xxhash64("c"))):
-        tagged = unsettled(active)
-        leaders = stored(tagged.groupBy("key").agg(leader.alias("b")).join(tagged.select("key", F.col("c").alias("b"), F.col("component").alias("cb")), ["key", "b"]))
+    tagged = unsettled(active)
+    for turn in range(1 + ROUNDS):
+        if tagged.isEmpty():
+            return state["components"]
+        order = [F.col("c")] if turn == 0 else [F.xxhash64("c", F.lit(turn))]
+        ranked = tagged.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order))).filter(F.col("rank") <= (LEADERS if turn else 1))
+        leaders = stored(ranked.select("key", F.col("c").alias("b"), F.col("component").alias("cb")))
         pairs = tagged.join(small(leaders), "key").filter("component <> cb").select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
         checked = pairs.join(minima.select(F.col("c").alias("a"), F.col("minima").alias("ma")), "a")
         checked = checked.join(minima.select(F.col("c").alias("b"), F.col("minima").alias("mb")), "b").select("a", "b", "ma", "mb")
-        confirm(stored(_alike(checked, percent / 100 - MARGIN)))
-        active = tagged.select("key", "c")
-    tagged = unsettled(active)
-    left = stored(tagged.select(F.col("c").alias("doc_id")).distinct())
+        confirm(stored(_alike(checked, least_equal(percent)), 4_000))
+        if turn:  # buckets of few members are compared entirely
+            large = stored(tagged.groupBy("key").count().filter(F.col("count") > LEADERS + 1).select("key"))
+            tagged = tagged.join(small(large), "key")
+        tagged = unsettled(tagged.select("key", "c"))
+    left = stored(tagged.select("c").distinct())
     if not left.isEmpty():
         read_sets(left)
-        fine = minima.select("c", F.col("n_shingles").alias("n"), "bands").join(state["sets"].select("c", "fine"), "c")
-        blocks = stored(_in_blocks(_chunked(tagged, fine), percent))
-        add(stored(_confirmed_blocks(blocks, state["sets"], percent)))
+        fine = stored(known.join(small(left), "c", "left_semi").select("c", F.col("n_shingles").alias("n"), "minima", "bands"))
+        blocks = stored(_in_blocks(_chunked(tagged, fine, percent), percent), 2_000)
+        add(stored(_confirmed_blocks(blocks, state["sets"], percent), WIDE))
     return state["components"]
+
+
+def _sets_of(base: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """Sets (c, s) of wanted classes (c, doc_id, carried), from the texts of their documents."""
+    sets = stored(shingle_sets(base.join(small(wanted), ["doc_id", "carried"]).select("c", "text"), k), 2_000)
+    if sets.groupBy("c").count().filter("count > 1").isEmpty():
+        return sets
+    return stored(sets.dropDuplicates(["c"]), WIDE)  # repeated rows

@@ -28,17 +28,22 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "intermediate")
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers are used again, and libraries keep what they once had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """The function of a task, which gives memory back to the system at its end: workers are used again."""
+    """The function of a task, which gives memory back at its end."""
 
     def wrapped(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # only where the C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            trim()
 
     return wrapped
 
