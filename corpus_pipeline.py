@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from sparkchecks.llm.langid import UNDETERMINED, learn, predict, remainder
 from sparkchecks.llm.mixing import mix
-from sparkchecks.llm.neardup import near_duplicates
+from sparkchecks.llm.neardup import one_of_each
 from sparkchecks.llm.packing import pack_documents, word_count
 from sparkchecks.llm.quality import keep_good
-from sparkchecks.llm.storage import small, stored
+from sparkchecks.llm.storage import stored
 
 #: Regression value below which no language fits a text.
 MIN_LANGUAGE_SCORE = 0.1
@@ -43,19 +43,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates.
 
-    Of rows that share an id one stays; rows without id all stay.
+    Rows without id or words all stay; of rows that repeat an id and its text one stays.
     """
-    judged = stored(near_duplicates(docs, SHINGLE, SIMILAR).select("doc_id", "kept"))
-    gone = stored(judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("NOT kept").select(F.col("doc_id").alias("__id")))
-    kept = docs.join(small(gone), F.col("doc_id") == F.col("__id"), "left_anti")
-    again = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    again = stored(again.select(F.col("doc_id").alias("__id")))
-    if again.isEmpty():
-        return kept
-    same = F.col("doc_id") == F.col("__id")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = kept.join(small(again), same, "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("row"))
-    return kept.join(small(again), same, "left_anti").unionByName(first.select("row.*"))
+    return one_of_each(docs, SHINGLE, SIMILAR)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
