@@ -35,6 +35,7 @@ ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\
 # Element names of HTML by their role in parsing and layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math".split())
+END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul br".split()
@@ -49,7 +50,7 @@ ENDED_BY = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-NEVER = frozenset("head nav aside footer form button select option input label fieldset menu dialog object audio video canvas map dir applet".split())
+NEVER = frozenset("head nav aside footer button select option input label fieldset menu dialog object audio video canvas map dir applet".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|cookies?\w*|consent\w*|gdpr|notice\w*|notif\w*|alert\w*|popup\w*|modal\w*|overlay\w*|"
@@ -66,6 +67,11 @@ HARMLESS = re.compile(r"^(?:has|with|no|without|is|js)[-_]|^(?:article|post|entr
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SCORED = frozenset("p pre td blockquote li dd div section article main body figcaption h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("div section article main body td blockquote html li ul ol table tbody tr dl center".split())
+#: Elements that are dropped only if a whole class or id is a name: "copyright", but not "copyright-history".
+PROSE = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+WHOLE = re.compile(NAMES.pattern.replace(r"(?:^|[\s_-])", "^").replace(r"(?:$|[\s_-])", "$"), re.I)
+#: Ancestors that get points of a paragraph; what others would get is next to nothing.
+LEVELS = 32
 #: Share of its points that an element keeps if its name is that of a part without article.
 SPARED = 0.25
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -100,23 +106,19 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack, opened, at, lower = [0], {"#": 1}, 0, None
+        stack, at = [0], 0
+        opened: dict[str, list[int]] = {}  # where the open elements of a name are in the stack
 
         def pop_to(depth: int) -> None:
             while len(stack) > depth:
                 gone = self.tag[stack.pop()]
-                opened[gone] -= 1
+                opened[gone].pop()
                 if gone in BLOCK:
                     self.texts.append((stack[-1], ""))
 
         def depth_of(wanted, limits=()) -> int:
-            for i in range(len(stack) - 1, 0, -1):
-                name = self.tag[stack[i]]
-                if name in wanted:
-                    return i
-                if name in limits:
-                    break
-            return 0
+            last = max((opened[x][-1] for x in wanted if opened.get(x)), default=0)
+            return last if last >= max((opened[x][-1] for x in limits if opened.get(x)), default=0) else 0
 
         while m := TOKEN.search(source, at):
             if m.start() > at:
@@ -139,10 +141,9 @@ class Page:
                         pop_to(depth)
                 continue
             if name in RAW:
-                lower = lower or source.lower()
-                end = lower.find(f"</{name}", at)
-                end = len(source) if end < 0 else source.find(">", end) + 1 or len(source)
-                at = end if not attributes.endswith("/") or name in ("script", "style", "title", "textarea") else at
+                if not attributes.endswith("/") or name in ("script", "style", "title", "textarea"):
+                    end = END[name].search(source, at)
+                    at = len(source) if end is None else source.find(">", end.start()) + 1 or len(source)
                 continue
             if name in CLOSES_P and opened.get("p") and (depth := depth_of(("p",), ("button", "td", "th", "table", "object"))):
                 pop_to(depth)
@@ -162,18 +163,18 @@ class Page:
             self.named.append(named)
             self.wordy.append(named and bool(WORDY.search(_flags(attributes)[0])))
             if not (attributes.endswith("/") and name not in BLOCK):
+                opened.setdefault(name, []).append(len(stack))
                 stack.append(node)
-                opened[name] = opened.get(name, 0) + 1
         else:
             if at < len(source):
                 self.texts.append((stack[-1], source[at:]))
 
-    def _never(self, name: str, attributes: str, opened: dict[str, int]) -> tuple[bool, bool]:
+    def _never(self, name: str, attributes: str, opened: dict[str, list[int]]) -> tuple[bool, bool]:
         """Whether an element never holds an article, and whether its class or id says so."""
         if name in NEVER or name == "header" and not (opened.get("article") or opened.get("main")):
             return True, False
         if not attributes:
-            return False, False
+            return False, name == "form"
         names, role, hidden = _flags(attributes)
         if hidden or role in ROLES:
             return True, False
@@ -181,7 +182,8 @@ class Page:
             return False, False
         if name in ("article", "header"):
             return bool(COMMENT.search(names)), False
-        return False, any(NAMES.search(x) and not HARMLESS.search(x) for x in names.split())
+        pattern = WHOLE if name in PROSE else NAMES
+        return False, name == "form" or any(pattern.search(x) and not HARMLESS.search(x) for x in names.split())
 
     def _spare(self, points: list[float]) -> list[bool]:
         """Drop elements by name, but those around the article or most points; tells which were spared."""
@@ -240,20 +242,19 @@ class Page:
         if not own[0]:
             return ""
         score, links = [0.0] * n, [0] * n
+        lists = [-1] * n  # the nearest list or box at or above an element
+        for i in range(1, n):
+            lists[i] = i if self.tag[i] in ("ul", "ol", "div", "section", "table") else lists[self.parent[i]]
         for i in range(1, n):
             tag = self.tag[i]
             if self.dropped[i]:
                 continue
-            if tag == "a":
-                up = self.parent[i]
-                while up >= 0 and self.tag[up] not in ("ul", "ol", "div", "section", "table"):
-                    up = self.parent[up]
-                if up >= 0:
-                    links[up] += 1
+            if tag == "a" and (up := lists[self.parent[i]]) >= 0:
+                links[up] += 1
             if direct[i] and tag in SCORED and not in_link[i]:
                 points = (1.0 if direct[i] >= 25 else 0.2) + commas[i] + min(direct[i] / 100, 3.0)
                 up, level = (i, 0) if tag in CONTAINER and tag not in ("li", "td") else (self.parent[i], 0)
-                while up > 0:
+                while up > 0 and level < LEVELS:
                     score[up] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
                     points *= SPARED if spared[up] else 1
                     up, level = self.parent[up], level + 1

@@ -1,5 +1,7 @@
 """Main text of pages, by hand and on the given pages."""
 
+import time
+
 import html
 import re
 
@@ -76,3 +78,25 @@ def test_given_pages(spark):
 )
 def test_attributes_and_names_around_the_article(source, text):
     assert main_text(source) == text
+
+
+ARTICLE = "The harbour was quiet that morning, and the boats lay still, as if they were waiting for a wind that would not come. " * 6
+
+
+@pytest.mark.parametrize("broken", ["<div>" * 100_000, "<span><a>" * 50_000, "<p><b>" * 50_000, "<ul><li>" * 50_000, "<li>" * 100_000, "<table><tr><td>" * 30_000, "<svg/>" * 100_000, "</div>" * 100_000, "<em>" * 50_000 + "<p>" * 50_000])
+def test_deep_and_unclosed_markup_is_read_in_linear_time(broken):
+    before = time.process_time()
+    text = main_text(f"<html><body><article><p>{ARTICLE}</p></article>{broken}last words")
+    assert time.process_time() - before < 20
+    assert "harbour" in text
+
+
+def test_no_text_is_lost():
+    wrapped = main_text(f"<body><form action=x><div id=nav><a href=/>Home</a></div><div class=main><p>{ARTICLE}</p><p>{ARTICLE}</p></div><input type=hidden></form></body>")
+    assert wrapped.count("harbour") == 12 and "Home" not in wrapped
+    inside = main_text(f"<article><p>{ARTICLE}</p><p class='copyright-history'>{ARTICLE}</p><p class='legal-case'>{ARTICLE}</p><p class=copyright>No rights</p></article>")
+    assert inside.count("harbour") == 18 and "No rights" not in inside
+    dotted = main_text(f"<article><p>{'İ' * 60}</p><SCRIPT>var x = 1;</Script><p>{ARTICLE}</p><style>p {{}}</STYLE><p>the end, truly</p></article>")
+    assert dotted.count("harbour") == 6 and "the end" in dotted and "var x" not in dotted
+    small = main_text(f"<article><p>{ARTICLE}</p></article><form><p>Sign up, it is free</p><input></form>")
+    assert "Sign up" not in small
