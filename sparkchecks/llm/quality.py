@@ -3,9 +3,12 @@
 Only DataFrame functions. Each text is measured once. A sketch is a histogram with 32 buckets per
 power of two (values below 64 have a bucket each), so a quantile is found within 1/32 of its
 value; sketches merge by adding counts. They are merged from (language, source) to language to the
-whole corpus, and a group with too few documents uses the next one. A measure is an outlier beyond
-``q75 + REACH * (q75 - q25) + slack`` (for word length also below the mirrored limit). Limits are
-joined back to the documents.
+whole corpus, and a group with too few documents uses the next one. A limit is a high quantile of
+the group, plus a multiple of the distance to a lower quantile, plus one bucket; no other constant takes part.
+Which quantiles: junk makes up several percent of a corpus and must not set its own limit, so
+symbols and word length build on q90 and its distance to the median (word length also on q10, below);
+repetition is a matter of degree and has a long tail in good texts too, so it builds on q99 and its
+distance to q95. Limits are joined back to the documents.
 
 Defined cases: a NULL text has no words and fails the base rules; NULL languages and sources are
 groups of their own; repeated rows count as often as they occur; an empty table gives no rows.
@@ -27,12 +30,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Documents that a group needs for limits of its own.
 MIN_DOCS = 100
-REACH = 4
-#: Repeated lines that say nothing, as short texts have few lines.
-FREE_LINES = 3
-#: Absolute slack of each measure: per mille of word characters, lines, words; thousandths of a character.
-SLACK = {"symbols": 50, "dup_lines": 300, "repeats": 350, "word_length": 1500}
+#: Lower and upper quantile of each measure in percent, and the multiple of their distance as a fraction.
+REACH = {"symbols": (50, 90, 4, 1), "dup_lines": (95, 99, 1, 4), "repeats": (95, 99, 1, 4), "word_length": (50, 90, 4, 1)}
 LOW_TOO = ("word_length",)
+QUANTILES = (10, 50, 90, 95, 99)
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source"), carry: Sequence[Column] = ()) -> DataFrame:
@@ -94,7 +95,7 @@ def measures() -> dict[str, Column]:
 
     return {
         "symbols": ratio("n_symbols", "word_chars"),
-        "dup_lines": ratio(f"greatest(n_dup_lines - {FREE_LINES}, 0L)", "n_lines"),
+        "dup_lines": ratio("n_dup_lines", "n_lines"),
         "repeats": ratio("n_repeat_words", "n_words"),
         "word_length": ratio("word_chars", "n_words"),
     }
@@ -128,15 +129,16 @@ def limits(sketch: DataFrame) -> DataFrame:
     key = ["level", "lang", "source", "name"]
     w = Window.partitionBy(*key)
     run = sketch.withColumn("cum", F.sum("n").over(w.orderBy("b"))).withColumn("all", F.sum("n").over(w))
-    quarter = [F.min(F.when(4 * F.col("cum") >= q * F.col("all"), F.col("b"))).alias(f"b{q}") for q in (1, 3)]
-    per = run.groupBy(*key).agg(*quarter, F.max("all").alias("docs"))
-    q1, q3 = bucket_value(F.col("b1")), bucket_value(F.col("b3"))
-    per = per.select(*key, "docs", q1.alias("q1"), q3.alias("q3"))
-    spread = REACH * (F.col("q3") - F.col("q1"))
+    found = [F.min(F.when(100 * F.col("cum") >= q * F.col("all"), F.col("b"))).alias(f"b{q}") for q in QUANTILES]
+    per = run.groupBy(*key).agg(*found, F.max("all").alias("docs"))
+    per = per.select("*", *[bucket_value(F.col(f"b{q}")).alias(f"q{q}") for q in QUANTILES])
     out = []
-    for name, slack in SLACK.items():
-        out.append(F.max(F.when(F.col("name") == name, F.col("q3") + spread + slack)).alias(f"hi_{name}"))
-        out.append(F.min(F.when(F.col("name") == name, F.col("q1") - spread - slack)).alias(f"lo_{name}"))
+    for name, (low, high, times, over) in REACH.items():
+        above = bucket_value(F.col(f"b{high}") + 1) + F.expr(f"{times} * (q{high} - q{low}) div {over}")
+        below = bucket_value(F.greatest(F.col(f"b{100 - high}") - 1, F.lit(0))) - F.expr(f"{times} * (q{low} - q{100 - high}) div {over}") if name in LOW_TOO else None
+        out.append(F.max(F.when(F.col("name") == name, above)).alias(f"hi_{name}"))
+        if below is not None:
+            out.append(F.min(F.when(F.col("name") == name, below)).alias(f"lo_{name}"))
     return per.groupBy("level", "lang", "source").agg(F.max("docs").alias("docs"), *out)
 
 
@@ -155,7 +157,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
 def judged(m: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Verdicts for measured documents."""
     table = stored(limits(sketches(m)))
-    names = [f"{side}_{k}" for k in SLACK for side in ("hi", "lo")]
+    names = [*[f"hi_{k}" for k in REACH], *[f"lo_{k}" for k in LOW_TOO]]
     by_source = table.filter(f"level = 0 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l0"), F.col("source").alias("s0"), F.struct(*names).alias("own"))
     by_lang = table.filter(f"level = 1 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l1"), F.struct(*names).alias("mid"))
     whole = table.filter("level = 2").select(F.struct(*names)).scalar()

@@ -111,10 +111,18 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _VALUES = {
     "symbols": "CASE WHEN word_chars > 0 THEN 1000 * n_symbols // word_chars ELSE 0 END",
-    "dup_lines": f"CASE WHEN n_lines > 0 THEN 1000 * greatest(n_dup_lines - {quality.FREE_LINES}, 0) // n_lines ELSE 0 END",
+    "dup_lines": "CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END",
     "repeats": "CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END",
     "word_length": "CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END",
 }
+_LIMITS = [*[f"hi_{k}" for k in quality.REACH], *[f"lo_{k}" for k in quality.LOW_TOO]]
+
+
+def _value(b: str) -> str:
+    """SQL of the largest value of a bucket."""
+    return f"(({b} % 64 + 1) << ({b} // 64)) - 1"
+
+
 QUALITY_SQL = rf"""
 w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
@@ -134,21 +142,22 @@ g AS (SELECT lang, source, name, s * 64 + (x >> s) AS b FROM h),
 levels AS (SELECT 0 AS level, * FROM g UNION ALL SELECT 1, lang, NULL, name, b FROM g UNION ALL SELECT 2, NULL, NULL, name, b FROM g),
 cum AS (SELECT level, lang, source, name, b, count(*) OVER (PARTITION BY level, lang, source, name ORDER BY b) AS c,
         count(*) OVER (PARTITION BY level, lang, source, name) AS docs FROM levels),
-q AS (SELECT level, lang, source, name, max(docs) AS docs, min(CASE WHEN 4 * c >= docs THEN b END) AS b1, min(CASE WHEN 4 * c >= 3 * docs THEN b END) AS b3
+q AS (SELECT level, lang, source, name, max(docs) AS docs, {', '.join(f'min(CASE WHEN 100 * c >= {x} * docs THEN b END) AS b{x}' for x in quality.QUANTILES)}
       FROM cum GROUP BY ALL),
-qv AS (SELECT level, lang, source, name, docs, ((b1 % 64 + 1) << (b1 // 64)) - 1 AS q1, ((b3 % 64 + 1) << (b3 // 64)) - 1 AS q3 FROM q),
+qv AS (SELECT *, {', '.join(f'{_value(f"b{x}")} AS q{x}' for x in quality.QUANTILES)} FROM q),
 lim AS (SELECT level, lang, source, max(docs) AS docs,
-  {', '.join(f"max(CASE WHEN name = '{k}' THEN q3 + {quality.REACH} * (q3 - q1) + {s} END) AS hi_{k}, max(CASE WHEN name = '{k}' THEN q1 - {quality.REACH} * (q3 - q1) - {s} END) AS lo_{k}" for k, s in quality.SLACK.items())}
+  {', '.join(f"max(CASE WHEN name = '{k}' THEN {_value(f'(b{hi} + 1)')} + {t} * (q{hi} - q{lo}) // {o} END) AS hi_{k}" for k, (lo, hi, t, o) in quality.REACH.items())},
+  {', '.join(f"max(CASE WHEN name = '{k}' THEN {_value(f'greatest(b{100 - quality.REACH[k][1]} - 1, 0)')} - {quality.REACH[k][2]} * (q{quality.REACH[k][0]} - q{100 - quality.REACH[k][1]}) // {quality.REACH[k][3]} END) AS lo_{k}" for k in quality.LOW_TOO)}
   FROM qv GROUP BY ALL),
 pick AS (
   SELECT v.*, coalesce(a.level, l.level, t.level) AS level, a.level AS has_a, l.level AS has_l,
-    {', '.join(f'CASE WHEN a.level IS NOT NULL THEN a.{s}_{k} WHEN l.level IS NOT NULL THEN l.{s}_{k} ELSE t.{s}_{k} END AS {s}_{k}' for k in quality.SLACK for s in ('hi', 'lo'))}
+    {', '.join(f'CASE WHEN a.level IS NOT NULL THEN a.{x} WHEN l.level IS NOT NULL THEN l.{x} ELSE t.{x} END AS {x}' for x in _LIMITS)}
   FROM v LEFT JOIN lim a ON a.level = 0 AND a.docs >= {quality.MIN_DOCS} AND a.lang IS NOT DISTINCT FROM v.lang AND a.source IS NOT DISTINCT FROM v.source
   LEFT JOIN lim l ON l.level = 1 AND l.docs >= {quality.MIN_DOCS} AND l.lang IS NOT DISTINCT FROM v.lang
   LEFT JOIN lim t ON t.level = 2)
 """
 KEPT_SQL = "NOT base_failed AND " + " AND ".join(
-    f"coalesce(v_{k} <= hi_{k}, true)" + (f" AND coalesce(v_{k} >= lo_{k}, true)" if k in quality.LOW_TOO else "") for k in quality.SLACK
+    f"coalesce(v_{k} <= hi_{k}, true)" + (f" AND coalesce(v_{k} >= lo_{k}, true)" if k in quality.LOW_TOO else "") for k in quality.REACH
 )
 
 

@@ -73,6 +73,42 @@ def test_limits_follow_the_group(spark, documents):
     assert quality.judge_quality(documents(rows[:1]).limit(0)).count() == 0
 
 
+def made(rng, n, lines, symbols, length, phrase):
+    """A text of n words with usual repetition, symbols and word lengths."""
+    out = ["".join(rng.choice(list("abcdefgh"), rng.integers(length, length + 4))) for _ in range(n)]
+    for _ in range(phrase):
+        out[rng.integers(0, n - 3)] = "one two three"
+    text = "\n".join(" ".join(out[i : i + 8]) for i in range(0, n, 8))
+    return text + "\nsame line" * lines + " #" * symbols
+
+
+def test_limits_come_from_the_group(spark, documents):
+    """Two languages of different habits have different limits of all measures, and each rule rejects outliers."""
+    rng = np.random.default_rng(4)
+    rows = [(i, made(rng, 90, int(rng.integers(0, 2)), int(rng.integers(0, 2)), 2, int(rng.integers(0, 2))), "en", "a") for i in range(400)]
+    rows += [(1000 + i, made(rng, 90, int(rng.integers(2, 8)), int(rng.integers(5, 20)), 6, int(rng.integers(2, 6))), "de", "a") for i in range(400)]
+    odd = {"dup_lines": (30, 0, 2, 0), "symbols": (0, 60, 2, 0), "word_length": (0, 0, 12, 0), "repeats": (0, 0, 2, 14)}
+    rows += [(2000 + i, made(rng, 90, *x), "en", "a") for i, x in enumerate(odd.values())]
+    measured = quality.measured(documents(rows))
+    found = {r.lang: r for r in quality.limits(quality.sketches(measured)).filter("level = 1").collect()}
+    for name in [*[f"hi_{k}" for k in quality.REACH], "lo_word_length"]:
+        assert found["de"][name] > found["en"][name], name
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.judge_quality(documents(rows)).collect()}
+    assert all(got[2000 + i] == (False, False) for i in range(len(odd)))
+    usual = [k for i, (_, k) in got.items() if i < 2000]
+    assert sum(usual) >= 0.98 * len(usual)
+
+
+def test_each_rule_rejects_some_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = quality.measured(docs).cache()
+    limits = {r.lang: r for r in quality.limits(quality.sketches(m)).filter("level = 1").collect()}
+    rows = m.filter(~quality.base_failed()).select("lang", *[v.alias(k) for k, v in quality.measures().items()]).collect()
+    for k in quality.REACH:
+        assert any(r[k] > limits[r.lang][f"hi_{k}"] for r in rows), k
+        assert len({x[f"hi_{k}"] for x in limits.values()}) > 1 or k == "symbols", k
+
+
 def test_main_path_is_native(spark, documents):
     plan = quality.judge_quality(documents([(1, "a b c", "en", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Cartesian", "NestedLoop"))
