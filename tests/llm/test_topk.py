@@ -69,3 +69,48 @@ def test_scores_beyond_double_precision():
     assert topk._product(*big)[0, 0] == ((1 << 30) + 1) * ((1 << 31) + 1) + 3
     with pytest.raises(OverflowError):
         topk._product(np.array([[1 << 40, 0]]), np.array([[1 << 40, 0]]))
+
+
+def test_queries_visit_few_blocks(spark, embeddings, monkeypatch):
+    """On clustered vectors most blocks are never visited, and no block gets all queries."""
+    monkeypatch.setattr(topk, "BLOCK", 60)
+    seen = []
+    inner = topk._blocks
+
+    def counted(rows, parts, k):
+        visits = rows.filter("role = 1").groupBy("c").count().collect()
+        seen.append((parts, sum(r["count"] for r in visits), max((r["count"] for r in visits), default=0)))
+        return inner(rows, parts, k)
+
+    monkeypatch.setattr(topk, "_blocks", counted)
+    rng = np.random.default_rng(8)
+    centres = 3 * rng.normal(size=(12, 16))
+    rows = [(i, (centres[i % 12] + 0.02 * rng.normal(size=16)).astype(np.float32).tolist()) for i in range(1200)]
+    df = embeddings(rows)
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id % 10 = 0"), 5).collect()))
+    vectors = [(i, whole(v)) for i, v in rows]
+    assert got == brute(vectors, [v for v in vectors if v[0] % 10 == 0], 5)
+    (blocks, first, most), (_, second, _) = seen
+    assert first == 120 and most <= 60
+    assert first + second <= 0.5 * 120 * blocks
+
+
+def test_large_components(spark, embeddings):
+    """Scores are exact up to 63 bits, whatever the components; beyond them there is an error, never a missing row."""
+    rows = [(1, [9e12, 1.0]), (2, [1e-3, 2.0]), (100, [0.5, 3.0]), (200, [0.001, -1.0])]
+    df = embeddings(rows, DoubleType)
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id % 100 = 0")).collect()))
+    exact = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+
+    def dot(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    want = []
+    for q, x in exact[2:]:
+        ranked = sorted((-dot(x, y), i) for i, y in exact if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(ranked)]
+    assert got == sorted(want)
+    for value in (1e17, 9e15):
+        odd = embeddings([(100, [value, 1.0]), (2, [value, 1.0])], DoubleType)
+        with pytest.raises(Exception, match="63 bits"):
+            top_k(odd, odd.filter("vec_id = 100")).collect()
