@@ -77,17 +77,18 @@ def pack_documents(docs: DataFrame, length: Column, id_col: str = "doc_id", leng
     """Per piece: doc_id, piece, start, n_tokens, seq_id, capacity, offset."""
     top = max(lengths)
     sized = docs.select(F.col(id_col).alias("doc_id"), F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)).alias("size"))
-    sized = stored(sized)
+    # Rows without id are told apart by their place, so that they don't all meet in one group.
+    sized = stored(sized.withColumn("row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())))
     last = F.greatest(F.ceil(F.col("size") / top) - 1, F.lit(0))
-    pieces = sized.select("doc_id", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
+    pieces = sized.select("doc_id", "row", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
     start = F.col("piece") * top
-    pieces = pieces.select("doc_id", "piece", start.alias("start"), F.least(F.lit(top), F.col("size") - start).cast("bigint").alias("n_tokens"))
+    pieces = pieces.select("doc_id", "row", "piece", start.alias("start"), F.least(F.lit(top), F.col("size") - start).cast("bigint").alias("n_tokens"))
     n = sized.agg(F.coalesce(F.sum(last + 1), F.lit(0))).first()[0]
     groups = max(1, -(-n // GROUP_PIECES))
     kind = sized.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece bigint, start bigint, n_tokens bigint, seq_id bigint, capacity bigint, offset bigint"
-    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups))
-    dealt = pieces.filter("n_tokens > 0").withColumn("g", group).repartition(groups, "g")
+    group = F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(groups))
+    dealt = pieces.filter("n_tokens > 0").withColumn("g", group).drop("row").repartition(groups, "g")
     dealt = dealt.sortWithinPartitions("g", F.desc("n_tokens"), "doc_id", "piece")
 
     def finish(rows: pa.Table, g: int, part: int) -> list[pa.RecordBatch]:
@@ -120,5 +121,5 @@ def pack_documents(docs: DataFrame, length: Column, id_col: str = "doc_id", leng
 
     packed = dealt.mapInArrow(run, schema)
     none = F.lit(None).cast("bigint")
-    empty = pieces.filter("n_tokens = 0").select("*", none.alias("seq_id"), none.alias("capacity"), none.alias("offset"))
+    empty = pieces.filter("n_tokens = 0").drop("row").select("*", none.alias("seq_id"), none.alias("capacity"), none.alias("offset"))
     return packed.unionByName(empty)

@@ -7,6 +7,10 @@ alone to exactly itself is one token. Parts found among those count one; only th
 merged by the library, once for each different part of a chunk. A model for which (1) fails, or
 that alters texts before encoding, is refused.
 
+The proof is made again in each task (some 0.1 s), which needs the model file anyway. What a task
+remembers is bounded in characters: parts of more than ``SHORT`` characters, such as texts without
+spaces, are merged and forgotten.
+
 Defined cases: NULL and empty texts have no tokens and no bytes; texts are never cut.
 """
 
@@ -23,8 +27,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: The library is called with this many parts at a time.
 CALL = 20_000
-#: Counts of merged parts that a task keeps; a full table is emptied, which costs time only.
-CACHE = 300_000
+#: Counts of merged parts that a task keeps, and the longest of them; a full table is emptied, which costs time only.
+CACHE, SHORT = 300_000, 64
 
 
 def provable(processor) -> set[str]:
@@ -62,12 +66,13 @@ class TokenCounter:
         split = [Counter(self.parts.findall(MARK + t.replace(" ", MARK))) if t else Counter() for t in texts]
         if len(self.known) > CACHE:
             self.known = self.proved()
-        known = self.known
+        known, long = self.known, {}
         new = list({p for parts in split for p in parts if p not in known})
         for i in range(0, len(new), CALL):
             some = new[i : i + CALL]
-            known.update(zip(some, map(len, self.processor.encode([p[1:] for p in some], num_threads=1)), strict=True))
-        return [sum(known[p] * n for p, n in parts.items()) for parts in split]
+            for p, ids in zip(some, self.processor.encode([p[1:] for p in some], num_threads=1), strict=True):
+                (known if len(p) <= SHORT else long)[p] = len(ids)
+        return [sum((known.get(p) or long.get(p) or 0) * n for p, n in parts.items()) for parts in split]
 
 
 def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -102,3 +102,36 @@ def test_components(spark, seed):
     touched = {x for p in pairs if p[0] != p[1] for x in p}
     assert {r.node: r.component for r in components(df).collect()} == {x: want[x] for x in touched}
     assert components(df.limit(0)).count() == 0
+
+
+def test_one_id_with_several_texts(spark, documents):
+    a = " ".join(f"a{i}" for i in range(120))
+    b = " ".join(f"b{i}" for i in range(199))
+    rows = [(1, a), (5, a), (5, b), (8, b), (9, b.replace("b100 ", "x ")), (5, b), (5, ""), (5, None), (None, a)]
+    docs = documents([(i, t, None, None) for i, t in rows])
+    got = near_duplicates(docs, 3, 85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == sorted(
+        [("1", 118, "1"), ("5", 118, "1"), ("5", 197, "5"), ("5", 197, "5"), ("8", 197, "5"), ("9", 197, "5"), ("5", 0, "5"), ("5", 0, "5"), ("None", 118, "None")]
+    )
+    kept = neardup.one_of_each(docs, 3, 85)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("1", a), ("5", b), ("5", ""), ("5", ""), ("None", a)])
+
+
+def test_bands_follow_the_threshold():
+    for percent in range(50, 100):
+        bands, rows = neardup.banding(percent)
+        assert bands <= neardup.MOST_BANDS and (1 - (percent / 100) ** rows) ** bands <= neardup.MISSED
+    assert neardup.banding(85) == (76, 11) and neardup.banding(80) == (76, 8)
+    assert neardup.banding(100)[0] == 1
+
+
+def test_chance_meetings_are_few(spark, documents):
+    """Documents that share a third of their passages: hardly a bucket joins them."""
+    rng = random.Random(9)
+    passages = [" ".join(f"p{i}w{j}" for j in range(40)) for i in range(30)]
+    rows = [(i, " ".join(rng.sample(passages, 3) + [f"own{i}n{j}" for j in range(150)]), None, None) for i in range(300)]
+    sig = neardup.signatures(documents(rows).selectExpr("doc_id", "text", "1 AS carried"), 5, 80)
+    shared = sig.selectExpr("explode(bands) AS k").groupBy("k").count().filter("count > 1").count()
+    assert shared <= 30
+    assert found(near_duplicates(documents(rows), 5, 80)) == brute([r[:2] for r in rows], 5, 80)

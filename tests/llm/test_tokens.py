@@ -57,3 +57,10 @@ def test_defined_cases(spark, documents):
         (str(i), len(LIBRARY.encode(t)) if t else 0, bool(t and len(LIBRARY.encode(t)) > 4096)) for i, t, *_ in rows
     )
     assert count_tokens(documents(rows[:1]).limit(0), MODEL).count() == 0
+
+
+def test_texts_without_spaces_are_not_remembered():
+    counter = TokenCounter(MODEL)
+    texts = [f"{i}日本語" * 300 for i in range(200)]
+    assert counter.count(texts) == [len(LIBRARY.encode(t)) for t in texts]
+    assert all(len(p) <= 64 for p in counter.known)
