@@ -50,7 +50,7 @@ def checked(rows, smallest):
         assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
         by.setdefault((r.source_size, r.target), []).append(r)
     for (_, target), own in by.items():
-        assert abs(sum(r.taken for r in own) - target) <= smallest(own)
+        assert abs(sum(r.taken for r in own) - target) <= smallest(own) / 2 + 1
 
 
 def test_given_documents(spark):
@@ -90,3 +90,44 @@ def test_defined_cases(spark, documents):
     nothing = mixing.mix_plan(documents(rows[:2])).collect()
     assert {r.taken for r in nothing} == {0}
     assert mixing.mix(documents(rows)).agg(F.count("*")).first()[0] == sum(r.copies for r in got)
+
+
+def test_targets_are_met_as_near_as_single_documents_allow(spark, documents):
+    """Few large documents: no document that is still open would bring a source nearer to its target."""
+    rows = [(i, "w " * n, "en", src) for i, (src, n) in enumerate([("a", 20_000)] * 3 + [("a", 15)] * 3 + [("b", 700)] * 9 + [("b", 1)] * 2 + [("c", 90_000), ("c", 13)] + [("d", 40 + 7 * k) for k in range(60)])]
+    got = mixing.mix_plan(documents(rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(rows[r.doc_id][3], []).append(r)
+    for own in by.values():
+        target, sum_taken = own[0].target, sum(r.taken for r in own)
+        passes = int(target // own[0].source_size)
+        miss = target - sum_taken
+        assert all(0 <= r.copies <= 3 for r in own)
+        free = [r.size for r in own if r.copies == passes]
+        assert all(abs(miss - s) >= abs(miss) for s in free), (miss, free)
+
+
+def test_large_mixtures_are_split_by_tasks(spark, monkeypatch):
+    """Ten thousand sources and 50,000 shards: the driver holds a bounded part of the tree, the rows are exact."""
+    rng = np.random.default_rng(1)
+    quotas = {i: int(n) for i, n in enumerate(rng.integers(0, 30, 2_000))}
+    total, shards = sum(quotas.values()), 4_000
+    whole = mixing.split(np.array([quotas[i] for i in range(2_000)]), shards, 3)
+    for held in (0, 10_000, 10**7):
+        monkeypatch.setattr(mixing, "HELD", held)
+        rows = mixing.dealt_shards(spark, quotas, shards, 3).collect()
+        assert len(rows) == total
+        got = np.zeros_like(whole)
+        for r in rows:
+            got[r.sid, r.shard] += 1
+        assert (got == whole).all()
+        numbers = {}
+        for r in sorted(rows, key=lambda r: (r.sid, r.number)):
+            own = numbers.setdefault(r.sid, [])
+            assert r.number == len(own) and (not own or own[-1] <= r.shard)
+            own.append(r.shard)
+    monkeypatch.setattr(mixing, "HELD", 4_000_000)
+    many = {i: 5 for i in range(10_000)}
+    per = mixing.dealt_shards(spark, many, 50_000, 3).groupBy("shard").count().agg(F.count("*"), F.sum("count"), F.max("count")).first()
+    assert tuple(per) == (50_000, 50_000, 1)
