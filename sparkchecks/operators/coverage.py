@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,18 +16,24 @@ from ..sources.tables import Tables, local_rows, split_name
 
 _log = logging.getLogger(__name__)
 
-COUNTED_TOGETHER = 100
+#: Tables opened side by side; opening one reads its schema from its files or its database.
+OPENED_TOGETHER = 16
 
 
 def _readable(tables: Tables) -> list[tuple[str, DataFrame]]:
-    """Tables that can be opened; others are skipped with a warning."""
-    found = []
-    for name in tables.names():
+    """Tables that can be opened, in order; others are skipped with a warning."""
+
+    def opened(name: str) -> DataFrame | None:
         try:
-            found.append((name, tables.table(name)))
+            return tables.table(name)
         except Exception as error:
-            _log.warning("Failed to analyze table %s: %s", name, str(error).splitlines()[0])
-    return found
+            _log.warning("Failed to analyze table %s: %s", name, (str(error) or type(error).__name__).splitlines()[0])
+            return None
+
+    names = tables.names()
+    with ThreadPoolExecutor(max_workers=OPENED_TOGETHER) as pool:
+        frames = pool.map(inheritable_thread_target(tables.spark)(opened), names)
+        return [(name, df) for name, df in zip(names, frames, strict=True) if df is not None]
 
 
 def table_columns(tables: Tables) -> DataFrame:
@@ -47,24 +55,16 @@ def table_columns(tables: Tables) -> DataFrame:
 def inventory(tables: Tables) -> DataFrame:
     """One row per table with its columns and exact row count.
 
-    The count reads no column, so for parquet it comes from the file footers.
-    Up to ``COUNTED_TOGETHER`` tables are one lazy plan; of more, the counts are
-    taken batch by batch, one number per table, so that no plan outgrows the planner.
+    Counts read no column, so for parquet they come from the file footers. A source
+    of files counts all tables in one scan, whose plan doesn't grow with their
+    number; other sources have one aggregation per table in one plan.
     """
     found = _readable(tables)
-    batches = [found[i : i + COUNTED_TOGETHER] for i in range(0, len(found), COUNTED_TOGETHER)]
-    if not batches:
+    if not found:
         return local_rows(tables.spark, [], INVENTORY)
-    counts = [
-        reduce(
-            DataFrame.unionByName,
-            [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name)) for name, df in batch],
-        )
-        for batch in batches
-    ]
-    if len(batches) > 1:
-        rows = [row.asDict() for batch in counts for row in batch.collect()]
-        counts = [local_rows(tables.spark, rows, layout("table_name string, row_count bigint"))]
+    counts = tables.row_counts([name for name, _ in found])
+    if counts is None:
+        counts = _united([df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name)) for name, df in found])
     described = [
         {
             "schema_name": split_name(name)[0],
@@ -77,7 +77,14 @@ def inventory(tables: Tables) -> DataFrame:
     known = local_rows(
         tables.spark, described, layout("schema_name string, table_name string, column_count int, columns array<string>")
     )
-    return conform(known.join(counts[0], "table_name"), INVENTORY)
+    return conform(known.join(counts, "table_name", "left").fillna(0, ["row_count"]), INVENTORY)
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """One frame of many, as a tree: a chain of unions is analyzed anew at each step."""
+    while len(frames) > 1:
+        frames = [reduce(DataFrame.unionByName, frames[i : i + 32]) for i in range(0, len(frames), 32)]
+    return frames[0]
 
 
 def inventory_summary(tables_found: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
 import json
 import logging
+import time
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sparkchecks import CatalogTables, FileTables, FrameTables, JdbcTables, Rule, run_with_report, write_report
@@ -120,7 +124,7 @@ def test_run_with_report(spark, tables, tmp_path):
     result, report = run_with_report(tables, str(tmp_path), "set", RULES[:2], run_id="r")
     assert result.report.first().total_rules == 2
     assert report["catalog"].count() == 4
-    assert (tmp_path / "runs" / "r" / "rule_results").exists() and (tmp_path / "report" / "catalog").exists()
+    assert (tmp_path / "runs" / "rule_results" / "run_id=r").exists() and (tmp_path / "report" / "catalog").exists()
 
 
 # --- sources
@@ -155,17 +159,44 @@ def test_catalog_tables(spark):
 
 def test_jdbc_options(spark):
     tables = JdbcTables(spark, "jdbc:postgresql://host/db", {"user": "u"}, {"grid.bus": ("bus_id", 64)}, ["tiny"])
-    assert tables.read_options("grid.bus", 1, 900) == {
-        "dbtable": "grid.bus", "partitionColumn": "bus_id", "lowerBound": "1", "upperBound": "900",
-        "numPartitions": "64"}
-    assert tables.read_options("grid.bus", None, None) == {"dbtable": "grid.bus"}
     assert tables.read_options("tiny") == {"dbtable": "tiny"}
     with pytest.raises(ValueError, match="partition column"):
         tables.read_options("huge")
-    assert "min(bus_id)" in tables.bounds_sql("grid.bus")
+    assert "ntile(64) OVER (ORDER BY bus_id)" in tables.bounds_sql("grid.bus")
     assert "'pg_catalog'" in tables.listing_sql()
 
 
+@pytest.mark.parametrize("kind", ["bigint", "double", "varchar", "date", "timestamp", "decimal(9,2)"])
+def test_jdbc_parts_are_even_and_hold_each_row_once(spark, kind):
+    """The SQL that is built, run by a database inside this process: skewed keys, a hot key and NULLs."""
+    db = duckdb.connect()
+    value = {"bigint": "k", "double": "k / 7.0", "varchar": "'k' || chr(39) || k", "date": "DATE '2020-01-01' + CAST(k AS integer)", "timestamp": "TIMESTAMP '2020-01-01' + INTERVAL (k) SECOND", "decimal(9,2)": "k / 100.0"}[kind]
+    db.execute(f"""CREATE TABLE t AS SELECT i, CASE WHEN i % 10 = 0 THEN NULL ELSE CAST({value} AS {kind}) END AS key
+                   FROM (SELECT i, CASE WHEN i % 3 = 0 THEN 5 ELSE CAST(pow(1.001, i) AS bigint) END AS k FROM range(9000) r(i))""")
+    tables = JdbcTables(spark, "jdbc:postgresql://host/db", partitioning={"t": ("key", 8)})
+    bounds = db.execute(tables.bounds_sql("t")).fetchall()
+    assert len(bounds) == 8 and len({n for *_, n in bounds}) <= 2
+    parts = tables.predicates("t", [b for _, b, _ in bounds])
+    rows = [r for p in parts for r in db.execute(f"SELECT i FROM t WHERE {p}").fetchall()]
+    assert sorted(rows) == [(i,) for i in range(9000)]
+    sizes = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in parts]
+    hot = db.execute("SELECT max(n) FROM (SELECT count(*) AS n FROM t WHERE key IS NOT NULL GROUP BY key)").fetchone()[0]
+    assert max(sizes) <= hot + 2 * 9000 / 8
+    assert tables.predicates("t", bounds[:1] and [5]) == ["key IS NOT NULL", "key IS NULL"]
+
+
+def test_jdbc_reads_by_predicates(spark, monkeypatch):
+    tables = JdbcTables(spark, "jdbc:postgresql://host/db", {"user": "u"}, {"t": ("id", 3)})
+    monkeypatch.setattr(tables, "_read", lambda **o: spark.createDataFrame([(1, 1, 9), (2, 7, 9), (3, 7, 9)], "part int, lower_bound int, n int"))
+    seen = {}
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, predicates, properties: seen.update(url=url, table=table, predicates=predicates, properties=properties))
+    tables.table("t")
+    assert seen["predicates"] == ["id < 7", "id >= 7", "id IS NULL"]
+    assert seen["properties"]["user"] == "u" and seen["table"] == "t"
+    with pytest.raises(TypeError):
+        tables.predicates("t", [True, False])
+
+
 def test_names_split():
     assert split_name("grid.bus") == ("grid", "bus")
     assert split_name("bus") == ("default", "bus")
@@ -186,7 +217,7 @@ def test_tables_survive_storage(spark, tmp_path, fmt):
 
 def test_jdbc_bounds_of_only_null_keys(spark, monkeypatch):
     tables = JdbcTables(spark, "jdbc:postgresql://host/db", partitioning={"big": ("id", 8)})
-    rows = {"min": [(None, None)], "SELECT 1": [(1,)]}
+    rows = {"SELECT 1": [(1,)]}
 
     class Answer:
         def __init__(self, query):
@@ -195,6 +226,9 @@ def test_jdbc_bounds_of_only_null_keys(spark, monkeypatch):
         def first(self):
             return next((v[0] for k, v in rows.items() if k in self.query and v), None)
 
+        def collect(self):
+            return []
+
     monkeypatch.setattr(tables, "_read", lambda **o: Answer(o["query"]) if "query" in o else o)
     with pytest.raises(ValueError, match="NULL"):
         tables.table("big")
@@ -202,11 +236,28 @@ def test_jdbc_bounds_of_only_null_keys(spark, monkeypatch):
     assert tables.table("big") == {"dbtable": "big"}
 
 
-def test_inventory_in_batches(spark, monkeypatch):
-    from sparkchecks.operators import coverage
+def test_inventory_of_many_frames(spark):
+    frames = {f"s.t{i}": spark.range(i) for i in range(130)}
+    rows = coverage.inventory(FrameTables(spark, frames)).collect()
+    assert {r.table_name: r.row_count for r in rows} == {f"s.t{i}": i for i in range(130)}
 
-    frames = {f"s.t{i}": spark.range(i) for i in range(7)}
-    whole = sorted(map(tuple, coverage.inventory(FrameTables(spark, frames)).drop("columns").collect()))
-    monkeypatch.setattr(coverage, "COUNTED_TOGETHER", 3)
-    assert sorted(map(tuple, coverage.inventory(FrameTables(spark, frames)).drop("columns").collect())) == whole
-    assert [r[3] for r in whole] == list(range(7))
+
+def test_inventory_of_thousands_of_tables(spark, tmp_path):
+    """2,000 tables in files: opened side by side, counted by one scan of one plan."""
+    for i in range(2000):
+        folder = tmp_path / (f"s{i % 3}" if i % 4 else ".")
+        path = folder / f"t {i}+%.parquet"
+        if i % 5 == 0:
+            path.mkdir(parents=True)
+            path = path / "part-0.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        pq.write_table(pa.table({"x": list(range(i % 7)), "y": [0.5] * (i % 7)}), path)
+    (tmp_path / "broken.parquet").write_text("no parquet")
+    tables = FileTables(spark, str(tmp_path))
+    started = time.time()
+    found = coverage.inventory(tables)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") - plan.count("LocalRelation [") == 1
+    rows = {r.table_name: (r.column_count, r.row_count) for r in found.collect()}
+    assert len(rows) == 2000 and time.time() - started < 240
+    assert rows == {(f"s{i % 3}." if i % 4 else "") + f"t {i}+%": (2, i % 7) for i in range(2000)}
