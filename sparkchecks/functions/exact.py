@@ -27,7 +27,6 @@ BASE = 1 << LIMB
 #: Bins of values that are no numbers: positive and negative infinity, NaN.
 POSITIVE, NEGATIVE, NOT_A_NUMBER = -1, -2, -3
 PARTIAL = T.StructType([T.StructField("b", T.IntegerType()), *[T.StructField(f"l{i}", T.LongType()) for i in range(LIMBS)]])
-_INF = float("inf")
 
 
 def is_partial(dtype: T.DataType) -> bool:
@@ -40,38 +39,29 @@ def _is_exact(dtype: T.DataType) -> bool:
 
 
 def _limbs(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The frame with the named float columns as partial sums of one value."""
-    x = {n: F.col(f"`{n}`") for n in names}
-    # One step below the exponent, since logarithms are rounded.
-    ulp = {n: F.greatest(F.floor(F.log2(F.abs(x[n]))) - 53, F.lit(LOWEST)) for n in names}
-    finite = {
-        n: F.when(x[n] == 0, 0).otherwise(F.floor((ulp[n] - LOWEST) / LIMB)).cast("int") for n in names
-    }
-    bins = {
-        f"{n} bin": F.when(F.isnan(x[n]), NOT_A_NUMBER).when(x[n] == _INF, POSITIVE).when(x[n] == -_INF, NEGATIVE).when(x[n].isNotNull(), finite[n])
-        for n in names
-    }
-    df = df.withColumns(bins)
-    halves = F.array(*[F.lit(2.0 ** (-(LOWEST + LIMB * b) // 2)) for b in range(-LOWEST // LIMB + 1024 // LIMB)])
-
-    def units(n: str) -> Column:
-        half = F.get(halves, F.col(f"`{n} bin`"))
-        return F.when(F.col(f"`{n} bin`") >= 0, F.abs(x[n]) * half * half).otherwise(0.0)
-
-    df = df.withColumns({f"{n} units": units(n) for n in names})
-    parts = {}
+    """The frame with the named double columns as partial sums of one value."""
+    others = [f"`{c}`" for c in df.columns if c not in names]
+    bins, units, parts = [], [], []
     for n in names:
-        rest, limbs = F.col(f"`{n} units`"), []
+        x, b, y = f"`{n}`", f"`{n} bin`", f"`{n} units`"
+        # One step below the exponent, since logarithms are rounded.
+        ulp = f"greatest(floor(log2(abs({x}))) - 53, {LOWEST})"
+        bins.append(
+            f"cast(CASE WHEN isnan({x}) THEN {NOT_A_NUMBER} WHEN abs({x}) = double('inf') THEN if({x} > 0, {POSITIVE}, {NEGATIVE}) "
+            f"WHEN {x} = 0 THEN 0 ELSE floor(({ulp} - ({LOWEST})) / {LIMB}) END AS int) AS {b}"
+        )
+        # Powers of two are exact; in two steps neither the smallest nor the largest double leaves the range.
+        half = f"pow(2.0D, {-LOWEST // 2} - {LIMB // 2} * {b})"
+        units.append(f"if({b} >= 0, abs({x}) * {half} * {half}, 0.0D) AS {y}")
+        rest, limbs = y, []
         for i in range(LIMBS - 1, 0, -1):
-            limb = F.floor(rest / float(BASE**i))
-            limbs.append(limb)
-            rest = rest - limb.cast("double") * float(BASE**i)
-        limbs.append(rest.cast("bigint"))
-        sign = F.when(x[n] < 0, F.lit(-1).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
-        fields = [(limb * sign).alias(f"l{i}") for i, limb in enumerate(reversed(limbs))]
-        parts[n] = F.when(x[n].isNotNull(), F.struct(F.col(f"`{n} bin`").alias("b"), *fields))
-    df = df.withColumns(parts)
-    return df.drop(*[f"{n} {what}" for n in names for what in ("bin", "units")])
+            limbs.append(f"floor({rest} / {BASE**i}D)")
+            rest = f"({rest} - cast({limbs[-1]} AS double) * {BASE**i}D)"
+        limbs.append(f"cast({rest} AS bigint)")
+        fields = ", ".join(f"'l{i}', {limb} * if({x} < 0, -1L, 1L)" for i, limb in enumerate(reversed(limbs)))
+        parts.append(f"if({x} IS NULL, NULL, named_struct('b', {b}, {fields})) AS {x}")
+    df = df.selectExpr("*", *bins).selectExpr("*", *units)
+    return df.selectExpr(*others, *parts)
 
 
 def _weighted(c: str, dtype: T.DataType, weighted: bool) -> str:
@@ -101,28 +91,27 @@ def partial_sums(
     Values are numbers, texts or partial sums. ``weight`` is a whole number that each row counts
     for. ``counts`` are aggregates that are whole numbers; summed over a key's rows they are its own.
     """
-    named = [F.col(f"`{k}`") for k in keys]
-    w = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     inputs = {name: f"_value {name}" for name in values}
-    df = df.withColumns({inputs[n]: c for n, c in values.items()} | {"_weight": w})
+    w = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
+    df = df.select("*", *[c.alias(inputs[n]) for n, c in values.items()], w.alias("_weight"))
     kinds = {n: df.schema[c].dataType for n, c in inputs.items()}
-    texts = {inputs[n]: F.col(f"`{inputs[n]}`").try_cast("double") for n, t in kinds.items() if not _is_exact(t) and not is_partial(t)}
-    if texts:
-        df = _limbs(df.withColumns(texts), list(texts))
+    floats = {inputs[n] for n, t in kinds.items() if not _is_exact(t) and not is_partial(t)}
+    if floats:
+        df = df.selectExpr(*[f"try_cast(`{c}` AS double) AS `{c}`" if c in floats else f"`{c}`" for c in df.columns])
+        df = _limbs(df, sorted(floats))
     bins, sums, back = [], [], []
     for n, t in kinds.items():
         c = f"`{inputs[n]}`"
         if _is_exact(t):
-            sums.append(F.expr(f"sum({_weighted(c, t, weight is not None)})").alias(n))
-            back.append(F.col(f"`{n}`"))
+            sums.append(f"sum({_weighted(c, t, weight is not None)}) AS `{n}`")
+            back.append(f"`{n}`")
             continue
-        bins.append(F.col(f"{c}.b").alias(f"_bin {n}"))
-        limbs = [f"_limb {n} {i}" for i in range(LIMBS)]
-        sums += [F.expr(f"sum({c}.l{i}{'' if weight is None else ' * _weight'})").alias(limb) for i, limb in enumerate(limbs)]
-        fields = [F.col(f"`{limb}`").alias(f"l{i}") for i, limb in enumerate(limbs)]
-        back.append(F.when(F.col(f"`_bin {n}`").isNotNull(), F.struct(F.col(f"`_bin {n}`").alias("b"), *fields)).alias(n))
-    grouped = df.groupBy(*named, *bins).agg(*sums, *[c.alias(k) for k, c in (counts or {}).items()])
-    return grouped.select(*named, *back, *(counts or {}))
+        bins.append(F.expr(f"{c}.b AS `_bin {n}`"))
+        sums += [f"sum({c}.l{i}{'' if weight is None else ' * _weight'}) AS `_limb {n} {i}`" for i in range(LIMBS)]
+        fields = ", ".join(f"'l{i}', `_limb {n} {i}`" for i in range(LIMBS))
+        back.append(f"if(`_bin {n}` IS NULL, NULL, named_struct('b', `_bin {n}`, {fields})) AS `{n}`")
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys], *bins).agg(*map(F.expr, sums), *[c.alias(k) for k, c in (counts or {}).items()])
+    return grouped.selectExpr(*[f"`{k}`" for k in keys], *back, *[f"`{k}`" for k in counts or {}])
 
 
 def whole_sums(partial: DataFrame, keys: Sequence[str], names: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
@@ -141,58 +130,39 @@ def exact_sums(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column],
 
 def _rounded(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The frame with arrays of partial sums as the nearest doubles to their sums; NULL for empty ones."""
-    zero = F.lit(0).cast("decimal(38,0)")
-
-    def at(name: str, what: str) -> Column:
-        return F.col(f"`{name} {what}`")
-
-    def own(p: Column, e: Column) -> Column:
-        """What a partial sum holds at a place."""
-        out = F.lit(0).cast("bigint")
-        for i in range(LIMBS):
-            out = F.when(p - e["b"] == i, e[f"l{i}"]).otherwise(out)
-        return out
-
-    def carried(name: str, sign: int) -> Column:
-        """Digits from the lowest place on, and what is carried beyond the highest."""
-
-        def step(state: Column, p: Column) -> Column:
-            limbs = F.aggregate(at(name, "numbers"), zero, lambda s, e: (s + own(p, e) * sign).cast("decimal(38,0)"))
-            t = (state["carry"] + limbs).cast("decimal(38,0)")
-            digit = F.pmod(t, F.lit(BASE).cast("decimal(38,0)"))
-            carry = ((t - digit).cast("decimal(38,0)") / F.lit(BASE).cast("decimal(8,0)")).cast("decimal(38,0)")
-            return F.struct(carry.alias("carry"), F.concat(state["digits"], F.array(digit.cast("bigint"))).alias("digits"))
-
-        start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("digits"))
-        # Beyond the highest bin there is room for the carries of 38 digits.
-        return F.aggregate(F.sequence(at(name, "low"), at(name, "high") + LIMBS + 5), start, step)
-
-    def value(name: str) -> Column:
-        """The leading digits, one bit for all below them, and the power of two."""
-        digits, h, top = at(name, "sum")["digits"], at(name, "first"), zero
-        for i in range(LIMBS):
-            digit = F.when(h - i >= 0, F.get(digits, h - i)).otherwise(0)
-            top = (top + digit.cast("decimal(20,0)") * F.lit(2 * BASE ** (LIMBS - 1 - i)).cast("decimal(38,0)")).cast("decimal(38,0)")
-        below = F.exists(F.slice(digits, 1, F.greatest(h - (LIMBS - 1), F.lit(0))), lambda d: d != 0)
-        power = LOWEST + LIMB * (at(name, "low") + h - (LIMBS - 1)) - 1
-        half = F.floor(power / 2)
-        number = (top + below.cast("int")).cast("decimal(38,0)").cast("double")
-        return number * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
-
-    stages: list[dict[str, Column]] = [{}, {}, {}, {}, {}, {}]
+    if not names:
+        return df
+    columns = df.columns
+    zero = "cast(0 AS decimal(38,0))"
+    start = f"named_struct('carry', {zero}, 'digits', cast(array() AS array<bigint>))"
+    digit = f"pmod(s.carry + t, cast({BASE} AS decimal(38,0)))"
+    carry = f"cast(cast(s.carry + t - {digit} AS decimal(38,0)) / cast({BASE} AS decimal(8,0)) AS decimal(38,0))"
+    step = f"(s, t) -> named_struct('carry', {carry}, 'digits', concat(s.digits, array(cast({digit} AS bigint))))"
+    own = " ".join(f"WHEN {i} THEN e.l{i}" for i in range(LIMBS))
+    stages: list[list[str]] = [[], [], [], [], [], []]
+    values = {}
     for n in names:
-        places = F.transform(F.col(f"`{n}`"), lambda e: e["b"])
-        bins = F.transform(at(n, "numbers"), lambda e: e["b"])
-        nan = F.array_contains(places, NOT_A_NUMBER) | (F.array_contains(places, POSITIVE) & F.array_contains(places, NEGATIVE))
-        infinite = F.when(nan, float("nan")).when(F.array_contains(places, POSITIVE), _INF).when(F.array_contains(places, NEGATIVE), -_INF)
-        negative = at(n, "up")["carry"] < 0
-        stages[0][f"{n} numbers"] = F.filter(f"`{n}`", lambda e: e["b"] >= 0)
-        stages[1] |= {f"{n} low": F.array_min(bins), f"{n} high": F.array_max(bins)}
-        stages[2][f"{n} up"] = carried(n, 1)
-        stages[3][f"{n} sum"] = F.when(negative, carried(n, -1)).otherwise(at(n, "up"))
-        stages[4][f"{n} first"] = F.array_max(F.transform(at(n, "sum")["digits"], lambda d, i: F.when(d != 0, i)))
-        signed = F.when(at(n, "first").isNull(), 0.0).otherwise(F.when(negative, -value(n)).otherwise(value(n)))
-        stages[5][n] = F.when(F.size(f"`{n}`") == 0, None).otherwise(F.coalesce(infinite, signed))
-    for columns in stages if names else []:
-        df = df.withColumns(columns)
-    return df
+        numbers, low, places, up, digits, h = (f"`{n} {x}`" for x in ("numbers", "low", "places", "up", "digits", "first"))
+        stages[0].append(f"filter(`{n}`, e -> e.b >= 0) AS {numbers}")
+        stages[1].append(f"array_min(transform({numbers}, e -> e.b)) AS {low}")
+        # What lies at each place; beyond the highest there is room for the carries of 38 digits.
+        top = f"array_max(transform({numbers}, e -> e.b)) + {LIMBS + 5}"
+        at = f"aggregate({numbers}, {zero}, (s, e) -> cast(s + CASE p - e.b {own} ELSE 0L END AS decimal(38,0)))"
+        stages[2].append(f"transform(sequence({low}, {top}), p -> {at}) AS {places}")
+        stages[3].append(f"aggregate({places}, {start}, {step}) AS {up}")
+        stages[4].append(f"if({up}.carry < 0, aggregate(transform({places}, t -> cast(-t AS decimal(38,0))), {start}, {step}).digits, {up}.digits) AS {digits}")
+        stages[5].append(f"array_max(transform({digits}, (d, i) -> if(d <> 0, i, NULL))) AS {h}")
+        # The leading digits, one bit for all below them, and the power of two.
+        lead = " + ".join(f"cast(if({h} >= {i}, get({digits}, {h} - {i}), 0) AS decimal(7,0)) * cast({2 * BASE ** (LIMBS - 1 - i)} AS decimal(19,0))" for i in range(LIMBS))
+        below = f"if(exists(slice({digits}, 1, greatest({h} - {LIMBS - 1}, 0)), d -> d <> 0), 1, 0)"
+        power = f"({LOWEST - 1} + {LIMB} * ({low} + {h} - {LIMBS - 1}))"
+        number = f"cast({lead} + {below} AS double) * pow(2.0D, floor({power} / 2)) * pow(2.0D, {power} - floor({power} / 2))"
+        values[n] = (
+            f"CASE WHEN size(`{n}`) = 0 THEN NULL WHEN exists(`{n}`, e -> e.b = {NOT_A_NUMBER}) OR (exists(`{n}`, e -> e.b = {POSITIVE}) "
+            f"AND exists(`{n}`, e -> e.b = {NEGATIVE})) THEN double('NaN') WHEN exists(`{n}`, e -> e.b = {POSITIVE}) THEN double('inf') "
+            f"WHEN exists(`{n}`, e -> e.b = {NEGATIVE}) THEN -double('inf') WHEN {h} IS NULL THEN 0.0D "
+            f"WHEN {up}.carry < 0 THEN -({number}) ELSE {number} END AS `{n}`"
+        )
+    for stage in stages:
+        df = df.selectExpr("*", *stage)
+    return df.selectExpr(*[values.get(c, f"`{c}`") for c in columns])
