@@ -369,7 +369,7 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
     ids = stored(active.select("c").distinct())
     known = stored(classes.join(small(ids), "c", "left_semi"))
     minima = known.select("c", "minima")
-    state = {"parts": ids.withColumn("component", F.col("c")), "links": spark.createDataFrame([], "a bigint, b bigint"), "sets": None}
+    state = {"parts": ids.withColumn("component", F.col("c")), "sets": None}
     state["components"] = spark.createDataFrame([], "c bigint, component bigint")
 
     def read_sets(wanted: DataFrame) -> None:
@@ -400,8 +400,9 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
     def add(found: DataFrame) -> None:
         if found.isEmpty():
             return
-        state["links"] = state["links"].unionByName(found)
-        joined = stored(components(state["links"])).withColumnRenamed("node", "c")
+        # What is joined already is one star for each component; new links join stars.
+        stars = state["components"].filter("c <> component").select(F.col("c").alias("a"), F.col("component").alias("b"))
+        joined = stored(components(stars.unionByName(found))).withColumnRenamed("node", "c")
         state["components"] = joined
         parts = ids.join(small(joined), "c", "left")
         state["parts"] = stored(parts.select("c", F.coalesce("component", "c").alias("component")))

@@ -15,7 +15,7 @@ from sparkchecks.llm.queries import ORACLE_SQL, QUERIES
 
 def test_contract():
     names = contract.queries()
-    assert [n for n in range(1, 11) if any(k.startswith(f"op{n}_") for k in names)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(k.startswith(f"op{n}_") for k in names)] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE_SQL) <= set(contract.oracle_sql())
     assert len(STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
