@@ -8,7 +8,7 @@ the group, plus a multiple of the distance to a lower quantile, plus one bucket;
 Which quantiles: junk makes up several percent of a corpus and must not set its own limit, so
 symbols and word length build on q90 and its distance to the median (word length also on q10, below);
 repetition is a matter of degree and has a long tail in good texts too, so it builds on q99 and its
-distance to q95. Limits are joined back to the documents.
+distance to q95, and groups of fewer than ``TAIL_DOCS`` documents have no limit for it. Limits are joined back to the documents.
 
 Defined cases: a NULL text has no words and fails the base rules; NULL languages and sources are
 groups of their own; repeated rows count as often as they occur; an empty table gives no rows.
@@ -32,6 +32,8 @@ MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 100
 #: Lower and upper quantile of each measure in percent, and the multiple of their distance as a fraction.
 REACH = {"symbols": (50, 90, 4, 1), "dup_lines": (95, 99, 1, 4), "repeats": (95, 99, 1, 4), "word_length": (50, 90, 4, 1)}
+#: Documents that a group needs for limits that build on its q99: of fewer, q99 is one of the few largest values.
+TAIL_DOCS = 300
 LOW_TOO = ("word_length",)
 QUANTILES = (10, 50, 90, 95, 99)
 
@@ -136,7 +138,8 @@ def limits(sketch: DataFrame) -> DataFrame:
     for name, (low, high, times, over) in REACH.items():
         above = bucket_value(F.col(f"b{high}") + 1) + F.expr(f"{times} * (q{high} - q{low}) div {over}")
         below = bucket_value(F.greatest(F.col(f"b{100 - high}") - 1, F.lit(0))) - F.expr(f"{times} * (q{low} - q{100 - high}) div {over}") if name in LOW_TOO else None
-        out.append(F.max(F.when(F.col("name") == name, above)).alias(f"hi_{name}"))
+        enough = F.col("docs") >= (TAIL_DOCS if high > 95 else 0)
+        out.append(F.max(F.when((F.col("name") == name) & enough, above)).alias(f"hi_{name}"))
         if below is not None:
             out.append(F.min(F.when(F.col("name") == name, below)).alias(f"lo_{name}"))
     return per.groupBy("level", "lang", "source").agg(F.max("docs").alias("docs"), *out)

@@ -146,7 +146,7 @@ q AS (SELECT level, lang, source, name, max(docs) AS docs, {', '.join(f'min(CASE
       FROM cum GROUP BY ALL),
 qv AS (SELECT *, {', '.join(f'{_value(f"b{x}")} AS q{x}' for x in quality.QUANTILES)} FROM q),
 lim AS (SELECT level, lang, source, max(docs) AS docs,
-  {', '.join(f"max(CASE WHEN name = '{k}' THEN {_value(f'(b{hi} + 1)')} + {t} * (q{hi} - q{lo}) // {o} END) AS hi_{k}" for k, (lo, hi, t, o) in quality.REACH.items())},
+  {', '.join(f"max(CASE WHEN name = '{k}' AND docs >= {quality.TAIL_DOCS if hi > 95 else 0} THEN {_value(f'(b{hi} + 1)')} + {t} * (q{hi} - q{lo}) // {o} END) AS hi_{k}" for k, (lo, hi, t, o) in quality.REACH.items())},
   {', '.join(f"max(CASE WHEN name = '{k}' THEN {_value(f'greatest(b{100 - quality.REACH[k][1]} - 1, 0)')} - {quality.REACH[k][2]} * (q{quality.REACH[k][0]} - q{100 - quality.REACH[k][1]}) // {quality.REACH[k][3]} END) AS lo_{k}" for k in quality.LOW_TOO)}
   FROM qv GROUP BY ALL),
 pick AS (
