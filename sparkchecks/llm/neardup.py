@@ -7,9 +7,12 @@
 3. Classes that share a band fall into a bucket. Bands are as long as ``MOST_BANDS`` of them allow
    while a pair at the threshold shares none with a probability below ``MISSED``: 76 bands of 11
    minima for 85 %, 76 of 8 for 80 %. A pair at 50 % then meets with 4 % (26 %).
-4. Leaders: each bucket compares its members with one leader, and where several components are left
-   with ``LEADERS`` others. That settles groups of copies in linear work, and every bucket of at most
-   ``LEADERS`` + 1 members entirely.
+4. Leaders: each class is compared with one member that leads buckets of it, the one that it meets
+   in most of them. That settles most groups of copies with a pair for each member. Buckets of at
+   most ``FEW`` members that still hold several components are compared entirely. In larger ones two
+   more rounds name two leaders by a hash, and each class is compared with the ``CHOSEN`` leaders
+   that it meets most often. So the pairs of a round are at most ``CHOSEN`` for each class, however
+   many buckets a group of copies shares, and those of small buckets ``FEW`` / 2 for each entry.
 5. Blocks: larger buckets that still hold several components are divided by the size of the sets, so
    that only sizes within the threshold meet, and into chunks of ``CHUNK`` members; pairs of chunks
    are compared on the minima, each in one place. So every pair in a common bucket is either joined
@@ -45,8 +48,8 @@ SEED = 20_240_229
 MISSED, MOST_BANDS = 1e-6, 80
 #: Standard deviations that the share of equal minima may lie below the threshold.
 SIGMAS = 5
-#: Leaders of a bucket in the second round, and rounds with that many.
-LEADERS, ROUNDS = 8, 2
+#: Members of a bucket that is compared entirely; rounds of leaders in larger ones, and leaders that a member is compared with in each.
+FEW, ROUNDS, CHOSEN = 9, 2, 4
 #: Members and shingles of a chunk of a block.
 CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
 #: Rows with shingle sets that a worker holds at a time.
@@ -397,6 +400,13 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
         add(stored(_linked(full, percent), WIDE))
 
+    def compare(met: DataFrame) -> None:
+        """Compare the minima of rows (c, b), then the sets of those that agree."""
+        pairs = met.select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
+        checked = pairs.join(minima.select(F.col("c").alias("a"), F.col("minima").alias("ma")), "a")
+        checked = checked.join(minima.select(F.col("c").alias("b"), F.col("minima").alias("mb")), "b").select("a", "b", "ma", "mb")
+        confirm(stored(_alike(checked, least_equal(percent)), 4_000))
+
     def add(found: DataFrame) -> None:
         if found.isEmpty():
             return
@@ -407,20 +417,29 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         parts = ids.join(small(joined), "c", "left")
         state["parts"] = stored(parts.select("c", F.coalesce("component", "c").alias("component")))
 
+    def leaders(tagged: DataFrame, turn: int) -> DataFrame:
+        """Rows (c, b): members of a bucket and its leaders of another component; of those the ones met in most buckets."""
+        order = F.struct(F.xxhash64("c", F.lit(turn)) if turn else F.col("c"), F.col("c").alias("b"), F.col("component").alias("cb"))
+        ends = [F.min(order), F.max(order)] if turn else [F.min(order)]
+        led = tagged.groupBy("key").agg(F.array(*ends).alias("led")).select("key", F.explode("led").alias("led")).select("key", "led.b", "led.cb")
+        met = tagged.join(small(stored(led)), "key").filter("component <> cb").groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
+        place = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("n"), "b"))
+        return met.withColumn("place", place).filter(F.col("place") <= (CHOSEN if turn else 1)).select("c", "b")
+
     tagged = unsettled(active)
-    for turn in range(1 + ROUNDS):
+    if not tagged.isEmpty():
+        compare(leaders(tagged, 0))
+        tagged = unsettled(tagged.select("key", "c"))
+    if not tagged.isEmpty():
+        sizes = stored(tagged.groupBy("key").count())
+        few = stored(tagged.join(small(sizes.filter(F.col("count") <= FEW).select("key")), "key"))
+        other = few.select("key", F.col("c").alias("b"), F.col("component").alias("cb"))
+        compare(few.join(other, "key").filter("c < b AND component <> cb").select("c", "b"))
+        tagged = unsettled(tagged.join(small(sizes.filter(F.col("count") > FEW).select("key")), "key").select("key", "c"))
+    for turn in range(1, 1 + ROUNDS):
         if tagged.isEmpty():
             return state["components"]
-        order = [F.col("c")] if turn == 0 else [F.xxhash64("c", F.lit(turn))]
-        ranked = tagged.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order))).filter(F.col("rank") <= (LEADERS if turn else 1))
-        leaders = stored(ranked.select("key", F.col("c").alias("b"), F.col("component").alias("cb")))
-        pairs = tagged.join(small(leaders), "key").filter("component <> cb").select(F.greatest("c", "b").alias("a"), F.least("c", "b").alias("b")).distinct()
-        checked = pairs.join(minima.select(F.col("c").alias("a"), F.col("minima").alias("ma")), "a")
-        checked = checked.join(minima.select(F.col("c").alias("b"), F.col("minima").alias("mb")), "b").select("a", "b", "ma", "mb")
-        confirm(stored(_alike(checked, least_equal(percent)), 4_000))
-        if turn:  # buckets of few members are compared entirely
-            large = stored(tagged.groupBy("key").count().filter(F.col("count") > LEADERS + 1).select("key"))
-            tagged = tagged.join(small(large), "key")
+        compare(leaders(tagged, turn))
         tagged = unsettled(tagged.select("key", "c"))
     left = stored(tagged.select("c").distinct())
     if not left.isEmpty():

@@ -135,3 +135,20 @@ def test_chance_meetings_are_few(spark, documents):
     shared = sig.selectExpr("explode(bands) AS k").groupBy("k").count().filter("count > 1").count()
     assert shared <= 30
     assert found(near_duplicates(documents(rows), 5, 80)) == brute([r[:2] for r in rows], 5, 80)
+
+
+def test_pairs_of_a_dense_group_grow_with_its_members(spark, documents, monkeypatch):
+    """Near copies that share most buckets, few of them links: some pairs for each member, all links found."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for d in range(300):
+        words = list(base)
+        for i in rng.sample(range(150), 3 + d % 3):
+            words[i] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    compared = []
+    alike = neardup._alike
+    monkeypatch.setattr(neardup, "_alike", lambda pairs, least: (compared.append(pairs.count()), alike(pairs, least))[1])
+    assert found(near_duplicates(documents([(i, t, None, None) for i, t in rows]), 3, 85)) == brute(rows, 3, 85)
+    assert sum(compared) <= 30 * len(rows), compared
