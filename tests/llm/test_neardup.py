@@ -137,7 +137,8 @@ def test_chance_meetings_are_few(spark, documents):
     assert found(near_duplicates(documents(rows), 5, 80)) == brute([r[:2] for r in rows], 5, 80)
 
 
-def test_pairs_of_a_dense_group_grow_with_its_members(spark, documents, monkeypatch):
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
+def test_pairs_of_a_dense_group_grow_with_its_members(spark, documents, monkeypatch, k, percent):
     """Near copies that share most buckets, few of them links: some pairs for each member, all links found."""
     rng = random.Random(12)
     base = [f"w{i}" for i in range(150)]
@@ -150,5 +151,5 @@ def test_pairs_of_a_dense_group_grow_with_its_members(spark, documents, monkeypa
     compared = []
     alike = neardup._alike
     monkeypatch.setattr(neardup, "_alike", lambda pairs, least: (compared.append(pairs.count()), alike(pairs, least))[1])
-    assert found(near_duplicates(documents([(i, t, None, None) for i, t in rows]), 3, 85)) == brute(rows, 3, 85)
+    assert found(near_duplicates(documents([(i, t, None, None) for i, t in rows]), k, percent)) == brute(rows, k, percent)
     assert sum(compared) <= 30 * len(rows), compared
