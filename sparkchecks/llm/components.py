@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import small, stored
+from .storage import measure, row_count, small, stored
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -35,14 +35,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     up, down = F.greatest(a, b), F.least(a, b)
     edges = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(up.alias("u"), down.alias("v"))
-    edges = stored(edges.filter("u <> v").distinct())
+    content = F.bit_xor(F.xxhash64("u", "v"))
+    edges = stored(edges.filter("u <> v").distinct(), content=content)
     before = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        state = row_count(edges), measure(edges, "content")
         if state == before or not state[0]:
             break
         before = state
         nodes = 2 * state[0]  # at most
-        edges = stored(_small_star(stored(_large_star(edges, nodes)), nodes))
+        edges = stored(_small_star(stored(_large_star(edges, nodes)), nodes), content=content)
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .packing import word_count
-from .storage import small, stored
+from .storage import row_count, small, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -129,15 +129,16 @@ def _filled(units: DataFrame, missing: DataFrame, seed: int) -> tuple[DataFrame,
     """
     along = Window.partitionBy("sid").orderBy(F.xxhash64("u", F.lit(seed + 1)), "u")
     chosen, units = units.limit(0), units.filter("size > 0")
+    sids = row_count(missing)
     while True:
-        run = units.join(small(missing), "sid").filter("size <= missing").withColumn("end", F.sum("size").over(along))
+        run = units.join(small(missing, sids), "sid").filter("size <= missing").withColumn("end", F.sum("size").over(along))
         run = stored(run.withColumn("fits", F.col("end") <= F.col("missing")))
-        if run.isEmpty():
+        if not row_count(run):
             return stored(chosen), stored(missing.filter("missing > 0"))
         taken = run.filter("fits").select("sid", "u", "size")
         chosen, units = chosen.unionByName(taken), run.filter("NOT fits").select("sid", "u", "size")
         filled = taken.groupBy("sid").agg(F.sum("size").alias("filled"))
-        missing = stored(missing.join(small(filled), "sid", "left").select("sid", (F.col("missing") - F.coalesce("filled", F.lit(0))).alias("missing")))
+        missing = stored(missing.join(small(filled, most=sids), "sid", "left").select("sid", (F.col("missing") - F.coalesce("filled", F.lit(0))).alias("missing")))
 
 
 def _mended(open_units: DataFrame, missing: DataFrame) -> DataFrame:
@@ -149,13 +150,13 @@ def _mended(open_units: DataFrame, missing: DataFrame) -> DataFrame:
         able = open_units.join(small(missing), "sid").filter(left < F.col("missing"))
         best = able.groupBy("sid").agg(F.min(F.struct(left.alias("left"), "o", "u", "size")).alias("best"))
         best = stored(best.select("sid", F.col("best.u").alias("u"), F.col("best.size").alias("size")))
-        if best.isEmpty():
+        if not row_count(best):
             return taken
         taken = taken.unionByName(best)
-        missing = missing.join(small(best.select("sid", F.col("size").alias("more"))), "sid")
+        missing = missing.join(small(best.select("sid", F.col("size").alias("more")), row_count(best)), "sid")
         missing = stored(missing.select("sid", (F.col("missing") - F.col("more")).alias("missing")))
         # What fits next is smaller than what was missing before.
-        gone = small(best.select("sid", "u"))
+        gone = small(best.select("sid", "u"), row_count(best))
         open_units = stored(open_units.join(small(missing), "sid").filter(F.col("size") < 2 * F.col("missing")).drop("missing").join(gone, ["sid", "u"], "left_anti"))
 
 
@@ -175,7 +176,7 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed
 
     placed = placed_rows(narrow, sources)
     sums = placed.groupBy("sid", "block").agg(F.sum("size").alias("words"))
-    sums = sums.join(small(sources.select("sid", "passes", "rest")), "sid")
+    sums = sums.join(small(sources.select("sid", "passes", "rest"), row_count(sources)), "sid")
     order = F.xxhash64("sid", "block", "passes", F.lit(seed))
     run = Window.partitionBy("sid").orderBy(order, "block")
     sums = sums.withColumn("end", F.sum("words").over(run)).withColumn("begin", F.col("end") - F.col("words"))
@@ -200,19 +201,19 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed
     missing = cross.select("sid", F.col("room").alias("missing"))
     chosen, missing = _filled(units.select("sid", "u", "size"), missing, seed)
     # Units outside of the blocks that the last pass takes whole, unless they are far too large.
-    others = placed.join(small(missing), "sid").join(small(sums.filter("whole").select("sid", "block")), ["sid", "block"], "left_anti")
+    others = placed.join(small(missing), "sid").join(small(sums.filter("whole").select("sid", "block"), most=row_count(sums)), ["sid", "block"], "left_anti")
     others = others.groupBy("sid", "u").agg(F.sum("size").alias("size"), F.max("missing").alias("missing"))
     others = others.filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("missing"))).drop("missing")
-    others = others.join(small(chosen.select("sid", "u")), ["sid", "u"], "left_anti").withColumn("o", F.xxhash64("u", F.lit(seed + 2)))
+    others = others.join(small(chosen.select("sid", "u"), row_count(chosen)), ["sid", "u"], "left_anti").withColumn("o", F.xxhash64("u", F.lit(seed + 2)))
     more = _mended(stored(others), missing)
     part = taken.filter("part IS NOT NULL").select("sid", F.col("part").alias("shard"))
-    chosen = stored(chosen.unionByName(more).select("sid", "u").join(small(part), "sid"))
+    chosen = stored(chosen.unionByName(more).select("sid", "u").join(small(part, most=row_count(taken)), "sid"))
     return narrow, sources, taken, chosen
 
 
 def placed_rows(narrow: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows with the sid and block of their source and unit."""
-    side = small(sources.select(F.col("source").alias("__source"), "sid", "n_blocks"))
+    side = small(sources.select(F.col("source").alias("__source"), "sid", "n_blocks"), row_count(sources))
     joined = narrow.join(side, narrow["source"].eqNullSafe(F.col("__source"))).drop("__source")
     return joined.withColumn("block", F.pmod("u", "n_blocks")).drop("n_blocks")
 
@@ -220,7 +221,7 @@ def placed_rows(narrow: DataFrame, sources: DataFrame) -> DataFrame:
 def with_shards(rows: DataFrame, sources: DataFrame, taken: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows (with source and u) and ``shards``: the shard of each copy that the mix takes."""
     out = placed_rows(rows, sources).join(small(taken), ["sid", "block"], "left")
-    out = out.join(small(chosen.withColumnRenamed("shard", "__extra")), ["sid", "u"], "left")
+    out = out.join(small(chosen.withColumnRenamed("shard", "__extra"), row_count(chosen)), ["sid", "u"], "left")
     none = F.array().cast("array<int>")
     extra = F.when(F.col("__extra").isNotNull(), F.array("__extra")).otherwise(none)
     return out.withColumn("shards", F.concat(F.coalesce("full", none), extra)).drop("full", "part", "__extra")
@@ -229,7 +230,7 @@ def with_shards(rows: DataFrame, sources: DataFrame, taken: DataFrame, chosen: D
 def mix_plan(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken, copies."""
     narrow, sources, taken, chosen = plan(docs, **options)
-    out = with_shards(narrow, sources, taken, chosen).join(small(sources.select("sid", "source_size", "target")), "sid")
+    out = with_shards(narrow, sources, taken, chosen).join(small(sources.select("sid", "source_size", "target"), row_count(sources)), "sid")
     copies = F.size("shards").cast("bigint")
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
 

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import released, small, stored
+from .storage import released, row_count, small, small_once, stored
 from .words import U, chunks, distinct_in_docs, mix, shingles, words
 
 SEED = 20_240_229
@@ -232,13 +232,12 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     rows = stored(judged_rows(docs, k, percent, id_col, text_col).filter("c IS NOT NULL").select("c", F.struct("doc_id", "carried").alias("key")))
     groups = stored(rows.groupBy("c").agg(F.min("key").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     told = stored(rows.join(small(groups), "c").withColumn("same", F.col("key") == F.col("stays")))
-    gone = stored(told.filter("NOT same").select("key").distinct())
-    again = stored(told.filter("same").groupBy("key").count().filter("count > 1").select("key"))
+    gone = stored(told.filter("NOT same").select(F.col("key").alias("__key")).distinct())
+    again = stored(told.filter("same").groupBy("key").count().filter("count > 1").select(F.col("key").alias("__key")))
     kept = docs.withColumn("__key", F.struct(*row_key(id_col, text_col)))
-    kept = kept.join(small(gone.withColumnRenamed("key", "__key")), "__key", "left_anti")
-    if again.isEmpty():
+    kept = kept.join(small(gone), "__key", "left_anti")
+    if not row_count(again):
         return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-    again = again.withColumnRenamed("key", "__key")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     first = kept.join(small(again), "__key", "left_semi").groupBy("__key").agg(F.first(row).alias("row")).select("row.*")
     return kept.join(small(again), "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(first)
@@ -375,26 +374,26 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
     state = {"parts": ids.withColumn("component", F.col("c")), "sets": None}
     state["components"] = spark.createDataFrame([], "c bigint, component bigint")
 
-    def read_sets(wanted: DataFrame) -> None:
-        """Texts of wanted classes that were not read before are read again for their sets."""
+    def read_sets(wanted: DataFrame, most: int) -> None:
+        """Texts of wanted classes (at most so many) that were not read before are read again for their sets."""
         before = state["sets"]
         wanted = wanted if before is None else wanted.join(before.select("c"), "c", "left_anti")
-        wanted = stored(known.join(small(stored(wanted)), "c", "left_semi").select("c", "doc_id", "carried"))
-        if before is None or not wanted.isEmpty():
+        wanted = stored(known.join(small_once(wanted, most), "c", "left_semi").select("c", "doc_id", "carried"))
+        if before is None or row_count(wanted):
             new = _sets_of(base, wanted, k)
             state["sets"] = new if before is None else before.unionByName(new)
 
     def unsettled(active: DataFrame) -> DataFrame:
         """Rows (c, key, component) of buckets that hold several components."""
-        tagged = stored(active.join(small(state["parts"]), "c"))
+        tagged = stored(active.join(small(state["parts"], row_count(ids)), "c"))
         mixed = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-        return stored(tagged.join(small(stored(mixed)), "key"))
+        return stored(tagged.join(small_once(mixed, row_count(tagged) // 2), "key"))
 
     def confirm(pairs: DataFrame) -> None:
         """Compare the sets of pairs; links that are found join components."""
-        if pairs.isEmpty():
+        if not row_count(pairs):
             return
-        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct())
+        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), 2 * row_count(pairs))
         sets = state["sets"]
         full = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
         full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
@@ -408,11 +407,11 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         confirm(stored(_alike(checked, least_equal(percent)), 4_000))
 
     def add(found: DataFrame) -> None:
-        if found.isEmpty():
+        if not row_count(found):
             return
         # What is joined already is one star for each component; new links join stars.
         stars = state["components"].filter("c <> component").select(F.col("c").alias("a"), F.col("component").alias("b"))
-        joined = stored(components(stars.unionByName(found))).withColumnRenamed("node", "c")
+        joined = stored(components(stars.unionByName(found)).withColumnRenamed("node", "c"))
         state["components"] = joined
         parts = ids.join(small(joined), "c", "left")
         state["parts"] = stored(parts.select("c", F.coalesce("component", "c").alias("component")))
@@ -422,28 +421,28 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         order = F.struct(F.xxhash64("c", F.lit(turn)) if turn else F.col("c"), F.col("c").alias("b"), F.col("component").alias("cb"))
         ends = [F.min(order), F.max(order)] if turn else [F.min(order)]
         led = tagged.groupBy("key").agg(F.array(*ends).alias("led")).select("key", F.explode("led").alias("led")).select("key", "led.b", "led.cb")
-        met = tagged.join(small(stored(led)), "key").filter("component <> cb").groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
+        met = tagged.join(small_once(led, row_count(tagged)), "key").filter("component <> cb").groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
         place = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("n"), "b"))
         return met.withColumn("place", place).filter(F.col("place") <= (CHOSEN if turn else 1)).select("c", "b")
 
     tagged = unsettled(active)
-    if not tagged.isEmpty():
+    if row_count(tagged):
         compare(leaders(tagged, 0))
         tagged = unsettled(tagged.select("key", "c"))
-    if not tagged.isEmpty():
+    if row_count(tagged):
         sizes = stored(tagged.groupBy("key").count())
-        few = stored(tagged.join(small(sizes.filter(F.col("count") <= FEW).select("key")), "key"))
+        few = stored(tagged.join(small(sizes.filter(F.col("count") <= FEW).select("key"), most=row_count(sizes)), "key"))
         other = few.select("key", F.col("c").alias("b"), F.col("component").alias("cb"))
         compare(few.join(other, "key").filter("c < b AND component <> cb").select("c", "b"))
-        tagged = unsettled(tagged.join(small(sizes.filter(F.col("count") > FEW).select("key")), "key").select("key", "c"))
+        tagged = unsettled(tagged.join(small(sizes.filter(F.col("count") > FEW).select("key"), most=row_count(sizes)), "key").select("key", "c"))
     for turn in range(1, 1 + ROUNDS):
-        if tagged.isEmpty():
+        if not row_count(tagged):
             return state["components"]
         compare(leaders(tagged, turn))
         tagged = unsettled(tagged.select("key", "c"))
     left = stored(tagged.select("c").distinct())
-    if not left.isEmpty():
-        read_sets(left)
+    if row_count(left):
+        read_sets(left, row_count(left))
         fine = stored(known.join(small(left), "c", "left_semi").select("c", F.col("n_shingles").alias("n"), "minima", "bands"))
         blocks = stored(_in_blocks(_chunked(tagged, fine, percent), percent), 2_000)
         add(stored(_confirmed_blocks(blocks, state["sets"], percent), WIDE))
@@ -453,6 +452,6 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
 def _sets_of(base: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Sets (c, s) of wanted classes (c, doc_id, carried), from the texts of their documents."""
     sets = stored(shingle_sets(base.join(small(wanted), ["doc_id", "carried"]).select("c", "text"), k), 2_000)
-    if sets.groupBy("c").count().filter("count > 1").isEmpty():
+    if row_count(sets) == row_count(wanted):  # each class has one row at least
         return sets
     return stored(sets.dropDuplicates(["c"]), WIDE)  # repeated rows

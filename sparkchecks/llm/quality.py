@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import small, stored
+from .storage import row_count, small, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -164,8 +164,8 @@ def judged(m: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     by_source = table.filter(f"level = 0 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l0"), F.col("source").alias("s0"), F.struct(*names).alias("own"))
     by_lang = table.filter(f"level = 1 AND docs >= {MIN_DOCS}").select(F.col("lang").alias("l1"), F.struct(*names).alias("mid"))
     whole = table.filter("level = 2").select(F.struct(*names)).scalar()
-    out = m.join(small(by_source), F.col("lang").eqNullSafe(F.col("l0")) & F.col("source").eqNullSafe(F.col("s0")), "left")
-    out = out.join(small(by_lang), F.col("lang").eqNullSafe(F.col("l1")), "left")
+    out = m.join(small(by_source, most=row_count(table)), F.col("lang").eqNullSafe(F.col("l0")) & F.col("source").eqNullSafe(F.col("s0")), "left")
+    out = out.join(small(by_lang, most=row_count(table)), F.col("lang").eqNullSafe(F.col("l1")), "left")
     limit = F.coalesce("own", "mid", whole)
     fine = ~base_failed()
     for k, v in measures().items():

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of at most this many narrow rows (two or three longs) may be broadcast: some 20 MB.
@@ -61,19 +61,44 @@ def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def stored(df: DataFrame, batch: int | None = None) -> DataFrame:
+def stored(df: DataFrame, batch: int | None = None, **measures: Column) -> DataFrame:
     """Write once to the shared folder and read back: cuts the lineage, survives lost executors.
 
-    ``batch`` bounds the rows that a Python worker gets at a time, where rows are wide.
+    ``batch`` bounds the rows that a Python worker gets at a time, where rows are wide. Rows are counted
+    as they are written, together with further aggregates; see ``row_count`` and ``measure``. A job for
+    each count would add a plan, its exchanges and the threads that the driver starts for them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    seen = Observation()
+    aggregates = {"rows": F.count(F.lit(1))} | measures
     with batches_of(spark, batch):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        df.observe(seen, *[v.alias(k) for k, v in aggregates.items()]).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._seen = seen.get
+    return out
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast a narrow side if its counted rows are within the limit, else leave it to Spark."""
-    rows = df.count() if rows is None else rows
+def measure(df: DataFrame, name: str) -> object:
+    """An aggregate that ``stored`` took of this very frame."""
+    return df._seen[name]
+
+
+def row_count(df: DataFrame) -> int:
+    """Rows of a frame, without a job if it is one that ``stored`` returned."""
+    return vars(df)["_seen"]["rows"] if "_seen" in vars(df) else df.count()
+
+
+def small(df: DataFrame, rows: int | None = None, most: int | None = None) -> DataFrame:
+    """Broadcast a narrow side if its rows are within the limit, else leave it to Spark.
+
+    ``rows`` is their number where it is known, ``most`` a bound; rows are counted only if the bound is beyond the limit.
+    """
+    if rows is None:
+        rows = most if most is not None and most <= BROADCAST_ROWS else row_count(df)
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def small_once(df: DataFrame, most: int) -> DataFrame:
+    """``small`` for a side that is costly to compute and used once: stored to be counted only if ``most`` rows are beyond the limit."""
+    return F.broadcast(df) if most <= BROADCAST_ROWS else small(stored(df))
