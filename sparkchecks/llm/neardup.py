@@ -6,7 +6,8 @@
    apart by their set, so rows that share an id but not the text are different classes.
 3. Classes that share a band fall into a bucket. Bands are as long as ``MOST_BANDS`` of them allow
    while a pair at the threshold shares none with a probability below ``MISSED``: 76 bands of 11
-   minima for 85 %, 76 of 8 for 80 %. A pair at 50 % then meets with 4 % (26 %).
+   minima for 85 %, 76 of 8 for 80 %. A pair at 50 % then meets with 4 % (26 %). Bands are shuffled
+   once; rows with bands and minima stay where they are and are told by their ids.
 4. Leaders: each class is compared with one member that leads buckets of it, the one that it meets
    in most of them. That settles most groups of copies with a pair for each member. Buckets of at
    most ``FEW`` members that still hold several components are compared entirely. In larger ones two
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import released, row_count, small, small_once, stored
+from .storage import among, likely, released, row_count, small, small_once, stored
 from .words import U, chunks, distinct_in_docs, mix, shingles, words
 
 SEED = 20_240_229
@@ -200,7 +201,7 @@ def judged_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
     rows = rows.select("doc_id", "carried", "n_shingles", "r", F.when(able, F.coalesce("of", "r")).alias("c"), F.when(able, F.coalesce("of_id", "doc_id")).alias("c_id"))
     rows = stored(rows)
     others = stored(rows.filter("c IS NULL OR c <> r").select("r"))
-    classes = sig.join(small(others), "r", "left_anti").select(F.col("r").alias("c"), "doc_id", "carried", "n_shingles", "bands", "minima")
+    classes = among(sig, others, "r", keep=False).select(F.col("r").alias("c"), "doc_id", "carried", "n_shingles", "bands", "minima")
 
     found = _linked_classes(base, classes, k, percent)
     names = rows.filter("c = r").select("c", "c_id").join(small(found), "c")
@@ -366,22 +367,23 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
     """Components (c, component) of the classes that have links; every link is confirmed."""
     spark = base.sparkSession
     entries = classes.select("c", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    active = stored(entries.join(small(stored(shared)), "key"))
+    # One shuffle finds buckets and their members; a bucket is at most one part in as many as there are bands.
+    bucket = Window.partitionBy("key")
+    active = stored(entries.select("key", "c", F.min("c").over(bucket).alias("lo"), F.max("c").over(bucket).alias("hi")).filter("lo < hi").select("key", "c"))
     ids = stored(active.select("c").distinct())
-    known = stored(classes.join(small(ids), "c", "left_semi"))
+    known = stored(among(classes, ids, "c"))
     minima = known.select("c", "minima")
     state = {"parts": ids.withColumn("component", F.col("c")), "sets": None}
     state["components"] = spark.createDataFrame([], "c bigint, component bigint")
 
-    def read_sets(wanted: DataFrame, most: int) -> None:
-        """Texts of wanted classes (at most so many) that were not read before are read again for their sets."""
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """Sets of wanted classes; texts of those that were not read before are read again for them."""
         before = state["sets"]
-        wanted = wanted if before is None else wanted.join(before.select("c"), "c", "left_anti")
-        wanted = stored(known.join(small_once(wanted, most), "c", "left_semi").select("c", "doc_id", "carried"))
-        if before is None or row_count(wanted):
-            new = _sets_of(base, wanted, k)
+        new = wanted if before is None else stored(wanted.join(before.select("c"), "c", "left_anti"))
+        if before is None or row_count(new):
+            new = _sets_of(base, stored(among(known.select("c", "doc_id", "carried"), new, "c")), k)
             state["sets"] = new if before is None else before.unionByName(new)
+        return among(state["sets"], wanted, "c")
 
     def unsettled(active: DataFrame) -> DataFrame:
         """Rows (c, key, component) of buckets that hold several components."""
@@ -393,8 +395,7 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         """Compare the sets of pairs; links that are found join components."""
         if not row_count(pairs):
             return
-        read_sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), 2 * row_count(pairs))
-        sets = state["sets"]
+        sets = sets_of(stored(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
         full = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
         full = full.join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
         add(stored(_linked(full, percent), WIDE))
@@ -442,16 +443,16 @@ def _linked_classes(base: DataFrame, classes: DataFrame, k: int, percent: int) -
         tagged = unsettled(tagged.select("key", "c"))
     left = stored(tagged.select("c").distinct())
     if row_count(left):
-        read_sets(left, row_count(left))
-        fine = stored(known.join(small(left), "c", "left_semi").select("c", F.col("n_shingles").alias("n"), "minima", "bands"))
+        sets = sets_of(left)
+        fine = stored(among(known, left, "c").select("c", F.col("n_shingles").alias("n"), "minima", "bands"))
         blocks = stored(_in_blocks(_chunked(tagged, fine, percent), percent), 2_000)
-        add(stored(_confirmed_blocks(blocks, state["sets"], percent), WIDE))
+        add(stored(_confirmed_blocks(blocks, sets, percent), WIDE))
     return state["components"]
 
 
 def _sets_of(base: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Sets (c, s) of wanted classes (c, doc_id, carried), from the texts of their documents."""
-    sets = stored(shingle_sets(base.join(small(wanted), ["doc_id", "carried"]).select("c", "text"), k), 2_000)
+    sets = stored(shingle_sets(likely(base, wanted, ["doc_id", "carried"]).join(small(wanted), ["doc_id", "carried"]).select("c", "text"), k), 2_000)
     if row_count(sets) == row_count(wanted):  # each class has one row at least
         return sets
     return stored(sets.dropDuplicates(["c"]), WIDE)  # repeated rows

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: A side of at most this many narrow rows (two or three longs) may be broadcast: some 20 MB.
 BROADCAST_ROWS = 200_000
+#: Ids that a row of two longs tells, a bit each.
+PACKED = 128
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -102,3 +104,50 @@ def small(df: DataFrame, rows: int | None = None, most: int | None = None) -> Da
 def small_once(df: DataFrame, most: int) -> DataFrame:
     """``small`` for a side that is costly to compute and used once: stored to be counted only if ``most`` rows are beyond the limit."""
     return F.broadcast(df) if most <= BROADCAST_ROWS else small(stored(df))
+
+
+def _bit(place: Column) -> Column:
+    """The bit of a place in its long."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _packed(places: DataFrame) -> DataFrame:
+    """Rows (p) as rows (word, low, high), with the bit set of each p; p may repeat."""
+    p = F.col("p")
+    rows = places.select(F.shiftright(p, 7).alias("word"), (p.bitwiseAND(F.lit(64)) == 0).alias("lower"), _bit(p).alias("bit"))
+    low, high = (F.coalesce(F.bit_or(F.when(one, F.col("bit"))), F.lit(0)) for one in (F.col("lower"), ~F.col("lower")))
+    return stored(rows.groupBy("word").agg(low.alias("low"), high.alias("high")))
+
+
+def _told(df: DataFrame, place: Column, packed: DataFrame, keep: bool) -> DataFrame:
+    """Rows whose place has its bit set, or those whose place has not."""
+    rows = df.withColumn("__p", place).withColumn("__word", F.shiftright("__p", 7))
+    bits = small(packed).select(F.col("word").alias("__word"), F.col("low").alias("__low"), F.col("high").alias("__high"))
+    rows = rows.join(bits, "__word", "left")
+    own = F.when(F.col("__p").bitwiseAND(F.lit(64)) == 0, F.col("__low")).otherwise(F.col("__high"))
+    there = F.coalesce(own.bitwiseAND(_bit(F.col("__p"))) != 0, F.lit(False))
+    return rows.filter(there if keep else ~there).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def among(df: DataFrame, ids: DataFrame, name: str, keep: bool = True) -> DataFrame:
+    """Rows of a wide frame whose ``name`` (bigint) is in the only column of ids, or those whose is not.
+
+    Beyond the limit ids are packed as bits, so wide rows need no shuffle before there are some
+    ``PACKED`` times as many ids as may be broadcast, if ids are dense.
+    """
+    if row_count(ids) <= BROADCAST_ROWS:
+        kept = df.join(F.broadcast(ids), name, "left_semi" if keep else "left_anti")
+        return kept.select(*[F.col(f"`{c}`") for c in df.columns])
+    return _told(df, F.col(name), _packed(ids.select(F.col(name).alias("p"))), keep)
+
+
+def likely(df: DataFrame, wanted: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of a wide frame whose ``names`` may be those of a row of wanted: all that are, and some that are not.
+
+    For a join that follows: where wanted can't be broadcast, it would shuffle the whole frame. The
+    hash of the names chooses one of some 25 million bits.
+    """
+    if row_count(wanted) <= BROADCAST_ROWS:
+        return df
+    place = F.pmod(F.xxhash64(*names), F.lit(PACKED * BROADCAST_ROWS))
+    return _told(df, place, _packed(wanted.select(place.alias("p"))), True)

@@ -7,7 +7,7 @@ import pytest
 
 from llm_cases import SF, documents  # noqa: F401
 
-from sparkchecks.llm import neardup
+from sparkchecks.llm import neardup, storage
 from sparkchecks.llm.components import components
 from sparkchecks.llm.neardup import near_duplicates
 from sparkchecks.llm.queries import QUERIES
@@ -153,3 +153,24 @@ def test_pairs_of_a_dense_group_grow_with_its_members(spark, documents, monkeypa
     monkeypatch.setattr(neardup, "_alike", lambda pairs, least: (compared.append(pairs.count()), alike(pairs, least))[1])
     assert found(near_duplicates(documents([(i, t, None, None) for i, t in rows]), k, percent)) == brute(rows, k, percent)
     assert sum(compared) <= 30 * len(rows), compared
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
+def test_beyond_the_broadcast_limit_bands_are_shuffled_once(spark, documents, no_broadcast, monkeypatch, k, percent):
+    """Narrow sides that can't be broadcast: bands are exploded once, and rows with bands and minima stay where they are."""
+    rng = random.Random(15)
+    rows = []
+    for d in range(90):
+        words = [f"{d // 3}w{i}" for i in range(120)]
+        for i in rng.sample(range(120), d % 3):
+            words[i] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    rows += [(100 + d, t) for d, t in rows[:25]]
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 20)
+    plans = []
+    kept = neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, *a, **m: (plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())), kept(df, *a, **m))[1])
+    assert found(near_duplicates(documents([(i, t, None, None) for i, t in rows]), k, percent)) == brute(rows, k, percent)
+    assert sum("Generate explode(bands" in p for _, p in plans) == 1
+    wide = [p for c, p in plans if {"bands", "minima"} & {*c}]
+    assert len(wide) >= 2 and not any("Exchange hashpartitioning" in p for p in wide)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkchecks.llm import storage
 from sparkchecks.llm.components import components
 from sparkchecks.llm.neardup import one_of_each
-from sparkchecks.llm.storage import measure, row_count, small, small_once, stored
+from sparkchecks.llm.storage import among, likely, measure, row_count, small, small_once, stored
 
 
 #: Before rows were counted as they are written: 120 and 24 jobs.
@@ -45,6 +45,26 @@ def test_sides_beyond_the_limit_are_not_broadcast(spark, monkeypatch, limit):
     assert ["broadcast" in p for p in plans] == [limit == 100] * 3
 
 
+@pytest.mark.parametrize("limit", [2, 12, 100])
+def test_rows_among_ids(spark, no_broadcast, monkeypatch, limit):
+    """Ids that are broadcast, packed as bits, and too many for that: the same rows, and wide rows move in the last case only."""
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", limit)
+    top = 5 << 33
+    places = [0, 1, 63, 64, 65, 127, 128, 190, 191, 192, 255, 256, -1, -64, -65, -128, -129, top, top + 63, top + 64, top + 127, (1 << 63) - 1, -(1 << 63), None]
+    wide = spark.createDataFrame([(i, p, "x" * 9) for i, p in enumerate(places)], "i int, r bigint, wide string")
+    wanted = [*places[::2], 62, 129, top + 1]
+    ids = stored(spark.createDataFrame([(p,) for p in wanted], "r bigint"))
+    there = [p is not None and p in wanted for p in places]
+    for keep in (True, False):
+        got = among(wide, ids, "r", keep)
+        assert got.columns == wide.columns
+        assert sorted(r.i for r in got.collect()) == [i for i, x in enumerate(there) if x == keep]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning" in plan) == (limit == 2)
+    found = {r.i for r in likely(wide, ids, ["r"]).collect()}
+    assert found >= {i for i, x in enumerate(there) if x}
+
+
 def test_near_dedup_starts_few_jobs(spark):
     words = [f"w{i}" for i in range(60)]
     texts = [(i, " ".join(words[:59] + [f"x{i}"])) for i in range(4)] + [(10 + i, f"{i} ".join(words)) for i in range(4)]
