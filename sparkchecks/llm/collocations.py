@@ -4,8 +4,8 @@
    transducer: the windows of up to four words that begin at each word, sorted, as a weighted acyclic
    automaton. Shards are written to the shared folder.
 2. *Ranges.* Windows sampled from the shards divide their order into ranges of some ``RANGE`` windows
-   (the sample decides only where work is cut). Shards of a task are united and cut at the ranges.
-3. *Union.* A task for each range unites its transducers and adds up weights. The count of a phrase
+   (the sample decides only where work is cut). Shards of a task are united piece by piece and cut at the ranges.
+3. *Union.* Tasks unite the transducers of each range and add up weights. The count of a phrase
    is the sum over the paths that begin with it; phrases that reach ``least`` leave the range, and
    those at its two ends in any case, since they may go on in the next one. Their sums are added.
 4. *Parts.* Every candidate is cut after each of its words; both parts are looked up in the table of
@@ -23,6 +23,7 @@ context); an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -31,12 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import released, stored, trim
-from .transducer import APART, DEPTH, ENDS, Transducer, union
+from .transducer import APART, DEPTH, ENDS, Transducer, merged, union
 
 #: Bytes of text of a shard; windows of a range; windows per sampled window.
-SHARD, RANGE, STEP = 4 << 20, 500_000, 25_000
+SHARD, RANGE, STEP = 2 << 20, 1_000_000, 25_000
 #: Windows united before a cut, and of a range between two unions.
-UNITED, FRESH = 1_200_000, 600_000
+UNITED, FRESH = 1_200_000, 300_000
+#: Ranges that a task unites one after another and writes as one file.
+TOGETHER = 4
 #: Ranges and samples that the driver holds at most; beyond them ranges grow.
 MAX_RANGES, MAX_SAMPLES = 65_536, 1_000_000
 #: Rows per language after the first round of the ranking are kept in so many groups.
@@ -80,8 +83,10 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size
                 there = t.weights > 0
                 t = Transducer(t.words, t.paths[there], t.weights[there])
             if len(t.paths):
-                sample = [b" ".join(t.window(i)) for i in range(step // 2, len(t.paths), step)] or [b" ".join(t.window(len(t.paths) // 2))]
-                columns = [pa.array([lang]), pa.array([int(t.weights.sum())], pa.int64()), pa.array([t.to_bytes()], pa.binary()), pa.array([sample], pa.list_(pa.binary()))]
+                blob = t.to_bytes()
+                # from another place in each shard: the same places would be the same windows in all, with all others in the ranges between
+                sample = [b" ".join(t.window(i)) for i in range(zlib.crc32(blob) % step, len(t.paths), step)]
+                columns = [pa.array([lang]), pa.array([int(t.weights.sum())], pa.int64()), pa.array([blob], pa.binary()), pa.array([sample], pa.list_(pa.binary()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "blob", "sample"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +113,9 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size
 def splits(written: DataFrame, size: int = RANGE, step: int = STEP) -> dict[str, tuple[int, list[tuple[bytes, ...]]]]:
     """Per language the number of its first range and the windows at which the next ones begin."""
     windows, samples = written.agg(F.sum("n"), F.sum(F.size("sample"))).first()
-    if not samples:
+    if not windows:
         return {}
-    share = min(1.0, MAX_SAMPLES / samples)
+    share = min(1.0, MAX_SAMPLES / max(1, samples))
     some = written.filter(F.pmod(F.xxhash64("n", "sample"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).select("lang", F.explode("sample").alias("w"))
     drawn = sorted((r.lang, tuple(bytes(r.w).split(b" "))) for r in some.collect())
     ranges = max(1, min(MAX_RANGES, math.ceil(windows / size)))
@@ -129,14 +134,15 @@ def cut_at(written: DataFrame, at: dict[str, tuple[int, list[tuple[bytes, ...]]]
     """Shards as rows (range, lang, blob); those of a task are united before they are cut."""
     known = written.sparkSession.sparkContext.broadcast(at)
 
-    def rows(lang: str, t: Transducer) -> Iterator[pa.RecordBatch]:
+    def rows(lang: str, parts: list[Transducer]) -> Iterator[pa.RecordBatch]:
         first, windows = known.value[lang]
-        places = [0, *[t.place(w) for w in windows], len(t.paths)]
-        for i, (lo, hi) in enumerate(zip(places, places[1:], strict=False)):
-            if lo < hi:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([first + i], pa.int64()), pa.array([lang]), pa.array([t.between(lo, hi).to_bytes()], pa.binary())], names=["range", "lang", "blob"]
-                )
+        for t in merged(parts):
+            lo, hi = (bisect_right(windows, t.window(i)) for i in (0, len(t.paths) - 1))
+            places = [0, *[t.place(w) for w in windows[lo:hi]], len(t.paths)]
+            for i, (start, end) in enumerate(zip(places, places[1:], strict=False), first + lo):
+                if start < end:
+                    columns = [pa.array([i], pa.int64()), pa.array([lang]), pa.array([t.between(start, end).to_bytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["range", "lang", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[Transducer]] = {}
@@ -145,17 +151,18 @@ def cut_at(written: DataFrame, at: dict[str, tuple[int, list[tuple[bytes, ...]]]
                 held.setdefault(lang, []).append(Transducer.from_bytes(blob.as_buffer()))
                 while sum(len(t.paths) for own in held.values() for t in own) > UNITED:
                     most = max(held, key=lambda x: sum(len(t.paths) for t in held[x]))
-                    yield from rows(most, union(held.pop(most)))
+                    yield from rows(most, held.pop(most))
                     trim()
         for lang, own in held.items():
-            yield from rows(lang, union(own))
+            yield from rows(lang, own)
 
     return written.select("lang", "blob").mapInArrow(released(run), "range bigint, lang string, blob binary")
 
 
 def united(cut: DataFrame, ranges: int, least: int) -> DataFrame:
     """Rows (lang, size, phrase, f): sums of each range, size 0 being all words."""
-    dealt = cut.repartition(ranges, "range").sortWithinPartitions("range", "lang")
+    # not by a hash, which would put several times as many ranges into some tasks and none into others
+    dealt = cut.repartitionById(math.ceil(ranges / TOGETHER), F.expr(f"CAST(range div {TOGETHER} AS INT)")).sortWithinPartitions("range", "lang")
 
     def rows(lang: str, t: Transducer) -> Iterator[pa.RecordBatch]:
         told = [(0, pa.array([b""], pa.binary()), [int(t.weights.sum())]), *[(d, *t.phrases(d, least)) for d in range(1, DEPTH + 1)]]

@@ -9,6 +9,7 @@ at once in NumPy.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,8 @@ import pyarrow.compute as pc
 from .words import U, mix
 
 DEPTH = 4
+#: Paths that a union sorts at a time: besides its parts and its result it holds some 100 bytes for each of these.
+BLOCK = 200_000
 #: Ends of a piece: . , ; : ! ? and line ends; between words: space and tab.
 ENDS = np.zeros(256, bool)
 ENDS[[*b".,;:!?", *range(10, 14)]] = True
@@ -32,8 +35,8 @@ def _ordered(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     coded = words.dictionary_encode()
     distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     order = pc.array_sort_indices(distinct).to_numpy()
-    label = np.empty(len(order), np.int64)
-    label[order] = np.arange(1, len(order) + 1)
+    label = np.empty(len(order), np.int32)
+    label[order] = np.arange(1, len(order) + 1, dtype=np.int32)
     return distinct.take(pa.array(order)), label[codes]
 
 
@@ -100,18 +103,27 @@ class Transducer:
                 arcs = _spans(first[kept], sizes[kept])
                 columns += [sizes[kept].astype(np.int32), label[arcs].astype(np.int32), value[arcs] if d == DEPTH - 1 else value[arcs].astype(np.int32)]
                 value = target
-        whole = [self.words, *map(pa.array, columns)]
-        blob = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in whole], names=[f"c{i}" for i in range(len(whole))])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, blob.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(blob)
-        return sink.getvalue().to_pybytes()
+        _, offsets, text = self.words.buffers()
+        offsets = np.frombuffer(offsets, np.int32, len(self.words) + 1, 4 * self.words.offset) if len(self.words) else np.zeros(1, np.int32)
+        text = text.slice(offsets[0], offsets[-1] - offsets[0]) if offsets[-1] else b""
+        columns.append(np.diff(offsets))
+        head = np.array([len(columns), *map(len, columns)], np.int64)
+        whole = b"".join([head.tobytes(), *(_planes(c) for c in columns), text])
+        return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
 
     @staticmethod
-    def from_bytes(blob: bytes) -> Transducer:
-        batch = pa.ipc.open_stream(blob).read_next_batch()
-        words = batch.column(0).flatten()
-        columns = [c.flatten().to_numpy() for c in batch.columns[1:]]
+    def from_bytes(blob: bytes | pa.Buffer) -> Transducer:
+        blob = pa.py_buffer(blob)
+        raw = pa.decompress(blob.slice(8), decompressed_size=int.from_bytes(blob.slice(0, 8).to_pybytes(), "little"), codec="zstd")
+        sizes = np.frombuffer(raw, np.int64, 1 + int(np.frombuffer(raw, np.int64, 1)[0]))[1:].tolist()
+        columns, at = [], 8 * (1 + len(sizes))
+        for i, n in enumerate(sizes):
+            kind = np.dtype(np.int64 if i in (0, 3) else np.int32)  # the number of paths, and the weights
+            columns.append(_whole(np.frombuffer(raw, np.uint8, n * kind.itemsize, at), kind))
+            at += n * kind.itemsize
+        offsets = np.concatenate([[0], np.cumsum(columns.pop())]).astype(np.int32)
+        text = np.frombuffer(raw, np.uint8, int(offsets[-1]), at).tobytes()  # a copy, so that nothing else is kept
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text)])
         if not columns[0][0]:
             return Transducer(words, np.zeros((0, DEPTH), np.int32), np.zeros(0, np.int64))
         levels = [columns[i : i + 3] for i in range(len(columns) - 3, 0, -3)]
@@ -135,14 +147,7 @@ class Transducer:
 
     def place(self, window: tuple[bytes, ...]) -> int:
         """The number of paths before a window in the order."""
-        lo, hi = 0, len(self.paths)
-        for d, word in enumerate(window[:DEPTH]):
-            label, there = self.label(word)
-            column = self.paths[lo:hi, d]
-            lo, hi = lo + int(np.searchsorted(column, label)), lo + int(np.searchsorted(column, label, "right")) if there else lo
-            if not there or lo >= hi:
-                return lo
-        return lo
+        return _before(self.paths, map(self.label, window[:DEPTH]))
 
     def label(self, word: bytes) -> tuple[int, bool]:
         """The label of a word, or where it would stand, and whether it is there."""
@@ -179,17 +184,65 @@ class Transducer:
         return joined, sums[told]
 
 
+def merged(parts: list[Transducer], block: int = BLOCK) -> Iterator[Transducer]:
+    """The union of some transducers as consecutive pieces of some ``block`` paths, all with the words of the whole.
+
+    Parts are in order, so a piece is a range of each of them, and only a piece's paths are sorted together.
+    """
+    words, labels = _ordered(pa.concat_arrays([p.words for p in parts]))
+    starts = np.cumsum([0, *(len(p.words) for p in parts)])
+    known = [np.concatenate([[0], labels[lo:hi]]).astype(np.int32) for lo, hi in zip(starts, starts[1:])]
+    del labels
+    ends = np.cumsum([len(p.paths) for p in parts])
+    drawn = np.arange(block // 8, ends[-1], max(1, block // 8))
+    drawn = zip(drawn.tolist(), np.searchsorted(ends, drawn, "right").tolist())
+    drawn = sorted(tuple(known[k][parts[k].paths[i - ends[k]]].tolist()) for i, k in drawn)
+
+    def label(k: int, x: int) -> tuple[int, bool]:
+        own = int(np.searchsorted(known[k], np.int32(x)))
+        return own, own < len(known[k]) and known[k][own] == x
+
+    before = [0] * len(parts)
+    for window in [*dict.fromkeys(drawn[7::8]), None]:
+        until = [len(p.paths) if window is None else _before(p.paths, (label(k, x) for x in window)) for k, p in enumerate(parts)]
+        some = [(k, lo, hi) for k, (lo, hi) in enumerate(zip(before, until)) if lo < hi]
+        before = until
+        if some:
+            paths = np.concatenate([known[k][parts[k].paths[lo:hi]] for k, lo, hi in some])
+            yield Transducer(words, *_summed(paths, np.concatenate([parts[k].weights[lo:hi] for k, lo, hi in some]), len(words)))
+
+
 def union(parts: list[Transducer]) -> Transducer:
     """All paths of some transducers, weights of equal ones added up."""
     if len(parts) == 1:
         return parts[0]
-    words, labels = _ordered(pa.concat_arrays([p.words for p in parts]))
-    paths, at = [], 0
-    for p in parts:
-        label = np.concatenate([[0], labels[at : at + len(p.words)]]).astype(np.int32)
-        paths.append(label[p.paths])
-        at += len(p.words)
-    return Transducer(words, *_summed(np.concatenate(paths), np.concatenate([p.weights for p in parts]), len(words)))
+    most = sum(len(p.paths) for p in parts)
+    words, paths, weights, n = pa.array([], pa.binary()), np.empty((most, DEPTH), np.int32), np.empty(most, np.int64), 0
+    for piece in merged(parts):
+        words, m = piece.words, n + len(piece.paths)
+        paths[n:m], weights[n:m], n = piece.paths, piece.weights, m
+    return Transducer(words, paths[:n], weights[:n])
+
+
+def _before(paths: np.ndarray, labels: Iterator[tuple[int, bool]]) -> int:
+    """The number of paths before the one of some labels; each label is given with whether it is there."""
+    lo, hi = 0, len(paths)
+    for d, (label, there) in enumerate(labels):
+        column, label = paths[lo:hi, d], np.int32(label)  # a wider label would make a wider copy of the column
+        lo, hi = lo + int(np.searchsorted(column, label)), lo + int(np.searchsorted(column, label, "right")) if there else lo
+        if lo >= hi:
+            return lo
+    return lo
+
+
+def _planes(column: np.ndarray) -> bytes:
+    """All first bytes of the numbers, all second ones and so on: small numbers and their zeros pack better so."""
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()
+
+
+def _whole(planes: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """The numbers of such bytes."""
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
 
 
 def _spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -2,14 +2,16 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_cases import documents  # noqa: F401
 
-from sparkchecks.llm.collocations import collocations, phrase_counts, texts_of
-from sparkchecks.llm.transducer import DEPTH, Transducer, union
+from sparkchecks.llm.collocations import collocations, cut_at, phrase_counts, shards, splits, texts_of, united
+from sparkchecks.llm.transducer import DEPTH, Transducer, merged, union
 
 
 def windows(text):
@@ -123,3 +125,55 @@ def test_scores_beyond_64_bits(spark):
 def test_empty(spark, documents):
     for rows in ([(1, None, None, None), (2, "", "en", None), (3, " .\n", "en", None)], []):
         assert collocations(phrase_counts(documents(rows or [(1, "a", None, None)]).limit(len(rows)))).collect() == []
+
+
+def test_union_holds_little_besides_parts_and_result():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    parts = [Transducer.of_text(" ".join(rng.choices(words, k=100_000)).encode()) for _ in range(8)]
+    tracemalloc.start()
+    whole = union(parts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(whole.paths) > 790_000 and int(whole.weights.sum()) == 800_000
+    assert most < 70 * 800_000  # 24 of them are the result
+
+
+@pytest.mark.parametrize("block", [1, 9, 64, 5000])
+def test_pieces_of_a_union(block):
+    rng = random.Random(block)
+    texts = [text_of(rng, ["a", "b", "c", "École", "x" * 70][: 2 + i % 4], rng.choice([1, 30, 400])) for i in range(12)]
+    pieces = list(merged([Transducer.of_text(t.encode()) for t in texts], block))
+    order = [p.window(i) for p in pieces for i in range(len(p.paths))]
+    assert order == sorted(set(order)) and (len(pieces) > 1) == (block < 500)
+    assert {k: v for p in pieces for k, v in spelled(p).items()} == sum((windows(t) for t in texts), Counter())
+
+
+def test_ranges_are_even_whatever_the_number_of_shards(spark, documents):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, " ".join(rng.choices(words, k=1000)), "en", None) for i in range(200)]
+    written = shards(documents(rows).repartition(4), size=16_000, step=1000).cache()
+    assert written.count() >= 40
+    at = splits(written, 4000, 1000)
+    cut = cut_at(written, at).collect()
+    of = Counter()
+    for r in cut:
+        of[r.range] += len(Transducer.from_bytes(r.blob).paths)
+    assert 40 <= len(of) <= 60 and max(of.values()) <= 3 * 4000
+    assert sum(int(Transducer.from_bytes(r.blob).weights.sum()) for r in cut) == 200_000
+    written.unpersist()
+
+
+def test_each_task_unites_four_ranges(spark, documents):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["a", "b", "c", "d", "e", "f", "g"], k=400)), "en", None) for i in range(20)]
+    written = shards(documents(rows).repartition(2), size=1500, step=50).cache()
+    at = splits(written, 300, 50)
+    ranges = sum(len(w) + 1 for _, w in at.values())
+    counts = united(cut_at(written, at), ranges, 1)
+    assert ranges > 8 and counts.rdd.getNumPartitions() == -(-ranges // 4)
+    own = counts.withColumn("task", F.spark_partition_id()).filter("size = 0").groupBy("task").count()
+    assert max(r["count"] for r in own.collect()) <= 4
+    assert counts.filter("size = 0").agg(F.sum("f")).first()[0] == 8000
+    written.unpersist()
